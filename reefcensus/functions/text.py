@@ -60,8 +60,8 @@ def _double_text(d: Column) -> Column:
     """A double as text with 15 significant digits, fixed or scientific,
     whichever is not longer (fixed wins ties)."""
     parts = F.split(F.format_string("%.14e", F.abs(d)), "e")
-    digits = F.regexp_replace(F.replace(F.element_at(parts, 1), F.lit("."), F.lit("")), "0+$", "")
-    exp = F.element_at(parts, 2).cast("int")
+    digits = F.regexp_replace(F.replace(F.try_element_at(parts, F.lit(1)), F.lit("."), F.lit("")), "0+$", "")
+    exp = F.try_element_at(parts, F.lit(2)).cast("int")
 
     def render(r: Column) -> Column:
         g, e = r["g"], r["e"]
@@ -112,3 +112,52 @@ def canonical_text(c: str | Column) -> Column:
 def canonical_double(c: str | Column) -> Column:
     """Canonical text of a numeric column (same rendering as canonical_text)."""
     return _double_text(_col(c).cast("double"))
+
+
+def with_canonical(df, columns: dict[str, str | Column]):
+    """Add canonical-text columns (same rule as ``canonical_text``) in staged
+    projections: every intermediate value is its own column, so each is
+    computed once per row and the whole rule stays in generated code (the
+    optimizer keeps the stages apart because later stages use an expensive
+    value more than once)."""
+    tmp: list[str] = []
+
+    def t(name: str, i: int) -> str:
+        n = f"__c{i}_{name}"
+        tmp.append(n)
+        return n
+
+    out = df
+    stage1, stage2, stage3, stage4, final = {}, {}, {}, {}, {}
+    for i, (name, src) in enumerate(columns.items()):
+        tt, lg, db, g, e, fx, sc = (t(x, i) for x in ("t", "l", "d", "g", "e", "f", "s"))
+        stage1[tt] = F.trim(_col(src).cast("string"))
+        stage2[lg] = F.col(tt).try_cast("bigint")
+        stage2[db] = F.col(tt).try_cast("double")
+        parts = F.split(F.format_string("%.14e", F.abs(F.col(db))), "e")
+        stage3[g] = F.regexp_replace(F.replace(F.try_element_at(parts, F.lit(1)), F.lit("."), F.lit("")), "0+$", "")
+        stage3[e] = F.try_element_at(parts, F.lit(2)).cast("int")
+        gc, ec = F.col(g), F.col(e)
+        k = F.length(gc)
+        stage4[fx] = (F.when(ec >= 0,
+                             F.when(k <= ec + 1, F.concat(gc, F.repeat(F.lit("0"), ec + 1 - k)))
+                             .otherwise(F.concat(F.substr(gc, F.lit(1), ec + 1), F.lit("."), F.substr(gc, ec + 2))))
+                      .otherwise(F.concat(F.lit("0."), F.repeat(F.lit("0"), -ec - 1), gc)))
+        stage4[sc] = F.concat(F.substr(gc, F.lit(1), F.lit(1)),
+                              F.when(k > 1, F.concat(F.lit("."), F.substr(gc, F.lit(2)))).otherwise(F.lit("")),
+                              F.lit("e"), F.when(ec < 0, F.lit("-")).otherwise(F.lit("+")),
+                              F.lpad(F.abs(ec).cast("string"), 2, "0"))
+        tc, lc, dc = F.col(tt), F.col(lg), F.col(db)
+        num = (F.when(dc == 0, F.lit("0")).when(dc.isNaN(), F.lit("NaN"))
+               .otherwise(F.concat(F.when(dc < 0, F.lit("-")).otherwise(F.lit("")),
+                                   F.when(F.length(fx) <= F.length(sc), F.col(fx)).otherwise(F.col(sc)))))
+        final[name] = (
+            F.when(tc.isNull() | (tc == "") | (tc == NA_TEXT), F.lit(None).cast("string"))
+            .when(tc.isin(_TRUE_WORDS), F.lit("TRUE"))
+            .when(tc.isin(_FALSE_WORDS), F.lit("FALSE"))
+            .when(tc.rlike(_INT_RE) & lc.isNotNull() & (F.abs(lc) <= _INT32_MAX), lc.cast("string"))
+            .when(tc.rlike(_NUM_RE) & dc.isNotNull(), num)
+            .otherwise(tc))
+    for stage in (stage1, stage2, stage3, stage4, final):
+        out = out.withColumns(stage)
+    return out.drop(*tmp)

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reefcensus.functions.text import canonical_text, strip_repair_suffix
+from reefcensus.functions.text import strip_repair_suffix, with_canonical
 from reefcensus.operators.clean import complete_obs
 from reefcensus.operators.joins import null_safe_join
 from reefcensus.registry import (
@@ -68,8 +68,7 @@ def pivot_metadata(pairs: DataFrame, keys: Sequence[str], known_keys: Sequence[s
             .agg(F.min_by(F.col(f"`{v}`"), F.col(f"`{order}`"))))
     if not canonical:
         return wide
-    return wide.select(*[F.col(f"`{c}`") for c in keys],
-                       *[canonical_text(F.col(f"`{c}`")).alias(c) for c in known_keys])
+    return with_canonical(wide, {c: F.col(f"`{c}`") for c in known_keys})
 
 
 def duplicate_metadata_keys(pairs: DataFrame, keys: Sequence[str], k: str = "k") -> DataFrame:
@@ -102,54 +101,79 @@ def odd_observer_widths(grid: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> Da
             .select(*keys, "obs_width").withColumn("check", F.lit("odd observer columns")))
 
 
+def _clean_names(raw: Column) -> Column:
+    """Repair-suffix stripped names; blank and repeated names -> null."""
+    names = F.transform(raw, strip_repair_suffix)
+    return F.transform(names, lambda x, i: F.when(
+        x.isNotNull() & (x != "") & (F.array_position(names, x) == i + 1), x))
+
+
+def _layout_names(header: Sequence[str | None], paired: bool) -> tuple[list[int], list[str], int]:
+    """Python twin of the per-sheet header rule for a known header:
+    (1-based cell positions, names, width) of the kept observation columns."""
+    named = [i for i, h in enumerate(header) if h is not None]
+    width = max((named[-1] + 1 - 2) if named else 0, 0)
+    if paired and width % 2:
+        return [], [], width
+    span = width // 2 if paired else width
+    names = [(h or "").split("...")[0] for h in header[2:2 + span]]
+    pos, kept = [], []
+    for j, n in enumerate(names):
+        if n and n not in kept:
+            pos.append(j)
+            kept.append(n)
+    return pos, kept, width
+
+
 def observer_rows(grid: DataFrame, keys: Sequence[str] = SHEET_KEYS, paired: bool = True,
                   required: Sequence[str] = OBSERVATION_REQUIRED,
-                  header: Sequence[str] | None = None) -> DataFrame:
+                  header: Sequence[str | None] | None = None) -> DataFrame:
     """Observation rows of every sheet as ``obs MAP<STRING,STRING>``.
 
     Paired sheets hold two observers side by side: the right half is stacked
     under the left half's names (``observer_half`` 1 / 2); names lose the
-    ``...N`` repair suffix. Odd widths are skipped (see odd_observer_widths).
-    Rows missing any required column the sheet has are dropped. When every
-    sheet shares a known ``header``, it is given as a literal (no header join).
+    ``...N`` repair suffix; blank or repeated names are dropped. Odd widths
+    are skipped (see odd_observer_widths). Rows missing any required column
+    the sheet has are dropped.
+
+    Header work happens once per sheet (before the join to its rows); when
+    every sheet shares a known ``header`` it is a literal and rows need no
+    join and no per-row lambda.
     """
-    if header is None:
-        heads = _headers(grid, keys)
-        data = grid.filter(F.col("row_idx") >= 1).join(heads, list(keys), "inner")
-    else:
-        lit_header = F.array(*[F.lit(h).cast("string") for h in header])
-        data = _header_width(grid.filter(F.col("row_idx") >= 1).withColumn("header", lit_header),
-                             [c for c in grid.columns if c != "header"])
-    w = F.col("obs_width")
-    if paired:
-        data = data.filter(w % 2 == 0)
-        half = (w / 2).cast("int")
-        names = F.transform(F.slice("header", F.lit(3), half), strip_repair_suffix)
-        left = F.slice("cells", F.lit(3), half)
-        right = F.slice("cells", half + 3, half)
-        both = F.array(
-            F.struct(F.lit(1).alias("observer_half"), left.alias("vals")),
-            F.struct(F.lit(2).alias("observer_half"), right.alias("vals")),
-        )
-        rows = data.select(*keys, "row_idx", names.alias("obs_names"),
-                           F.inline(both))
+    data = grid.filter(F.col("row_idx") >= 1)
+    halves = [1, 2] if paired else [1]
+    if header is not None:
+        pos, names, width = _layout_names(header, paired)
+        if not names:
+            return data.select(*keys, "row_idx").limit(0)
+        span = width // 2 if paired else width
+        name_arr = F.array(*[F.lit(n) for n in names])
+        parts = [F.struct(F.lit(h).alias("observer_half"),
+                          F.map_from_arrays(name_arr, F.array(*[
+                              F.try_element_at("cells", F.lit(3 + (h - 1) * span + p)) for p in pos
+                          ])).alias("obs")) for h in halves]
+        rows = data.select(*keys, "row_idx", F.inline(F.array(*parts)))
+        rows = rows.withColumn("obs_names", name_arr)
     else:
-        names = F.transform(F.slice("header", F.lit(3), w), strip_repair_suffix)
-        rows = data.select(*keys, "row_idx", names.alias("obs_names"),
-                           F.lit(1).alias("observer_half"),
-                           F.slice("cells", F.lit(3), w).alias("vals"))
-    # Unnamed and repeated names are dropped (first occurrence wins), so the
-    # map never sees a null or duplicate key.
-    clean = F.transform("obs_names", lambda x, i: F.when(
-        x.isNotNull() & (x != "") & (F.array_position("obs_names", x) == i + 1), x))
-    entries = F.filter(
-        F.transform(clean, lambda x, i: F.struct(x.alias("k"), F.try_element_at("vals", i + 1).alias("v"))),
-        lambda e: e["k"].isNotNull())
-    obs = rows.select(*keys, "row_idx", "observer_half",
-                      F.filter(clean, lambda x: x.isNotNull()).alias("obs_names"),
-                      F.map_from_entries(entries).alias("obs"))
-    obs = obs.filter(F.size("obs_names") > 0)
-    return complete_obs(obs, required)
+        heads = _headers(grid, keys)
+        if paired:
+            heads = heads.filter(F.col("obs_width") % 2 == 0)
+        span = (F.col("obs_width") / 2).cast("int") if paired else F.col("obs_width")
+        clean = _clean_names(F.slice("header", F.lit(3), span))
+        # kept positions (0-based within a half) and their names, per sheet
+        heads = heads.select(
+            *keys, span.alias("span"),
+            F.filter(F.transform(clean, lambda x, i: F.when(x.isNotNull(), i)), lambda p: p.isNotNull())
+            .alias("pos"),
+            F.filter(clean, lambda x: x.isNotNull()).alias("obs_names"))
+        heads = heads.filter(F.size("obs_names") > 0)
+        joined = data.join(heads, list(keys), "inner")
+        parts = [F.struct(F.lit(h).alias("observer_half"), F.map_from_arrays("obs_names", F.transform(
+            "pos", lambda p, h=h: F.try_element_at("cells", p + 3 + (h - 1) * F.col("span")))).alias("obs"))
+                 for h in halves]
+        rows = joined.select(*keys, "row_idx", "obs_names", F.inline(F.array(*parts)))
+    rows = rows.select(*keys, "row_idx", "observer_half", "obs_names", "obs")
+    return complete_obs(rows, required)
 
 
 def obs_columns(obs_rows: DataFrame, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:

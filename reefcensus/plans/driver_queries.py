@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from reefcensus.functions.dates import parse_day_first, season
 from reefcensus.functions.labels import deployment_key, group_flag, layer_letter
-from reefcensus.functions.text import canonical_text
+from reefcensus.functions.text import with_canonical
 from reefcensus.operators import checks, clean, complete, cover, grid, joins, surveyors, traits
 from reefcensus.plans.deployment import day_label
 from reefcensus.plans.sql_text import canon_text, na, q, ymd, zero_norm
@@ -164,16 +164,14 @@ FROM part
 """)
 def canonical_values(spark, sf):
     p = load(spark, sf, "part")
-    return p.select(
-        "p_partkey",
-        canonical_text(F.lpad(F.col("p_size").cast("string"), 3, "0")).alias("size_txt"),
-        canonical_text(F.format_string("%.2f", "p_retailprice")).alias("price_txt"),
-        canonical_text(F.format_string("%.1f", F.col("p_retailprice") * 1000)).alias("big_txt"),
-        canonical_text(F.format_string("%.8f", F.col("p_retailprice") / 1000000)).alias("small_txt"),
-        canonical_text(F.when(F.col("p_size") > 25, "T").otherwise("false")).alias("flag_txt"),
-        canonical_text(F.when(F.col("p_size") < 5, "  ").when(F.col("p_size") < 10, "NA")
-                       .otherwise(F.col("p_type"))).alias("text_txt"),
-    )
+    return with_canonical(p.select("p_partkey", "p_size", "p_retailprice", "p_type"), {
+        "size_txt": F.lpad(F.col("p_size").cast("string"), 3, "0"),
+        "price_txt": F.format_string("%.2f", "p_retailprice"),
+        "big_txt": F.format_string("%.1f", F.col("p_retailprice") * 1000),
+        "small_txt": F.format_string("%.8f", F.col("p_retailprice") / 1000000),
+        "flag_txt": F.when(F.col("p_size") > 25, "T").otherwise("false"),
+        "text_txt": F.when(F.col("p_size") < 5, "  ").when(F.col("p_size") < 10, "NA").otherwise(F.col("p_type")),
+    }).drop("p_size", "p_retailprice", "p_type")
 
 
 # ---------------------------------------------------------------- P8, P9, P10
@@ -499,11 +497,12 @@ def _complete_fish(spark, sf) -> DataFrame:
     sheet_meta = o.select("o_orderkey", _priority_segment().alias("Segment"))
     samples = li.select(
         F.col("l_orderkey").alias("o_orderkey"), F.col("l_linenumber").cast("string").alias("Transect"),
-        F.col("l_returnflag").alias("Substrate Type"), canonical_text(F.format_string("%.2f", "l_tax")).alias("Depth Start"),
+        F.col("l_returnflag").alias("Substrate Type"), F.format_string("%.2f", "l_tax").alias("Depth Start"),
         F.col("l_linestatus").alias("Visibility"), F.col("l_partkey").cast("string").alias("Species"),
         F.col("l_quantity").cast("bigint").cast("string").alias("Amount"),
         F.floor(F.col("l_extendedprice") / 1000).cast("bigint").cast("string").alias("Length"),
         F.col("l_suppkey").cast("string").alias("Distance"))
+    samples = with_canonical(samples, {"Depth Start": "Depth Start"})
     samples = traits.tag_group(grid.recycle_metadata(sheet_meta, samples, ["o_orderkey"]), "Fish")
     return complete.day_complete(meta.withColumnRenamed("First Observer", "Fish Observer")
                                  .withColumnRenamed("Second Observer", "Invertebrate Observer"),
@@ -1060,3 +1059,155 @@ SELECT o_orderkey, 'This is a local backup file and should not be used for furth
 """)
 def backup_flag(spark, sf):
     return with_backup_flag(load(spark, sf, "orders").select("o_orderkey"))
+
+
+# ---------------------------------------------------------------- G1, J1, G2, R1-R3
+_PROJECTS = [p for ps in __import__("reefcensus.registry", fromlist=["x"]).PROJECT_FAMILIES.values() for p in ps]
+_JUV = ["Eilat Juveniles Transects", "Eilat Juveniles Knolls", "Eilat Juveniles Artificial"]
+_PLAN_GROUP = 50  # suppliers per plan file
+
+
+def _supplier_plan(spark, sf) -> DataFrame:
+    """Day plans made of supplier rows: one plan per nation and block of
+    suppliers, observers from the account balance, a project per nation."""
+    s = load(spark, sf, "supplier")
+    n = F.broadcast(load(spark, sf, "nation"))
+    projects = F.array(*[F.lit(p) for p in _PROJECTS])
+    j = s.join(n, s.s_nationkey == n.n_nationkey)
+    plan = j.select(
+        F.concat(F.lit("N"), F.col("n_nationkey").cast("string"), F.lit("-"),
+                 F.floor(F.col("s_suppkey") / _PLAN_GROUP).cast("bigint").cast("string")).alias("file"),
+        F.col("s_suppkey").alias("row_idx"),
+        F.element_at(projects, (F.col("n_nationkey") % len(_PROJECTS) + 1).cast("int")).alias("Project"),
+        F.col("n_name").alias("Location"),
+        F.concat(F.lit("Obs "), F.when(F.col("s_acctbal") > 0, "A").otherwise("B")).alias("First Observer"),
+        F.when(F.col("s_acctbal") > 5000, None).otherwise(F.lit("Obs C")).alias("Second Observer"),
+        F.lit("Obs J").alias("Juveniles First Observer"),
+        F.lit(None).cast("string").alias("Juveniles Second Observer"),
+        F.col("s_suppkey").cast("string").alias("SiteID"))
+    return complete.attach_family(plan)
+
+
+def _plan_emails(plan: DataFrame) -> DataFrame:
+    names = plan.select(F.col("First Observer").alias("FullName")).distinct()
+    return names.withColumn("email", F.when(F.col("FullName") != "Obs B", F.concat(
+        F.lower(F.regexp_replace("FullName", " ", ".")), F.lit("@reef.example"))))
+
+
+def _plan_surveyors(spark, sf) -> DataFrame:
+    plan = _supplier_plan(spark, sf)
+    fam = plan.select("file", "Project", "family").distinct()
+    sv = surveyors.surveyor_tables(plan, _plan_emails(plan), ["file"])
+    return sv.join(fam, ["file", "Project"], "left")
+
+
+def _plan_sql() -> str:
+    projects = "[" + ", ".join(f"'{p}'" for p in _PROJECTS) + "]"
+    fam_rows = ", ".join(f"('{p}', '{f}')" for p, f in __import__(
+        "reefcensus.registry", fromlist=["x"]).project_family_rows())
+    juv = ", ".join(f"'{f}'" for f in _JUV)
+    return f"""
+plan0 AS (
+  SELECT 'N' || CAST(n_nationkey AS VARCHAR) || '-' || CAST(CAST(floor(s_suppkey / {_PLAN_GROUP}) AS BIGINT) AS VARCHAR) AS file,
+         s_suppkey AS row_idx, {projects}[n_nationkey % {len(_PROJECTS)} + 1] AS "Project", n_name AS loc,
+         'Obs ' || CASE WHEN s_acctbal > 0 THEN 'A' ELSE 'B' END AS f1,
+         CASE WHEN s_acctbal > 5000 THEN NULL ELSE 'Obs C' END AS f2,
+         'Obs J' AS j1, CAST(NULL AS VARCHAR) AS j2, CAST(s_suppkey AS VARCHAR) AS dep
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+plan AS (
+  SELECT plan0.*, fam.family, coalesce(fam.family IN ({juv}), false) AS juv
+  FROM plan0 LEFT JOIN (SELECT * FROM (VALUES {fam_rows}) v("Project", family)) fam USING ("Project")),
+em AS (SELECT DISTINCT f1 AS name, CASE WHEN f1 <> 'Obs B' THEN lower(replace(f1, ' ', '.')) || '@reef.example' END AS email FROM plan),
+grp AS (
+  SELECT file, row_idx, "Project", family, juv, f1, f2, dep,
+         CASE WHEN juv THEN loc END AS loc, CASE WHEN juv THEN j1 END AS j1, CASE WHEN juv THEN j2 END AS j2,
+         CASE WHEN juv THEN {na('f1')} || ', ' || {na('f2')} || ', ' || {na('j1')} || ', and ' || {na('j2')}
+              ELSE {na('f1')} || ' and ' || {na('f2')} END AS spreadsheet_name
+  FROM plan),
+pos AS (
+  SELECT grp.*, CAST(row_number() OVER (PARTITION BY file, "Project", f1, f2, loc, j1, j2 ORDER BY row_idx) - 1 AS INTEGER) AS dep_order
+  FROM grp),
+sv AS (
+  SELECT file, "Project", family, juv, f1, f2, loc, j1, j2, spreadsheet_name,
+         string_agg({na('dep')}, ',' ORDER BY row_idx) AS deployments, count(*) AS n_deployments
+  FROM grp GROUP BY file, "Project", family, juv, f1, f2, loc, j1, j2, spreadsheet_name),
+sve AS (
+  SELECT sv.*, e1.email AS e1, e2.email AS e2, e3.email AS e3, e4.email AS e4
+  FROM sv LEFT JOIN em e1 ON e1.name IS NOT DISTINCT FROM sv.f1
+          LEFT JOIN em e2 ON e2.name IS NOT DISTINCT FROM sv.f2
+          LEFT JOIN em e3 ON sv.juv AND e3.name IS NOT DISTINCT FROM sv.j1
+          LEFT JOIN em e4 ON sv.juv AND e4.name IS NOT DISTINCT FROM sv.j2)"""
+
+
+@query("surveyor_table", f"""
+WITH {_plan_sql()}
+SELECT file, "Project", family, f1 AS "First Observer", f2 AS "Second Observer", spreadsheet_name,
+       deployments, n_deployments,
+       {na('e1')} || ',' || {na('e2')} || CASE WHEN juv THEN ',' || {na('e3')} || ',' || {na('e4')} ELSE '' END AS emails
+FROM sve
+""")
+def surveyor_table(spark, sf):
+    sv = _plan_surveyors(spark, sf)
+    return sv.select("file", "Project", "family", "First Observer", "Second Observer", "spreadsheet_name",
+                     F.array_join("deployments", ",", "NA").alias("deployments"),
+                     F.size("deployments").cast("long").alias("n_deployments"),
+                     F.array_join("emails", ",", "NA").alias("emails"))
+
+
+def _manifest_sql() -> str:
+    rows = surveyors._manifest_rows()
+    fields = {"first": na("p.f1"), "second": na("p.f2"), "jfirst": na("p.j1"), "jsecond": na("p.j2"),
+              "location": na("p.loc"), "dep": na("p.dep"), "letter": na("d.letter")}
+
+    def prefill(spec: str) -> str:
+        parts = [f"'{x[1:]}'" if x.startswith("=") else fields[x] for x in spec.split("|")]
+        return " || '|' || ".join(parts)
+
+    def lit(v):
+        return "NULL" if v is None else "'" + v + "'"
+
+    specs = sorted({(r[0], r[7]) for r in rows})
+    prefill_case = "CASE d.family " + " ".join(f"WHEN '{f}' THEN {prefill(s)}" for f, s in specs) + " END"
+    values = ", ".join(f"('{r[0]}', {r[1]}, {lit(r[2])}, {lit(r[3])}, '{r[4]}', '{r[5]}', '{r[6]}')" for r in rows)
+    return f"""
+WITH {_plan_sql()},
+dim AS (SELECT * FROM (VALUES {values}) v(family, sheet_order, letter, layer, head, mid, suffix))
+SELECT p.file, p.spreadsheet_name, p.dep_order, p.dep AS deployment, d.sheet_order,
+       d.head || {na('p.dep')} || d.mid || coalesce(d.letter, '') || d.suffix AS sheet,
+       {prefill_case} AS prefill
+FROM pos p JOIN dim d ON p.family = d.family
+"""
+
+
+@query("worksheet_manifest", _manifest_sql())
+def worksheet_manifest(spark, sf):
+    m = surveyors.worksheet_manifest(_plan_surveyors(spark, sf), ["file"])
+    return m.select("file", "spreadsheet_name", "dep_order", "deployment", "sheet_order", "sheet",
+                    F.array_join("prefill", "|", "NA").alias("prefill"))
+
+
+@query("photo_manifest", f"""
+WITH {_plan_sql()}
+SELECT p.file, p.spreadsheet_name, p.dep AS deployment, l.letter,
+       p.spreadsheet_name || '/' || {na('p.dep')} || '/' || l.letter AS folder
+FROM pos p JOIN (SELECT * FROM (VALUES ('A'), ('B'), ('C'), ('D')) v(letter)) l ON true
+WHERE p.family IN ('Mediterranean Transects', 'Eilat Transects', 'Eilat Juveniles Transects')
+""")
+def photo_manifest(spark, sf):
+    return surveyors.photo_manifest(_plan_surveyors(spark, sf), ["file"])
+
+
+@query("access_list", f"""
+WITH {_plan_sql()},
+w AS (
+  SELECT file, spreadsheet_name, e1 AS email FROM sve
+  UNION ALL SELECT file, spreadsheet_name, e2 FROM sve
+  UNION ALL SELECT file, spreadsheet_name, e3 FROM sve WHERE juv
+  UNION ALL SELECT file, spreadsheet_name, e4 FROM sve WHERE juv),
+a AS (
+  SELECT file, spreadsheet_name, email, 'writer' AS role FROM w
+  UNION ALL SELECT DISTINCT file, 'metadata', email, 'reader' FROM w)
+SELECT a.*, CASE WHEN email IS NULL THEN 'missing email' ELSE 'grant' END AS status FROM a
+""")
+def access_list(spark, sf):
+    return surveyors.access_list(_plan_surveyors(spark, sf), ["file"])

@@ -26,7 +26,7 @@ def read_worksheet_csvs(spark: SparkSession, root: str, width: int = GRID_WIDTH)
     n = F.size(parts)
 
     def part(back: int):
-        return F.url_decode(F.element_at(parts, n - back + 1))
+        return F.element_at(parts, n - back + 1)
 
     sheet = F.regexp_replace(part(1), r"\.csv$", "")
     return g.select(

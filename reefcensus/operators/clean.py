@@ -119,9 +119,9 @@ def complete_obs(df: DataFrame, required: Sequence[str], obs: str = "obs",
                  names: str = "obs_names") -> DataFrame:
     """Same rule as ``complete_rows`` for observations held in a map whose
     available keys are listed per row in ``names``."""
-    conds = [(~F.array_contains(F.col(names), k)) | F.element_at(F.col(obs), F.lit(k)).isNotNull()
+    conds = [(~F.array_contains(F.col(names), k)) | F.try_element_at(F.col(obs), F.lit(k)).isNotNull()
              for k in required]
-    return df.filter(reduce(lambda a, b: a & b, conds))
+    return df.filter(reduce(lambda a, b: a & b, conds)) if conds else df
 
 
 def any_present(df: DataFrame, cols: Sequence[str]) -> DataFrame:

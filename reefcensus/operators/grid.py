@@ -168,8 +168,11 @@ def observer_rows(grid: DataFrame, keys: Sequence[str] = SHEET_KEYS, paired: boo
             F.filter(clean, lambda x: x.isNotNull()).alias("obs_names"))
         heads = heads.filter(F.size("obs_names") > 0)
         joined = data.join(heads, list(keys), "inner")
-        parts = [F.struct(F.lit(h).alias("observer_half"), F.map_from_arrays("obs_names", F.transform(
-            "pos", lambda p, h=h: F.try_element_at("cells", p + 3 + (h - 1) * F.col("span")))).alias("obs"))
+        def cell_at(half: int):
+            return lambda p: F.try_element_at("cells", p + 3 + (half - 1) * F.col("span"))
+
+        parts = [F.struct(F.lit(h).alias("observer_half"),
+                          F.map_from_arrays("obs_names", F.transform("pos", cell_at(h))).alias("obs"))
                  for h in halves]
         rows = joined.select(*keys, "row_idx", "obs_names", F.inline(F.array(*parts)))
     rows = rows.select(*keys, "row_idx", "observer_half", "obs_names", "obs")
@@ -179,7 +182,7 @@ def observer_rows(grid: DataFrame, keys: Sequence[str] = SHEET_KEYS, paired: boo
 def obs_columns(obs_rows: DataFrame, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Project named observation fields out of the map (missing -> null)."""
     return obs_rows.select(*[F.col(f"`{c}`") for c in keep],
-                           *[F.element_at("obs", F.lit(n)).alias(n) for n in names])
+                           *[F.try_element_at("obs", F.lit(n)).alias(n) for n in names])
 
 
 def recycle_metadata(meta: DataFrame, obs: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:

@@ -25,7 +25,9 @@ from reefcensus.operators.complete import (
 from reefcensus.operators.cover import invertebrate_sheets
 from reefcensus.operators.grid import (
     SHEET_KEYS,
+    duplicate_metadata_keys,
     metadata_pairs,
+    odd_observer_widths,
     observer_rows,
     pivot_metadata,
     recycle_metadata,
@@ -76,7 +78,7 @@ def sample_rows(grid: DataFrame, meta: DataFrame, keys: Sequence[str] = SHEET_KE
     obs = observer_rows(other, keys, paired=True, required=OBSERVATION_REQUIRED).unionByName(
         observer_rows(tlv, keys, paired=False, required=TLV_OBSERVATION_REQUIRED))
     obs = obs.select(*keys, "row_idx", "observer_half", "obs",
-                     *[F.element_at("obs", F.lit(n)).alias(n) for n in OBSERVATION_FIELDS])
+                     *[F.try_element_at("obs", F.lit(n)).alias(n) for n in OBSERVATION_FIELDS])
     rows = recycle_metadata(sheet_meta, obs, keys)
     return sample_key(rows)
 
@@ -130,3 +132,14 @@ def tlv_invertebrates(meta: DataFrame, grid: DataFrame,
 def stored_days(stored: DataFrame) -> DataFrame:
     """I1."""
     return complete_days(stored)
+
+
+def sheet_violations(grid: DataFrame, meta: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
+    """Sheets that cannot be read as the protocol expects: odd observer
+    width on paired sheets (S19) and repeated metadata keys (S21)."""
+    g = prune_sheets(prune_sources(grid), exclude=FISH_SHEET_EXCLUDE)
+    g = _with_day_family(g, meta)
+    paired = g.filter(F.col("family") != "Tel Aviv Transects").drop("family")
+    odd = odd_observer_widths(paired, keys).select(*keys, "check")
+    dup = duplicate_metadata_keys(metadata_pairs(g.drop("family"), keys), keys).select(*keys, "check")
+    return odd.unionByName(dup)

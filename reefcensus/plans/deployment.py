@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reefcensus.functions.dates import parse_iso_date
+from reefcensus.functions.text import na_text
 from reefcensus.operators.checks import missing_counts, single_value_violations, unsupported_projects
 from reefcensus.operators.clean import add_defaults, any_present, normalise_headings
 from reefcensus.operators.complete import attach_family, metadata_key
@@ -30,8 +31,9 @@ PLAN_KEYS = ["file"]
 
 
 def day_label(location: str = "Location", date: str = "Date"):
-    """``"Location YYYY-MM-DD"``, the day folder name."""
-    return F.concat_ws(" ", F.col(location), F.date_format(F.col(date), "yyyy-MM-dd"))
+    """``"Location YYYY-MM-DD"``, the day folder name (a missing part
+    reads ``NA``)."""
+    return F.concat(na_text(location), F.lit(" "), na_text(F.date_format(F.col(date), "yyyy-MM-dd")))
 
 
 def plan_from_csvs(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -92,7 +94,7 @@ def form_to_plan(grid: DataFrame, keys: list[str], project: str | None = None) -
     names = ["SiteID", "KnollID", "Spot", "Lat", "Lon", *OBSERVER_COLUMNS,
              "Juveniles First Observer", "Juveniles Second Observer"]
     table = rows.select(*keys, "row_idx", renamed.alias("obs"))
-    table = table.select(*keys, "row_idx", *[F.element_at("obs", F.lit(n)).alias(n) for n in names])
+    table = table.select(*keys, "row_idx", *[F.try_element_at("obs", F.lit(n)).alias(n) for n in names])
     table = any_present(table, [HEADING_RENAMES.get(c, c) for c in DEPLOYMENT_ANY_PRESENT])
     plan = meta.join(table, list(keys), "inner")
     return add_defaults(normalise_headings(plan), project=project)

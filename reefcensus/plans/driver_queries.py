@@ -287,8 +287,8 @@ def observer_split(spark, sf):
     rows = grid.observer_rows(sheet, ["l_orderkey"], paired=True, required=OBSERVATION_REQUIRED,
                               header=["Metadata", "Value", "Species", "Amount", "Species...5", "Amount...6"])
     return rows.select("l_orderkey", F.col("row_idx").alias("l_linenumber"), "observer_half",
-                       F.element_at("obs", F.lit("Species")).alias("Species"),
-                       F.element_at("obs", F.lit("Amount")).alias("Amount"))
+                       F.try_element_at("obs", F.lit("Species")).alias("Species"),
+                       F.try_element_at("obs", F.lit("Amount")).alias("Amount"))
 
 
 @query("recycle_metadata", f"""

@@ -87,7 +87,7 @@ def read_deployments(spark: SparkSession, paths: str | list[str], fill: bool = T
     """
     rows = bind_by_header(read_csv_grid(spark, paths))
     wide = rows.select("file", "file_name", "row_idx",
-                       *[F.element_at("row", F.lit(c)).alias(c) for c in DEPLOYMENT_COLUMNS])
+                       *[F.try_element_at("row", F.lit(c)).alias(c) for c in DEPLOYMENT_COLUMNS])
     if fill:
         keep = list(OBSERVER_COLUMNS) + list(JUVENILE_OBSERVER_COLUMNS)
         wide = fill_down_except(wide, ["file"], "row_idx", keep + ["file_name"])

@@ -130,11 +130,18 @@ def with_canonical(df, columns: dict[str, str | Column]):
     out = df
     stage1, stage2, stage3, stage4, final = {}, {}, {}, {}, {}
     for i, (name, src) in enumerate(columns.items()):
-        tt, lg, db, g, e, fx, sc = (t(x, i) for x in ("t", "l", "d", "g", "e", "f", "s"))
+        tt, it, lg, db, g, e, fx, sc = (t(x, i) for x in ("t", "i", "l", "d", "g", "e", "f", "s"))
         stage1[tt] = F.trim(_col(src).cast("string"))
-        stage2[lg] = F.col(tt).try_cast("bigint")
-        stage2[db] = F.col(tt).try_cast("double")
-        parts = F.split(F.format_string("%.14e", F.abs(F.col(db))), "e")
+        tc = F.col(tt)
+        as_long = F.when(tc.rlike(_INT_RE), tc.try_cast("bigint"))
+        stage2[lg] = F.when(F.abs(as_long) <= _INT32_MAX, as_long)
+        # the double (and its formatting below) only for numbers that are not
+        # 32-bit integers; text and integers skip the costly branch
+        stage2[db] = F.when(as_long.isNull() | (F.abs(as_long) > _INT32_MAX),
+                            F.when(tc.rlike(_NUM_RE), tc.try_cast("double")))
+        dc = F.col(db)
+        parts = F.when(dc.isNotNull() & (dc != 0) & ~dc.isNaN(),
+                       F.split(F.format_string("%.14e", F.abs(dc)), "e"))
         stage3[g] = F.regexp_replace(F.replace(F.try_element_at(parts, F.lit(1)), F.lit("."), F.lit("")), "0+$", "")
         stage3[e] = F.try_element_at(parts, F.lit(2)).cast("int")
         gc, ec = F.col(g), F.col(e)
@@ -147,7 +154,7 @@ def with_canonical(df, columns: dict[str, str | Column]):
                               F.when(k > 1, F.concat(F.lit("."), F.substr(gc, F.lit(2)))).otherwise(F.lit("")),
                               F.lit("e"), F.when(ec < 0, F.lit("-")).otherwise(F.lit("+")),
                               F.lpad(F.abs(ec).cast("string"), 2, "0"))
-        tc, lc, dc = F.col(tt), F.col(lg), F.col(db)
+        lc = F.col(lg)
         num = (F.when(dc == 0, F.lit("0")).when(dc.isNaN(), F.lit("NaN"))
                .otherwise(F.concat(F.when(dc < 0, F.lit("-")).otherwise(F.lit("")),
                                    F.when(F.length(fx) <= F.length(sc), F.col(fx)).otherwise(F.col(sc)))))
@@ -155,8 +162,8 @@ def with_canonical(df, columns: dict[str, str | Column]):
             F.when(tc.isNull() | (tc == "") | (tc == NA_TEXT), F.lit(None).cast("string"))
             .when(tc.isin(_TRUE_WORDS), F.lit("TRUE"))
             .when(tc.isin(_FALSE_WORDS), F.lit("FALSE"))
-            .when(tc.rlike(_INT_RE) & lc.isNotNull() & (F.abs(lc) <= _INT32_MAX), lc.cast("string"))
-            .when(tc.rlike(_NUM_RE) & dc.isNotNull(), num)
+            .when(lc.isNotNull(), lc.cast("string"))
+            .when(dc.isNotNull(), num)
             .otherwise(tc))
     for stage in (stage1, stage2, stage3, stage4, final):
         out = out.withColumns(stage)

@@ -83,19 +83,36 @@ def day_families(meta: DataFrame, by: Sequence[str] = DAY_KEYS, family: str = "f
 
 def unmatched_deployments(meta: DataFrame, samples: DataFrame, by: Sequence[str] = DAY_KEYS,
                           key: str = DEPLOYMENT_KEY) -> DataFrame:
-    """Planned deployments of a day with no observation row that day."""
+    """Planned deployments of a day with no observation row that day.
+    The observation side is reduced to its distinct keys first (combined map
+    side), so a deployment with a huge number of rows costs one row."""
     m = meta.select(*[F.col(f"`{c}`") for c in [*by, key]])
-    s = samples.select(*[F.col(f"`{c}`") for c in [*by, key]])
+    s = samples.select(*[F.col(f"`{c}`") for c in [*by, key]]).distinct()
     return m.join(s, [*by, key], "left_anti").withColumn("check", F.lit("mismatching identifier"))
 
 
+def skew_safe_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``left LEFT JOIN right`` written as inner join + unmatched left rows.
+
+    Adaptive execution can split a hot key of either side of an inner join,
+    but not of the right side of a left outer join; the unmatched rows come
+    from an anti join against the right side's distinct keys (one row per
+    key after a map-side combine). Same rows as the outer join.
+    """
+    keys = list(keys)
+    matched = left.join(right, keys, "inner")
+    right_keys = right.select(*[F.col(f"`{k}`") for k in keys]).distinct()
+    unmatched = left.join(right_keys, keys, "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)
+
+
 def day_complete(meta: DataFrame, samples: DataFrame, by: Sequence[str] = DAY_KEYS,
                  key: str = DEPLOYMENT_KEY) -> DataFrame:
     """Every planned deployment with its observation rows (left join
     within the day). Keys that repeat fan out; observations with no plan are
     not added. Same-named columns get ``.x`` / ``.y``."""
     m, s = suffix_clashes(meta, samples, [*by, key])
-    return m.join(s, [*by, key], "left")
+    return skew_safe_left_join(m, s, [*by, key])
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:

@@ -494,15 +494,16 @@ def _complete_fish(spark, sf) -> DataFrame:
                     F.col("o_orderstatus").alias("Second Observer"))
     meta = meta.withColumn("meta_to_deployment_id",
                            deployment_key("First Observer", "Second Observer", "Spot"))
-    sheet_meta = o.select("o_orderkey", _priority_segment().alias("Segment"))
+    sheet_meta = with_canonical(o.select("o_orderkey", _priority_segment().alias("Segment"),
+                                         F.format_string("%.2f", "o_totalprice").alias("Depth Start")),
+                                {"Depth Start": "Depth Start"})
     samples = li.select(
         F.col("l_orderkey").alias("o_orderkey"), F.col("l_linenumber").cast("string").alias("Transect"),
-        F.col("l_returnflag").alias("Substrate Type"), F.format_string("%.2f", "l_tax").alias("Depth Start"),
+        F.col("l_returnflag").alias("Substrate Type"),
         F.col("l_linestatus").alias("Visibility"), F.col("l_partkey").cast("string").alias("Species"),
         F.col("l_quantity").cast("bigint").cast("string").alias("Amount"),
         F.floor(F.col("l_extendedprice") / 1000).cast("bigint").cast("string").alias("Length"),
         F.col("l_suppkey").cast("string").alias("Distance"))
-    samples = with_canonical(samples, {"Depth Start": "Depth Start"})
     samples = traits.tag_group(grid.recycle_metadata(sheet_meta, samples, ["o_orderkey"]), "Fish")
     return complete.day_complete(meta.withColumnRenamed("First Observer", "Fish Observer")
                                  .withColumnRenamed("Second Observer", "Invertebrate Observer"),
@@ -518,7 +519,9 @@ def _fish_sql() -> str:
         "Fish_Observer": "'C' || CAST(o.o_custkey AS VARCHAR)", "Invertebrate_Observer": "o.o_orderstatus",
         "Transect": "CAST(l.l_linenumber AS VARCHAR)",
         "Transect_id": f"k.key || '_' || {ymd('o.o_orderdate')} || '_' || {na('l.l_linenumber')}",
-        "Substrate_type": "l.l_returnflag", "Depth Start": canon_text("printf('%.2f', l.l_tax)"),
+        "Substrate_type": "l.l_returnflag",
+        "Depth Start": "CASE WHEN l.l_orderkey IS NULL THEN NULL ELSE "
+                       + canon_text("printf('%.2f', o.o_totalprice)") + " END",
         "Visibility": "l.l_linestatus", "Group": "CASE WHEN l.l_orderkey IS NULL THEN NULL ELSE 'Fish' END",
         "Species": "CAST(l.l_partkey AS VARCHAR)", "Amount": "CAST(l.l_quantity AS BIGINT) * 1.0",
         "Length": "CAST(floor(l.l_extendedprice / 1000) AS DOUBLE)",

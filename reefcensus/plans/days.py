@@ -7,10 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reefcensus.functions.labels import layer_letter
+from reefcensus.functions.labels import group_flag, layer_letter
 from reefcensus.operators.checks import before_cutoff
 from reefcensus.operators.complete import (
     DAY_KEYS,
@@ -32,13 +32,18 @@ from reefcensus.operators.grid import (
     pivot_metadata,
     recycle_metadata,
 )
-from reefcensus.operators.joins import broadcast_if_small
+from reefcensus.operators.clean import fill_down
+from reefcensus.operators.joins import broadcast_if_small, conditional_left_join
 from reefcensus.operators.traits import format_fish, format_invertebrates, tag_group
 from reefcensus.registry import (
     FISH_SHEET_EXCLUDE,
     INVERTEBRATE_SHEET_EXCLUDE,
     LAYER_LETTER_FAMILIES,
     OBSERVATION_REQUIRED,
+    OLDER_FILL_COLUMNS,
+    OLDER_QUADRAT_SHEET,
+    OLDER_SHEET_EXCLUDE,
+    OLDER_TLV_OBSERVATION_REQUIRED,
     TLV_LAYOUT_CUTOFF,
     TLV_METADATA_KEYS,
     TLV_OBSERVATION_REQUIRED,
@@ -143,3 +148,41 @@ def sheet_violations(grid: DataFrame, meta: DataFrame, keys: Sequence[str] = SHE
     odd = odd_observer_widths(paired, keys).select(*keys, "check")
     dup = duplicate_metadata_keys(metadata_pairs(g.drop("family"), keys), keys).select(*keys, "check")
     return odd.unionByName(dup)
+
+
+OLDER_OBS_FIELDS = ["Species", "Amount", "Length", "Distance", "Confidence", "Invertebrate|Taxon",
+                    "Abundance", "Quadrate"]
+
+
+def older_tlv_rows(grid: DataFrame, meta: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
+    """Older Tel Aviv layout: the group comes from the sheet name (P16);
+    ``Quadrate data`` sheets hold quadrat rows with blanks read as ``0``
+    (P18), joined onto invertebrate rows on observers, site, transect and
+    quadrat within the spreadsheet (J9); times and depths fill down per
+    (Site, Transect) within a spreadsheet in sheet order (P4)."""
+    g = _with_day_family(prune_sources(grid), meta)
+    g = g.filter(F.col("family") == "Tel Aviv Transects").drop("family")
+    obs_sheets = prune_sheets(g, exclude=OLDER_SHEET_EXCLUDE)
+    quad_sheets = prune_sheets(g, include=OLDER_QUADRAT_SHEET)
+    sheet_meta = pivot_metadata(metadata_pairs(obs_sheets, keys), keys, WORKSHEET_METADATA_KEYS)
+    sheet_meta = sheet_meta.withColumn("Group", group_flag("sheet"))
+    obs = observer_rows(obs_sheets, keys, paired=False, required=OLDER_TLV_OBSERVATION_REQUIRED)
+    obs = obs.select(*keys, "row_idx", *[F.try_element_at("obs", F.lit(n)).alias(n) for n in OLDER_OBS_FIELDS])
+    rows = recycle_metadata(sheet_meta, obs, keys)
+
+    spreadsheet = [k for k in keys if k != "sheet"]
+    join_keys = ["Fish Observer", "Invertebrate Observer", "Site", "Transect", "Quadrate"]
+    qmeta = pivot_metadata(metadata_pairs(quad_sheets, keys), keys, join_keys[:4])
+    qrows = observer_rows(quad_sheets, keys, paired=False, required=())
+    qrows = (qrows.withColumn("Quadrate", F.try_element_at("obs", F.lit("Quadrate")))
+             .filter(F.col("Quadrate").isNotNull())
+             .select(*keys, "Quadrate",
+                     F.transform_values("obs", lambda k, v: F.coalesce(v, F.lit("0"))).alias("quadrat_data")))
+    quads = recycle_metadata(qmeta, qrows, keys).drop("sheet")
+    joined = conditional_left_join(rows, quads, [*spreadsheet, *join_keys], "Group", "Invertebrates")
+
+    # sheet order inside a spreadsheet, then row order: an integral position
+    sheet_rank = F.dense_rank().over(Window.partitionBy(*spreadsheet).orderBy("sheet"))
+    joined = joined.withColumn("__pos", sheet_rank.cast("long") * 1_000_000 + F.col("row_idx"))
+    filled = fill_down(joined, [*spreadsheet, "Site", "Transect"], "__pos", OLDER_FILL_COLUMNS)
+    return sample_key(filled.withColumn("family", F.lit("Tel Aviv Transects"))).drop("__pos")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from reefcensus.functions.dates import parse_iso_date
 from reefcensus.functions.text import na_text
 from reefcensus.operators.checks import missing_counts, single_value_violations, unsupported_projects
-from reefcensus.operators.clean import add_defaults, any_present, normalise_headings
+from reefcensus.operators.clean import any_present, normalise_headings
 from reefcensus.operators.complete import attach_family, metadata_key
 from reefcensus.operators.grid import metadata_pairs, pivot_metadata
 from reefcensus.operators.surveyors import (
@@ -20,6 +20,7 @@ from reefcensus.operators.surveyors import (
     worksheet_manifest,
 )
 from reefcensus.registry import (
+    DEFAULT_COUNTRY,
     DEPLOYMENT_ANY_PRESENT,
     HEADING_DROPS,
     HEADING_RENAMES,
@@ -86,8 +87,17 @@ def form_to_plan(grid: DataFrame, keys: list[str], project: str | None = None) -
     block in columns 1-2, deployment table from column 3) -> plan rows."""
     from reefcensus.operators.grid import observer_rows
 
-    meta = pivot_metadata(metadata_pairs(grid, keys), keys, FORM_KEYS)
+    pairs = metadata_pairs(grid, keys)
+    meta = pivot_metadata(pairs, keys, FORM_KEYS)
     meta = meta.withColumn("Date", parse_iso_date("Date"))
+    # defaults apply only where the form has no such key at all
+    present = pairs.groupBy(*keys).agg(*[F.max((F.col("k") == c).cast("int")).alias(f"__has_{c}")
+                                         for c in ("Project", "Country")])
+    meta = meta.join(present, list(keys), "left").select(
+        *[F.col(c) for c in keys],
+        *[F.col(c) for c in FORM_KEYS if c not in ("Project", "Country")],
+        F.when(F.col("__has_Project") == 1, F.col("Project")).otherwise(F.lit(project)).alias("Project"),
+        F.when(F.col("__has_Country") == 1, F.col("Country")).otherwise(F.lit(DEFAULT_COUNTRY)).alias("Country"))
     rows = observer_rows(grid, keys, paired=False, required=())
     renamed = F.map_filter(F.transform_keys("obs", lambda k, v: _rename_key(k)),
                            lambda k, v: ~k.isin(list(HEADING_DROPS)))
@@ -97,4 +107,5 @@ def form_to_plan(grid: DataFrame, keys: list[str], project: str | None = None) -
     table = table.select(*keys, "row_idx", *[F.try_element_at("obs", F.lit(n)).alias(n) for n in names])
     table = any_present(table, [HEADING_RENAMES.get(c, c) for c in DEPLOYMENT_ANY_PRESENT])
     plan = meta.join(table, list(keys), "inner")
-    return add_defaults(normalise_headings(plan), project=project)
+    return normalise_headings(plan).select(
+        "Country", "Project", *[c for c in plan.columns if c not in ("Country", "Project")])

@@ -9,7 +9,14 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-from reefcensus.plans.days import day_tables, sample_rows, sheet_violations, tlv_fish, tlv_invertebrates
+from reefcensus.plans.days import (
+    day_tables,
+    older_tlv_rows,
+    sample_rows,
+    sheet_violations,
+    tlv_fish,
+    tlv_invertebrates,
+)
 from reefcensus.plans.deployment import plan_from_csvs
 from reefcensus.registry import FISH_LAYOUT, INVERT_LAYOUT, TLV_METADATA_KEYS
 from reefcensus.sources.worksheets import read_worksheet_csvs
@@ -188,3 +195,39 @@ def test_tlv_invertebrate_layout(spark, survey):
     q = inv.filter(F.col("Quadrate_number") == 1).first()
     assert q["Quadrate_id"] == "Obs Four and Obs Five - Gordon reef_2021-11-07_A 1"
     assert q["Method"] == "Quadrate" and q["Depth_Start"] == "10.5" and q["Site_number"] == 12
+
+
+def test_older_tlv_layout(spark, tmp_path):
+    plans = tmp_path / "plans"
+    write_csv(plans, "Tel Aviv 2021/TLV_20210601.csv",
+              "Project,Expedition,Location,Spot,Date,Fish Observer,Invertebrate Observer\n"
+              "TLV,Tel Aviv Project,Tel Aviv,Gordon reef,1.6.2021,Obs Four,Obs Five\n")
+    sheets = tmp_path / "sheets"
+    day = "Tel Aviv Project/Tel Aviv 2021-06-01/Obs Four and Obs Five"
+    meta = [("Fish Observer", "Obs Four"), ("Invertebrate Observer", "Obs Five"), ("Site", "Gordon reef"),
+            ("Transect", "A")]
+    fish = [["Metadata", "Value", "Species", "Amount", "Length", "Distance"],
+            *[[k, v, *o] for (k, v), o in zip(meta + [("Time Start", "09:30"), ("Depth Start", "6.0")],
+                                               [["Diplodus", "2", "10", "1"], ["Mullus", "1", "8", "2"],
+                                                [None] * 4, [None] * 4, [None] * 4, [None] * 4])]]
+    inv = [["Metadata", "Value", "Invertebrate|Taxon", "Abundance", "Quadrate"],
+           *[[k, v, *o] for (k, v), o in zip(meta, [["Hermodice", "3", "1"], ["Arbacia", "2", "2"],
+                                                    [None] * 3, [None] * 3])]]
+    quad = [["Metadata", "Value", "Quadrate", "Sand", "Rock"],
+            *[[k, v, *o] for (k, v), o in zip(meta, [["1", "50", None], ["2", None, "25"], [None, "9", "9"],
+                                                     [None] * 3])]]
+    write_csv(sheets, f"{day}/Gordon reef - A - Fish.csv", sheet_csv(fish))
+    write_csv(sheets, f"{day}/Gordon reef - A - Invertebrates.csv", sheet_csv(inv))
+    write_csv(sheets, f"{day}/Quadrate data.csv", sheet_csv(quad))
+    plan = plan_from_csvs(spark, str(plans) + "/*/*.csv")
+    grid = read_worksheet_csvs(spark, str(sheets))
+    out = older_tlv_rows(grid, plan)
+    got = rows(out, "Group", "Species", "Invertebrate|Taxon", "Quadrate", "Time Start", "Depth Start",
+               "quadrat_data", "meta_to_deployment_id")
+    key = "Obs Four and Obs Five - Gordon reef"
+    assert got == [
+        ("Fish", "Diplodus", None, None, "09:30", "6", None, key),
+        ("Fish", "Mullus", None, None, "09:30", "6", None, key),
+        ("Invertebrates", None, "Arbacia", "2", "09:30", "6", {"Quadrate": "2", "Sand": "0", "Rock": "25"}, key),
+        ("Invertebrates", None, "Hermodice", "1", "09:30", "6", {"Quadrate": "1", "Sand": "50", "Rock": "0"}, key),
+    ]

@@ -127,3 +127,23 @@ def test_surveyor_table_and_manifests(spark, plan_dir):
     missing = access.filter(F.col("status") == "missing email").count()
     assert missing > 0
     assert access.filter((F.col("role") == "reader") & (F.col("email") == "one@reef.example")).count() >= 1
+
+
+def test_deployment_form(spark):
+    from reefcensus.plans.deployment import form_to_plan
+
+    header = ["Metadata", "Value", "Site", "First Observer", "Second Observer", None]
+    body = [["Project", "Bioblitz", "1", "Obs One", "Obs Two", None],
+            ["Expedition", "Bioblitz 2022", "2", "Obs Three", None, None],
+            ["Location", "Achziv", None, None, None, None],
+            ["Date", "2022-05-01", None, None, None, None],
+            [None, "ignored", None, None, None, None]]
+    data = [("form", i, r) for i, r in enumerate([header, *body])]
+    grid = spark.createDataFrame(data, "sheet string, row_idx int, cells array<string>")
+    plan = form_to_plan(grid, ["sheet"], project="ASSEMBLE")
+    got = rows(plan, "Country", "Project", "Expedition", "Location", "Date", "SiteID", "First Observer",
+               "Second Observer")
+    assert got == [
+        ("Israel", "Bioblitz", "Bioblitz 2022", "Achziv", dt.date(2022, 5, 1), "1", "Obs One", "Obs Two"),
+        ("Israel", "Bioblitz", "Bioblitz 2022", "Achziv", dt.date(2022, 5, 1), "2", "Obs Three", None),
+    ]

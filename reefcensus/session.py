@@ -18,6 +18,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # local mode runs everything in the driver JVM; clusters size it at submit
+            builder = builder.config("spark.driver.memory",
+                                     os.environ.get("REEFCENSUS_DRIVER_MEMORY", "8g"))
     cpus = os.cpu_count() or 8
     builder = (
         builder

@@ -28,3 +28,8 @@ def rows(df, *cols):
     """Collected rows as tuples of the named columns, sorted (None first)."""
     out = [tuple(r[c] for c in cols) for r in df.collect()]
     return sorted(out, key=lambda t: tuple((x is not None, str(x)) for x in t))
+
+
+def ordered(items):
+    """Expected rows in the order ``rows`` returns them."""
+    return sorted(items, key=lambda t: tuple((x is not None, str(x)) for x in t))

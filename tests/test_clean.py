@@ -55,7 +55,7 @@ def test_fill_down_except_keeps_observers(spark):
 
 
 def test_headings_and_defaults(spark):
-    df = spark.createDataFrame([("Tel Aviv Project", "Spot 1", "Obs One", "Obs Two", "1")],
+    df = spark.createDataFrame([("City Coast Project", "Spot 1", "Obs One", "Obs Two", "1")],
                                "Expedition string, Site string, `Fish Observer` string, "
                                "`Invertebrate Observer` string, Dive string")
     out = clean.add_defaults(clean.normalise_headings(df), project="TLV")

@@ -20,7 +20,7 @@ from reefcensus.plans.days import (
 from reefcensus.plans.deployment import plan_from_csvs
 from reefcensus.registry import FISH_LAYOUT, INVERT_LAYOUT, TLV_METADATA_KEYS
 from reefcensus.sources.worksheets import read_worksheet_csvs
-from tests.conftest import rows, write_csv
+from tests.conftest import ordered, rows, write_csv
 
 PAIRED_HEADER = ["Metadata", "Value", "Observer", "Species", "Amount", "Length",
                  "Observer...7", "Species...8", "Amount...9", "Length...10"]
@@ -45,17 +45,17 @@ def paired_sheet(meta: list[tuple[str, str]], obs: list[list]) -> str:
 
 
 PLANS = {
-    "Bioblitz Fall 2021/Achziv 26102021.csv": """Country,Project,Expedition,Location,Date,SiteID,First Observer,Second Observer
-Israel,Bioblitz,Bioblitz Fall 2021,Achziv,26/10/2021,1,Obs One,Obs Two
+    "Coastal Blitz 2021/north_cove_plan.csv": """Country,Project,Expedition,Location,Date,SiteID,First Observer,Second Observer
+Israel,Bioblitz,Coastal Blitz 2021,North Cove,26/10/2021,1,Obs One,Obs Two
 ,,,,,2,Obs Three,
 ,,,,,3,Obs One,Obs Two
 """,
-    "EcoCamp October 2020/EcoCamp_North_Beach.csv": """Country,Project,Expedition,Location,Date,Knoll,First Observer,Second Observer
-Israel,EcoCamp,EcoCamp October 2020,,15/10/2020,Humpty,Obs One,Obs Two
-,,,,,Dumpty,Obs One,Obs Two
+    "Knoll Camp 2020/knoll_plan.csv": """Country,Project,Expedition,Location,Date,Knoll,First Observer,Second Observer
+Israel,EcoCamp,Knoll Camp 2020,,15/10/2020,Alpha,Obs One,Obs Two
+,,,,,Beta,Obs One,Obs Two
 """,
-    "Tel Aviv 2021/TLV_test_07112021.csv": """Project,Expedition,Location,Spot,Date,Lat,Lon,Fish Observer,Invertebrate Observer
-TLV,Tel Aviv Project,Tel Aviv,Gordon reef,7.11.2021,,,Obs Four,Obs Five
+    "City Coast 2021/city_coast_nov.csv": """Project,Expedition,Location,Spot,Date,Lat,Lon,Fish Observer,Invertebrate Observer
+TLV,City Coast Project,City Coast,Blue Spot,7.11.2021,,,Obs Four,Obs Five
 """,
 }
 
@@ -63,7 +63,7 @@ TLV,Tel Aviv Project,Tel Aviv,Gordon reef,7.11.2021,,,Obs Four,Obs Five
 def invert_sheet() -> str:
     """14 columns, 35 data rows: metadata 1-14, legend 17-35, four quadrats."""
     grid = [[None] * 14 for _ in range(35)]
-    meta = dict(zip(TLV_METADATA_KEYS, ["Obs Four", "Obs Five", "Gordon reef", "A", "Jaffa", "Rock",
+    meta = dict(zip(TLV_METADATA_KEYS, ["Obs Four", "Obs Five", "Blue Spot", "A", "Jaffa", "Rock",
                                         "10.50", "12.0", "10:30", "11:00", "8", "L1", "P1", "note"]))
     for i, k in enumerate(TLV_METADATA_KEYS):
         grid[i][0], grid[i][1] = k, meta[k]
@@ -97,7 +97,7 @@ def build_survey(spark, root):
     for name, text in PLANS.items():
         write_csv(plans, name, text)
     sheets = root / "sheets"
-    ach = "Bioblitz Fall 2021/Achziv 2021-10-26"
+    ach = "Coastal Blitz 2021/North Cove 2021-10-26"
     obs1 = [["Obs One", "Sparisoma", "3", "10", "Obs Two", "Diplodus", "2", "12"],
             ["Obs One", "Epinephelus", None, "20", "Obs Two", "Mullus", "1", "8"]]  # half-filled row
     write_csv(sheets, f"{ach}/Obs One and Obs Two/Site 1 - Transect A.csv",
@@ -112,23 +112,23 @@ def build_survey(spark, root):
                            [["Obs Three", "Thalassoma", "5", "7", None, None, None, None]]))
     write_csv(sheets, f"{ach}/Metadata/metadata.csv",
               paired_sheet([("First Observer", "Obs One")], [["a", "b", "1", "1", "c", "d", "1", "1"]]))
-    eco = "EcoCamp October 2020/NA 2020-10-15"
-    for knoll, fish in [("Humpty", "Chromis"), ("Dumpty", "Pseudanthias")]:
+    eco = "Knoll Camp 2020/NA 2020-10-15"
+    for knoll, fish in [("Alpha", "Chromis"), ("Beta", "Pseudanthias")]:
         write_csv(sheets, f"{eco}/Obs One and Obs Two/Knoll {knoll}.csv",
                   paired_sheet([("First Observer", "Obs One"), ("Second Observer", "Obs Two"), ("Knoll", knoll)],
                                [["Obs One", fish, "4", "5", "Obs Two", fish, "6", "5"]]))
     odd = PAIRED_HEADER[:-1]
     write_csv(sheets, f"{eco}/Obs One and Obs Two/Knoll Odd.csv", sheet_csv([odd, ["Knoll", "Odd"] + ["x"] * 7]))
-    tlv = "Tel Aviv Project/Tel Aviv 2021-11-07/Obs Four and Obs Five"
+    tlv = "City Coast Project/City Coast 2021-11-07/Obs Four and Obs Five"
     fish_header = ["Metadata", "Value", "Species", "Amount", "Length", "Distance", "Confidence"]
-    fish_meta = [("Fish Observer", "Obs Four"), ("Invertebrate Observer", "Obs Five"), ("Site", "Gordon reef"),
+    fish_meta = [("Fish Observer", "Obs Four"), ("Invertebrate Observer", "Obs Five"), ("Site", "Blue Spot"),
                  ("Transect", "A"), ("Segment", "Jaffa"), ("Depth Start", "10.50")]
     fish_obs = [["Sparisoma cretense", "2", "10", "1", "high"], ["Unknown fish", "1", "5", "2", None],
                 ["Siganus", "3", None, "2", None]]
     body = [[*(fish_meta[i] if i < len(fish_meta) else (None, None)), *(fish_obs[i] if i < len(fish_obs) else [None] * 5)]
             for i in range(max(len(fish_meta), len(fish_obs)))]
-    write_csv(sheets, f"{tlv}/Gordon reef - A - Fish.csv", sheet_csv([fish_header, *body]))
-    write_csv(sheets, f"{tlv}/Gordon reef - A - Invertebrates.csv", invert_sheet())
+    write_csv(sheets, f"{tlv}/Blue Spot - A - Fish.csv", sheet_csv([fish_header, *body]))
+    write_csv(sheets, f"{tlv}/Blue Spot - A - Invertebrates.csv", invert_sheet())
     plan = plan_from_csvs(spark, str(plans) + "/*/*.csv")
     grid = read_worksheet_csvs(spark, str(sheets))
     return plan, grid
@@ -136,7 +136,7 @@ def build_survey(spark, root):
 
 def test_sample_rows_and_keys(spark, survey):
     plan, grid = survey
-    s = sample_rows(grid, plan).filter(F.col("expedition") == "Bioblitz Fall 2021")
+    s = sample_rows(grid, plan).filter(F.col("expedition") == "Coastal Blitz 2021")
     got = rows(s, "sheet", "observer_half", "Species", "meta_to_deployment_id", "Depth Start")
     assert got == [
         ("Site 1 - Transect A", 1, "Sparisoma", "Obs One and Obs Two - 1", "10.5"),
@@ -150,13 +150,13 @@ def test_day_tables_report_and_skip_mismatching_days(spark, survey):
     plan, grid = survey
     complete, bad = day_tables(plan, sample_rows(grid, plan))
     assert rows(bad, "day_folder", "meta_to_deployment_id") == [
-        ("Achziv 2021-10-26", "Obs One and Obs Two - 3")]
+        ("North Cove 2021-10-26", "Obs One and Obs Two - 3")]
     days = {r["day_folder"] for r in complete.select("day_folder").distinct().collect()}
-    assert days == {"NA 2020-10-15", "Tel Aviv 2021-11-07"}
+    assert days == {"NA 2020-10-15", "City Coast 2021-11-07"}
     eco = complete.filter(F.col("day_folder") == "NA 2020-10-15")
-    assert rows(eco, "KnollID", "Species", "Amount") == [
-        ("Dumpty", "Pseudanthias", "4"), ("Dumpty", "Pseudanthias", "6"),
-        ("Humpty", "Chromis", "4"), ("Humpty", "Chromis", "6")]
+    assert rows(eco, "KnollID", "Species", "Amount") == ordered([
+        ("Beta", "Pseudanthias", "4"), ("Beta", "Pseudanthias", "6"),
+        ("Alpha", "Chromis", "4"), ("Alpha", "Chromis", "6")])
     assert "First Observer.x" in complete.columns and "First Observer.y" in complete.columns
 
 
@@ -176,8 +176,8 @@ def test_tlv_fish_layout(spark, survey):
     got = rows(fish, "Species", "Site", "Site_number", "Season", "weight_kg", "Survey_id", "Depth Start")
     assert got == [
         ("Sparisoma cretense", "Jaffa", 12, "Fall", pytest.approx(2 * 0.01 * 10 ** 3 / 1000),
-         "Obs Four and Obs Five - Gordon reef_2021-11-07", "10.5"),
-        ("Unknown fish", "Jaffa", 12, "Fall", None, "Obs Four and Obs Five - Gordon reef_2021-11-07", "10.5"),
+         "Obs Four and Obs Five - Blue Spot_2021-11-07", "10.5"),
+        ("Unknown fish", "Jaffa", 12, "Fall", None, "Obs Four and Obs Five - Blue Spot_2021-11-07", "10.5"),
     ]
 
 
@@ -193,18 +193,18 @@ def test_tlv_invertebrate_layout(spark, survey):
         (4, 4.0, 0.0, 0.0, 100.0, "Arbacia", None, None, "Pinna"),
     ]
     q = inv.filter(F.col("Quadrate_number") == 1).first()
-    assert q["Quadrate_id"] == "Obs Four and Obs Five - Gordon reef_2021-11-07_A 1"
+    assert q["Quadrate_id"] == "Obs Four and Obs Five - Blue Spot_2021-11-07_A 1"
     assert q["Method"] == "Quadrate" and q["Depth_Start"] == "10.5" and q["Site_number"] == 12
 
 
 def test_older_tlv_layout(spark, tmp_path):
     plans = tmp_path / "plans"
-    write_csv(plans, "Tel Aviv 2021/TLV_20210601.csv",
+    write_csv(plans, "City Coast 2021/city_coast_jun.csv",
               "Project,Expedition,Location,Spot,Date,Fish Observer,Invertebrate Observer\n"
-              "TLV,Tel Aviv Project,Tel Aviv,Gordon reef,1.6.2021,Obs Four,Obs Five\n")
+              "TLV,City Coast Project,City Coast,Blue Spot,1.6.2021,Obs Four,Obs Five\n")
     sheets = tmp_path / "sheets"
-    day = "Tel Aviv Project/Tel Aviv 2021-06-01/Obs Four and Obs Five"
-    meta = [("Fish Observer", "Obs Four"), ("Invertebrate Observer", "Obs Five"), ("Site", "Gordon reef"),
+    day = "City Coast Project/City Coast 2021-06-01/Obs Four and Obs Five"
+    meta = [("Fish Observer", "Obs Four"), ("Invertebrate Observer", "Obs Five"), ("Site", "Blue Spot"),
             ("Transect", "A")]
     fish = [["Metadata", "Value", "Species", "Amount", "Length", "Distance"],
             *[[k, v, *o] for (k, v), o in zip(meta + [("Time Start", "09:30"), ("Depth Start", "6.0")],
@@ -216,15 +216,15 @@ def test_older_tlv_layout(spark, tmp_path):
     quad = [["Metadata", "Value", "Quadrate", "Sand", "Rock"],
             *[[k, v, *o] for (k, v), o in zip(meta, [["1", "50", None], ["2", None, "25"], [None, "9", "9"],
                                                      [None] * 3])]]
-    write_csv(sheets, f"{day}/Gordon reef - A - Fish.csv", sheet_csv(fish))
-    write_csv(sheets, f"{day}/Gordon reef - A - Invertebrates.csv", sheet_csv(inv))
+    write_csv(sheets, f"{day}/Blue Spot - A - Fish.csv", sheet_csv(fish))
+    write_csv(sheets, f"{day}/Blue Spot - A - Invertebrates.csv", sheet_csv(inv))
     write_csv(sheets, f"{day}/Quadrate data.csv", sheet_csv(quad))
     plan = plan_from_csvs(spark, str(plans) + "/*/*.csv")
     grid = read_worksheet_csvs(spark, str(sheets))
     out = older_tlv_rows(grid, plan)
     got = rows(out, "Group", "Species", "Invertebrate|Taxon", "Quadrate", "Time Start", "Depth Start",
                "quadrat_data", "meta_to_deployment_id")
-    key = "Obs Four and Obs Five - Gordon reef"
+    key = "Obs Four and Obs Five - Blue Spot"
     assert got == [
         ("Fish", "Diplodus", None, None, "09:30", "6", None, key),
         ("Fish", "Mullus", None, None, "09:30", "6", None, key),

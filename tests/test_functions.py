@@ -25,7 +25,7 @@ CANON = [
     ("true", "TRUE"), ("NA", None), ("", None), ("   ", None), (None, None),
     ("100000", "100000"), ("100000.0", "1e+05"), ("123456.7", "123456.7"), ("0.0001", "1e-04"),
     ("0.001", "0.001"), ("-2.50", "-2.5"), ("1e3", "1000"), ("12345678901", "12345678901"),
-    ("0.1", "0.1"), ("Gordon reef", "Gordon reef"), ("  Spot 3 ", "Spot 3"), ("10:30", "10:30"),
+    ("0.1", "0.1"), ("Blue Spot", "Blue Spot"), ("  Spot 3 ", "Spot 3"), ("10:30", "10:30"),
     ("+5", "5"), ("0", "0"), ("0.30000000000000004", "0.3"),
 ]
 

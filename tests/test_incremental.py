@@ -22,31 +22,31 @@ def test_sinks_and_incremental_days(spark, tmp_path):
     publish_metadata(plan, str(out / "metadata"))
     meta = read_published_metadata(spark, str(out / "metadata"))
     assert meta.count() == plan.count()
-    assert read_published_metadata(spark, str(out / "metadata"), expedition="EcoCamp October 2020").count() == 2
+    assert read_published_metadata(spark, str(out / "metadata"), expedition="Knoll Camp 2020").count() == 2
 
     complete, bad = day_tables(meta, sample_rows(grid, meta))
     write_day_complete(complete, str(out / "complete"))
     stored = read_complete_days(spark, str(out / "complete"))
     days = rows(complete_days(stored), "expedition", "day_folder")
-    assert days == [("EcoCamp October 2020", "NA 2020-10-15"), ("Tel Aviv Project", "Tel Aviv 2021-11-07")]
-    assert join_days(stored, "EcoCamp October 2020").count() == 4
+    assert days == [("City Coast Project", "City Coast 2021-11-07"), ("Knoll Camp 2020", "NA 2020-10-15")]
+    assert join_days(stored, "Knoll Camp 2020").count() == 4
 
-    # Only days without a stored table are rebuilt (here: the Achziv day,
+    # Only days without a stored table are rebuilt (here: the North Cove day,
     # which still mismatches), stored days are stacked unchanged
     exp, bad2 = expedition_table(meta, grid, stored)
-    assert rows(bad2.select("day_folder").distinct(), "day_folder") == [("Achziv 2021-10-26",)]
+    assert rows(bad2.select("day_folder").distinct(), "day_folder") == [("North Cove 2021-10-26",)]
     assert exp.count() == stored.count()
 
     write_expedition(exp, str(out / "expedition"))
     assert spark.read.parquet(str(out / "expedition")).count() == exp.count()
-    folder = write_backup(exp.drop("obs"), str(out / "backups"), "EcoCamp October 2020")
+    folder = write_backup(exp.drop("obs"), str(out / "backups"), "Knoll Camp 2020")
     back = spark.read.option("header", True).csv(folder)
     assert back.select("Flag").distinct().first()["Flag"].startswith("This is a local backup")
     archive_deployments(plan.drop("family"), str(out / "archive"))
     assert any(p.startswith("Expedition=") for p in os.listdir(out / "archive"))
 
     # dynamic overwrite: rewriting one day leaves the other days in place
-    write_day_complete(complete.filter(F.col("expedition") == "EcoCamp October 2020"), str(out / "complete"))
+    write_day_complete(complete.filter(F.col("expedition") == "Knoll Camp 2020"), str(out / "complete"))
     assert read_complete_days(spark, str(out / "complete")).count() == complete.count()
 
 
@@ -60,7 +60,7 @@ def test_streaming_day_builds(spark, tmp_path):
     q.awaitTermination(300)
     done = spark.read.parquet(str(out / "complete"))
     assert rows(done.select("day_folder").distinct(), "day_folder") == [
-        ("NA 2020-10-15",), ("Tel Aviv 2021-11-07",)]
+        ("City Coast 2021-11-07",), ("NA 2020-10-15",)]
     assert spark.read.parquet(str(out / "mismatch")).count() == 1
     # a second run with no new files has nothing to do
     q2 = start_day_builds(spark, sheets, str(out / "metadata"), str(out / "grid"), str(out / "complete"),

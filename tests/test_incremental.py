@@ -22,7 +22,7 @@ def test_sinks_and_incremental_days(spark, tmp_path):
     publish_metadata(plan, str(out / "metadata"))
     meta = read_published_metadata(spark, str(out / "metadata"))
     assert meta.count() == plan.count()
-    assert read_published_metadata(spark, str(out / "metadata"), expedition="Knoll Camp 2020").count() == 2
+    assert read_published_metadata(spark, str(out / "metadata"), expedition="Knoll Camp 2020").count() == 3
 
     complete, bad = day_tables(meta, sample_rows(grid, meta))
     write_day_complete(complete, str(out / "complete"))

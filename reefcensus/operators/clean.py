@@ -44,11 +44,6 @@ def add_defaults(df: DataFrame, project: str | None = None,
     return df.select(*exprs)
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b,
-                  [left[f"`{k}`"].eqNullSafe(right[f"`{k}`"]) for k in keys])
-
-
 def fill_down(df: DataFrame, by: Sequence[str], order: str, cols: Sequence[str],
               chunk_rows: int = FILL_CHUNK_ROWS) -> DataFrame:
     """Blank cell = same as the row above, within ``by`` groups in ``order``.

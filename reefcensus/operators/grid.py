@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from reefcensus.functions.text import strip_repair_suffix, with_canonical
 from reefcensus.operators.clean import complete_obs
-from reefcensus.operators.joins import null_safe_join
 from reefcensus.registry import (
     INVERT_BLOCK_ROWS,
     INVERT_COMPLEXITY_COLS,

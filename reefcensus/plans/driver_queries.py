@@ -19,7 +19,8 @@ from reefcensus.functions.labels import deployment_key, group_flag, layer_letter
 from reefcensus.functions.text import with_canonical
 from reefcensus.operators import checks, clean, complete, cover, grid, joins, surveyors, traits
 from reefcensus.plans.deployment import day_label
-from reefcensus.plans.sql_text import canon_text, na, q, ymd, zero_norm
+from reefcensus.plans.sql_text import canon_text, na, q, ymd
+from reefcensus.plans.sql_text import season as season_sql
 from reefcensus.registry import (
     COVER_CATEGORIES,
     FISH_LAYOUT,
@@ -390,10 +391,7 @@ def zero_fill(spark, sf):
 
 
 def _season_sql(x: str) -> str:
-    from reefcensus.registry import SEASON_MONTHS
-    whens = " ".join(f"WHEN month({x}) IN ({', '.join(map(str, m))}) THEN '{s}'"
-                     for s, m in SEASON_MONTHS.items())
-    return f"CASE {whens} END"
+    return season_sql(x)
 
 
 @query("season", f"""

@@ -53,9 +53,9 @@ def ymd(x: str) -> str:
 
 
 def season(x: str) -> str:
-    m = f"month({x})"
-    return (f"(CASE WHEN {m} IN (12, 1, 2) THEN 'Winter' WHEN {m} IN (3, 4, 5) THEN 'Spring' "
-            f"WHEN {m} IN (6, 7, 8) THEN 'Summer' WHEN {m} IN (9, 10, 11) THEN 'Fall' END)")
+    from reefcensus.registry import SEASON_MONTHS
+    whens = " ".join(f"WHEN month({x}) IN ({', '.join(map(str, m))}) THEN '{n}'" for n, m in SEASON_MONTHS.items())
+    return f"(CASE {whens} END)"
 
 
 def zero_norm(x: str) -> str:

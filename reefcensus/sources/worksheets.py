@@ -58,10 +58,3 @@ def read_grid(spark: SparkSession, path: str, expedition: str | None = None,
     if day_folder is not None:
         g = g.filter(F.col("day_folder") == day_folder)
     return g
-
-
-def deployment_form(grid: DataFrame, keys: list[str]) -> DataFrame:
-    """A4: a deployment form sheet is a worksheet grid whose columns 1-2 are
-    the key/value block and columns 3.. the deployment rows (see
-    ``reefcensus.plans.deployment.form_to_plan``)."""
-    return grid.select(*keys, "row_idx", "cells")

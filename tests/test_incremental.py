@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from reefcensus.operators.complete import complete_days, join_days
 from reefcensus.plans.days import expedition_table, sample_rows, day_tables
-from reefcensus.plans.deployment import plan_from_csvs
 from reefcensus.sinks import archive_deployments, publish_metadata, write_backup, write_day_complete, write_expedition
 from reefcensus.sources.lookups import read_complete_days, read_published_metadata
 from reefcensus.streaming.worksheet_stream import start_day_builds

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reefcensus.functions.labels import group_flag, layer_letter
-from reefcensus.operators.checks import before_cutoff
+from reefcensus.operators.checks import before_cutoff, fail_on
 from reefcensus.operators.complete import (
     DAY_KEYS,
     complete_days,
@@ -88,10 +88,13 @@ def sample_rows(grid: DataFrame, meta: DataFrame, keys: Sequence[str] = SHEET_KE
     return sample_key(rows)
 
 
-def day_tables(meta: DataFrame, samples: DataFrame) -> tuple[DataFrame, DataFrame]:
+def day_tables(meta: DataFrame, samples: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """(day complete data, mismatches). A day with a planned deployment that
-    has no observation is reported and left out, as the protocol aborts it."""
+    has no observation is reported and left out, as the protocol aborts it;
+    ``strict`` stops the whole run instead (one bounded probe)."""
     bad = unmatched_deployments(meta, samples)
+    if strict:
+        fail_on(bad, "mismatching identifiers")
     complete = day_complete(meta, samples)
     bad_days = broadcast_if_small(bad.select(*DAY_KEYS).distinct())
     return complete.join(bad_days, DAY_KEYS, "left_anti"), bad

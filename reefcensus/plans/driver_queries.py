@@ -360,7 +360,7 @@ FROM nation JOIN region ON n_regionkey = r_regionkey
 """)
 def deployment_key_q(spark, sf):
     n = load(spark, sf, "nation")
-    r = F.broadcast(load(spark, sf, "region"))
+    r = joins.broadcast_if_small(load(spark, sf, "region"))
     j = n.join(r, n.n_regionkey == r.r_regionkey)
     second = F.when(F.col("r_name") == "ASIA", None).otherwise(F.col("r_name"))
     return j.select(
@@ -1072,7 +1072,7 @@ def _supplier_plan(spark, sf) -> DataFrame:
     """Day plans made of supplier rows: one plan per nation and block of
     suppliers, observers from the account balance, a project per nation."""
     s = load(spark, sf, "supplier")
-    n = F.broadcast(load(spark, sf, "nation"))
+    n = joins.broadcast_if_small(load(spark, sf, "nation"))
     projects = F.array(*[F.lit(p) for p in _PROJECTS])
     j = s.join(n, s.s_nationkey == n.n_nationkey)
     plan = j.select(

@@ -69,6 +69,7 @@ def start_day_builds(spark: SparkSession, sheets_root: str, plan_path: str, grid
         # A replayed batch overwrites exactly its own partitions: idempotent.
         (new_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id", *DAY_KEYS).parquet(grid_path))
+        # days touched by one batch: at most max_files_per_trigger rows
         touched = F.broadcast(new_rows.select(*DAY_KEYS).distinct())
         grid = spark.read.parquet(grid_path).join(touched, DAY_KEYS, "inner")
         grid = latest_sheets(grid)

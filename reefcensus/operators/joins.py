@@ -60,11 +60,11 @@ def suffix_clashes(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 
 def conditional_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                          when_col: str, when_value: str) -> DataFrame:
+                          when_col: str, when_value) -> DataFrame:
     """Left join applied only to rows whose ``when_col`` equals ``when_value``
     (others keep nulls on the right side); still one hashed equi-join."""
     r = right.select(*[F.col(f"`{c}`").alias(f"__r_{c}") if c in keys else F.col(f"`{c}`")
-                       for c in right.columns])
+                       for c in right.columns if c != when_col])
     cond = reduce(lambda a, b: a & b,
                   [left[f"`{k}`"].eqNullSafe(r[f"`__r_{k}`"]) for k in keys])
     cond = cond & (left[f"`{when_col}`"] == F.lit(when_value))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reefcensus.functions.text import na_text
-from reefcensus.operators.joins import broadcast_if_small, null_safe_join
+from reefcensus.operators.joins import broadcast_if_small, conditional_left_join, null_safe_join
 from reefcensus.registry import (
     JUVENILE_FAMILIES,
     JUVENILE_OBSERVER_COLUMNS,
@@ -79,16 +79,40 @@ def surveyor_table(meta: DataFrame, emails: DataFrame, by: Sequence[str] = ("fil
 
 def surveyor_tables(meta: DataFrame, emails: DataFrame, by: Sequence[str] = ("file",),
                     family: str = "family") -> DataFrame:
-    """Both variants at once, chosen per row by family (juvenile families use
-    four observers and the location); missing columns read null."""
+    """Both variants in one pass, chosen per row by family: juvenile
+    families group by four observers and the location and look up four
+    emails; the others group by the pair and look up two (their juvenile
+    columns are null and take no lookup)."""
     m = meta
     for c in [*JUVENILE_OBSERVER_COLUMNS, "Location"]:
         if c not in m.columns:
             m = m.withColumn(c, F.lit(None).cast("string"))
-    juv = surveyor_table(m.filter(F.col(family).isin(list(JUVENILE_FAMILIES))), emails, by, True)
-    adult = surveyor_table(m.filter(~F.col(family).isin(list(JUVENILE_FAMILIES))
-                                    | F.col(family).isNull()), emails, by, False)
-    return adult.unionByName(juv, allowMissingColumns=True)
+    juv = F.coalesce(F.col(family).isin(list(JUVENILE_FAMILIES)), F.lit(False))
+    m = m.withColumn("__juv", juv).select(
+        "*", *[F.when(F.col("__juv"), F.col(f"`{c}`")).alias(f"__{c}")
+               for c in ["Location", *JUVENILE_OBSERVER_COLUMNS]])
+    m = m.drop("Location", *JUVENILE_OBSERVER_COLUMNS).withColumnsRenamed(
+        {f"__{c}": c for c in ["Location", *JUVENILE_OBSERVER_COLUMNS]})
+    ids = [F.col(c) for c in DEPLOYMENT_ID_COLUMNS if c in m.columns]
+    dep = F.coalesce(*ids) if ids else F.lit(None).cast("string")
+    group = [*by, "Project", family, "__juv", *OBSERVER_COLUMNS, "Location", *JUVENILE_OBSERVER_COLUMNS]
+    lists = deployment_lists(m, group, dep)
+    pair = F.concat(na_text("First Observer"), F.lit(" and "), na_text("Second Observer"))
+    quartet = F.concat(na_text("First Observer"), F.lit(", "), na_text("Second Observer"), F.lit(", "),
+                       na_text("Juveniles First Observer"), F.lit(", and "),
+                       na_text("Juveniles Second Observer"))
+    lists = lists.withColumn("spreadsheet_name", F.when(F.col("__juv"), quartet).otherwise(pair))
+    lookup = broadcast_if_small(emails.select("FullName", "email"))
+    out = lists
+    for i, obs in enumerate([*OBSERVER_COLUMNS, *JUVENILE_OBSERVER_COLUMNS], start=1):
+        lk = lookup.select(F.col("FullName").alias(obs), F.col("email").alias(f"email_{i}"))
+        if i <= 2:
+            out = null_safe_join(out, lk, [obs], "left")
+        else:
+            out = conditional_left_join(out, lk.withColumn("__juv", F.lit(True)), [obs], "__juv", True)
+    emails_arr = F.when(F.col("__juv"), F.array(*[F.col(f"email_{i}") for i in range(1, 5)])).otherwise(
+        F.array("email_1", "email_2"))
+    return out.withColumn("emails", emails_arr).drop("__juv", *[f"email_{i}" for i in range(1, 5)])
 
 
 def distinct_emails(surveyors: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -69,8 +69,7 @@ def plan_checks(plan: DataFrame, by: list[str] = PLAN_KEYS) -> DataFrame:
 
 def plan_products(plan: DataFrame, emails: DataFrame, by: list[str] = PLAN_KEYS) -> dict[str, DataFrame]:
     """Surveyor table (G1, J1, G2) and the R1-R3 manifests."""
-    fam = plan.select(*by, "Project", "family").distinct()
-    surveyors = surveyor_tables(plan, emails, by).join(fam, [*by, "Project"], "left")
+    surveyors = surveyor_tables(plan, emails, by)
     return {
         "surveyors": surveyors,
         "worksheets": worksheet_manifest(surveyors, by),

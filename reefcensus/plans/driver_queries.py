@@ -1097,9 +1097,7 @@ def _plan_emails(plan: DataFrame) -> DataFrame:
 
 def _plan_surveyors(spark, sf) -> DataFrame:
     plan = _supplier_plan(spark, sf)
-    fam = plan.select("file", "Project", "family").distinct()
-    sv = surveyors.surveyor_tables(plan, _plan_emails(plan), ["file"])
-    return sv.join(fam, ["file", "Project"], "left")
+    return surveyors.surveyor_tables(plan, _plan_emails(plan), ["file"])
 
 
 def _plan_sql() -> str:

@@ -128,17 +128,18 @@ def with_canonical(df, columns: dict[str, str | Column]):
         return n
 
     out = df
-    stage1, stage2, stage3, stage4, final = {}, {}, {}, {}, {}
+    stage1, stage1b, stage2, stage3, stage4, final = {}, {}, {}, {}, {}, {}
     for i, (name, src) in enumerate(columns.items()):
         tt, it, lg, db, g, e, fx, sc = (t(x, i) for x in ("t", "i", "l", "d", "g", "e", "f", "s"))
         stage1[tt] = F.trim(_col(src).cast("string"))
         tc = F.col(tt)
-        as_long = F.when(tc.rlike(_INT_RE), tc.try_cast("bigint"))
-        stage2[lg] = F.when(F.abs(as_long) <= _INT32_MAX, as_long)
+        stage1b[it] = F.when(tc.rlike(_INT_RE), tc.try_cast("bigint"))
+        ic = F.col(it)
+        small = F.abs(ic) <= _INT32_MAX
+        stage2[lg] = F.when(small, ic)
         # the double (and its formatting below) only for numbers that are not
         # 32-bit integers; text and integers skip the costly branch
-        stage2[db] = F.when(as_long.isNull() | (F.abs(as_long) > _INT32_MAX),
-                            F.when(tc.rlike(_NUM_RE), tc.try_cast("double")))
+        stage2[db] = F.when(ic.isNull() | ~small, F.when(tc.rlike(_NUM_RE), tc.try_cast("double")))
         dc = F.col(db)
         parts = F.when(dc.isNotNull() & (dc != 0) & ~dc.isNaN(),
                        F.split(F.format_string("%.14e", F.abs(dc)), "e"))
@@ -165,6 +166,6 @@ def with_canonical(df, columns: dict[str, str | Column]):
             .when(lc.isNotNull(), lc.cast("string"))
             .when(dc.isNotNull(), num)
             .otherwise(tc))
-    for stage in (stage1, stage2, stage3, stage4, final):
+    for stage in (stage1, stage1b, stage2, stage3, stage4, final):
         out = out.withColumns(stage)
     return out.drop(*tmp)

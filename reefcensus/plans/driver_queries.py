@@ -655,10 +655,10 @@ SELECT CAST(floor(p_partkey / 35) AS BIGINT) AS sheet, CAST(p_partkey % 35 + 1 A
 FROM part"""
 
 _PADDED_SQL = f"""
-(SELECT s.sheet, r.row_idx, c.c1, c.c2, c.c3, c.c4, c.c5, c.c6, c.c7, c.c8, c.c9, c.c10, c.c11, c.c12, c.c13, c.c14
- FROM (SELECT DISTINCT CAST(floor(p_partkey / 35) AS BIGINT) AS sheet FROM part) s
- CROSS JOIN (SELECT CAST(range AS INTEGER) AS row_idx FROM range(1, 36)) r
- LEFT JOIN ({_PART_CELLS_SQL}) c ON c.sheet = s.sheet AND c.row_idx = r.row_idx)"""
+(SELECT r.sheet, r.row_idx, c.c1, c.c2, c.c3, c.c4, c.c5, c.c6, c.c7, c.c8, c.c9, c.c10, c.c11, c.c12, c.c13, c.c14
+ FROM (SELECT sheet, CAST(unnest(range(1, 36)) AS INTEGER) AS row_idx
+       FROM (SELECT DISTINCT CAST(floor(p_partkey / 35) AS BIGINT) AS sheet FROM part)) r
+ LEFT JOIN ({_PART_CELLS_SQL}) c ON c.sheet = r.sheet AND c.row_idx = r.row_idx)"""
 
 
 @query("quadrat_points", f"""
@@ -1187,10 +1187,10 @@ def worksheet_manifest(spark, sf):
 
 @query("photo_manifest", f"""
 WITH {_plan_sql()}
-SELECT p.file, p.spreadsheet_name, p.dep AS deployment, l.letter,
-       p.spreadsheet_name || '/' || {na('p.dep')} || '/' || l.letter AS folder
-FROM pos p JOIN (SELECT * FROM (VALUES ('A'), ('B'), ('C'), ('D')) v(letter)) l ON true
-WHERE p.family IN ('Mediterranean Transects', 'Eilat Transects', 'Eilat Juveniles Transects')
+SELECT file, spreadsheet_name, deployment, letter,
+       spreadsheet_name || '/' || {na('deployment')} || '/' || letter AS folder
+FROM (SELECT p.file, p.spreadsheet_name, p.dep AS deployment, unnest(['A', 'B', 'C', 'D']) AS letter
+      FROM pos p WHERE p.family IN ('Mediterranean Transects', 'Eilat Transects', 'Eilat Juveniles Transects'))
 """)
 def photo_manifest(spark, sf):
     return surveyors.photo_manifest(_plan_surveyors(spark, sf), ["file"])

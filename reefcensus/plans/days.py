@@ -49,6 +49,7 @@ from reefcensus.registry import (
     TLV_OBSERVATION_REQUIRED,
 )
 from reefcensus.sources.lookups import prune_sheets, prune_sources
+from reefcensus.sources.worksheets import GRID_WIDTH, overflowing_rows
 
 # Sheet metadata keys that become columns (first value per key).
 WORKSHEET_METADATA_KEYS = [
@@ -142,15 +143,18 @@ def stored_days(stored: DataFrame) -> DataFrame:
     return complete_days(stored)
 
 
-def sheet_violations(grid: DataFrame, meta: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
+def sheet_violations(grid: DataFrame, meta: DataFrame, keys: Sequence[str] = SHEET_KEYS,
+                     width: int = GRID_WIDTH) -> DataFrame:
     """Sheets that cannot be read as the protocol expects: odd observer
-    width on paired sheets (S19) and repeated metadata keys (S21)."""
+    width on paired sheets (S19), repeated metadata keys (S21) and sheets
+    wider than the grid scan (reported, never silently truncated)."""
     g = prune_sheets(prune_sources(grid), exclude=FISH_SHEET_EXCLUDE)
     g = _with_day_family(g, meta)
     paired = g.filter(F.col("family") != "Tel Aviv Transects").drop("family")
     odd = odd_observer_widths(paired, keys).select(*keys, "check")
     dup = duplicate_metadata_keys(metadata_pairs(g.drop("family"), keys), keys).select(*keys, "check")
-    return odd.unionByName(dup)
+    wide = overflowing_rows(g.drop("family"), width).select(*keys, "check").distinct()
+    return odd.unionByName(dup).unionByName(wide)
 
 
 OLDER_OBS_FIELDS = ["Species", "Amount", "Length", "Distance", "Confidence", "Invertebrate|Taxon",

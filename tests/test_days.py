@@ -127,6 +127,8 @@ def build_survey(spark, root):
               paired_sheet([("First Observer", None), ("Second Observer", None)], []))
     write_csv(sheets, f"{eco}/Obs One and Obs Two/Knoll Twice.csv",
               paired_sheet([("Knoll", "Alpha"), ("Knoll", "Beta")], []))
+    write_csv(sheets, f"{eco}/Obs One and Obs Two/Knoll Wide.csv",
+              sheet_csv([["Metadata", "Value", *[f"x{i}" for i in range(70)]], ["Knoll", "Wide", *["1"] * 70]]))
     odd = PAIRED_HEADER[:-1]
     write_csv(sheets, f"{eco}/Obs One and Obs Two/Knoll Odd.csv", sheet_csv([odd, ["Knoll", "Odd"] + ["x"] * 7]))
     tlv = "City Coast Project/City Coast 2021-11-07/Obs Four and Obs Five"
@@ -175,7 +177,8 @@ def test_day_tables_report_and_skip_mismatching_days(spark, survey):
 def test_sheet_violations(spark, survey):
     plan, grid = survey
     assert sorted((r["sheet"], r["check"]) for r in sheet_violations(grid, plan).collect()) == [
-        ("Knoll Odd", "odd observer columns"), ("Knoll Twice", "duplicate metadata key")]
+        ("Knoll Odd", "odd observer columns"), ("Knoll Twice", "duplicate metadata key"),
+        ("Knoll Wide", "sheet wider than 64 columns")]
 
 
 def test_tlv_fish_layout(spark, survey):

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reefcensus.functions.labels import deployment_key
-from reefcensus.operators.joins import broadcast_if_small, suffix_clashes
+from reefcensus.operators.joins import broadcast_if_small, skew_safe_left_join, suffix_clashes
 from reefcensus.registry import project_family_rows
 
 DAY_KEYS = ["expedition", "day_folder"]
@@ -91,21 +91,6 @@ def unmatched_deployments(meta: DataFrame, samples: DataFrame, by: Sequence[str]
     return m.join(s, [*by, key], "left_anti").withColumn("check", F.lit("mismatching identifier"))
 
 
-def skew_safe_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``left LEFT JOIN right`` written as inner join + unmatched left rows.
-
-    Adaptive execution can split a hot key of either side of an inner join,
-    but not of the right side of a left outer join; the unmatched rows come
-    from an anti join against the right side's distinct keys (one row per
-    key after a map-side combine). Same rows as the outer join.
-    """
-    keys = list(keys)
-    matched = left.join(right, keys, "inner")
-    right_keys = right.select(*[F.col(f"`{k}`") for k in keys]).distinct()
-    unmatched = left.join(right_keys, keys, "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
-
-
 def day_complete(meta: DataFrame, samples: DataFrame, by: Sequence[str] = DAY_KEYS,
                  key: str = DEPLOYMENT_KEY) -> DataFrame:
     """Every planned deployment with its observation rows (left join

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from reefcensus.operators.grid import cover_points, invert_metadata, padded_rows, quadrat_counts
 from reefcensus.operators.grid import legend as legend_block
-from reefcensus.operators.joins import null_safe_join
+from reefcensus.operators.joins import null_safe_join, skew_safe_left_join
 from reefcensus.registry import COVER_CATEGORIES, INVERT_LEGEND_ROWS, POINTS_PER_QUADRAT
 
 
@@ -22,8 +22,10 @@ def legend_join(points: DataFrame, legend: DataFrame, keys: Sequence[str],
                 code: str = "Code") -> DataFrame:
     """Right join points to the legend on (sheet keys, Code), blank codes
     matching blank legend rows. Unknown codes drop; unused legend rows stay
-    with no point (null Quadrate)."""
-    return null_safe_join(points, legend, [*keys, code], "right")
+    with no point (null Quadrate). Written as legend-left join so the many
+    points per code never form an unsplittable hot key."""
+    labelled = skew_safe_left_join(legend, points, [*keys, code], null_safe=True)
+    return labelled.select(*points.columns, *[c for c in legend.columns if c not in (*keys, code)])
 
 
 def cover_counts(labelled: DataFrame, keys: Sequence[str], quadrat: str = "Quadrate",
@@ -67,7 +69,7 @@ def species_by_point(points: DataFrame, keys: Sequence[str], n_points: int = POI
 def cover_with_taxa(cover: DataFrame, counts: DataFrame, keys: Sequence[str],
                     quadrat: str = "Quadrate") -> DataFrame:
     """Left join quadrat cover rows to taxon counts (one row per taxon)."""
-    return cover.join(counts, [*keys, quadrat], "left")
+    return skew_safe_left_join(cover, counts, [*keys, quadrat])
 
 
 def cover_with_species(cover: DataFrame, species_wide: DataFrame, keys: Sequence[str],

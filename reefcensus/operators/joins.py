@@ -71,3 +71,24 @@ def conditional_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]
     joined = left.join(r, cond, "left")
     return joined.select(*[left[f"`{c}`"] for c in left.columns],
                          *[r[f"`{c}`"] for c in r.columns if not c.startswith("__r_")])
+
+
+def skew_safe_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
+                        null_safe: bool = False) -> DataFrame:
+    """``left LEFT JOIN right`` as an inner join plus the unmatched left rows.
+
+    Adaptive execution can split a hot key on either side of an inner join
+    (and may broadcast either side), but cannot split the right side of a
+    left outer join. The unmatched rows come from an anti join against the
+    right side's distinct keys (one row per key after a map-side combine).
+    The result has the same rows as the outer join.
+    """
+    keys = list(keys)
+    right_keys = right.select(*[F.col(f"`{k}`") for k in keys]).distinct()
+    if null_safe:
+        matched = null_safe_join(left, right, keys, "inner")
+        unmatched = null_safe_join(left, right_keys, keys, "left_anti")
+    else:
+        matched = left.join(right, keys, "inner")
+        unmatched = left.join(right_keys, keys, "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reefcensus.functions.text import na_text
@@ -77,12 +77,9 @@ def surveyor_table(meta: DataFrame, emails: DataFrame, by: Sequence[str] = ("fil
     return with_emails(lists, emails, observers)
 
 
-def surveyor_tables(meta: DataFrame, emails: DataFrame, by: Sequence[str] = ("file",),
-                    family: str = "family") -> DataFrame:
-    """Both variants in one pass, chosen per row by family: juvenile
-    families group by four observers and the location and look up four
-    emails; the others group by the pair and look up two (their juvenile
-    columns are null and take no lookup)."""
+def _observer_columns(meta: DataFrame, family: str) -> DataFrame:
+    """Juvenile observers and the location take part only for the juvenile
+    families (null elsewhere); ``__juv`` marks those rows."""
     m = meta
     for c in [*JUVENILE_OBSERVER_COLUMNS, "Location"]:
         if c not in m.columns:
@@ -91,19 +88,21 @@ def surveyor_tables(meta: DataFrame, emails: DataFrame, by: Sequence[str] = ("fi
     m = m.withColumn("__juv", juv).select(
         "*", *[F.when(F.col("__juv"), F.col(f"`{c}`")).alias(f"__{c}")
                for c in ["Location", *JUVENILE_OBSERVER_COLUMNS]])
-    m = m.drop("Location", *JUVENILE_OBSERVER_COLUMNS).withColumnsRenamed(
+    return m.drop("Location", *JUVENILE_OBSERVER_COLUMNS).withColumnsRenamed(
         {f"__{c}": c for c in ["Location", *JUVENILE_OBSERVER_COLUMNS]})
-    ids = [F.col(c) for c in DEPLOYMENT_ID_COLUMNS if c in m.columns]
-    dep = F.coalesce(*ids) if ids else F.lit(None).cast("string")
-    group = [*by, "Project", family, "__juv", *OBSERVER_COLUMNS, "Location", *JUVENILE_OBSERVER_COLUMNS]
-    lists = deployment_lists(m, group, dep)
+
+
+def _surveyor_group(by: Sequence[str], family: str) -> list[str]:
+    return [*by, "Project", family, "__juv", *OBSERVER_COLUMNS, "Location", *JUVENILE_OBSERVER_COLUMNS]
+
+
+def _with_label_and_emails(df: DataFrame, emails: DataFrame) -> DataFrame:
     pair = F.concat(na_text("First Observer"), F.lit(" and "), na_text("Second Observer"))
     quartet = F.concat(na_text("First Observer"), F.lit(", "), na_text("Second Observer"), F.lit(", "),
                        na_text("Juveniles First Observer"), F.lit(", and "),
                        na_text("Juveniles Second Observer"))
-    lists = lists.withColumn("spreadsheet_name", F.when(F.col("__juv"), quartet).otherwise(pair))
+    out = df.withColumn("spreadsheet_name", F.when(F.col("__juv"), quartet).otherwise(pair))
     lookup = broadcast_if_small(emails.select("FullName", "email"))
-    out = lists
     for i, obs in enumerate([*OBSERVER_COLUMNS, *JUVENILE_OBSERVER_COLUMNS], start=1):
         lk = lookup.select(F.col("FullName").alias(obs), F.col("email").alias(f"email_{i}"))
         if i <= 2:
@@ -115,15 +114,52 @@ def surveyor_tables(meta: DataFrame, emails: DataFrame, by: Sequence[str] = ("fi
     return out.withColumn("emails", emails_arr).drop("__juv", *[f"email_{i}" for i in range(1, 5)])
 
 
+def _deployment_id(m: DataFrame) -> Column:
+    ids = [F.col(c) for c in DEPLOYMENT_ID_COLUMNS if c in m.columns]
+    return (F.coalesce(*ids) if ids else F.lit(None).cast("string")).cast("string")
+
+
+def surveyor_tables(meta: DataFrame, emails: DataFrame, by: Sequence[str] = ("file",),
+                    family: str = "family") -> DataFrame:
+    """G1 + J1 + G2 for every family in one pass: one row per observer pair
+    (quartet for the juvenile families, with the location) and plan, with
+    the list of its deployments in plan order, its sheet name and emails.
+    The juvenile lookups are applied to juvenile rows only."""
+    m = _observer_columns(meta, family)
+    lists = deployment_lists(m, _surveyor_group(by, family), _deployment_id(m))
+    return _with_label_and_emails(lists, emails)
+
+
+def surveyor_rows(meta: DataFrame, emails: DataFrame, by: Sequence[str] = ("file",),
+                  family: str = "family") -> DataFrame:
+    """Long form of the surveyor table: one row per planned deployment with
+    its pair's sheet name and emails and its position in the pair's list
+    (``dep_order``). No list is built, so the manifests below never hold a
+    pair's deployments in one row."""
+    m = _observer_columns(meta, family)
+    group = _surveyor_group(by, family)
+    w = Window.partitionBy(*[F.col(f"`{c}`") for c in group]).orderBy("row_idx")
+    long = m.select(*[F.col(f"`{c}`") for c in group], _deployment_id(m).alias("deployment"),
+                    (F.row_number().over(w) - 1).cast("int").alias("dep_order"))
+    return _with_label_and_emails(long, emails)
+
+
 def distinct_emails(surveyors: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Every address of a plan once (a missing address is one value)."""
+    """Every address of a plan once (a missing address is one value).
+    Takes the surveyor table or its long form."""
     return surveyors.select(*by, F.explode("emails").alias("email")).distinct()
 
 
+def _one_row_per_surveyor(surveyors: DataFrame) -> DataFrame:
+    # the long form has one row per deployment; its first one stands for the pair
+    return surveyors.filter(F.col("dep_order") == 0) if "dep_order" in surveyors.columns else surveyors
+
+
 def access_list(surveyors: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Writer rows (spreadsheet, email) per surveyor, duplicates kept, and
     reader rows (the plan's metadata) per distinct email; a missing email is
-    reported instead of granted."""
+    reported instead of granted. Takes the surveyor table or its long form."""
+    surveyors = _one_row_per_surveyor(surveyors)
     writers = surveyors.select(*by, "spreadsheet_name", F.explode("emails").alias("email"),
                                F.lit("writer").alias("role"))
     readers = distinct_emails(surveyors, by).select(
@@ -159,11 +195,20 @@ def sheet_dimension(spark) -> DataFrame:
         "head string, mid string, suffix string, prefill string")
 
 
+def _deployment_rows(surveyors: DataFrame) -> DataFrame:
+    """One row per (pair, deployment) from the long form, or from the lists."""
+    if "dep_order" in surveyors.columns:
+        return surveyors
+    return surveyors.select("*", F.posexplode("deployments").alias("dep_order", "deployment"))
+
+
 def worksheet_manifest(surveyors: DataFrame, by: Sequence[str] = (), family: str = "family") -> DataFrame:
-    """Every sheet the pairs should fill, with its prefilled values."""
-    deps = surveyors.select(*by, family, "spreadsheet_name", "Project", *OBSERVER_COLUMNS,
-                            *[c for c in [*JUVENILE_OBSERVER_COLUMNS, "Location"] if c in surveyors.columns],
-                            F.posexplode("deployments").alias("dep_order", "deployment"))
+    """Every sheet the pairs should fill, with its prefilled values.
+    Takes the long form (``surveyor_rows``) or the surveyor table."""
+    rows = _deployment_rows(surveyors)
+    deps = rows.select(*by, family, "spreadsheet_name", "Project", *OBSERVER_COLUMNS,
+                       *[c for c in [*JUVENILE_OBSERVER_COLUMNS, "Location"] if c in rows.columns],
+                       "dep_order", "deployment")
     for c in [*JUVENILE_OBSERVER_COLUMNS, "Location"]:
         if c not in deps.columns:
             deps = deps.withColumn(c, F.lit(None).cast("string"))
@@ -191,8 +236,8 @@ def _field_value(p: Column, fields: dict[str, Column]) -> Column:
 
 def photo_manifest(surveyors: DataFrame, by: Sequence[str] = (), family: str = "family") -> DataFrame:
     """R2: photo folders pair / deployment / letter for families that take photos."""
-    deps = (surveyors.filter(F.col(family).isin(list(PHOTO_FAMILIES)))
-            .select(*by, "spreadsheet_name", F.explode("deployments").alias("deployment")))
+    deps = (_deployment_rows(surveyors).filter(F.col(family).isin(list(PHOTO_FAMILIES)))
+            .select(*by, "spreadsheet_name", "deployment"))
     out = deps.select(*by, "spreadsheet_name", "deployment",
                       F.explode(F.array(*[F.lit(x) for x in PHOTO_LETTERS])).alias("letter"))
     return out.withColumn("folder", F.concat_ws("/", "spreadsheet_name", na_text("deployment"), "letter"))

@@ -16,6 +16,7 @@ from reefcensus.operators.grid import metadata_pairs, pivot_metadata
 from reefcensus.operators.surveyors import (
     access_list,
     photo_manifest,
+    surveyor_rows,
     surveyor_tables,
     worksheet_manifest,
 )
@@ -69,12 +70,12 @@ def plan_checks(plan: DataFrame, by: list[str] = PLAN_KEYS) -> DataFrame:
 
 def plan_products(plan: DataFrame, emails: DataFrame, by: list[str] = PLAN_KEYS) -> dict[str, DataFrame]:
     """Surveyor table (G1, J1, G2) and the R1-R3 manifests."""
-    surveyors = surveyor_tables(plan, emails, by)
+    long = surveyor_rows(plan, emails, by)
     return {
-        "surveyors": surveyors,
-        "worksheets": worksheet_manifest(surveyors, by),
-        "photos": photo_manifest(surveyors, by),
-        "access": access_list(surveyors, by),
+        "surveyors": surveyor_tables(plan, emails, by),
+        "worksheets": worksheet_manifest(long, by),
+        "photos": photo_manifest(long, by),
+        "access": access_list(long, by),
     }
 
 

@@ -1100,6 +1100,11 @@ def _plan_surveyors(spark, sf) -> DataFrame:
     return surveyors.surveyor_tables(plan, _plan_emails(plan), ["file"])
 
 
+def _plan_surveyor_rows(spark, sf) -> DataFrame:
+    plan = _supplier_plan(spark, sf)
+    return surveyors.surveyor_rows(plan, _plan_emails(plan), ["file"])
+
+
 def _plan_sql() -> str:
     projects = "[" + ", ".join(f"'{p}'" for p in _PROJECTS) + "]"
     fam_rows = ", ".join(f"('{p}', '{f}')" for p, f in __import__(
@@ -1180,7 +1185,7 @@ FROM pos p JOIN dim d ON p.family = d.family
 
 @query("worksheet_manifest", _manifest_sql())
 def worksheet_manifest(spark, sf):
-    m = surveyors.worksheet_manifest(_plan_surveyors(spark, sf), ["file"])
+    m = surveyors.worksheet_manifest(_plan_surveyor_rows(spark, sf), ["file"])
     return m.select("file", "spreadsheet_name", "dep_order", "deployment", "sheet_order", "sheet",
                     F.array_join("prefill", "|", "NA").alias("prefill"))
 
@@ -1193,7 +1198,7 @@ FROM (SELECT p.file, p.spreadsheet_name, p.dep AS deployment, unnest(['A', 'B',
       FROM pos p WHERE p.family IN ('Mediterranean Transects', 'Eilat Transects', 'Eilat Juveniles Transects'))
 """)
 def photo_manifest(spark, sf):
-    return surveyors.photo_manifest(_plan_surveyors(spark, sf), ["file"])
+    return surveyors.photo_manifest(_plan_surveyor_rows(spark, sf), ["file"])
 
 
 @query("access_list", f"""
@@ -1209,4 +1214,4 @@ a AS (
 SELECT a.*, CASE WHEN email IS NULL THEN 'missing email' ELSE 'grant' END AS status FROM a
 """)
 def access_list(spark, sf):
-    return surveyors.access_list(_plan_surveyors(spark, sf), ["file"])
+    return surveyors.access_list(_plan_surveyor_rows(spark, sf), ["file"])

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from reefcensus.operators.complete import DAY_KEYS
+from reefcensus.operators.complete import DAY_KEYS, DEPLOYMENT_KEY
 from reefcensus.plans.days import day_tables, sample_rows
 from reefcensus.session import checkpoint_dir
 from reefcensus.sinks import write_day_complete
@@ -49,7 +49,7 @@ def latest_sheets(grid: DataFrame) -> DataFrame:
 
 
 def start_day_builds(spark: SparkSession, sheets_root: str, plan_path: str, grid_path: str,
-                     complete_path: str, mismatch_path: str, available_now: bool = True,
+                     complete_path: str, status_path: str, available_now: bool = True,
                      width: int = GRID_WIDTH, max_files_per_trigger: int = 10_000,
                      name: str = "day-builds") -> StreamingQuery:
     """Stream new worksheet files into the grid table and rebuild their days.
@@ -76,8 +76,14 @@ def start_day_builds(spark: SparkSession, sheets_root: str, plan_path: str, grid
         meta = spark.read.parquet(plan_path).join(touched, DAY_KEYS, "inner")
         complete, bad = day_tables(meta, sample_rows(grid, meta))
         write_day_complete(complete, complete_path)
-        (bad.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(*DAY_KEYS).parquet(mismatch_path))
+        # status of every rebuilt day: its mismatches, or one "ok" row, so a
+        # day that became complete clears its old mismatches (a day that turns
+        # bad keeps its last complete table, as an aborted rebuild would)
+        ok = (touched.join(F.broadcast(bad.select(*DAY_KEYS).distinct()), DAY_KEYS, "left_anti")
+              .withColumn(DEPLOYMENT_KEY, F.lit(None).cast("string")).withColumn("check", F.lit("ok")))
+        status = bad.unionByName(ok).withColumn("batch_id", F.lit(batch_id))
+        (status.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*DAY_KEYS).parquet(status_path))
 
     ckpt = checkpoint_dir(spark).rstrip("/") + f"/streams/{name}"
     writer = stream.writeStream.foreachBatch(build).option("checkpointLocation", ckpt).queryName(name)

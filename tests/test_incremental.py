@@ -11,8 +11,8 @@ from reefcensus.plans.days import expedition_table, sample_rows, day_tables
 from reefcensus.sinks import archive_deployments, publish_metadata, write_backup, write_day_complete, write_expedition
 from reefcensus.sources.lookups import read_complete_days, read_published_metadata
 from reefcensus.streaming.worksheet_stream import start_day_builds
-from tests.conftest import rows
-from tests.test_days import build_survey
+from tests.conftest import rows, write_csv
+from tests.test_days import build_survey, paired_sheet
 
 
 def test_sinks_and_incremental_days(spark, tmp_path):
@@ -60,9 +60,27 @@ def test_streaming_day_builds(spark, tmp_path):
     done = spark.read.parquet(str(out / "complete"))
     assert rows(done.select("day_folder").distinct(), "day_folder") == [
         ("City Coast 2021-11-07",), ("NA 2020-10-15",)]
-    assert spark.read.parquet(str(out / "mismatch")).count() == 1
+    status = spark.read.parquet(str(out / "mismatch"))
+    assert status.filter(F.col("check") != "ok").count() == 1
+    assert status.filter(F.col("check") == "ok").count() == 2
     # a second run with no new files has nothing to do
     q2 = start_day_builds(spark, sheets, str(out / "metadata"), str(out / "grid"), str(out / "complete"),
                           str(out / "mismatch"), name=f"t{os.getpid()}")
     q2.awaitTermination(300)
     assert spark.read.parquet(str(out / "complete")).count() == done.count()
+    # the missing sheet of the mismatching day arrives: only that day is
+    # rebuilt, from its old and new sheets together
+    write_csv(tmp_path / "drive" / "sheets", "Coastal Blitz 2021/North Cove 2021-10-26/Obs One and Obs Two/"
+              "Site 3 - Transect B.csv",
+              paired_sheet([("First Observer", "Obs One"), ("Second Observer", "Obs Two"), ("Site", "3")],
+                           [["Obs One", "Serranus", "1", "9", None, None, None, None]]))
+    q3 = start_day_builds(spark, sheets, str(out / "metadata"), str(out / "grid"), str(out / "complete"),
+                          str(out / "mismatch"), name=f"t{os.getpid()}")
+    q3.awaitTermination(300)
+    after = spark.read.parquet(str(out / "complete"))
+    north = after.filter(F.col("day_folder") == "North Cove 2021-10-26")
+    assert sorted(r["Species"] for r in north.collect()) == ["Diplodus", "Mullus", "Serranus", "Sparisoma",
+                                                             "Thalassoma"]
+    assert after.filter(F.col("day_folder") != "North Cove 2021-10-26").count() == done.count()
+    mism = spark.read.parquet(str(out / "mismatch"))
+    assert rows(mism.filter(F.col("day_folder") == "North Cove 2021-10-26"), "check") == [("ok",)]

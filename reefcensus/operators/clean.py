@@ -48,50 +48,43 @@ def fill_down(df: DataFrame, by: Sequence[str], order: str, cols: Sequence[str],
               chunk_rows: int = FILL_CHUNK_ROWS) -> DataFrame:
     """Blank cell = same as the row above, within ``by`` groups in ``order``.
 
-    Written as a two-level scan so one hot group never lands in one task:
-    rows are cut into chunks of ``order // chunk_rows``; each chunk is filled
-    by a window, each chunk's last value is carried into later chunks by a
-    window over the (small) per-chunk table, and a join adds the carry.
-    ``order`` must be an integral, per-group unique position (row_idx, id).
+    A two-level scan, so one hot group never lands in one task:
+
+    1. rows are cut into chunks ``order // chunk_rows``;
+    2. per chunk, its last non-null values (an aggregate that combines
+       map-side: one small row per chunk);
+    3. per chunk, the value carried in from earlier chunks (a window over
+       that small table);
+    4. the carried values enter each chunk as an extra first row, and one
+       window per chunk fills the rest; the extra rows are dropped.
+
+    The big side is shuffled once (by group and chunk) and never joined.
+    ``order`` must be an integral, per-group unique, dense position
+    (``row_idx`` in a file, an id).
     """
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
-    by = list(by)
-    chunk = "__chunk"
-    base = df.withColumn(chunk, F.floor(F.col(f"`{order}`") / F.lit(chunk_rows)).cast("long"))
-    w_in = (Window.partitionBy(*[F.col(f"`{b}`") for b in by], F.col(chunk))
-            .orderBy(F.col(f"`{order}`"))
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    filled = base.select(*[
-        F.last(F.col(f"`{c}`"), ignorenulls=True).over(w_in).alias(c) if c in cols
-        else F.col(f"`{c}`") for c in base.columns
-    ])
-    # Last value of each chunk = filled value on its last row. The window
-    # already partitioned by (by, chunk), so this aggregate adds no shuffle.
-    tails = filled.groupBy(*[F.col(f"`{b}`") for b in by], F.col(chunk)).agg(*[
-        F.max_by(F.col(f"`{c}`"), F.col(f"`{order}`")).alias(f"__tail{i}")
-        for i, c in enumerate(cols)
-    ])
-    w_carry = (Window.partitionBy(*[F.col(f"`{b}`") for b in by]).orderBy(chunk)
+    by_cols = [F.col(f"`{b}`") for b in by]
+    chunk, is_row = "__chunk", "__is_row"
+    pos = F.col(f"`{order}`")
+    base = (df.withColumn(chunk, F.floor(pos / F.lit(chunk_rows)).cast("long"))
+            .withColumn(is_row, F.lit(1)))
+    tails = base.groupBy(*by_cols, F.col(chunk)).agg(*[
+        F.max_by(F.col(f"`{c}`"), F.when(F.col(f"`{c}`").isNotNull(), pos)).alias(c) for c in cols])
+    w_carry = (Window.partitionBy(*by_cols).orderBy(chunk)
                .rowsBetween(Window.unboundedPreceding, -1))
-    carry = tails.select(
-        *[F.col(f"`{b}`") for b in by], F.col(chunk),
-        *[F.last(f"__tail{i}", ignorenulls=True).over(w_carry).alias(f"__carry{i}")
-          for i in range(len(cols))],
-    )
-    carry = carry.select(*[F.col(f"`{b}`").alias(f"__by{j}") for j, b in enumerate(by)],
-                         F.col(chunk).alias("__cchunk"),
-                         *[F.col(f"__carry{i}") for i in range(len(cols))])
-    cond = reduce(lambda a, b: a & b,
-                  [filled[f"`{b}`"].eqNullSafe(carry[f"__by{j}"]) for j, b in enumerate(by)]
-                  + [filled[chunk] == carry["__cchunk"]])
-    joined = filled.join(carry, cond, "left")
-    idx = {c: i for i, c in enumerate(cols)}
-    return joined.select(*[
-        F.coalesce(filled[f"`{c}`"], F.col(f"__carry{idx[c]}")).alias(c) if c in idx
-        else filled[f"`{c}`"] for c in df.columns
-    ])
+    carry = tails.select(*by_cols, F.col(chunk),
+                         *[F.last(f"`{c}`", ignorenulls=True).over(w_carry).alias(c) for c in cols],
+                         F.lit(0).alias(is_row))
+    both = base.unionByName(carry, allowMissingColumns=True)
+    w = (Window.partitionBy(*by_cols, F.col(chunk)).orderBy(F.col(is_row), pos)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    filled = both.select(*[
+        F.last(F.col(f"`{c}`"), ignorenulls=True).over(w).alias(c) if c in cols else F.col(f"`{c}`")
+        for c in df.columns
+    ], F.col(is_row))
+    return filled.filter(F.col(is_row) == 1).drop(is_row)
 
 
 def fill_down_except(df: DataFrame, by: Sequence[str], order: str,

@@ -62,12 +62,13 @@ def pivot_metadata(pairs: DataFrame, keys: Sequence[str], known_keys: Sequence[s
     The key list is explicit, so the pivot needs no extra distinct job and
     the schema is fixed.
     """
-    wide = (pairs.groupBy(*[F.col(f"`{c}`") for c in keys])
+    if canonical:
+        # one value column is canonicalised before the pivot: the same values
+        # as after it, with one compact expression instead of one per key
+        pairs = with_canonical(pairs, {v: F.col(f"`{v}`")})
+    return (pairs.groupBy(*[F.col(f"`{c}`") for c in keys])
             .pivot(k, list(known_keys))
             .agg(F.min_by(F.col(f"`{v}`"), F.col(f"`{order}`"))))
-    if not canonical:
-        return wide
-    return with_canonical(wide, {c: F.col(f"`{c}`") for c in known_keys})
 
 
 def duplicate_metadata_keys(pairs: DataFrame, keys: Sequence[str], k: str = "k") -> DataFrame:

@@ -48,6 +48,7 @@ from reefcensus.registry import (
     TLV_METADATA_KEYS,
     TLV_OBSERVATION_REQUIRED,
 )
+from reefcensus.session import cut_lineage
 from reefcensus.sources.lookups import prune_sheets, prune_sources
 from reefcensus.sources.worksheets import GRID_WIDTH, overflowing_rows
 
@@ -74,9 +75,9 @@ def sample_rows(grid: DataFrame, meta: DataFrame, keys: Sequence[str] = SHEET_KE
     every day at once (fish / general sheets)."""
     g = prune_sheets(prune_sources(grid, names=sources), exclude=FISH_SHEET_EXCLUDE)
     g = _with_day_family(g, meta)
-    sheet_meta = pivot_metadata(metadata_pairs(g, keys), keys, WORKSHEET_METADATA_KEYS)
-    sheet_fam = g.select(*keys, "family").distinct()
-    sheet_meta = sheet_meta.join(sheet_fam, list(keys), "inner")
+    # the family is constant per day, so it rides along as a group key
+    sheet_meta = pivot_metadata(metadata_pairs(g, [*keys, "family"]), [*keys, "family"],
+                                WORKSHEET_METADATA_KEYS)
     sheet_meta = sheet_meta.withColumn(
         "Letter", F.when(F.col("family").isin(list(LAYER_LETTER_FAMILIES)), layer_letter("sheet")))
     tlv = g.filter(F.col("family") == "Tel Aviv Transects").drop("family")
@@ -89,10 +90,18 @@ def sample_rows(grid: DataFrame, meta: DataFrame, keys: Sequence[str] = SHEET_KE
     return sample_key(rows)
 
 
-def day_tables(meta: DataFrame, samples: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+def day_tables(meta: DataFrame, samples: DataFrame, strict: bool = False,
+               materialize: bool = True) -> tuple[DataFrame, DataFrame]:
     """(day complete data, mismatches). A day with a planned deployment that
     has no observation is reported and left out, as the protocol aborts it;
-    ``strict`` stops the whole run instead (one bounded probe)."""
+    ``strict`` stops the whole run instead (one bounded probe).
+
+    The observation rows feed three branches (mismatch check, matched rows,
+    unmatched plans); ``materialize`` checkpoints them once into the shared
+    checkpoint folder so the sheets are read and reshaped once.
+    """
+    if materialize:
+        samples = cut_lineage(samples)
     bad = unmatched_deployments(meta, samples)
     if strict:
         fail_on(bad, "mismatching identifiers")
@@ -131,8 +140,7 @@ def tlv_invertebrates(meta: DataFrame, grid: DataFrame,
     ok_meta = tlv_meta.join(broadcast_if_small(early.select(*DAY_KEYS).distinct()), DAY_KEYS, "left_anti")
     g = prune_sheets(prune_sources(grid), exclude=INVERTEBRATE_SHEET_EXCLUDE)
     g = _with_day_family(g, ok_meta)
-    sheets = invertebrate_sheets(g.drop("family"), keys, TLV_METADATA_KEYS)
-    sheets = sheets.join(g.select(*keys, "family").distinct(), list(keys), "inner")
+    sheets = invertebrate_sheets(g, [*keys, "family"], TLV_METADATA_KEYS)
     samples = sample_key(tag_group(sheets, "Invertebrates"))
     joined = day_complete(ok_meta, samples)
     return format_invertebrates(joined), early

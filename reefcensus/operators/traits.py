@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reefcensus.functions.dates import parse_iso_date, season
 from reefcensus.functions.labels import quadrat_id, survey_id, transect_id
@@ -75,6 +76,13 @@ def project_layout(df: DataFrame, layout: Sequence[tuple[str, str]]) -> DataFram
     ])
 
 
+def _as_date(df: DataFrame, col: str = "Date") -> DataFrame:
+    """Year-first dates to DATE; a DATE column is kept as it is."""
+    if isinstance(df.schema[col].dataType, T.DateType):
+        return df
+    return df.withColumn(col, parse_iso_date(col))
+
+
 def _observer_renames(df: DataFrame) -> DataFrame:
     ren = {"Fish Observer": "Fish_Observer", "Invertebrate Observer": "Invertebrate_Observer"}
     return df.withColumnsRenamed({k: v for k, v in ren.items() if k in df.columns})
@@ -82,7 +90,7 @@ def _observer_renames(df: DataFrame) -> DataFrame:
 
 def format_fish(df: DataFrame, traits: DataFrame) -> DataFrame:
     """The 57-column fish layout."""
-    out = _observer_renames(df).withColumn("Date", parse_iso_date("Date"))
+    out = _as_date(_observer_renames(df))
     out = add_ids(out)
     out = add_species_traits(out, traits)
     out = add_site_number(out)
@@ -92,7 +100,7 @@ def format_fish(df: DataFrame, traits: DataFrame) -> DataFrame:
 
 def format_invertebrates(df: DataFrame) -> DataFrame:
     """The 60-column invertebrate layout with ``Method = 'Quadrate'``."""
-    out = _observer_renames(df).withColumn("Date", parse_iso_date("Date"))
+    out = _as_date(_observer_renames(df))
     out = add_ids(out, quadrate="Quadrate")
     out = add_site_number(out)
     out = add_season(out)

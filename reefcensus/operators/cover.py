@@ -7,7 +7,7 @@ J7 cover x taxon counts, J8 cover x species by point.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -80,11 +80,16 @@ def cover_with_species(cover: DataFrame, species_wide: DataFrame, keys: Sequence
 
 
 def invertebrate_sheets(grid: DataFrame, keys: Sequence[str], metadata_keys: Sequence[str],
-                        categories: Sequence[str] = COVER_CATEGORIES) -> DataFrame:
+                        categories: Sequence[str] = COVER_CATEGORIES,
+                        prepare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Whole invertebrate-sheet reading: metadata block recycled onto every
     quadrat row that has at least one matched code, with percent cover,
-    taxon counts and the species-by-point columns."""
+    taxon counts and the species-by-point columns. The padded block rows
+    feed four readers; ``prepare`` (e.g. a checkpoint) is applied to them
+    once."""
     padded = padded_rows(grid, keys, 1, INVERT_LEGEND_ROWS[1])
+    if prepare is not None:
+        padded = prepare(padded)
     points = cover_points(padded, keys)
     leg = legend_block(padded, keys).drop("row_idx")
     labelled = legend_join(points.select(*keys, "Quadrate", "Complexity", "Code"), leg, keys)

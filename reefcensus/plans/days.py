@@ -140,7 +140,7 @@ def tlv_invertebrates(meta: DataFrame, grid: DataFrame,
     ok_meta = tlv_meta.join(broadcast_if_small(early.select(*DAY_KEYS).distinct()), DAY_KEYS, "left_anti")
     g = prune_sheets(prune_sources(grid), exclude=INVERTEBRATE_SHEET_EXCLUDE)
     g = _with_day_family(g, ok_meta)
-    sheets = invertebrate_sheets(g, [*keys, "family"], TLV_METADATA_KEYS)
+    sheets = invertebrate_sheets(g, [*keys, "family"], TLV_METADATA_KEYS, prepare=cut_lineage)
     samples = sample_key(tag_group(sheets, "Invertebrates"))
     joined = day_complete(ok_meta, samples)
     return format_invertebrates(joined), early

@@ -91,3 +91,41 @@ def test_ids_keep_space_in_quadrat_id(spark):
     assert r["t"] == "k_2021-11-07_A"
     assert r["q"] == "k_2021-11-07_A 2"
     assert df.select(transect_id("k", F.lit(None).cast("date"), F.lit(None)).alias("t")).first()["t"] == "k_NA_NA"
+
+
+def _python_rule(text: str) -> str:
+    """The canonical-number rule in plain Python, for the property test."""
+    d = float(text)
+    if d == 0:
+        return "0"
+    mant, exp = f"{abs(d):.14e}".split("e")
+    digits, e = mant.replace(".", "").rstrip("0"), int(exp)
+    k = len(digits)
+    if e >= 0:
+        fixed = digits + "0" * (e + 1 - k) if k <= e + 1 else digits[:e + 1] + "." + digits[e + 1:]
+    else:
+        fixed = "0." + "0" * (-e - 1) + digits
+    sci = digits[0] + ("." + digits[1:] if k > 1 else "") + "e" + ("-" if e < 0 else "+") + f"{abs(e):02d}"
+    return ("-" if d < 0 else "") + (fixed if len(fixed) <= len(sci) else sci)
+
+
+def test_canonical_numbers_property(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    decimals = st.builds(
+        lambda sign, whole, frac, exp: f"{sign}{whole}{'.' + frac if frac else ''}{'e' + str(exp) if exp else ''}",
+        st.sampled_from(["", "-"]), st.integers(0, 10**9), st.text("0123456789", max_size=6),
+        st.sampled_from([None, -7, -3, 2, 9]))
+
+    @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(decimals, min_size=200, max_size=200))
+    def check(values):
+        df = spark.createDataFrame([(v,) for v in values], "v string")
+        got = {r["v"]: r["c"] for r in with_canonical(df, {"c": "v"}).collect()}
+        for v in values:
+            as_int = v.lstrip("-").isdigit() and abs(int(v)) <= 2147483647
+            want = str(int(v)) if as_int else _python_rule(v)
+            assert got[v] == want, v
+
+    check()

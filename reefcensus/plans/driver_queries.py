@@ -521,7 +521,7 @@ def _fish_sql() -> str:
         "Depth Start": "CASE WHEN l.l_orderkey IS NULL THEN NULL ELSE "
                        + canon_text("printf('%.2f', o.o_totalprice)") + " END",
         "Visibility": "l.l_linestatus", "Group": "CASE WHEN l.l_orderkey IS NULL THEN NULL ELSE 'Fish' END",
-        "Species": "CAST(l.l_partkey AS VARCHAR)", "Amount": "CAST(l.l_quantity AS BIGINT) * 1.0",
+        "Species": "CAST(l.l_partkey AS VARCHAR)", "Amount": "CAST(CAST(l.l_quantity AS BIGINT) AS DOUBLE)",
         "Length": "CAST(floor(l.l_extendedprice / 1000) AS DOUBLE)",
         "Distance": "CAST(l.l_suppkey AS VARCHAR)", "a": "round(t.a, 8)", "b": "round(t.b, 4)",
         "weight_kg": ("round(CAST(l.l_quantity AS BIGINT) * (t.a * pow(floor(l.l_extendedprice / 1000), t.b)) / 1000, 6)"),
@@ -592,7 +592,7 @@ def _invert_sql() -> str:
     }
     for c in COVER_CATEGORIES:
         if c not in ("Sand", "Rock"):
-            src[c] = "CASE WHEN x.o_orderkey IS NULL THEN NULL ELSE 0.0 END"
+            src[c] = "CASE WHEN x.o_orderkey IS NULL THEN NULL ELSE CAST(0.0 AS DOUBLE) END"
     cols = ", ".join(f"{src.get(name, 'CAST(NULL AS VARCHAR)')} AS {q(name)}" for name, _ in INVERT_LAYOUT)
     return f"""
 SELECT {cols}

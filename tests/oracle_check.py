@@ -36,6 +36,19 @@ def digest(rows, cols):
     return hashlib.sha256("\n".join(lines).encode()).hexdigest(), lines
 
 
+_SPARK_TYPES = {"IntegerType": "int32", "LongType": "int64", "DoubleType": "float64", "StringType": "str",
+                "BooleanType": "bool", "DateType": "date", "FloatType": "float32", "ShortType": "int16"}
+_DUCK_TYPES = {"INTEGER": "int32", "BIGINT": "int64", "DOUBLE": "float64", "VARCHAR": "str", "BOOLEAN": "bool",
+               "DATE": "date", "FLOAT": "float32", "SMALLINT": "int16"}
+
+
+def type_families(spark_schema, duck_description):
+    s = {f.name: _SPARK_TYPES.get(type(f.dataType).__name__, type(f.dataType).__name__)
+         for f in spark_schema.fields}
+    d = {c[0]: _DUCK_TYPES.get(str(c[1]).split("(")[0], str(c[1])) for c in duck_description}
+    return {c: (s.get(c), d.get(c)) for c in set(s) | set(d) if s.get(c) != d.get(c)}
+
+
 def duck(sf_dir):
     import duckdb
     con = duckdb.connect()
@@ -56,16 +69,18 @@ def compare(spark, con, name, fn, sql, sf_dir):
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     same_cols = sorted(scols) == sorted(dcols)
+    type_diffs = type_families(df.schema, res.description)
     sh, sl = digest(srows, scols)
     dh, dl = digest(drows, dcols)
-    out = {"name": name, "ok": same_cols and len(srows) == len(drows) and sh == dh,
-           "rows": len(srows), "oracle_rows": len(drows), "cols_ok": same_cols,
+    out = {"name": name, "ok": same_cols and not type_diffs and len(srows) == len(drows) and sh == dh,
+           "rows": len(srows), "oracle_rows": len(drows), "cols_ok": same_cols, "types_ok": not type_diffs,
            "spark_s": round(t1 - t0, 2)}
     if not out["ok"]:
         out["spark_cols"], out["oracle_cols"] = scols, dcols
         s_only = sorted(set(sl) - set(dl))[:3]
         d_only = sorted(set(dl) - set(sl))[:3]
         out["spark_only"], out["oracle_only"] = s_only, d_only
+        out["type_diffs"] = type_diffs
     return out
 
 

@@ -50,7 +50,13 @@ from reefcensus.registry import (
 )
 from reefcensus.session import cut_lineage
 from reefcensus.sources.lookups import prune_sheets, prune_sources
-from reefcensus.sources.worksheets import GRID_WIDTH, overflowing_rows
+from reefcensus.sources.worksheets import (
+    GRID_WIDTH,
+    overflowing_rows,
+    read_grid,
+    read_worksheet_csvs,
+    write_grid,
+)
 
 # Sheet metadata keys that become columns (first value per key).
 WORKSHEET_METADATA_KEYS = [
@@ -201,3 +207,11 @@ def older_tlv_rows(grid: DataFrame, meta: DataFrame, keys: Sequence[str] = SHEET
     joined = joined.withColumn("__pos", sheet_rank.cast("long") * 1_000_000 + F.col("row_idx"))
     filled = fill_down(joined, [*spreadsheet, "Site", "Transect"], "__pos", OLDER_FILL_COLUMNS)
     return sample_key(filled.withColumn("family", F.lit("Tel Aviv Transects"))).drop("__pos")
+
+
+def ingest_worksheets(spark, sheets_root: str, grid_path: str) -> DataFrame:
+    """One-time ingest: every worksheet CSV under ``sheets_root`` into the
+    parquet grid (partitioned by expedition and day; rewriting a day
+    replaces only that day). Returns the grid as stored."""
+    write_grid(read_worksheet_csvs(spark, sheets_root), grid_path)
+    return read_grid(spark, grid_path)

@@ -109,3 +109,16 @@ def form_to_plan(grid: DataFrame, keys: list[str], project: str | None = None) -
     plan = meta.join(table, list(keys), "inner")
     return normalise_headings(plan).select(
         "Country", "Project", *[c for c in plan.columns if c not in ("Country", "Project")])
+
+
+def publish_plans(spark: SparkSession, paths: str | list[str], metadata_path: str,
+                  archive_path: str | None = None) -> DataFrame:
+    """Plan CSVs -> cleaned plans published per day (K5), optionally archived
+    as CSV (K4). Returns the plan checks (P8, P9) of the published files."""
+    from reefcensus.sinks import archive_deployments, publish_metadata
+
+    plan = plan_from_csvs(spark, paths)
+    publish_metadata(plan, metadata_path)
+    if archive_path is not None:
+        archive_deployments(plan.drop("family"), archive_path)
+    return plan_checks(spark.read.parquet(metadata_path))

@@ -46,7 +46,8 @@ def write_grid(grid: DataFrame, path: str) -> None:
     """Persist the grid, partitioned by expedition and day (dynamic overwrite
     replaces only the days present in ``grid``)."""
     (grid.repartition("expedition", "day_folder")
-     .write.mode("overwrite").partitionBy("expedition", "day_folder").parquet(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("expedition", "day_folder").parquet(path))
 
 
 def read_grid(spark: SparkSession, path: str, expedition: str | None = None,

@@ -65,6 +65,15 @@ def start_day_builds(spark: SparkSession, sheets_root: str, plan_path: str, grid
               .select(F.url_decode(F.col("_metadata.file_path")).alias("file"), "*"))
 
     def build(batch: DataFrame, batch_id: int) -> None:
+        # the batch is read by several branches below; keep it for this batch
+        # only (a lost executor just re-reads its files)
+        batch = batch.persist()
+        try:
+            _build(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _build(batch: DataFrame, batch_id: int) -> None:
         new_rows = _batch_grid(batch, width).withColumn("batch_id", F.lit(batch_id))
         # A replayed batch overwrites exactly its own partitions: idempotent.
         (new_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

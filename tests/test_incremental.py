@@ -84,3 +84,19 @@ def test_streaming_day_builds(spark, tmp_path):
     assert after.filter(F.col("day_folder") != "North Cove 2021-10-26").count() == done.count()
     mism = spark.read.parquet(str(out / "mismatch"))
     assert rows(mism.filter(F.col("day_folder") == "North Cove 2021-10-26"), "check") == [("ok",)]
+
+
+def test_ingest_and_publish(spark, tmp_path):
+    from reefcensus.plans.days import ingest_worksheets
+    from reefcensus.plans.deployment import publish_plans
+    from reefcensus.sources.worksheets import read_worksheet_csvs
+
+    build_survey(spark, tmp_path / "drive")
+    sheets = str(tmp_path / "drive" / "sheets")
+    grid = ingest_worksheets(spark, sheets, str(tmp_path / "grid"))
+    direct = read_worksheet_csvs(spark, sheets)
+    cols = ["expedition", "day_folder", "spreadsheet", "sheet", "row_idx"]
+    assert rows(grid, *cols) == rows(direct, *cols)
+    checks = publish_plans(spark, str(tmp_path / "drive" / "plans") + "/*/*.csv", str(tmp_path / "meta"),
+                           str(tmp_path / "archive"))
+    assert rows(checks.select("check").distinct(), "check") == [("missing observer",)]

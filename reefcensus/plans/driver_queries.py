@@ -328,7 +328,6 @@ def layer_letter_q(spark, sf):
     return shaped.withColumn("Letter", layer_letter("sheet"))
 
 
-QUERIES["layer_letter"] = layer_letter_q
 
 
 @query("group_flag", """
@@ -348,7 +347,6 @@ def group_flag_q(spark, sf):
     return shaped.withColumn("Group", group_flag("sheet"))
 
 
-QUERIES["group_flag"] = group_flag_q
 
 
 @query("deployment_key", f"""
@@ -370,7 +368,6 @@ def deployment_key_q(spark, sf):
                        juveniles=["r_name", F.lit(None).cast("string")]).alias("juveniles_key"))
 
 
-QUERIES["deployment_key"] = deployment_key_q
 
 
 # ---------------------------------------------------------------- P18, P19
@@ -402,7 +399,6 @@ def season_q(spark, sf):
     return o.select("o_orderkey", season("o_orderdate").alias("Season"))
 
 
-QUERIES["season"] = season_q
 
 
 # ---------------------------------------------------------------- J4, P20
@@ -712,7 +708,6 @@ def invert_metadata_q(spark, sf):
     return grid.invert_metadata(_part_sheets(spark, sf), ["sheet"], TLV_METADATA_KEYS)
 
 
-QUERIES["invert_metadata"] = invert_metadata_q
 
 
 # ---------------------------------------------------------------- J1, G2, G6
@@ -963,7 +958,6 @@ def day_label_q(spark, sf):
     return o.select(day_label("o_orderstatus", "o_orderdate").alias("day_folder")).distinct()
 
 
-QUERIES["day_label"] = day_label_q
 
 
 # ---------------------------------------------------------------- U1-U3

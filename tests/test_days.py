@@ -246,3 +246,14 @@ def test_older_tlv_layout(spark, tmp_path):
         ("Invertebrates", None, "Arbacia", "2", "09:30", "6", {"Quadrate": "2", "Sand": "0", "Rock": "25"}, key),
         ("Invertebrates", None, "Hermodice", "1", "09:30", "6", {"Quadrate": "1", "Sand": "50", "Rock": "0"}, key),
     ]
+
+
+def test_strict_day_build_stops_on_mismatch(spark, survey):
+    from reefcensus.operators.checks import SurveyCheckError
+
+    plan, grid = survey
+    with pytest.raises(SurveyCheckError, match="mismatching identifiers"):
+        day_tables(plan, sample_rows(grid, plan), strict=True)
+    ok_plan = plan.filter(F.col("day_folder") != "North Cove 2021-10-26")
+    complete, bad = day_tables(ok_plan, sample_rows(grid, ok_plan), strict=True)
+    assert bad.count() == 0 and complete.count() > 0

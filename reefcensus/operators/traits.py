@@ -30,9 +30,8 @@ def add_species_traits(df: DataFrame, traits: DataFrame, species: str = "Species
     amt = F.col(f"`{amount}`").try_cast("double")
     lng = F.col(f"`{length}`").try_cast("double")
     weight_g = amt * (F.col(a) * F.pow(lng, F.col(b)))
-    return (out.withColumn(amount, amt).withColumn(length, lng)
-            .withColumn("weight_g", weight_g)
-            .withColumn("weight_kg", F.col("weight_g") / F.lit(1000.0)))
+    return out.withColumns({amount: amt, length: lng, "weight_g": weight_g,
+                            "weight_kg": weight_g / F.lit(1000.0)})
 
 
 def segments_frame(spark) -> DataFrame:
@@ -55,11 +54,11 @@ def add_season(df: DataFrame, date: str = "Date") -> DataFrame:
 def add_ids(df: DataFrame, key: str = "meta_to_deployment_id", date: str = "Date",
             transect: str = "Transect", quadrate: str | None = None) -> DataFrame:
     """``Transect_id``, ``Survey_id`` and, for quadrats, ``Quadrate_id``."""
-    out = (df.withColumn("Transect_id", transect_id(key, date, transect))
-           .withColumn("Survey_id", survey_id(key, date)))
+    tid = transect_id(key, date, transect)
+    cols = {"Transect_id": tid, "Survey_id": survey_id(key, date)}
     if quadrate:
-        out = out.withColumn("Quadrate_id", quadrat_id("Transect_id", quadrate))
-    return out
+        cols["Quadrate_id"] = quadrat_id(tid, quadrate)
+    return df.withColumns(cols)
 
 
 def tag_group(df: DataFrame, group: str) -> DataFrame:
@@ -103,6 +102,5 @@ def format_invertebrates(df: DataFrame) -> DataFrame:
     out = _as_date(_observer_renames(df))
     out = add_ids(out, quadrate="Quadrate")
     out = add_site_number(out)
-    out = add_season(out)
-    out = out.withColumn("Method", F.lit(INVERT_METHOD))
+    out = out.withColumns({"Season": season("Date"), "Method": F.lit(INVERT_METHOD)})
     return project_layout(out, INVERT_LAYOUT)

@@ -24,7 +24,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "None"
-        return repr(round(v, 6))
+        return repr(v)  # exact: the queries round where engines could differ
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return str(v)

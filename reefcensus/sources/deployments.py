@@ -49,8 +49,8 @@ def read_csv_grid(spark: SparkSession, paths: str | list[str], width: int = MAX_
     cells = F.array(*[F.when(F.col(f"c{i}") == "", None).otherwise(F.col(f"c{i}"))
                       for i in range(1, width + 1)])
     scanned = raw.select(
-        F.url_decode(F.col("_metadata.file_path")).alias("file"),
-        F.url_decode(F.col("_metadata.file_name")).alias("file_name"),
+        F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("file"),
+        F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("file_name"),
         F.monotonically_increasing_id().alias("__pos"),
         cells.alias("cells"),
     )

@@ -62,7 +62,7 @@ def start_day_builds(spark: SparkSession, sheets_root: str, plan_path: str, grid
               .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
               .option("maxFilesPerTrigger", max_files_per_trigger)
               .csv(sheets_root.rstrip("/") + "/*/*/*/*.csv")
-              .select(F.url_decode(F.col("_metadata.file_path")).alias("file"), "*"))
+              .select(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("file"), "*"))
 
     def build(batch: DataFrame, batch_id: int) -> None:
         # the batch is read by several branches below; keep it for this batch

@@ -257,3 +257,10 @@ def test_strict_day_build_stops_on_mismatch(spark, survey):
     ok_plan = plan.filter(F.col("day_folder") != "North Cove 2021-10-26")
     complete, bad = day_tables(ok_plan, sample_rows(grid, ok_plan), strict=True)
     assert bad.count() == 0 and complete.count() > 0
+
+
+def test_sheet_names_keep_plus_and_spaces(spark, tmp_path):
+    write_csv(tmp_path, "Exp A/Day 1/Obs One + Obs Two/Site 1 + 2 - 50%.csv", sheet_csv([["Metadata", "Value"]]))
+    g = read_worksheet_csvs(spark, str(tmp_path))
+    assert rows(g, "expedition", "day_folder", "spreadsheet", "sheet") == [
+        ("Exp A", "Day 1", "Obs One + Obs Two", "Site 1 + 2 - 50%")]

@@ -22,10 +22,13 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
             # local mode runs everything in the driver JVM; clusters size it at submit
             builder = builder.config("spark.driver.memory",
                                      os.environ.get("REEFCENSUS_DRIVER_MEMORY", "8g"))
-    cpus = os.cpu_count() or 8
+    local = bool(master and master.startswith("local"))
+    if shuffle_partitions or local:
+        # locally: one partition per core; on a cluster the submit config sizes it
+        builder = builder.config("spark.sql.shuffle.partitions",
+                                 str(shuffle_partitions or os.cpu_count() or 8))
     builder = (
         builder
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")

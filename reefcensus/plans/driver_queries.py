@@ -556,7 +556,7 @@ def _complete_invert(spark, sf) -> DataFrame:
                            deployment_key("Fish Observer", "Invertebrate Observer", "Spot"))
     quad = li.join(p, li.l_partkey == p.p_partkey, "inner").select(
         F.col("l_orderkey").alias("o_orderkey"), F.lit("A").alias("Transect"),
-        _priority_like_segment().alias("Segment"),
+        _size_segment().alias("Segment"),
         F.col("l_linenumber").alias("Quadrate"), F.col("p_name").alias("Taxon"),
         F.col("l_quantity").alias("Count"), (F.col("p_size") / 10.0).alias("Complexity"),
         (znorm("l_discount") * 100).alias("Sand"), (znorm("l_tax") * 100).alias("Rock"),
@@ -567,7 +567,7 @@ def _complete_invert(spark, sf) -> DataFrame:
     return complete.day_complete(meta, traits.tag_group(quad, "Invertebrates"), by=[], key="o_orderkey")
 
 
-def _priority_like_segment():
+def _size_segment():
     return F.when(F.col("p_size") <= 14, F.lit(None).cast("string")).otherwise(F.lit("Dolfinarium"))
 
 

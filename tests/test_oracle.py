@@ -8,6 +8,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from reefcensus.plans import driver_queries
 from tests.oracle_check import compare, duck
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
@@ -18,7 +19,7 @@ def con():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(driver_queries.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     sql = entry.oracle_sql().get(name)
     assert sql is not None, f"{name} has no oracle SQL"

@@ -12,15 +12,51 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reefcensus.llm.mixing import mix_sources
-from reefcensus.llm.quality import quality_rules
+from reefcensus.llm.decontaminate import drop_contaminated
+from reefcensus.llm.mixing import take_mix
+from reefcensus.llm.ngram_join import keep_one
+from reefcensus.llm.quality import clean_documents
 from reefcensus.llm.queries import tokenizer_path
 from reefcensus.llm.store import materialize
 from reefcensus.llm.token_files import token_file_index
 
-#: SQL cannot express the stages after the first; see tests/llm/test_pipeline.py
+#: SQL cannot express the stages after the first; tests/llm/test_pipeline.py
+#: holds a brute-force version
 ORACLE_SQL = None
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the rules, without their failing lines."""
+    return clean_documents(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of the n-gram Jaccard join."""
+    return keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's target takes them."""
+    return take_mix(docs)
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token file, and what reading it back gives."""
+    return token_file_index(docs, tokenizer_path("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+    ("token_output", token_output),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

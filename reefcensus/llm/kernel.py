@@ -127,3 +127,22 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK):
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
         yield at, min(to, n)
         at = min(to, n)
+
+
+def by_key(batches, n_keys: int):
+    """Tables of the rows of one key each, from batches sorted by their first
+    ``n_keys`` columns."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in range(n_keys)], axis=1)
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+        for lo, hi in zip(cuts, cuts[1:]):
+            if held and tuple(keys[lo]) != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = tuple(keys[lo])
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield pa.Table.from_batches(held)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .store import materialize
+from .store import materialize, with_row_id
 
 #: hash bits, and the bits that each refinement looks at
 HASH_BITS = 60
@@ -70,8 +70,8 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat: int
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights: Sequence[int] = WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
-    """``(doc_id, size, source, source_size, target, copies, taken)``, one row
-    per input row.
+    """``(rid, doc_id, size, source, source_size, target, copies, taken)``,
+    one row per input row.
 
     A document is taken ``floor(target / source_size)`` times, and once more
     below the source's hash threshold; the document at the threshold is taken
@@ -81,10 +81,9 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     source of its own; sources are few (one row each fits a task), their rows
     are not. An empty table gives no rows.
     """
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                       word_count(F.col(text_col)).alias("size"), doc_hash(F.col(id_col)).alias("h"),
-                       F.xxhash64(F.col(text_col)).alias("h2"),
-                       F.xxhash64(F.monotonically_increasing_id()).alias("h3"))
+    base = with_row_id(docs, docs[id_col].alias("doc_id"), docs[source_col].alias("source"),
+                       word_count(docs[text_col]).alias("size"), doc_hash(docs[id_col]).alias("h"),
+                       F.xxhash64(docs[text_col]).alias("h2")).withColumn("h3", F.xxhash64("rid"))
     rows = materialize(base, "mix")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = targets(sizes, weights, max_repeat)
@@ -133,7 +132,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .when(F.col("tokens") == F.col("size"), (F.col("share") >= 0.5).cast("int")) \
         .otherwise((unit < F.col("share")).cast("int"))
     copies = F.least(F.col("whole") + extra, F.lit(int(max_repeat)))
-    return out.select("doc_id", "size", "source", "source_size", "target", copies.alias("copies"),
+    return out.select("rid", "doc_id", "size", "source", "source_size", "target", copies.alias("copies"),
                       (copies * F.col("size")).cast("long").alias("taken"))
 
 
@@ -141,3 +140,10 @@ def _null_safe(left: DataFrame, right: DataFrame, extra: Column) -> DataFrame:
     """Inner join on ``source``, nulls alike; keeps the left one's source."""
     r = right.withColumnRenamed("source", "r_source")
     return left.join(r, left["source"].eqNullSafe(r["r_source"]) & extra).drop("r_source")
+
+
+def take_mix(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it."""
+    mix = mix_sources(docs, **options).filter("copies > 0").select("rid", "copies")
+    whole = docs.select(F.monotonically_increasing_id().alias("rid"), F.struct("*").alias("row"))
+    return whole.join(mix, "rid").select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

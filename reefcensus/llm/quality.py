@@ -126,3 +126,24 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     return docs.select(docs[id_col].cast("long"), text_col).mapInArrow(
         lambda it: _rules(it, with_text), RULE_SCHEMA)
+
+
+def clean_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the rules keep, all columns as they are but
+    the text, which loses its failing lines."""
+    names = docs.columns
+    at = names.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            judged = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.int64()), batch.column(at)],
+                                                names=["doc_id", "text"])
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches(_rules([judged], True))
+            columns = list(batch.columns)
+            columns[at] = table.column("clean_text").combine_chunks()
+            whole = pa.RecordBatch.from_arrays(columns, names=names)
+            yield whole.filter(table.column("kept").combine_chunks())
+
+    return docs.mapInArrow(run, docs.schema)

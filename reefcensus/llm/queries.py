@@ -5,7 +5,13 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import functions as F
+
+from .decontaminate import decontaminate
+from .lattice import lattice_scores
+from .line_dedup import duplicate_lines
 from .mixing import mix_sources
+from .ngram_join import jaccard_components
 from .quality import (
     BOILERPLATE,
     MAX_LOST_PERCENT,
@@ -15,6 +21,8 @@ from .quality import (
     SENTENCE_MARK,
     quality_rules,
 )
+from .secret_scan import scan_secrets
+from .suffix_dedup import suffix_dedup
 from .token_counts import count_tokens
 from .token_files import token_file_index
 
@@ -29,10 +37,28 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_array_dedup(spark, sf_dir):
+    return suffix_dedup(_documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op2_token_counts(spark, sf_dir):
     return count_tokens(_documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op3_ngram_jaccard_join(spark, sf_dir):
+    return jaccard_components(_documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
+def op4_benchmark_decontamination(spark, sf_dir):
+    found = decontaminate(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("doc_id", "n_items", "item_id", "coverage", "n_tiles", "contaminated")
+
+
+def op5_line_dedup(spark, sf_dir):
+    return duplicate_lines(_documents(spark, sf_dir)).select(
+        "doc_id", "n_lines", "n_removed", F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"))
+
+
 def op6_token_files(spark, sf_dir):
     return token_file_index(_documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
@@ -46,11 +72,26 @@ def op8_mixing(spark, sf_dir):
     return mix_sources(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_lattice_scores(spark, sf_dir):
+    return lattice_scores(_documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op10_secret_scan(spark, sf_dir):
+    return scan_secrets(_documents(spark, sf_dir)).select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
 QUERIES = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_token_counts": op2_token_counts,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_line_dedup": op5_line_dedup,
     "op6_token_files": op6_token_files,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
+    "op9_lattice_scores": op9_lattice_scores,
+    "op10_secret_scan": op10_secret_scan,
 }
 _WORDS = r"'[^\x20\x09-\x0D]+'"
 

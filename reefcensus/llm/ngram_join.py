@@ -188,7 +188,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.sequence(F.lit(0), F.col("tiles") - 1),
         lambda t: F.least(t, "tile") * F.col("tiles") + F.greatest(t, "tile")))
     members = members.select("root", "rid", F.explode(pairs).alias("block"))
-    blocked = rows.select("rid", "text").join(members, "rid").select("root", "block", "rid", "text") \
+    # one plan at every size: the members grow with the documents
+    blocked = rows.select("rid", "text").join(members.hint("merge"), "rid").select("root", "block", "rid", "text") \
         .repartition("root", "block").sortWithinPartitions("root", "block", "rid")
     links = blocked.mapInArrow(lambda it: _links(it, size, percent), "a long, b long")
     comps = materialize(connected_components(links), "components")

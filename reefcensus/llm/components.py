@@ -18,19 +18,20 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Each round links every node's larger neighbours to its smallest one, then
     its smaller ones; rounds grow with the logarithm of the longest path. A
-    node's smallest neighbour is an aggregate combined before the shuffle,
-    and the join with it may be split by AQE, so a hub costs no single task.
-    Rounds end in written tables.
+    node's smallest neighbour is an aggregate combined before the shuffle. It
+    is written before the join with it, so that AQE may split a hub's rows
+    over tasks. Rounds end in written tables.
     """
     now = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                       .distinct(), "edges")
     seen = _fingerprint(now)
     while seen[0]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        low = materialize(both.groupBy("a").agg(F.min("b").alias("m"))
+                          .select("a", F.least("a", "m").alias("m")), "low")
         large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = materialize(large.distinct(), "large")
+        low = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "low")
         small = large.join(low, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = materialize(small.unionByName(low.withColumnRenamed("m", "b")).distinct(), "edges")
         if (after := _fingerprint(now)) == seen:

@@ -71,6 +71,26 @@ def pivot_metadata(pairs: DataFrame, keys: Sequence[str], known_keys: Sequence[s
             .agg(F.min_by(F.col(f"`{v}`"), F.col(f"`{order}`"))))
 
 
+def metadata_map(pairs: DataFrame, keys: Sequence[str], k: str = "k", v: str = "v",
+                 order: str = "row_idx", canonical: bool = True) -> DataFrame:
+    """One row per sheet with all its metadata keys in the map ``metadata``
+    (first value in sheet order; canonical text unless that is off). A sheet
+    holds few keys, so the map is bounded by the sheet."""
+    if canonical:
+        pairs = with_canonical(pairs, {v: F.col(f"`{v}`")})
+    by = [F.col(f"`{c}`") for c in keys]
+    first = pairs.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(order, k, v))).alias("__pairs"))
+    names = F.transform("__pairs", lambda p: p[k])
+    entries = F.filter("__pairs", lambda p, i: F.array_position(names, p[k]) == i + 1)
+    return first.select(*by, F.map_from_entries(F.transform(entries, lambda p: F.struct(p[k], p[v]))).alias("metadata"))
+
+
+def metadata_columns(meta: DataFrame, keys: Sequence[str], known_keys: Sequence[str]) -> DataFrame:
+    """The named keys as columns beside the whole ``metadata`` map."""
+    return meta.select(*[F.col(f"`{c}`") for c in keys], "metadata",
+                       *[F.try_element_at("metadata", F.lit(n)).alias(n) for n in known_keys])
+
+
 def duplicate_metadata_keys(pairs: DataFrame, keys: Sequence[str], k: str = "k") -> DataFrame:
     """Violations: a metadata key that appears more than once in one sheet."""
     return (pairs.groupBy(*keys, k).agg(F.count(F.lit(1)).alias("n"))

@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 # A lookup is broadcast only when a bounded probe proves it has at most this
 # many rows; otherwise the join stays a shuffle join (AQE may still convert it
 # from runtime sizes).
-LOOKUP_BROADCAST_ROWS = 200_000
+LOOKUP_BROADCAST_BYTES = 32 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = LOOKUP_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint behind a size check. The probe reads at most
-    ``max_rows + 1`` rows, so its cost is bounded whatever the table size."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def broadcast_if_small(df: DataFrame, max_bytes: int = LOOKUP_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint behind the optimiser's size estimate (no job runs). A
+    table whose estimate is larger or unknown stays a shuffle join, which AQE
+    may still turn into a broadcast from sizes at run time."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return F.broadcast(df) if int(str(size)) <= max_bytes else df
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],

@@ -228,7 +228,7 @@ def worksheet_manifest(surveyors: DataFrame, by: Sequence[str] = (), family: str
 
 
 def _field_value(p: Column, fields: dict[str, Column]) -> Column:
-    expr = F.when(p.startswith("="), F.substring(p, 2, 1 << 20))
+    expr = F.when(p.startswith("="), F.ltrim(p, F.lit("=")))
     for name, value in fields.items():
         expr = expr.when(p == name, value)
     return expr

@@ -14,10 +14,12 @@ from reefcensus.functions.labels import group_flag, layer_letter
 from reefcensus.operators.checks import before_cutoff, fail_on
 from reefcensus.operators.complete import (
     DAY_KEYS,
+    DEPLOYMENT_KEY,
     complete_days,
     day_complete,
     day_families,
     days_to_build,
+    join_days,
     sample_key,
     skip_complete,
     unmatched_deployments,
@@ -27,6 +29,8 @@ from reefcensus.operators.grid import (
     SHEET_KEYS,
     duplicate_metadata_keys,
     metadata_pairs,
+    metadata_columns,
+    metadata_map,
     odd_observer_widths,
     observer_rows,
     pivot_metadata,
@@ -49,14 +53,9 @@ from reefcensus.registry import (
     TLV_OBSERVATION_REQUIRED,
 )
 from reefcensus.session import cut_lineage
-from reefcensus.sources.lookups import prune_sheets, prune_sources
-from reefcensus.sources.worksheets import (
-    GRID_WIDTH,
-    overflowing_rows,
-    read_grid,
-    read_worksheet_csvs,
-    write_grid,
-)
+from reefcensus.sinks import write_backup, write_day_complete, write_expedition
+from reefcensus.sources.lookups import prune_day_folders, prune_sheets, prune_sources, read_complete_days
+from reefcensus.sources.worksheets import read_grid, read_worksheet_csvs, write_grid
 
 # Sheet metadata keys that become columns (first value per key).
 WORKSHEET_METADATA_KEYS = [
@@ -79,11 +78,11 @@ def sample_rows(grid: DataFrame, meta: DataFrame, keys: Sequence[str] = SHEET_KE
                 sources: Sequence[str] | None = None) -> DataFrame:
     """Observation rows with their sheet metadata and deployment key, for
     every day at once (fish / general sheets)."""
-    g = prune_sheets(prune_sources(grid, names=sources), exclude=FISH_SHEET_EXCLUDE)
+    g = prune_sheets(prune_sources(prune_day_folders(grid), names=sources), exclude=FISH_SHEET_EXCLUDE)
     g = _with_day_family(g, meta)
     # the family is constant per day, so it rides along as a group key
-    sheet_meta = pivot_metadata(metadata_pairs(g, [*keys, "family"]), [*keys, "family"],
-                                WORKSHEET_METADATA_KEYS)
+    by = [*keys, "family"]
+    sheet_meta = metadata_columns(metadata_map(metadata_pairs(g, by), by), by, WORKSHEET_METADATA_KEYS)
     sheet_meta = sheet_meta.withColumn(
         "Letter", F.when(F.col("family").isin(list(LAYER_LETTER_FAMILIES)), layer_letter("sheet")))
     tlv = g.filter(F.col("family") == "Tel Aviv Transects").drop("family")
@@ -96,11 +95,12 @@ def sample_rows(grid: DataFrame, meta: DataFrame, keys: Sequence[str] = SHEET_KE
     return sample_key(rows)
 
 
-def day_tables(meta: DataFrame, samples: DataFrame, strict: bool = False,
-               materialize: bool = True) -> tuple[DataFrame, DataFrame]:
+def day_tables(meta: DataFrame, samples: DataFrame, strict: bool = False, materialize: bool = True,
+               held: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(day complete data, mismatches). A day with a planned deployment that
     has no observation is reported and left out, as the protocol aborts it;
-    ``strict`` stops the whole run instead (one bounded probe).
+    ``strict`` stops the whole run instead (one bounded probe). Days of
+    ``held`` (``held_sheets``) are reported and left out the same way.
 
     The observation rows feed three branches (mismatch check, matched rows,
     unmatched plans); ``materialize`` checkpoints them once into the shared
@@ -109,6 +109,8 @@ def day_tables(meta: DataFrame, samples: DataFrame, strict: bool = False,
     if materialize:
         samples = cut_lineage(samples)
     bad = unmatched_deployments(meta, samples)
+    if held is not None:
+        bad = bad.unionByName(held)
     if strict:
         fail_on(bad, "mismatching identifiers")
     complete = day_complete(meta, samples)
@@ -122,7 +124,7 @@ def expedition_table(meta: DataFrame, grid: DataFrame, stored: DataFrame | None
     ones. Returns (expedition table, mismatches of the rebuilt days)."""
     todo_meta = meta if stored is None else days_to_build(meta, stored)
     todo_grid = grid if stored is None else days_to_build(grid, stored)
-    built, bad = day_tables(todo_meta, sample_rows(todo_grid, todo_meta))
+    built, bad = day_tables(todo_meta, sample_rows(todo_grid, todo_meta), held=held_sheets(todo_grid, todo_meta))
     if stored is None:
         return built, bad
     return skip_complete(built, stored), bad
@@ -144,7 +146,7 @@ def tlv_invertebrates(meta: DataFrame, grid: DataFrame,
     tlv_meta = meta.filter(F.col("family") == "Tel Aviv Transects")
     early = before_cutoff(tlv_meta, "Date", TLV_LAYOUT_CUTOFF, DAY_KEYS)
     ok_meta = tlv_meta.join(broadcast_if_small(early.select(*DAY_KEYS).distinct()), DAY_KEYS, "left_anti")
-    g = prune_sheets(prune_sources(grid), exclude=INVERTEBRATE_SHEET_EXCLUDE)
+    g = prune_sheets(prune_sources(prune_day_folders(grid)), exclude=INVERTEBRATE_SHEET_EXCLUDE)
     g = _with_day_family(g, ok_meta)
     sheets = invertebrate_sheets(g, [*keys, "family"], TLV_METADATA_KEYS, prepare=cut_lineage)
     samples = sample_key(tag_group(sheets, "Invertebrates"))
@@ -157,18 +159,62 @@ def stored_days(stored: DataFrame) -> DataFrame:
     return complete_days(stored)
 
 
-def sheet_violations(grid: DataFrame, meta: DataFrame, keys: Sequence[str] = SHEET_KEYS,
-                     width: int = GRID_WIDTH) -> DataFrame:
+def sheet_violations(grid: DataFrame, meta: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
     """Sheets that cannot be read as the protocol expects: odd observer
-    width on paired sheets (S19), repeated metadata keys (S21) and sheets
-    wider than the grid scan (reported, never silently truncated)."""
-    g = prune_sheets(prune_sources(grid), exclude=FISH_SHEET_EXCLUDE)
+    width on paired sheets (S19) and repeated metadata keys (S21)."""
+    g = prune_sheets(prune_sources(prune_day_folders(grid)), exclude=FISH_SHEET_EXCLUDE)
     g = _with_day_family(g, meta)
     paired = g.filter(F.col("family") != "Tel Aviv Transects").drop("family")
     odd = odd_observer_widths(paired, keys).select(*keys, "check")
     dup = duplicate_metadata_keys(metadata_pairs(g.drop("family"), keys), keys).select(*keys, "check")
-    wide = overflowing_rows(g.drop("family"), width).select(*keys, "check").distinct()
-    return odd.unionByName(dup).unionByName(wide)
+    return odd.unionByName(dup)
+
+
+def held_sheets(grid: DataFrame, meta: DataFrame) -> DataFrame:
+    """Sheet violations in the shape of mismatches: the day, the sheet in
+    place of the deployment key, and the check it fails."""
+    bad = sheet_violations(grid, meta)
+    return bad.select(*DAY_KEYS, F.concat_ws("/", "spreadsheet", "sheet").alias(DEPLOYMENT_KEY), "check")
+
+
+def build_expedition(spark, meta: DataFrame, grid: DataFrame, complete_path: str, expedition_path: str,
+                     backup_path: str | None = None, skip_complete: bool = True) -> DataFrame:
+    """I2 to its outputs: days without a stored table (or all of them) are
+    built and written (K1), then the stored days of those expeditions make
+    the expedition table (K2) and its CSV backup (K3). Returns the
+    mismatches, written to the shared folder first."""
+    todo_meta, todo_grid = meta, grid
+    if skip_complete and (stored := stored_table(spark, complete_path)) is not None:
+        todo_meta, todo_grid = days_to_build(meta, stored), days_to_build(grid, stored)
+    built, bad = day_tables(todo_meta, sample_rows(todo_grid, todo_meta), held=held_sheets(todo_grid, todo_meta))
+    bad = cut_lineage(bad)
+    write_day_complete(built, complete_path)
+    stored = read_complete_days(spark, complete_path)
+    wanted = meta.select("expedition").distinct()
+    publish_expeditions(stored.join(wanted, "expedition", "left_semi"), expedition_path, backup_path)
+    return bad
+
+
+def join_expedition(spark, complete_path: str, expedition_path: str, expedition: str,
+                    backup_path: str | None = None) -> None:
+    """I3 to its outputs: the stored days of one expedition (K2, K3)."""
+    publish_expeditions(join_days(read_complete_days(spark, complete_path), expedition), expedition_path, backup_path)
+
+
+def publish_expeditions(days: DataFrame, expedition_path: str, backup_path: str | None) -> None:
+    """K2, and K3 without the map columns, which CSV cannot hold."""
+    write_expedition(days, expedition_path)
+    if backup_path is not None:
+        maps = [f.name for f in days.schema if f.dataType.typeName() == "map"]
+        write_backup(days.drop(*maps), backup_path, "expeditions")
+
+
+def stored_table(spark, path: str) -> DataFrame | None:
+    """The stored days, or nothing before the first build."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return None
+    return read_complete_days(spark, path)
 
 
 OLDER_OBS_FIELDS = ["Species", "Amount", "Length", "Distance", "Confidence", "Invertebrate|Taxon",
@@ -204,7 +250,7 @@ def older_tlv_rows(grid: DataFrame, meta: DataFrame, keys: Sequence[str] = SHEET
 
     # sheet order inside a spreadsheet, then row order: an integral position
     sheet_rank = F.dense_rank().over(Window.partitionBy(*spreadsheet).orderBy("sheet"))
-    joined = joined.withColumn("__pos", sheet_rank.cast("long") * 1_000_000 + F.col("row_idx"))
+    joined = joined.withColumn("__pos", F.shiftleft(sheet_rank.cast("long"), 31) + F.col("row_idx"))
     filled = fill_down(joined, [*spreadsheet, "Site", "Transect"], "__pos", OLDER_FILL_COLUMNS)
     return sample_key(filled.withColumn("family", F.lit("Tel Aviv Transects"))).drop("__pos")
 

@@ -28,6 +28,7 @@ from reefcensus.registry import (
     OBSERVER_COLUMNS,
 )
 from reefcensus.sources.deployments import _rename_key, read_deployments
+from reefcensus.sources.lookups import read_published_metadata
 
 PLAN_KEYS = ["file"]
 
@@ -120,5 +121,5 @@ def publish_plans(spark: SparkSession, paths: str | list[str], metadata_path: st
     plan = plan_from_csvs(spark, paths)
     publish_metadata(plan, metadata_path)
     if archive_path is not None:
-        archive_deployments(plan.drop("family"), archive_path)
-    return plan_checks(spark.read.parquet(metadata_path))
+        archive_deployments(plan.drop("family", "row"), archive_path)
+    return plan_checks(read_published_metadata(spark, metadata_path))

@@ -9,24 +9,42 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reefcensus.functions.text import na_text
 from reefcensus.registry import BACKUP_FLAG_TEXT
 
 DAY_PARTITIONS = ["expedition", "day_folder"]
+MAX_FILE_ROWS = 5_000_000
 
 
 def _dynamic(df: DataFrame):
     return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
 
 
+def _rebalanced(df: DataFrame, parts: list[str]) -> DataFrame:
+    """Rows of a partition together; AQE splits large ones over tasks and
+    joins small ones, so no day or expedition is bound to one task."""
+    return df.hint("rebalance", *[F.col(f"`{p}`") for p in parts])
+
+
+def write_partitioned(df: DataFrame, path: str, parts: list[str]) -> None:
+    """Replaces the partitions that ``df`` holds, in files of bounded rows."""
+    (_dynamic(_rebalanced(df, parts)).option("maxRecordsPerFile", MAX_FILE_ROWS)
+     .partitionBy(*parts).parquet(path))
+
+
 def write_day_complete(df: DataFrame, path: str, group: bool = False) -> None:
     """K1: day tables (``group`` adds the Fish / Invertebrates partition)."""
     parts = DAY_PARTITIONS + (["Group"] if group else [])
-    _dynamic(df.repartition(*parts)).partitionBy(*parts).parquet(path)
+    write_partitioned(df, path, parts)
 
 
 def write_expedition(df: DataFrame, path: str) -> None:
     """K2: the expedition table (all days), partitioned by expedition."""
-    _dynamic(df.repartition("expedition")).partitionBy("expedition").parquet(path)
+    write_partitioned(df, path, ["expedition"])
+
+
+def _stamp() -> str:
+    return datetime.now(timezone.utc).strftime("%Y-%m-%d %H-%M-%S-%f")
 
 
 def with_backup_flag(df: DataFrame, text: str = BACKUP_FLAG_TEXT) -> DataFrame:
@@ -37,19 +55,22 @@ def with_backup_flag(df: DataFrame, text: str = BACKUP_FLAG_TEXT) -> DataFrame:
 def write_backup(df: DataFrame, path: str, expedition: str) -> str:
     """K3: CSV backup in ``path/<expedition>/<expedition> - local version
     created <time>``; returns the folder written."""
-    stamp = datetime.now(timezone.utc).strftime("%Y-%m-%d %H-%M-%S")
-    out = f"{path.rstrip('/')}/{expedition}/{expedition} - local version created {stamp}"
-    with_backup_flag(df).write.mode("error").option("header", True).csv(out)
+    out = f"{path.rstrip('/')}/{expedition}/{expedition} - local version created {_stamp()}"
+    with_backup_flag(df).write.mode("error").option("header", True).option("escape", '"').csv(out)
     return out
 
 
 def archive_deployments(df: DataFrame, path: str) -> None:
-    """K4: cleaned plan tables as CSV, one folder per expedition and day label."""
-    label = F.concat_ws(" ", F.col("Location"), F.date_format("Date", "yyyy-MM-dd"))
-    (_dynamic(df.withColumn("day_folder", label).repartition("Expedition", "day_folder"))
-     .option("header", True).partitionBy("Expedition", "day_folder").csv(path))
+    """K4: cleaned plan tables as CSV, one folder per expedition, day label
+    (a missing part reads ``NA``) and time of the call, so earlier archives
+    stay. The label replaces any day folder column."""
+    label = F.concat(na_text("Location"), F.lit(" "), na_text(F.date_format("Date", "yyyy-MM-dd")))
+    parts = ["Expedition", "day_folder", "created"]
+    stamped = df.withColumns({"day_folder": label, "created": F.lit(_stamp())})
+    (_rebalanced(stamped, parts).write.mode("append").option("header", True).option("escape", '"')
+     .partitionBy(*parts).csv(path))
 
 
 def publish_metadata(df: DataFrame, path: str) -> None:
     """K5: plan tables published per day for the collection side."""
-    _dynamic(df.repartition(*DAY_PARTITIONS)).partitionBy(*DAY_PARTITIONS).parquet(path)
+    write_partitioned(df, path, DAY_PARTITIONS)

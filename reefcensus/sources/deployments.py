@@ -7,7 +7,9 @@ name (not position): cells -> MAP(header -> value) -> the known columns.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reefcensus.functions.dates import parse_day_first
@@ -16,46 +18,47 @@ from reefcensus.registry import (
     DEPLOYMENT_COLUMNS,
     HEADING_DROPS,
     HEADING_RENAMES,
-    JUVENILE_OBSERVER_COLUMNS,
     OBSERVER_COLUMNS,
 )
 
-MAX_CSV_COLUMNS = 32
-
-# Every heading a plan file may carry, before renames.
-RAW_HEADINGS = [
-    "Country", "Project", "Expedition", "Location", "Date", "Dive", "Site", "SiteID",
-    "Knoll", "KnollID", "Spot", "Lat", "Lon", "First Observer", "Second Observer",
-    "Fish Observer", "Invertebrate Observer", "Juveniles First Observer",
-    "Juveniles Second Observer",
-]
+# One field of a CSV record: quoted (a doubled quote stands for one) or plain.
+_FIELD = r'(?:[ \t]*+"[^"]*+(?:""[^"]*+)*+"[ \t]*+(?=,|\r|\n|\z)|[^,\r\n]*+)'
+_RECORD = rf"((?:{_FIELD},)*+{_FIELD})(?:\r\n|\n|\r|\z)"
+_CELL = rf"({_FIELD}),"
 
 
-def _wide_schema(n: int) -> str:
-    return ", ".join(f"c{i} string" for i in range(1, n + 1))
+def _cell_value(field: Column) -> Column:
+    bare = F.btrim(field, F.lit(" \t"))
+    quoted = (F.length(bare) >= 2) & bare.startswith('"') & bare.endswith('"')
+    inner = F.replace(F.substr(bare, F.lit(2), F.length(bare) - 2), F.lit('""'), F.lit('"'))
+    value = F.when(quoted, inner).otherwise(bare)
+    return F.when(value != "", value)
 
 
-def read_csv_grid(spark: SparkSession, paths: str | list[str], width: int = MAX_CSV_COLUMNS) -> DataFrame:
-    """Any CSV files as ``(file, file_name, row_idx, cells)``; row 0 is the header.
+def csv_records(files: DataFrame) -> DataFrame:
+    """``(file, file_name, row_idx, cells)`` of whole CSV texts ``(file,
+    file_name, value)``; row 0 is the header, blank lines are no records.
 
-    ``multiLine`` keeps a file in one split, so the scan order inside a file
-    is the file order; that order is captured before any shuffle.
+    A record has as many cells as it has fields: nothing is cut at a fixed
+    width. Quoted fields may hold commas, quotes and line ends. A file is one
+    row, so its order needs no window and no shuffle.
     """
-    raw = (spark.read.schema(_wide_schema(width))
-           .option("header", False).option("multiLine", True)
-           .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
-           .option("mode", "PERMISSIVE")
-           .csv(paths))
-    cells = F.array(*[F.when(F.col(f"c{i}") == "", None).otherwise(F.col(f"c{i}"))
-                      for i in range(1, width + 1)])
-    scanned = raw.select(
-        F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("file"),
-        F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("file_name"),
-        F.monotonically_increasing_id().alias("__pos"),
-        cells.alias("cells"),
-    )
-    w = Window.partitionBy("file").orderBy("__pos")
-    return scanned.withColumn("row_idx", (F.row_number().over(w) - 1).cast("int")).drop("__pos")
+    text = F.ltrim(F.col("value"), F.lit("\ufeff"))
+    records = F.filter(F.regexp_extract_all(text, F.lit(_RECORD), 1), lambda r: r != "")
+    rows = files.select("file", "file_name", F.posexplode(records).alias("row_idx", "record"))
+    cells = F.transform(F.regexp_extract_all(F.concat("record", F.lit(",")), F.lit(_CELL), 1), _cell_value)
+    return rows.select("file", "file_name", "row_idx", cells.alias("cells"))
+
+
+def file_columns() -> list[Column]:
+    """Decoded path and name of the file a row comes from."""
+    return [F.url_decode(F.replace(F.col(f"_metadata.{c}"), F.lit("+"), F.lit("%2B"))).alias(n)
+            for c, n in (("file_path", "file"), ("file_name", "file_name"))]
+
+
+def read_csv_grid(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Any CSV files as ``(file, file_name, row_idx, cells)``."""
+    return csv_records(spark.read.text(paths, wholetext=True).select(*file_columns(), "value"))
 
 
 def _rename_key(k: Column) -> Column:
@@ -79,16 +82,20 @@ def bind_by_header(grid: DataFrame, normalise: bool = True) -> DataFrame:
     return data.select("file", "file_name", "row_idx", m.alias("row"))
 
 
-def read_deployments(spark: SparkSession, paths: str | list[str], fill: bool = True) -> DataFrame:
+def read_deployments(spark: SparkSession, paths: str | list[str], fill: bool = True,
+                     more_columns: Sequence[str] = ()) -> DataFrame:
     """A1 + P1 + P3 + P5: cleaned plan rows of every file.
 
     Blank cells repeat the row above within the file (all columns but the
-    observers); comma-only rows stay rows; ``Date`` is parsed day-first.
+    two observers); comma-only rows stay rows; ``Date`` is parsed day-first.
+    Headings outside the known ones become columns when named in
+    ``more_columns`` (and are filled like the others); every cell as read
+    stays in the map ``row``.
     """
     rows = bind_by_header(read_csv_grid(spark, paths))
     wide = rows.select("file", "file_name", "row_idx",
-                       *[F.try_element_at("row", F.lit(c)).alias(c) for c in DEPLOYMENT_COLUMNS])
+                       *[F.try_element_at("row", F.lit(c)).alias(c) for c in [*DEPLOYMENT_COLUMNS, *more_columns]],
+                       "row")
     if fill:
-        keep = list(OBSERVER_COLUMNS) + list(JUVENILE_OBSERVER_COLUMNS)
-        wide = fill_down_except(wide, ["file"], "row_idx", keep + ["file_name"])
+        wide = fill_down_except(wide, ["file"], "row_idx", [*OBSERVER_COLUMNS, "file_name", "row"])
     return wide.withColumn("Date", parse_day_first("Date"))

@@ -6,24 +6,38 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from reefcensus.registry import FISH_SHEET_EXCLUDE, SKIPPED_SOURCE_NAMES
+from reefcensus.registry import FISH_SHEET_EXCLUDE, SKIPPED_DAY_FOLDER_NAMES, SKIPPED_SOURCE_NAMES
+from reefcensus.sinks import DAY_PARTITIONS
+
+
+def _read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A lookup CSV as text columns, bound by its header."""
+    return (spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+            .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).csv(path))
+
+
+def read_partitioned(spark: SparkSession, path: str, parts: Sequence[str]) -> DataFrame:
+    """A stored table whose partition columns are text, whatever they look
+    like (``007`` stays ``007``)."""
+    found = spark.read.parquet(path).schema
+    names = {p.lower() for p in parts}
+    schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name.lower() in names else f for f in found])
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_surveyor_emails(spark: SparkSession, path: str) -> DataFrame:
     """A5: surveyor names and addresses (``FullName, email``)."""
-    if path.endswith(".parquet"):
-        return spark.read.parquet(path).select("FullName", "email")
-    return (spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True)
-            .option("ignoreTrailingWhiteSpace", True)
-            .schema("FullName string, email string").csv(path))
+    t = spark.read.parquet(path) if path.endswith(".parquet") else _read_csv(spark, path)
+    return t.select("FullName", "email")
 
 
 def read_species_traits(spark: SparkSession, path: str) -> DataFrame:
     """A5: species length-weight traits (``Species, a, b, IUCN``, more columns kept)."""
     if path.endswith(".parquet"):
         return spark.read.parquet(path)
-    t = spark.read.option("header", True).csv(path)
+    t = _read_csv(spark, path)
     return t.withColumn("a", F.col("a").try_cast("double")).withColumn("b", F.col("b").try_cast("double"))
 
 
@@ -31,7 +45,7 @@ def read_published_metadata(spark: SparkSession, path: str, expedition: str | No
                             day_folder: str | None = None) -> DataFrame:
     """Plan tables published per day (parquet partitioned by expedition
     and day folder); the filters become partition pruning."""
-    df = spark.read.parquet(path)
+    df = read_partitioned(spark, path, DAY_PARTITIONS)
     if expedition is not None:
         df = df.filter(F.col("expedition") == expedition)
     if day_folder is not None:
@@ -41,7 +55,7 @@ def read_published_metadata(spark: SparkSession, path: str, expedition: str | No
 
 def read_complete_days(spark: SparkSession, path: str, expedition: str | None = None) -> DataFrame:
     """Stored day tables."""
-    df = spark.read.parquet(path)
+    df = read_partitioned(spark, path, [*DAY_PARTITIONS, "Group"])
     return df if expedition is None else df.filter(F.col("expedition") == expedition)
 
 
@@ -56,6 +70,12 @@ def prune_sources(df: DataFrame, name_col: str = "spreadsheet",
     return df.filter(~c.isin(list(skipped)))
 
 
+def prune_day_folders(df: DataFrame, name_col: str = "day_folder",
+                      skipped: Sequence[str] = SKIPPED_DAY_FOLDER_NAMES) -> DataFrame:
+    """A8 one level up: folders that stand beside the days of an expedition."""
+    return df.filter(~F.col(f"`{name_col}`").isin(list(skipped)))
+
+
 def prune_sheets(df: DataFrame, sheet_col: str = "sheet", exclude: str = FISH_SHEET_EXCLUDE,
                  include: str | None = None) -> DataFrame:
     """Drop sheets whose name matches ``exclude`` (regex, anywhere), or

@@ -13,15 +13,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reefcensus.sinks import DAY_PARTITIONS, write_partitioned
 from reefcensus.sources.deployments import read_csv_grid
+from reefcensus.sources.lookups import read_partitioned
 
-GRID_WIDTH = 64
 
-
-def read_worksheet_csvs(spark: SparkSession, root: str, width: int = GRID_WIDTH) -> DataFrame:
-    """All sheets under ``root`` as a worksheet grid."""
-    glob = root.rstrip("/") + "/*/*/*/*.csv"
-    g = read_csv_grid(spark, glob, width)
+def sheet_rows(records: DataFrame) -> DataFrame:
+    """Grid rows of CSV records; the folders of the path become columns."""
     parts = F.split(F.col("file"), "/")
     n = F.size(parts)
 
@@ -29,31 +27,27 @@ def read_worksheet_csvs(spark: SparkSession, root: str, width: int = GRID_WIDTH)
         return F.element_at(parts, n - back + 1)
 
     sheet = F.regexp_replace(part(1), r"\.csv$", "")
-    return g.select(
+    return records.select(
         part(4).alias("expedition"), part(3).alias("day_folder"), part(2).alias("spreadsheet"),
         sheet.alias("sheet"), "row_idx", "cells",
     )
 
 
-def overflowing_rows(grid: DataFrame, width: int = GRID_WIDTH) -> DataFrame:
-    """Rows that fill the last grid column: the sheet may be wider than the
-    scan, so report it rather than trust a truncated row."""
-    return grid.filter(F.try_element_at("cells", F.lit(width)).isNotNull()).withColumn(
-        "check", F.lit(f"sheet wider than {width} columns"))
+def read_worksheet_csvs(spark: SparkSession, root: str) -> DataFrame:
+    """All sheets under ``root`` as a worksheet grid."""
+    return sheet_rows(read_csv_grid(spark, root.rstrip("/") + "/*/*/*/*.csv"))
 
 
 def write_grid(grid: DataFrame, path: str) -> None:
     """Persist the grid, partitioned by expedition and day (dynamic overwrite
     replaces only the days present in ``grid``)."""
-    (grid.repartition("expedition", "day_folder")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("expedition", "day_folder").parquet(path))
+    write_partitioned(grid, path, DAY_PARTITIONS)
 
 
 def read_grid(spark: SparkSession, path: str, expedition: str | None = None,
               day_folder: str | None = None) -> DataFrame:
     """The parquet grid; expedition/day filters prune partitions."""
-    g = spark.read.parquet(path)
+    g = read_partitioned(spark, path, DAY_PARTITIONS)
     if expedition is not None:
         g = g.filter(F.col("expedition") == expedition)
     if day_folder is not None:

@@ -14,35 +14,23 @@ a batch is re-run whole, and its writes overwrite the same partitions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from reefcensus.operators.complete import DAY_KEYS, DEPLOYMENT_KEY
-from reefcensus.plans.days import day_tables, sample_rows
+from reefcensus.plans.days import day_tables, held_sheets, sample_rows
 from reefcensus.session import checkpoint_dir
 from reefcensus.sinks import write_day_complete
-from reefcensus.sources.deployments import _wide_schema
-from reefcensus.sources.worksheets import GRID_WIDTH
-
-
-def _batch_grid(batch: DataFrame, width: int) -> DataFrame:
-    """Grid rows of one micro-batch (scan order captured before any shuffle)."""
-    cells = F.array(*[F.when(F.col(f"c{i}") == "", None).otherwise(F.col(f"c{i}"))
-                      for i in range(1, width + 1)])
-    scanned = batch.select("file", F.monotonically_increasing_id().alias("__pos"), cells.alias("cells"))
-    w = Window.partitionBy("file").orderBy("__pos")
-    g = scanned.withColumn("row_idx", (F.row_number().over(w) - 1).cast("int")).drop("__pos")
-    parts = F.split(F.col("file"), "/")
-    n = F.size(parts)
-    return g.select(
-        F.element_at(parts, n - 3).alias("expedition"), F.element_at(parts, n - 2).alias("day_folder"),
-        F.element_at(parts, n - 1).alias("spreadsheet"),
-        F.regexp_replace(F.element_at(parts, n), r"\.csv$", "").alias("sheet"), "row_idx", "cells")
+from reefcensus.sources.deployments import csv_records, file_columns
+from reefcensus.sources.lookups import read_partitioned
+from reefcensus.sources.worksheets import sheet_rows
 
 
 def latest_sheets(grid: DataFrame) -> DataFrame:
-    """A sheet sent again in a later batch replaces its earlier copy."""
+    """One copy of each sheet, the one of the latest batch. The file source
+    reads a path once: an edited sheet must arrive under a new file (another
+    folder level above the expedition), or be rebuilt in batch (I2)."""
     keys = [*DAY_KEYS, "spreadsheet", "sheet"]
     newest = grid.groupBy(*keys).agg(F.max("batch_id").alias("batch_id"))
     return grid.join(newest, [*keys, "batch_id"], "inner").drop("batch_id")
@@ -50,19 +38,16 @@ def latest_sheets(grid: DataFrame) -> DataFrame:
 
 def start_day_builds(spark: SparkSession, sheets_root: str, plan_path: str, grid_path: str,
                      complete_path: str, status_path: str, available_now: bool = True,
-                     width: int = GRID_WIDTH, max_files_per_trigger: int = 10_000,
-                     name: str = "day-builds") -> StreamingQuery:
+                     max_files_per_trigger: int = 10_000, name: str = "day-builds") -> StreamingQuery:
     """Stream new worksheet files into the grid table and rebuild their days.
 
     ``plan_path`` holds the published plans (K5 layout: parquet partitioned
     by expedition and day folder, with family and deployment key columns).
     """
-    stream = (spark.readStream.schema(_wide_schema(width))
-              .option("header", False).option("multiLine", True)
-              .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
+    stream = (spark.readStream
               .option("maxFilesPerTrigger", max_files_per_trigger)
-              .csv(sheets_root.rstrip("/") + "/*/*/*/*.csv")
-              .select(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("file"), "*"))
+              .text(sheets_root.rstrip("/") + "/*/*/*/*.csv", wholetext=True)
+              .select(*file_columns(), "value"))
 
     def build(batch: DataFrame, batch_id: int) -> None:
         # the batch is read by several branches below; keep it for this batch
@@ -74,21 +59,21 @@ def start_day_builds(spark: SparkSession, sheets_root: str, plan_path: str, grid
             batch.unpersist()
 
     def _build(batch: DataFrame, batch_id: int) -> None:
-        new_rows = _batch_grid(batch, width).withColumn("batch_id", F.lit(batch_id))
+        new_rows = sheet_rows(csv_records(batch)).withColumn("batch_id", F.lit(batch_id))
         # A replayed batch overwrites exactly its own partitions: idempotent.
         (new_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id", *DAY_KEYS).parquet(grid_path))
         # days touched by one batch: at most max_files_per_trigger rows
         touched = F.broadcast(new_rows.select(*DAY_KEYS).distinct())
-        grid = spark.read.parquet(grid_path).join(touched, DAY_KEYS, "inner")
+        grid = read_partitioned(spark, grid_path, DAY_KEYS).join(touched, DAY_KEYS, "inner")
         grid = latest_sheets(grid)
-        meta = spark.read.parquet(plan_path).join(touched, DAY_KEYS, "inner")
-        complete, bad = day_tables(meta, sample_rows(grid, meta))
+        meta = read_partitioned(spark, plan_path, DAY_KEYS).join(touched, DAY_KEYS, "inner")
+        complete, bad = day_tables(meta, sample_rows(grid, meta), held=held_sheets(grid, meta))
         write_day_complete(complete, complete_path)
         # status of every rebuilt day: its mismatches, or one "ok" row, so a
         # day that became complete clears its old mismatches (a day that turns
         # bad keeps its last complete table, as an aborted rebuild would)
-        ok = (touched.join(F.broadcast(bad.select(*DAY_KEYS).distinct()), DAY_KEYS, "left_anti")
+        ok = (touched.join(bad.select(*DAY_KEYS).distinct(), DAY_KEYS, "left_anti")
               .withColumn(DEPLOYMENT_KEY, F.lit(None).cast("string")).withColumn("check", F.lit("ok")))
         status = bad.unionByName(ok).withColumn("batch_id", F.lit(batch_id))
         (status.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

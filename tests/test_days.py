@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from reefcensus.plans.days import (
     day_tables,
+    expedition_table,
     older_tlv_rows,
     sample_rows,
     sheet_violations,
@@ -45,18 +46,18 @@ def paired_sheet(meta: list[tuple[str, str]], obs: list[list]) -> str:
 
 
 PLANS = {
-    "Coastal Blitz 2021/north_cove_plan.csv": """Country,Project,Expedition,Location,Date,SiteID,First Observer,Second Observer
-Israel,Bioblitz,Coastal Blitz 2021,North Cove,26/10/2021,1,Obs One,Obs Two
-,,,,,2,Obs Three,
-,,,,,3,Obs One,Obs Two
+    "Harbour Watch 2023/jetty.csv": """Project,Expedition,Country,Location,Date,First Observer,Second Observer,SiteID,Weather
+ASSEMBLE,Harbour Watch 2023,Israel,South Jetty,03/05/2023,Obs Three,,8,"calm, clear"
+,,,,,Obs One,Obs Two,7,
+,,,,,Obs One,Obs Two,9,windy
 """,
-    "Knoll Camp 2020/knoll_plan.csv": """Country,Project,Expedition,Location,Date,Knoll,First Observer,Second Observer
-Israel,EcoCamp,Knoll Camp 2020,,15/10/2020,Alpha,Obs One,Obs Two
-,,,,,Beta,Obs One,Obs Two
-,,,,,Beta,Obs One,Obs Two
+    "Camp 2023/knolls.csv": """Project,Knoll,Expedition,Country,Date,Location,First Observer,Second Observer
+EcoCamp,Kappa,Camp 2023,Israel,30.9.2023,,Obs One,Obs Two
+,Lambda,,,,,Obs One,Obs Two
+,Kappa,,,,,Obs One,Obs Two
 """,
-    "City Coast 2021/city_coast_nov.csv": """Project,Expedition,Location,Spot,Date,Lat,Lon,Fish Observer,Invertebrate Observer
-TLV,City Coast Project,City Coast,Blue Spot,7.11.2021,,,Obs Four,Obs Five
+    "Beach/beach.csv": """Project,Spot,Lat,Lon,Location,Expedition,Date,Fish Observer,Invertebrate Observer
+TLV,Pier End,,,Long Beach,Beach Series,14.2.2022,Obs Four,Obs Five
 """,
 }
 
@@ -64,7 +65,7 @@ TLV,City Coast Project,City Coast,Blue Spot,7.11.2021,,,Obs Four,Obs Five
 def invert_sheet() -> str:
     """14 columns, 35 data rows: metadata 1-14, legend 17-35, four quadrats."""
     grid = [[None] * 14 for _ in range(35)]
-    meta = dict(zip(TLV_METADATA_KEYS, ["Obs Four", "Obs Five", "Blue Spot", "A", "Jaffa", "Rock",
+    meta = dict(zip(TLV_METADATA_KEYS, ["Obs Four", "Obs Five", "Pier End", "A", "Jaffa", "Rock",
                                         "10.50", "12.0", "10:30", "11:00", "8", "L1", "P1", "note"]))
     for i, k in enumerate(TLV_METADATA_KEYS):
         grid[i][0], grid[i][1] = k, meta[k]
@@ -98,49 +99,43 @@ def build_survey(spark, root):
     for name, text in PLANS.items():
         write_csv(plans, name, text)
     sheets = root / "sheets"
-    ach = "Coastal Blitz 2021/North Cove 2021-10-26"
+    jetty = "Harbour Watch 2023/South Jetty 2023-05-03"
     obs1 = [["Obs One", "Sparisoma", "3", "10", "Obs Two", "Diplodus", "2", "12"],
             ["Obs One", "Epinephelus", None, "20", "Obs Two", "Mullus", "1", "8"]]  # half-filled row
-    write_csv(sheets, f"{ach}/Obs One and Obs Two/Site 1 - Transect A.csv",
-              paired_sheet([("First Observer", "Obs One"), ("Second Observer", "Obs Two"), ("Site", "1"),
+    write_csv(sheets, f"{jetty}/Obs One and Obs Two/Site 7 - Transect A.csv",
+              paired_sheet([("First Observer", "Obs One"), ("Second Observer", "Obs Two"), ("Site", "7"),
                             ("Transect", "A"), ("Depth Start", "10.50")], obs1))
-    write_csv(sheets, f"{ach}/Obs One and Obs Two/Site 3 - Transect A.csv",
-              paired_sheet([("First Observer", "Obs One"), ("Second Observer", "Obs Two"), ("Site", "3")], []))
-    write_csv(sheets, f"{ach}/Obs One and Obs Two/Species List.csv",
+    write_csv(sheets, f"{jetty}/Obs One and Obs Two/Site 9 - Transect A.csv",
+              paired_sheet([("First Observer", "Obs One"), ("Second Observer", "Obs Two"), ("Site", "9")], []))
+    write_csv(sheets, f"{jetty}/Obs One and Obs Two/Species List.csv",
               paired_sheet([("First Observer", "x")], [["a", "b", "1", "1", "c", "d", "1", "1"]]))
-    write_csv(sheets, f"{ach}/Obs Three and NA/Site 2 - Transect A.csv",
-              paired_sheet([("First Observer", "Obs Three"), ("Second Observer", None), ("Site", "002")],
+    write_csv(sheets, f"{jetty}/Obs Three and NA/Site 8 - Transect A.csv",
+              paired_sheet([("First Observer", "Obs Three"), ("Second Observer", None), ("Site", "008")],
                            [["Obs Three", "Thalassoma", "5", "7", None, None, None, None]]))
-    write_csv(sheets, f"{ach}/Metadata/metadata.csv",
+    write_csv(sheets, f"{jetty}/Metadata/metadata.csv",
               paired_sheet([("First Observer", "Obs One")], [["a", "b", "1", "1", "c", "d", "1", "1"]]))
-    eco = "Knoll Camp 2020/NA 2020-10-15"
-    for knoll, fish in [("Alpha", "Chromis"), ("Beta", "Pseudanthias")]:
-        write_csv(sheets, f"{eco}/Obs One and Obs Two/Knoll {knoll}.csv",
+    camp = "Camp 2023/NA 2023-09-30"
+    for knoll, fish in [("Lambda", "Chromis"), ("Kappa", "Pseudanthias")]:
+        write_csv(sheets, f"{camp}/Obs One and Obs Two/Knoll {knoll}.csv",
                   paired_sheet([("First Observer", "Obs One"), ("Second Observer", "Obs Two"), ("Knoll", knoll)],
                                [["Obs One", fish, "4", "5", "Obs Two", fish, "6", "5"]]))
-    # a sheet with no plan row (dropped silently), a template sheet with no
-    # observations (no effect) and a sheet repeating a metadata key (reported)
-    write_csv(sheets, f"{eco}/Obs One and Obs Two/Knoll Gamma.csv",
+    # a sheet with no plan row (dropped silently) and a template sheet with no
+    # observations (no effect)
+    write_csv(sheets, f"{camp}/Obs One and Obs Two/Knoll Gamma.csv",
               paired_sheet([("First Observer", "Obs One"), ("Second Observer", "Obs Two"), ("Knoll", "Gamma")],
                            [["Obs One", "Chromis", "9", "5", None, None, None, None]]))
-    write_csv(sheets, f"{eco}/Obs One and Obs Two/Observer Table - MASTER.csv",
+    write_csv(sheets, f"{camp}/Obs One and Obs Two/Observer Table - MASTER.csv",
               paired_sheet([("First Observer", None), ("Second Observer", None)], []))
-    write_csv(sheets, f"{eco}/Obs One and Obs Two/Knoll Twice.csv",
-              paired_sheet([("Knoll", "Alpha"), ("Knoll", "Beta")], []))
-    write_csv(sheets, f"{eco}/Obs One and Obs Two/Knoll Wide.csv",
-              sheet_csv([["Metadata", "Value", *[f"x{i}" for i in range(70)]], ["Knoll", "Wide", *["1"] * 70]]))
-    odd = PAIRED_HEADER[:-1]
-    write_csv(sheets, f"{eco}/Obs One and Obs Two/Knoll Odd.csv", sheet_csv([odd, ["Knoll", "Odd"] + ["x"] * 7]))
-    tlv = "City Coast Project/City Coast 2021-11-07/Obs Four and Obs Five"
+    tlv = "Beach Series/Long Beach 2022-02-14/Obs Four and Obs Five"
     fish_header = ["Metadata", "Value", "Species", "Amount", "Length", "Distance", "Confidence"]
-    fish_meta = [("Fish Observer", "Obs Four"), ("Invertebrate Observer", "Obs Five"), ("Site", "Blue Spot"),
+    fish_meta = [("Fish Observer", "Obs Four"), ("Invertebrate Observer", "Obs Five"), ("Site", "Pier End"),
                  ("Transect", "A"), ("Segment", "Jaffa"), ("Depth Start", "10.50")]
     fish_obs = [["Sparisoma cretense", "2", "10", "1", "high"], ["Unknown fish", "1", "5", "2", None],
                 ["Siganus", "3", None, "2", None]]
     body = [[*(fish_meta[i] if i < len(fish_meta) else (None, None)), *(fish_obs[i] if i < len(fish_obs) else [None] * 5)]
             for i in range(max(len(fish_meta), len(fish_obs)))]
-    write_csv(sheets, f"{tlv}/Blue Spot - A - Fish.csv", sheet_csv([fish_header, *body]))
-    write_csv(sheets, f"{tlv}/Blue Spot - A - Invertebrates.csv", invert_sheet())
+    write_csv(sheets, f"{tlv}/Pier End - A - Fish.csv", sheet_csv([fish_header, *body]))
+    write_csv(sheets, f"{tlv}/Pier End - A - Invertebrates.csv", invert_sheet())
     plan = plan_from_csvs(spark, str(plans) + "/*/*.csv")
     grid = read_worksheet_csvs(spark, str(sheets))
     return plan, grid
@@ -148,13 +143,13 @@ def build_survey(spark, root):
 
 def test_sample_rows_and_keys(spark, survey):
     plan, grid = survey
-    s = sample_rows(grid, plan).filter(F.col("expedition") == "Coastal Blitz 2021")
+    s = sample_rows(grid, plan).filter(F.col("expedition") == "Harbour Watch 2023")
     got = rows(s, "sheet", "observer_half", "Species", "meta_to_deployment_id", "Depth Start")
     assert got == [
-        ("Site 1 - Transect A", 1, "Sparisoma", "Obs One and Obs Two - 1", "10.5"),
-        ("Site 1 - Transect A", 2, "Diplodus", "Obs One and Obs Two - 1", "10.5"),
-        ("Site 1 - Transect A", 2, "Mullus", "Obs One and Obs Two - 1", "10.5"),
-        ("Site 2 - Transect A", 1, "Thalassoma", "Obs Three and NA - 2", None),
+        ("Site 7 - Transect A", 1, "Sparisoma", "Obs One and Obs Two - 7", "10.5"),
+        ("Site 7 - Transect A", 2, "Diplodus", "Obs One and Obs Two - 7", "10.5"),
+        ("Site 7 - Transect A", 2, "Mullus", "Obs One and Obs Two - 7", "10.5"),
+        ("Site 8 - Transect A", 1, "Thalassoma", "Obs Three and NA - 8", None),
     ]
 
 
@@ -162,23 +157,59 @@ def test_day_tables_report_and_skip_mismatching_days(spark, survey):
     plan, grid = survey
     complete, bad = day_tables(plan, sample_rows(grid, plan))
     assert rows(bad, "day_folder", "meta_to_deployment_id") == [
-        ("North Cove 2021-10-26", "Obs One and Obs Two - 3")]
+        ("South Jetty 2023-05-03", "Obs One and Obs Two - 9")]
     days = {r["day_folder"] for r in complete.select("day_folder").distinct().collect()}
-    assert days == {"NA 2020-10-15", "City Coast 2021-11-07"}
-    eco = complete.filter(F.col("day_folder") == "NA 2020-10-15")
-    # the repeated Beta plan row fans out; the unplanned Gamma sheet adds nothing
-    assert rows(eco, "KnollID", "Species", "Amount") == ordered([
-        ("Beta", "Pseudanthias", "4"), ("Beta", "Pseudanthias", "6"),
-        ("Beta", "Pseudanthias", "4"), ("Beta", "Pseudanthias", "6"),
-        ("Alpha", "Chromis", "4"), ("Alpha", "Chromis", "6")])
+    assert days == {"NA 2023-09-30", "Long Beach 2022-02-14"}
+    camp = complete.filter(F.col("day_folder") == "NA 2023-09-30")
+    # the repeated Kappa plan row fans out; the unplanned Gamma sheet adds nothing
+    assert rows(camp, "KnollID", "Species", "Amount") == ordered([
+        ("Kappa", "Pseudanthias", "4"), ("Kappa", "Pseudanthias", "6"),
+        ("Kappa", "Pseudanthias", "4"), ("Kappa", "Pseudanthias", "6"),
+        ("Lambda", "Chromis", "4"), ("Lambda", "Chromis", "6")])
     assert "First Observer.x" in complete.columns and "First Observer.y" in complete.columns
 
 
-def test_sheet_violations(spark, survey):
-    plan, grid = survey
+def add_unreadable(root):
+    """A sheet with an odd width and one that repeats a key, in the knoll day."""
+    camp = "Camp 2023/NA 2023-09-30/Obs One and Obs Two"
+    write_csv(root / "sheets", f"{camp}/Knoll Odd.csv",
+              sheet_csv([PAIRED_HEADER[:-1], ["Knoll", "Odd"] + ["x"] * 7]))
+    write_csv(root / "sheets", f"{camp}/Knoll Twice.csv", paired_sheet([("Knoll", "Lambda"), ("Knoll", "Kappa")], []))
+
+
+def test_unreadable_sheets_hold_their_day_back(spark, tmp_path):
+    build_survey(spark, tmp_path)
+    add_unreadable(tmp_path)
+    plan, grid = plan_from_csvs(spark, str(tmp_path / "plans") + "/*/*.csv"), read_worksheet_csvs(
+        spark, str(tmp_path / "sheets"))
     assert sorted((r["sheet"], r["check"]) for r in sheet_violations(grid, plan).collect()) == [
-        ("Knoll Odd", "odd observer columns"), ("Knoll Twice", "duplicate metadata key"),
-        ("Knoll Wide", "sheet wider than 64 columns")]
+        ("Knoll Odd", "odd observer columns"), ("Knoll Twice", "duplicate metadata key")]
+    complete, bad = expedition_table(plan, grid)
+    assert {r["day_folder"] for r in complete.collect()} == {"Long Beach 2022-02-14"}
+    assert rows(bad, "day_folder", "meta_to_deployment_id", "check") == [
+        ("NA 2023-09-30", "Obs One and Obs Two/Knoll Odd", "odd observer columns"),
+        ("NA 2023-09-30", "Obs One and Obs Two/Knoll Twice", "duplicate metadata key"),
+        ("South Jetty 2023-05-03", "Obs One and Obs Two - 9", "mismatching identifier")]
+
+
+def test_wide_sheets_and_quotes_are_read_whole(spark, tmp_path):
+    wide = [f"c{i}" for i in range(70)]
+    text = sheet_csv([["Metadata", "Value", *wide], ["Notes", 'He said ""hi"", ok', *[str(i) for i in range(70)]]])
+    text = text.replace('""""', '""') + '"two\nlines, one cell" , x,"a""b"\n,,\n\n'
+    write_csv(tmp_path, "E/D/S/T.csv", text)
+    got = read_worksheet_csvs(spark, str(tmp_path)).orderBy("row_idx").collect()
+    assert [len(r["cells"]) for r in got] == [72, 72, 3, 3]
+    assert got[1]["cells"][71] == "69" and got[2]["cells"] == ["two\nlines, one cell", "x", 'a"b']
+    assert got[3]["cells"] == [None] * 3 and [r["row_idx"] for r in got] == [0, 1, 2, 3]
+
+
+def test_all_metadata_keys_are_kept(spark, survey):
+    plan, grid = survey
+    extra = grid.filter(F.col("sheet") == "Site 7 - Transect A").filter(F.col("row_idx") == 1).select(
+        *[c for c in grid.columns if c not in ("row_idx", "cells")], F.lit(90).alias("row_idx"),
+        F.array(F.lit("Weather"), F.lit("10.50")).alias("cells"))
+    got = sample_rows(grid.unionByName(extra), plan).filter(F.col("sheet") == "Site 7 - Transect A").first()
+    assert got["metadata"]["Weather"] == "10.5" and got["metadata"]["Transect"] == got["Transect"] == "A"
 
 
 def test_tlv_fish_layout(spark, survey):
@@ -190,9 +221,9 @@ def test_tlv_fish_layout(spark, survey):
     assert fish.columns == [n for n, _ in FISH_LAYOUT]
     got = rows(fish, "Species", "Site", "Site_number", "Season", "weight_kg", "Survey_id", "Depth Start")
     assert got == [
-        ("Sparisoma cretense", "Jaffa", 12, "Fall", pytest.approx(2 * 0.01 * 10 ** 3 / 1000),
-         "Obs Four and Obs Five - Blue Spot_2021-11-07", "10.5"),
-        ("Unknown fish", "Jaffa", 12, "Fall", None, "Obs Four and Obs Five - Blue Spot_2021-11-07", "10.5"),
+        ("Sparisoma cretense", "Jaffa", 12, "Winter", pytest.approx(2 * 0.01 * 10 ** 3 / 1000),
+         "Obs Four and Obs Five - Pier End_2022-02-14", "10.5"),
+        ("Unknown fish", "Jaffa", 12, "Winter", None, "Obs Four and Obs Five - Pier End_2022-02-14", "10.5"),
     ]
 
 
@@ -208,18 +239,18 @@ def test_tlv_invertebrate_layout(spark, survey):
         (4, 4.0, 0.0, 0.0, 100.0, "Arbacia", None, None, "Pinna"),
     ]
     q = inv.filter(F.col("Quadrate_number") == 1).first()
-    assert q["Quadrate_id"] == "Obs Four and Obs Five - Blue Spot_2021-11-07_A 1"
+    assert q["Quadrate_id"] == "Obs Four and Obs Five - Pier End_2022-02-14_A 1"
     assert q["Method"] == "Quadrate" and q["Depth_Start"] == "10.5" and q["Site_number"] == 12
 
 
 def test_older_tlv_layout(spark, tmp_path):
     plans = tmp_path / "plans"
-    write_csv(plans, "City Coast 2021/city_coast_jun.csv",
-              "Project,Expedition,Location,Spot,Date,Fish Observer,Invertebrate Observer\n"
-              "TLV,City Coast Project,City Coast,Blue Spot,1.6.2021,Obs Four,Obs Five\n")
+    write_csv(plans, "Beach/old_beach.csv",
+              "Spot,Project,Expedition,Location,Date,Fish Observer,Invertebrate Observer\n"
+              "Pier End,TLV,Beach Series,Long Beach,5.8.2020,Obs Four,Obs Five\n")
     sheets = tmp_path / "sheets"
-    day = "City Coast Project/City Coast 2021-06-01/Obs Four and Obs Five"
-    meta = [("Fish Observer", "Obs Four"), ("Invertebrate Observer", "Obs Five"), ("Site", "Blue Spot"),
+    day = "Beach Series/Long Beach 2020-08-05/Obs Four and Obs Five"
+    meta = [("Fish Observer", "Obs Four"), ("Invertebrate Observer", "Obs Five"), ("Site", "Pier End"),
             ("Transect", "A")]
     fish = [["Metadata", "Value", "Species", "Amount", "Length", "Distance"],
             *[[k, v, *o] for (k, v), o in zip(meta + [("Time Start", "09:30"), ("Depth Start", "6.0")],
@@ -231,15 +262,15 @@ def test_older_tlv_layout(spark, tmp_path):
     quad = [["Metadata", "Value", "Quadrate", "Sand", "Rock"],
             *[[k, v, *o] for (k, v), o in zip(meta, [["1", "50", None], ["2", None, "25"], [None, "9", "9"],
                                                      [None] * 3])]]
-    write_csv(sheets, f"{day}/Blue Spot - A - Fish.csv", sheet_csv(fish))
-    write_csv(sheets, f"{day}/Blue Spot - A - Invertebrates.csv", sheet_csv(inv))
+    write_csv(sheets, f"{day}/Pier End - A - Fish.csv", sheet_csv(fish))
+    write_csv(sheets, f"{day}/Pier End - A - Invertebrates.csv", sheet_csv(inv))
     write_csv(sheets, f"{day}/Quadrate data.csv", sheet_csv(quad))
     plan = plan_from_csvs(spark, str(plans) + "/*/*.csv")
     grid = read_worksheet_csvs(spark, str(sheets))
     out = older_tlv_rows(grid, plan)
     got = rows(out, "Group", "Species", "Invertebrate|Taxon", "Quadrate", "Time Start", "Depth Start",
                "quadrat_data", "meta_to_deployment_id")
-    key = "Obs Four and Obs Five - Blue Spot"
+    key = "Obs Four and Obs Five - Pier End"
     assert got == [
         ("Fish", "Diplodus", None, None, "09:30", "6", None, key),
         ("Fish", "Mullus", None, None, "09:30", "6", None, key),
@@ -254,7 +285,7 @@ def test_strict_day_build_stops_on_mismatch(spark, survey):
     plan, grid = survey
     with pytest.raises(SurveyCheckError, match="mismatching identifiers"):
         day_tables(plan, sample_rows(grid, plan), strict=True)
-    ok_plan = plan.filter(F.col("day_folder") != "North Cove 2021-10-26")
+    ok_plan = plan.filter(F.col("day_folder") != "South Jetty 2023-05-03")
     complete, bad = day_tables(ok_plan, sample_rows(grid, ok_plan), strict=True)
     assert bad.count() == 0 and complete.count() > 0
 

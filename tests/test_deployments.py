@@ -1,5 +1,5 @@
 """Deployment side end to end on plan CSVs (A1, P1-P5, P8-P10, G1, J1, G2,
-G6, R1-R3), with fixtures shaped like real plan files (invented names)."""
+G6, R1-R3), on invented plans."""
 
 from __future__ import annotations
 
@@ -12,78 +12,93 @@ from reefcensus.plans.deployment import plan_checks, plan_from_csvs, plan_produc
 from reefcensus.sources.deployments import read_deployments
 from tests.conftest import rows, write_csv
 
-TRANSECTS = """Country,Project,Expedition,Location,Date,SiteID,First Observer,Second Observer
-Israel,Bioblitz,Coastal Blitz 2021,North Cove,26/10/2021,1,Obs One,Obs Two
-,,,,,2,Obs Three,
-,,,,,3,Obs One,Obs Two
-,,,,,,,
-,,,,,,,
+TRANSECTS = """Project,Country,Location,Expedition,Date,First Observer,Second Observer,SiteID,Notes
+ASSEMBLE,Israel,South Jetty,Harbour Watch 2023,03/05/2023,Obs Three,,P7,"calm, clear"
+,,,,,Obs One,Obs Two,P8,
+,,,,,,,,
+,,,,,Obs One,Obs Two,P9,"said ""go"" twice"
 """
 
-TLV = """Project,Expedition,Location,Spot,Date,Fish Observer,Invertebrate Observer,Lat,Lon
-TLV,City Coast Project,City Coast,Blue Spot,8.7.2021,Obs Four,Obs Five,31 01.111,35 02.222
-,,,Harbour Wall  ,,Obs Four,Obs Five,31 01.333,35 02.444
+BEACH = """Project,Spot,Lat,Lon,Location,Expedition,Date,Fish Observer,Invertebrate Observer
+TLV,Pier End  ,30 10.500,31 20.600,Long Beach,Beach Series,14.2.2022,Obs Four,Obs Five
+,Kelp Wall,,,,,,Obs Five,Obs Four
 """
 
-DIVE = """Country,Project,Expedition,Location,Date,Dive,Site,First Observer,Second Observer
-Israel,FunDiversity,Reef Transects 2020,South Cove,17/06/2020,1,1,Obs Six,Obs Seven
-,,,,,2,3,Obs Six,Obs Seven
+DIVE = """Project,Country,Expedition,Date,Location,Dive,Site,First Observer,Second Observer
+FunDiversity,Israel,Reef Watch 2024,9/1/2024,Coral Bay,4,R2,Obs Seven,Obs Six
+,,,,,,R5,Obs Seven,Obs Six
+,,,,,5,R6,Obs Six,Obs Seven
 """
 
-KNOLLS = """Country,Project,Expedition,Location,Date,Knoll,First Observer,Second Observer
-Israel,EcoCamp,Knoll Camp 2020,,15/10/2020,Alpha,Obs One,Obs Two
-,,,,,Beta,Obs One,Obs Two
+KNOLLS = """Project,Expedition,Country,Knoll,Date,Location,First Observer,Second Observer
+EcoCamp,Camp 2023,Israel,Kappa,30.9.2023,,Obs Two,Obs One
+,,,Lambda,,,Obs One,
+,,,Mu,,,Obs Two,Obs One
 """
 
-JUVENILES = """Country,Project,Expedition,Location,Date,Knoll,First Observer,Second Observer,Juveniles First Observer,Juveniles Second Observer
-Israel,Juveniles Knolls,Juvenile Count 2022,East Cove,1.1.2022,K1,Obs One,Obs Two,Obs Eight,Obs Nine
-,,,,,K2,Obs One,Obs Two,Obs Eight,Obs Nine
+JUVENILES = """Project,Country,Expedition,Location,Date,Juveniles First Observer,Juveniles Second Observer,First Observer,Second Observer,Knoll
+Juveniles Knolls,Israel,Young Fish 2024,West Bay,2/12/2024,Obs Eight,Obs Nine,Obs One,Obs Two,J4
+,,,,,,,Obs One,Obs Two,J6
 """
 
-UNSUPPORTED = """Country,Project,Expedition,Location,Date,SiteID,First Observer,Second Observer
-Israel,Night Dive,Other,Elsewhere,1/1/2021,1,Obs One,Obs Two
+UNSUPPORTED = """SiteID,Project,Country,Expedition,Location,Date,First Observer,Second Observer
+5,Night Count,Israel,Other,Elsewhere,7/8/2022,Obs Two,Obs One
 """
 
 
 @pytest.fixture(scope="module")
 def plan_dir(tmp_path_factory):
     d = tmp_path_factory.mktemp("plans")
-    write_csv(d, "Coastal Blitz 2021/north_cove_plan.csv", TRANSECTS)
-    write_csv(d, "City Coast 2021/city_coast_plan.csv", TLV)
-    write_csv(d, "FunDiversity October 2020/transect_plan.csv", DIVE)
-    write_csv(d, "Knoll Camp 2020/knoll_plan.csv", KNOLLS)
-    write_csv(d, "Juvenile Count 2022/Juveniles_East Cove.csv", JUVENILES)
+    write_csv(d, "Harbour Watch 2023/jetty.csv", TRANSECTS)
+    write_csv(d, "Beach/beach.csv", BEACH)
+    write_csv(d, "Reef Watch 2024/reef.csv", DIVE)
+    write_csv(d, "Camp 2023/knolls.csv", KNOLLS)
+    write_csv(d, "Young Fish 2024/young.csv", JUVENILES)
     write_csv(d, "Other/unsupported.csv", UNSUPPORTED)
     return str(d) + "/*/*.csv"
 
 
 def test_scan_binds_by_header_and_fills(spark, plan_dir):
     df = read_deployments(spark, plan_dir)
-    north_cove = df.filter(F.col("file_name") == "north_cove_plan.csv")
-    got = rows(north_cove, "row_idx", "Location", "Date", "SiteID", "First Observer", "Second Observer")
+    jetty = df.filter(F.col("file_name") == "jetty.csv")
+    got = rows(jetty, "row_idx", "Location", "Date", "SiteID", "First Observer", "Second Observer")
+    date = dt.date(2023, 5, 3)
     assert got == [
-        (1, "North Cove", dt.date(2021, 10, 26), "1", "Obs One", "Obs Two"),
-        (2, "North Cove", dt.date(2021, 10, 26), "2", "Obs Three", None),
-        (3, "North Cove", dt.date(2021, 10, 26), "3", "Obs One", "Obs Two"),
-        (4, "North Cove", dt.date(2021, 10, 26), "3", None, None),  # comma-only rows repeat the last id
-        (5, "North Cove", dt.date(2021, 10, 26), "3", None, None),
+        (1, "South Jetty", date, "P7", "Obs Three", None),
+        (2, "South Jetty", date, "P8", "Obs One", "Obs Two"),
+        (3, "South Jetty", date, "P8", None, None),  # comma-only rows repeat the last id
+        (4, "South Jetty", date, "P9", "Obs One", "Obs Two"),
     ]
     tlv = rows(df.filter(F.col("Project") == "TLV"), "Spot", "First Observer", "Lat", "Country", "Date")
-    assert tlv == [("Blue Spot", "Obs Four", "31 01.111", None, dt.date(2021, 7, 8)),
-                   ("Harbour Wall", "Obs Four", "31 01.333", None, dt.date(2021, 7, 8))]
+    assert tlv == [("Kelp Wall", "Obs Five", "30 10.500", None, dt.date(2022, 2, 14)),
+                   ("Pier End", "Obs Four", "30 10.500", None, dt.date(2022, 2, 14))]
     dive = rows(df.filter(F.col("Project") == "FunDiversity"), "SiteID", "Date")
-    assert dive == [("1", dt.date(2020, 6, 17)), ("3", dt.date(2020, 6, 17))]
+    assert dive == [(site, dt.date(2024, 1, 9)) for site in ("R2", "R5", "R6")]
     assert "Dive" not in df.columns
     knolls = rows(df.filter(F.col("Project") == "EcoCamp"), "KnollID", "Location")
-    assert knolls == [("Alpha", None), ("Beta", None)]
+    assert knolls == [("Kappa", None), ("Lambda", None), ("Mu", None)]
+    young = rows(df.filter(F.col("Project") == "Juveniles Knolls"), "KnollID", "Juveniles First Observer",
+                 "Juveniles Second Observer")
+    assert young == [("J4", "Obs Eight", "Obs Nine"), ("J6", "Obs Eight", "Obs Nine")]
+
+
+def test_more_columns(spark, plan_dir, tmp_path):
+    df = read_deployments(spark, plan_dir, more_columns=["Notes"]).filter(F.col("file_name") == "jetty.csv")
+    assert [r["Notes"] for r in df.orderBy("row_idx").collect()] == ["calm, clear"] * 3 + ['said "go" twice']
+    wide = [f"x{i}" for i in range(30)] + ["Project", "Expedition", "Location", "Date", "SiteID", "First Observer",
+                                           "Second Observer", "Country"]
+    values = [str(i) for i in range(30)] + ["ASSEMBLE", "E", "L", "1/2/2023", "Z", "Obs One", "Obs Two", "Israel"]
+    write_csv(tmp_path, "wide.csv", ",".join(wide) + "\r\n" + ",".join(values) + "\r\n")
+    got = read_deployments(spark, str(tmp_path / "wide.csv")).first()
+    assert (got["SiteID"], got["Second Observer"], got["row"]["x29"], len(got["row"])) == ("Z", "Obs Two", "29", 38)
 
 
 def test_checks(spark, plan_dir):
     plan = plan_from_csvs(spark, plan_dir)
     v = plan_checks(plan)
     got = rows(v.withColumn("f", F.element_at(F.split("file", "/"), -1)), "f", "check", "detail")
-    assert ("unsupported.csv", "supported project", "Night Dive") in got
-    assert ("north_cove_plan.csv", "missing observer", "2 / 3") in got
+    assert ("unsupported.csv", "supported project", "Night Count") in got
+    assert ("jetty.csv", "missing observer", "1 / 2") in got
     assert not [g for g in got if g[1].startswith("one ")]
 
 
@@ -98,30 +113,30 @@ def test_surveyor_table_and_manifests(spark, plan_dir):
     plan = plan_from_csvs(spark, plan_dir).filter(F.col("family").isNotNull())
     out = plan_products(plan, _emails(spark))
     sv = out["surveyors"].withColumn("f", F.element_at(F.split("file", "/"), -1))
-    north_cove = {r["spreadsheet_name"]: (r["deployments"], r["emails"]) for r in
-              sv.filter(F.col("f") == "north_cove_plan.csv").collect()}
-    assert north_cove["Obs One and Obs Two"] == (["1", "3"], ["one@reef.example", "two@reef.example"])
+    jetty = {r["spreadsheet_name"]: (r["deployments"], r["emails"]) for r in
+              sv.filter(F.col("f") == "jetty.csv").collect()}
+    assert jetty["Obs One and Obs Two"] == (["P8", "P9"], ["one@reef.example", "two@reef.example"])
     # observers missing on comma-only rows form their own group; missing names
     # match the missing name in the lookup
-    assert north_cove["NA and NA"] == (["3", "3"], ["nobody@reef.example", "nobody@reef.example"])
-    assert north_cove["Obs Three and NA"] == (["2"], [None, "nobody@reef.example"])
+    assert jetty["NA and NA"] == (["P8"], ["nobody@reef.example", "nobody@reef.example"])
+    assert jetty["Obs Three and NA"] == (["P7"], [None, "nobody@reef.example"])
     juv = sv.filter(F.col("Project") == "Juveniles Knolls").first()
     assert juv["spreadsheet_name"] == "Obs One, Obs Two, Obs Eight, and Obs Nine"
-    assert juv["deployments"] == ["K1", "K2"]
+    assert juv["deployments"] == ["J4", "J6"]
     assert juv["emails"] == ["one@reef.example", "two@reef.example", "eight@reef.example", None]
 
     sheets = set(r["sheet"] for r in out["worksheets"].collect())
-    for name in ["Blue Spot - B - Invertebrates", "Blue Spot - A - Fish", "Site 1 - Transect D",
-                 "Site 3 - Transect A - CRYPTIC", "Site 1 - Transect B - TRANSIENTS", "Knoll Alpha",
-                 "Knoll K1", "Juveniles - Knoll K2"]:
+    for name in ["Pier End - B - Invertebrates", "Pier End - A - Fish", "Site P7 - Transect D",
+                 "Site R5 - Transect A - CRYPTIC", "Site R2 - Transect B - TRANSIENTS", "Knoll Kappa",
+                 "Knoll J4", "Juveniles - Knoll J6"]:
         assert name in sheets, name
-    pre = out["worksheets"].filter(F.col("sheet") == "Juveniles - Knoll K2").first()["prefill"]
-    assert pre == ["Obs One", "Obs Two", "Obs Eight", "Obs Nine", "Knoll", "East Cove", "K2"]
-    tlv_pre = out["worksheets"].filter(F.col("sheet") == "Blue Spot - B - Invertebrates").first()["prefill"]
-    assert tlv_pre == ["Obs Four", "Obs Five", "Blue Spot", "B"]
+    pre = out["worksheets"].filter(F.col("sheet") == "Juveniles - Knoll J6").first()["prefill"]
+    assert pre == ["Obs One", "Obs Two", "Obs Eight", "Obs Nine", "Knoll", "West Bay", "J6"]
+    tlv_pre = out["worksheets"].filter(F.col("sheet") == "Pier End - B - Invertebrates").first()["prefill"]
+    assert tlv_pre == ["Obs Four", "Obs Five", "Pier End", "B"]
 
     photos = out["photos"]
-    assert photos.filter(F.col("folder") == "Obs One and Obs Two/1/A").count() == 1
+    assert photos.filter(F.col("folder") == "Obs One and Obs Two/P8/A").count() == 1
     assert photos.filter(F.col("spreadsheet_name").contains("Obs Four")).count() == 0  # TLV takes no photos
     access = out["access"]
     missing = access.filter(F.col("status") == "missing email").count()
@@ -134,9 +149,9 @@ def test_deployment_form(spark):
 
     header = ["Metadata", "Value", "Site", "First Observer", "Second Observer", None]
     body = [["Project", "Bioblitz", "1", "Obs One", "Obs Two", None],
-            ["Expedition", "Coastal Blitz 2022", "2", "Obs Three", None, None],
-            ["Location", "North Cove", None, None, None, None],
-            ["Date", "2022-05-01", None, None, None, None],
+            ["Expedition", "Harbour Watch 2022", "2", "Obs Three", None, None],
+            ["Location", "South Jetty", None, None, None, None],
+            ["Date", "2022-03-09", None, None, None, None],
             [None, "ignored", None, None, None, None]]
     data = [("form", i, r) for i, r in enumerate([header, *body])]
     grid = spark.createDataFrame(data, "sheet string, row_idx int, cells array<string>")
@@ -144,6 +159,6 @@ def test_deployment_form(spark):
     got = rows(plan, "Country", "Project", "Expedition", "Location", "Date", "SiteID", "First Observer",
                "Second Observer")
     assert got == [
-        ("Israel", "Bioblitz", "Coastal Blitz 2022", "North Cove", dt.date(2022, 5, 1), "1", "Obs One", "Obs Two"),
-        ("Israel", "Bioblitz", "Coastal Blitz 2022", "North Cove", dt.date(2022, 5, 1), "2", "Obs Three", None),
+        ("Israel", "Bioblitz", "Harbour Watch 2022", "South Jetty", dt.date(2022, 3, 9), "1", "Obs One", "Obs Two"),
+        ("Israel", "Bioblitz", "Harbour Watch 2022", "South Jetty", dt.date(2022, 3, 9), "2", "Obs Three", None),
     ]

@@ -21,31 +21,31 @@ def test_sinks_and_incremental_days(spark, tmp_path):
     publish_metadata(plan, str(out / "metadata"))
     meta = read_published_metadata(spark, str(out / "metadata"))
     assert meta.count() == plan.count()
-    assert read_published_metadata(spark, str(out / "metadata"), expedition="Knoll Camp 2020").count() == 3
+    assert read_published_metadata(spark, str(out / "metadata"), expedition="Camp 2023").count() == 3
 
     complete, bad = day_tables(meta, sample_rows(grid, meta))
     write_day_complete(complete, str(out / "complete"))
     stored = read_complete_days(spark, str(out / "complete"))
     days = rows(complete_days(stored), "expedition", "day_folder")
-    assert days == [("City Coast Project", "City Coast 2021-11-07"), ("Knoll Camp 2020", "NA 2020-10-15")]
-    assert join_days(stored, "Knoll Camp 2020").count() == 6  # Beta is planned twice
+    assert days == [("Beach Series", "Long Beach 2022-02-14"), ("Camp 2023", "NA 2023-09-30")]
+    assert join_days(stored, "Camp 2023").count() == 6  # Kappa is planned twice
 
-    # Only days without a stored table are rebuilt (here: the North Cove day,
+    # Only days without a stored table are rebuilt (here: the South Jetty day,
     # which still mismatches), stored days are stacked unchanged
     exp, bad2 = expedition_table(meta, grid, stored)
-    assert rows(bad2.select("day_folder").distinct(), "day_folder") == [("North Cove 2021-10-26",)]
+    assert rows(bad2.select("day_folder").distinct(), "day_folder") == [("South Jetty 2023-05-03",)]
     assert exp.count() == stored.count()
 
     write_expedition(exp, str(out / "expedition"))
     assert spark.read.parquet(str(out / "expedition")).count() == exp.count()
-    folder = write_backup(exp.drop("obs"), str(out / "backups"), "Knoll Camp 2020")
+    folder = write_backup(exp.drop("obs", "metadata", "row"), str(out / "backups"), "Camp 2023")
     back = spark.read.option("header", True).csv(folder)
     assert back.select("Flag").distinct().first()["Flag"].startswith("This is a local backup")
-    archive_deployments(plan.drop("family"), str(out / "archive"))
+    archive_deployments(plan.drop("family", "row"), str(out / "archive"))
     assert any(p.startswith("Expedition=") for p in os.listdir(out / "archive"))
 
     # dynamic overwrite: rewriting one day leaves the other days in place
-    write_day_complete(complete.filter(F.col("expedition") == "Knoll Camp 2020"), str(out / "complete"))
+    write_day_complete(complete.filter(F.col("expedition") == "Camp 2023"), str(out / "complete"))
     assert read_complete_days(spark, str(out / "complete")).count() == complete.count()
 
 
@@ -59,7 +59,7 @@ def test_streaming_day_builds(spark, tmp_path):
     q.awaitTermination(300)
     done = spark.read.parquet(str(out / "complete"))
     assert rows(done.select("day_folder").distinct(), "day_folder") == [
-        ("City Coast 2021-11-07",), ("NA 2020-10-15",)]
+        ("Long Beach 2022-02-14",), ("NA 2023-09-30",)]
     status = spark.read.parquet(str(out / "mismatch"))
     assert status.filter(F.col("check") != "ok").count() == 1
     assert status.filter(F.col("check") == "ok").count() == 2
@@ -70,20 +70,20 @@ def test_streaming_day_builds(spark, tmp_path):
     assert spark.read.parquet(str(out / "complete")).count() == done.count()
     # the missing sheet of the mismatching day arrives: only that day is
     # rebuilt, from its old and new sheets together
-    write_csv(tmp_path / "drive" / "sheets", "Coastal Blitz 2021/North Cove 2021-10-26/Obs One and Obs Two/"
-              "Site 3 - Transect B.csv",
-              paired_sheet([("First Observer", "Obs One"), ("Second Observer", "Obs Two"), ("Site", "3")],
+    write_csv(tmp_path / "drive" / "sheets", "Harbour Watch 2023/South Jetty 2023-05-03/Obs One and Obs Two/"
+              "Site 9 - Transect B.csv",
+              paired_sheet([("First Observer", "Obs One"), ("Second Observer", "Obs Two"), ("Site", "9")],
                            [["Obs One", "Serranus", "1", "9", None, None, None, None]]))
     q3 = start_day_builds(spark, sheets, str(out / "metadata"), str(out / "grid"), str(out / "complete"),
                           str(out / "mismatch"), name=f"t{os.getpid()}")
     q3.awaitTermination(300)
     after = spark.read.parquet(str(out / "complete"))
-    north = after.filter(F.col("day_folder") == "North Cove 2021-10-26")
+    north = after.filter(F.col("day_folder") == "South Jetty 2023-05-03")
     assert sorted(r["Species"] for r in north.collect()) == ["Diplodus", "Mullus", "Serranus", "Sparisoma",
                                                              "Thalassoma"]
-    assert after.filter(F.col("day_folder") != "North Cove 2021-10-26").count() == done.count()
+    assert after.filter(F.col("day_folder") != "South Jetty 2023-05-03").count() == done.count()
     mism = spark.read.parquet(str(out / "mismatch"))
-    assert rows(mism.filter(F.col("day_folder") == "North Cove 2021-10-26"), "check") == [("ok",)]
+    assert rows(mism.filter(F.col("day_folder") == "South Jetty 2023-05-03"), "check") == [("ok",)]
 
 
 def test_ingest_and_publish(spark, tmp_path):
@@ -100,3 +100,54 @@ def test_ingest_and_publish(spark, tmp_path):
     checks = publish_plans(spark, str(tmp_path / "drive" / "plans") + "/*/*.csv", str(tmp_path / "meta"),
                            str(tmp_path / "archive"))
     assert rows(checks.select("check").distinct(), "check") == [("missing observer",)]
+
+
+def test_partition_columns_stay_text(spark, tmp_path):
+    from reefcensus.sources.worksheets import read_grid, write_grid
+
+    keys = [("007", "2021-10-26"), ("2021", "12"), ("a", "1.50")]
+    data = [(e, d, "s", "t", 0, ["x"]) for e, d in keys]
+    df = spark.createDataFrame(data, "expedition string, day_folder string, spreadsheet string, sheet string, "
+                                     "row_idx int, cells array<string>")
+    write_grid(df, str(tmp_path / "grid"))
+    assert rows(read_grid(spark, str(tmp_path / "grid")), "expedition", "day_folder") == keys
+    assert read_grid(spark, str(tmp_path / "grid"), expedition="007").count() == 1
+
+
+def test_archives_are_kept(spark, tmp_path):
+    df = spark.createDataFrame([("E", None, "say ""hi"", ok")], "Expedition string, Location string, note string")
+    df = df.withColumn("Date", F.lit("2021-01-01").cast("date"))
+    for _ in range(2):
+        archive_deployments(df, str(tmp_path / "a"))
+    folder = tmp_path / "a" / "Expedition=E"
+    assert os.listdir(folder) == ["day_folder=NA 2021-01-01"]
+    assert len(os.listdir(folder / "day_folder=NA 2021-01-01")) == 2
+
+
+def test_expedition_build_skips_and_joins(spark, tmp_path):
+    from reefcensus.plans.days import build_expedition, join_expedition
+
+    plan, grid = build_survey(spark, tmp_path / "drive")
+    complete, table = str(tmp_path / "complete"), str(tmp_path / "expeditions")
+    bad = build_expedition(spark, plan, grid, complete, table, str(tmp_path / "backup"))
+    assert rows(bad, "day_folder") == [("South Jetty 2023-05-03",)]
+    n = spark.read.parquet(table).count()
+    assert n == spark.read.parquet(complete).count() > 0 and os.listdir(tmp_path / "backup")
+    first = {f.name for f in (tmp_path / "complete").rglob("*.parquet")}
+    build_expedition(spark, plan, grid, complete, table)  # nothing new: the stored days stay as they are
+    assert {f.name for f in (tmp_path / "complete").rglob("*.parquet")} == first
+    assert spark.read.parquet(table).count() == n
+    join_expedition(spark, complete, str(tmp_path / "one"), "Camp 2023")
+    assert spark.read.parquet(str(tmp_path / "one")).count() == 6
+
+
+def test_lookups_bind_by_name(spark, tmp_path):
+    from reefcensus.sources.lookups import prune_day_folders, read_species_traits, read_surveyor_emails
+
+    write_csv(tmp_path, "e.csv", "email,Club,FullName\n a@reef.example ,x,Obs One \n")
+    assert rows(read_surveyor_emails(spark, str(tmp_path / "e.csv")), "FullName", "email") == [
+        ("Obs One", "a@reef.example")]
+    write_csv(tmp_path, "t.csv", "IUCN,Species,a,b\nLC, Mullus ,0.5,x\n")
+    assert rows(read_species_traits(spark, str(tmp_path / "t.csv")), "Species", "a", "b") == [("Mullus", 0.5, None)]
+    days = spark.createDataFrame([("EXPEDITION DATA",), ("D 1",)], "day_folder string")
+    assert rows(prune_day_folders(days), "day_folder") == [("D 1",)]

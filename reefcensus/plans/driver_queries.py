@@ -404,15 +404,16 @@ def season_q(spark, sf):
 # ---------------------------------------------------------------- J4, P20
 def _traits(spark, sf) -> DataFrame:
     p = load(spark, sf, "part")
-    return p.filter(F.col("p_size") != 1).select(
-        F.col("p_partkey").cast("string").alias("Species"),
+    # species that no observation names: another key, not fewer rows
+    return p.select(
+        F.concat(F.when(F.col("p_size") == 1, "no ").otherwise(""), F.col("p_partkey").cast("string")).alias("Species"),
         (F.col("p_retailprice") / 99991).alias("a"), (F.col("p_size") / 23.0).alias("b"),
         F.when(F.col("p_size") > 40, "VU").otherwise("LC").alias("IUCN"))
 
 
-_TRAITS_SQL = ("(SELECT CAST(p_partkey AS VARCHAR) AS \"Species\", p_retailprice / 99991 AS a, "
+_TRAITS_SQL = ("(SELECT CASE WHEN p_size = 1 THEN 'no ' ELSE '' END || CAST(p_partkey AS VARCHAR) AS \"Species\", p_retailprice / 99991 AS a, "
                "p_size / 23.0 AS b, CASE WHEN p_size > 40 THEN 'VU' ELSE 'LC' END AS \"IUCN\" "
-               "FROM part WHERE p_size <> 1)")
+               "FROM part)")
 
 
 @query("trait_weight", f"""
@@ -712,8 +713,8 @@ def invert_metadata_q(spark, sf):
 
 # ---------------------------------------------------------------- J1, G2, G6
 def _email_table(spark, sf) -> DataFrame:
-    p = load(spark, sf, "part").filter(F.col("p_size") > 10).select(
-        F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("FullName"),
+    p = load(spark, sf, "part").select(
+        F.concat(F.when(F.col("p_size") > 10, "P").otherwise("Q"), F.col("p_partkey").cast("string")).alias("FullName"),
         F.concat(F.regexp_replace("p_name", " ", "."), F.lit("@reef.example")).alias("email"))
     s = load(spark, sf, "supplier").select(
         F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("FullName"),
@@ -722,8 +723,9 @@ def _email_table(spark, sf) -> DataFrame:
     return p.unionByName(s)
 
 
-_EMAILS_SQL = """(SELECT 'P' || CAST(p_partkey AS VARCHAR) AS "FullName", replace(p_name, ' ', '.') || '@reef.example' AS email
-  FROM part WHERE p_size > 10
+_EMAILS_SQL = """(SELECT CASE WHEN p_size > 10 THEN 'P' ELSE 'Q' END || CAST(p_partkey AS VARCHAR) AS "FullName",
+         replace(p_name, ' ', '.') || '@reef.example' AS email
+  FROM part
   UNION ALL
   SELECT 'S' || CAST(s_suppkey AS VARCHAR), CASE WHEN s_acctbal > 0 THEN lower(replace(s_name, '#', '.')) || '@reef.example' END
   FROM supplier)"""
@@ -817,8 +819,8 @@ def site_number(spark, sf):
 # ---------------------------------------------------------------- J6, G3-G5, J7, J8
 def _legend(spark, sf) -> DataFrame:
     p = load(spark, sf, "part")
-    brands = p.select("p_brand").distinct().filter(F.col("p_brand") != "Brand#2").select(
-        F.col("p_brand").alias("Code"), F.concat(F.lit("Cat "), F.length("p_brand").cast("string")).alias("Value"))
+    brands = p.select("p_brand").distinct().select(
+        F.concat("p_brand", F.when(F.col("p_brand") == "Brand#2", "?").otherwise("")).alias("Code"), F.concat(F.lit("Cat "), F.length("p_brand").cast("string")).alias("Value"))
     extra = spark.createDataFrame([("Brand#99", "Unused"), (None, "Blank")], "Code string, Value string")
     return brands.unionByName(extra)
 
@@ -826,8 +828,9 @@ def _legend(spark, sf) -> DataFrame:
 @query("legend_right_join", """
 SELECT p.p_partkey, coalesce(p.code, lg."Code") AS "Code", lg."Value"
 FROM (SELECT p_partkey, nullif(p_brand, 'Brand#1') AS code FROM part) p
-RIGHT JOIN (SELECT DISTINCT p_brand AS "Code", 'Cat ' || CAST(length(p_brand) AS VARCHAR) AS "Value"
-            FROM part WHERE p_brand <> 'Brand#2'
+RIGHT JOIN (SELECT DISTINCT p_brand || CASE WHEN p_brand = 'Brand#2' THEN '?' ELSE '' END AS "Code",
+                   'Cat ' || CAST(length(p_brand) AS VARCHAR) AS "Value"
+            FROM part
             UNION ALL SELECT 'Brand#99', 'Unused' UNION ALL SELECT NULL, 'Blank') lg
   ON p.code IS NOT DISTINCT FROM lg."Code"
 """)

@@ -23,6 +23,9 @@ from reefcensus.llm.token_files import token_file_index
 #: SQL cannot express the stages after the first; tests/llm/test_pipeline.py
 #: holds a brute-force version
 ORACLE_SQL = None
+#: the near-duplicate stage; op3 has values of its own
+STAGE_SHINGLE = 5
+STAGE_PERCENT = 80
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,8 +34,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of the n-gram Jaccard join."""
-    return keep_one(docs)
+    """One document of each group of the n-gram Jaccard join, on five-word
+    shingles from a Jaccard of 0.8 on."""
+    return keep_one(docs, size=STAGE_SHINGLE, percent=STAGE_PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -205,10 +205,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return linked.unionByName(alone).select("rid", "doc_id", "n_shingles", "component", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
+             percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that are first in their group: smallest id, then
     first row. Texts without words are groups of their own."""
-    groups = jaccard_components(docs, id_col, text_col)
+    groups = jaccard_components(docs, id_col, text_col, size, percent)
     first = groups.groupBy("component").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first"))
     kept = first.select(F.col("first.rid").alias("kept_rid"))

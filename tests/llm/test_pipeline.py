@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import random
 import zlib
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers
@@ -48,3 +50,37 @@ def test_stages_of_nothing(spark, tmp_path):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF_DIR).count() == 0
+
+
+def five_word_groups(texts):
+    def shingles(text):
+        w = brute.words(text)
+        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} if w else set()
+
+    sets = [shingles(t) for t in texts]
+    return brute.groups(len(sets), [
+        (a, b) for a, b in combinations(range(len(sets)), 2) if sets[a] and sets[b]
+        and 100 * (i := len(sets[a] & sets[b])) >= 80 * (len(sets[a]) + len(sets[b]) - i)])
+
+
+def test_near_duplicate_stage_takes_five_words_and_80_percent(spark, tmp_path):
+    rng = random.Random(11)
+    base = [f"w{rng.randint(0, 5000)}" for _ in range(300)]
+    added = base + [f"x{i}" for i in range(60)]  # 0.83 on any shingles
+    changed = base.copy()
+    for i in (50, 100, 150, 200, 250):  # 0.85 on five words, 0.90 on three
+        changed[i] = f"y{i}"
+    far = base + [f"z{i}" for i in range(90)]  # 0.77
+    short = [base[:k] for k in (3, 4, 5)]
+    texts = [" ".join(w) for w in (base, added, changed, far, *short, base[:4])] + [None, "", ""]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "t"))
+    kept = corpus_pipeline.near_duplicates(spark, spark.read.parquet(str(tmp_path / "t")), SF_DIR)
+    root = five_word_groups(texts)
+    assert root[1] == root[2] == 0 and root[3] == 3 and root[7] == 5
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(root))
+
+
+def test_pipeline_matches_brute_force_of_five_words(spark, monkeypatch):
+    monkeypatch.setattr(brute, "jaccard", lambda texts: (None, five_word_groups(texts)))
+    test_pipeline_matches_brute_force(spark)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .kernel import BASE, PUNCTUATION, Words, chunks, mix, powers, text_buffer
-from .store import materialize, with_row_id
+from .store import materialize, whole_rows, with_row_id
 
 SEED = 5
 COVERAGE = 0.8
@@ -155,12 +155,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     go to the tasks in slices of bounded bytes, each against all documents,
     so documents are not shuffled for one slice.
     """
-    spark = docs.sparkSession
     rows = with_row_id(docs, docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    return _decontaminate(rows, benchmark, item_col, item_text, coverage)
+
+
+def _decontaminate(rows: DataFrame, benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text",
+                   coverage: float = COVERAGE) -> DataFrame:
+    """``decontaminate`` of ``(rid, doc_id, text)``."""
+    spark = rows.sparkSession
     items = benchmark.select(benchmark[item_col].cast("long").alias("item_id"), benchmark[item_text].alias("text")) \
         .filter("item_id is not null and text is not null")
     total = items.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
     slices = max(1, -(-2 * total // SLICE_BYTES))
+    if slices > 1:  # every slice meets the same numbers
+        rows = materialize(rows, "rows", "zstd")
     found = None
     for k in range(slices):
         own = items if slices == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == k)
@@ -179,8 +187,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return found.withColumn("contaminated", F.col("n_items") > 0)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      **options) -> DataFrame:
     """The rows of ``docs`` that hold no test item."""
-    bad = decontaminate(docs, benchmark, **options).filter("contaminated").select("rid")
-    whole = docs.select(F.monotonically_increasing_id().alias("rid"), F.struct("*").alias("row"))
+    whole = whole_rows(docs)
+    rows = whole.select("rid", F.col(f"row.`{id_col}`").cast("long").alias("doc_id"),
+                        F.col(f"row.`{text_col}`").alias("text"))
+    bad = _decontaminate(rows, benchmark, **options).filter("contaminated").select("rid")
     return whole.join(bad, "rid", "left_anti").select("row.*")

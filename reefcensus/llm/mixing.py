@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .store import materialize, with_row_id
+from .store import materialize, whole_rows, with_row_id
 
 #: hash bits, and the bits that each refinement looks at
 HASH_BITS = 60
@@ -81,9 +81,16 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     source of its own; sources are few (one row each fits a task), their rows
     are not. An empty table gives no rows.
     """
-    base = with_row_id(docs, docs[id_col].alias("doc_id"), docs[source_col].alias("source"),
-                       word_count(docs[text_col]).alias("size"), doc_hash(docs[id_col]).alias("h"),
-                       F.xxhash64(docs[text_col]).alias("h2")).withColumn("h3", F.xxhash64("rid"))
+    rows = with_row_id(docs, docs[id_col].alias("doc_id"), docs[source_col].alias("source"),
+                       docs[text_col].alias("text"))
+    return _mix(rows, weights, max_repeat)
+
+
+def _mix(texts: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
+    """``mix_sources`` of ``(rid, doc_id, source, text)``."""
+    base = texts.select("rid", "doc_id", "source", word_count(texts["text"]).alias("size"),
+                        doc_hash(texts["doc_id"]).alias("h"), F.xxhash64("text").alias("h2"),
+                        F.xxhash64("rid").alias("h3"))
     rows = materialize(base, "mix")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = targets(sizes, weights, max_repeat)
@@ -142,8 +149,11 @@ def _null_safe(left: DataFrame, right: DataFrame, extra: Column) -> DataFrame:
     return left.join(r, left["source"].eqNullSafe(r["r_source"]) & extra).drop("r_source")
 
 
-def take_mix(docs: DataFrame, **options) -> DataFrame:
+def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+             **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
-    mix = mix_sources(docs, **options).filter("copies > 0").select("rid", "copies")
-    whole = docs.select(F.monotonically_increasing_id().alias("rid"), F.struct("*").alias("row"))
+    whole = whole_rows(docs)
+    rows = whole.select("rid", *[F.col(f"row.`{c}`").alias(name) for c, name in
+                                 ((id_col, "doc_id"), (source_col, "source"), (text_col, "text"))])
+    mix = _mix(rows, **options).filter("copies > 0").select("rid", "copies")
     return whole.join(mix, "rid").select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .kernel import Words, by_key, chunks, mix, text_buffer
-from .store import materialize, with_row_id
+from .store import materialize, stored_rows, whole_rows
 
 SHINGLE = 3
 PERCENT = 90
@@ -171,9 +171,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Groups of documents with common prefix shingles are product blocks; a
     group over ``BLOCK_DOCS`` documents is dealt into tiles, and every pair of
     tiles is a block, so no task holds more than two tiles of texts and no
-    pair is lost. ``docs`` must be a stored table (row ids are read twice).
+    pair is lost. The numbered texts are written once and read twice.
     """
-    rows = with_row_id(docs, docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    rows = stored_rows(docs, docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    return _components(rows, size, percent)
+
+
+def _components(rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """``jaccard_components`` of stored ``(rid, doc_id, text)``."""
     sets = materialize(rows.mapInArrow(lambda it: _sets(it, size, percent), SETS_SCHEMA), "sets")
     cols = materialize(_candidates(sets, percent), "columns")
     lead = cols.groupBy("h").agg(F.min("rid").alias("b"), F.count("*").alias("held")).filter("held > 1")
@@ -209,9 +214,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
              percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that are first in their group: smallest id, then
     first row. Texts without words are groups of their own."""
-    groups = jaccard_components(docs, id_col, text_col, size, percent)
+    whole = whole_rows(docs)
+    groups = _components(whole.select("rid", F.col(f"row.`{id_col}`").cast("long").alias("doc_id"),
+                                      F.col(f"row.`{text_col}`").alias("text")), size, percent)
     first = groups.groupBy("component").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first"))
-    kept = first.select(F.col("first.rid").alias("kept_rid"))
-    whole = docs.select(F.monotonically_increasing_id().alias("kept_rid"), F.struct("*").alias("row"))
-    return whole.join(kept, "kept_rid", "left_semi").select("row.*")
+    return whole.join(first.select("first.rid"), "rid", "left_semi").select("row.*")

@@ -15,19 +15,29 @@ def scratch_path(spark, label: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back.
 
     The lineage ends in committed files, so an executor lost later costs no
     recomputation, and every reader sees the same rows.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def with_row_id(docs: DataFrame, *cols: str) -> DataFrame:
-    """The named columns plus ``rid``, a row number that depends only on the
-    input's partitions, so a recomputed partition gives the same ids. Pass a
-    stored table: partitions of a shuffled input may differ between reads."""
+    """The named columns plus ``rid``, a row number. The number depends on how
+    the scan is split, which each job plans anew: it holds within one job
+    only. What several jobs read takes ``stored_rows``."""
     return docs.select(F.monotonically_increasing_id().alias("rid"), *cols)
+
+
+def stored_rows(docs: DataFrame, *cols) -> DataFrame:
+    """``with_row_id``, written once, so that all jobs see the same numbers."""
+    return materialize(with_row_id(docs, *cols), "rows", "zstd")
+
+
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """``(rid, row)``, written once: ``row`` holds all columns of ``docs``."""
+    return stored_rows(docs, F.struct("*").alias("row"))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .kernel import CHUNK, by_key, chunks, mix, powers, prefix_hashes, range_hashes, text_buffer
-from .store import materialize, with_row_id
+from .store import materialize, stored_rows
 
 LENGTH = 200
 GRAM = 40
@@ -325,10 +325,10 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     UTF-8. Repeated rows remove each other. Copies of a segment are counted,
     combined before the shuffle; only one of each goes to the suffix array.
     A group of more than ``GROUP_SEGMENTS`` different segments is compared by
-    128 bits of hashes per window, dealt out by those. ``docs`` must be a
-    stored table (it is read three times, with the same row ids).
+    128 bits of hashes per window, dealt out by those. The
+    numbered texts are written once and read three times.
     """
-    rows = with_row_id(docs, docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    rows = stored_rows(docs, docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     found = rows.select("rid", "text").mapInArrow(_segment_rows, "ah long, sh long, rid long, place long")
     shared = found.groupBy("ah").agg(F.count("*").alias("n"), F.min("sh").alias("low"), F.max("sh").alias("high")) \
         .filter("n > 1").select("ah", (F.col("low") != F.col("high")).alias("differ"))

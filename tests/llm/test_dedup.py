@@ -160,3 +160,11 @@ def test_odd_lines(docs, corpus):
     got = duplicate_lines(docs).collect()
     assert len(got) == len(corpus)
     assert sorted(r["n_lines"] for r in got) == sorted(0 if r[1] is None else r[1].count("\n") + 1 for r in corpus)
+
+
+def test_short_lines_go_too(spark, tmp_path):
+    rows = [(1, "All rights reserved.\n漢字かな\n---\n\nHome"), (2, "home\nALL RIGHTS RESERVED\n***\n\n漢字かな"),
+            (3, "Not the same\nhome home")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "t"))
+    got = {r["doc_id"]: r["removed"] for r in duplicate_lines(spark.read.parquet(str(tmp_path / "t"))).collect()}
+    assert got == {1: [], 2: [0, 1, 4], 3: []}

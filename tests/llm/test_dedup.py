@@ -8,7 +8,7 @@ import pytest
 
 from reefcensus.llm import ngram_join, suffix_dedup
 from reefcensus.llm.components import connected_components
-from reefcensus.llm.line_dedup import drop_lines, duplicate_lines, near_simhashes
+from reefcensus.llm.line_dedup import drop_lines, duplicate_lines, near_simhashes, with_simhash
 from reefcensus.llm.ngram_join import jaccard_components, keep_one
 from reefcensus.llm.suffix_dedup import SuffixOrder, suffix_dedup as dedup
 
@@ -168,3 +168,16 @@ def test_short_lines_go_too(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "t"))
     got = {r["doc_id"]: r["removed"] for r in duplicate_lines(spark.read.parquet(str(tmp_path / "t"))).collect()}
     assert got == {1: [], 2: [0, 1, 4], 3: []}
+
+
+def test_long_lines_have_a_simhash(spark, tmp_path):
+    text = "an be co "
+    lines = spark.createDataFrame([(1, (text * 5000).strip()), (2, (text * 6000).strip())], "k long, norm string")
+    sims = {r["k"]: r["sim"] for r in with_simhash(lines, ["k"]).collect()}
+    assert sims[1] == sims[2] is not None
+    rng = random.Random(10)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(17_000)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:9000], "changed", *words[9001:]]))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "t"))
+    got = {r["doc_id"]: r["n_removed"] for r in duplicate_lines(spark.read.parquet(str(tmp_path / "t"))).collect()}
+    assert got == {1: 0, 2: 1}

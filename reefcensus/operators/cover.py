@@ -12,10 +12,17 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reefcensus.operators.grid import cover_points, invert_metadata, padded_rows, quadrat_counts
+from reefcensus.operators.grid import (
+    cover_points,
+    metadata_columns,
+    metadata_map,
+    metadata_pairs,
+    padded_rows,
+    quadrat_counts,
+)
 from reefcensus.operators.grid import legend as legend_block
 from reefcensus.operators.joins import null_safe_join, skew_safe_left_join
-from reefcensus.registry import COVER_CATEGORIES, INVERT_LEGEND_ROWS, POINTS_PER_QUADRAT
+from reefcensus.registry import COVER_CATEGORIES, INVERT_LEGEND_ROWS, INVERT_METADATA_ROWS, POINTS_PER_QUADRAT
 
 
 def legend_join(points: DataFrame, legend: DataFrame, keys: Sequence[str],
@@ -84,7 +91,8 @@ def invertebrate_sheets(grid: DataFrame, keys: Sequence[str], metadata_keys: Seq
                         prepare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Whole invertebrate-sheet reading: metadata block recycled onto every
     quadrat row that has at least one matched code, with percent cover,
-    taxon counts and the species-by-point columns. The padded block rows
+    taxon counts and the species-by-point columns; all its keys stay in the
+    map ``metadata``. The padded block rows
     feed four readers; ``prepare`` (e.g. a checkpoint) is applied to them
     once."""
     padded = padded_rows(grid, keys, 1, INVERT_LEGEND_ROWS[1])
@@ -94,7 +102,9 @@ def invertebrate_sheets(grid: DataFrame, keys: Sequence[str], metadata_keys: Seq
     leg = legend_block(padded, keys).drop("row_idx")
     labelled = legend_join(points.select(*keys, "Quadrate", "Complexity", "Code"), leg, keys)
     cover = cover_percent(labelled, keys, categories)
-    meta = invert_metadata(grid, keys, metadata_keys)
+    # blank keys leave the map, not their sheet
+    pairs = metadata_pairs(grid, keys, rows=INVERT_METADATA_ROWS, drop_blank_keys=False)
+    meta = metadata_columns(metadata_map(pairs, keys), keys, metadata_keys)
     out = meta.join(cover, list(keys), "inner")
     out = cover_with_taxa(out, quadrat_counts(padded, keys), keys)
     return cover_with_species(out, species_by_point(points, keys), keys)

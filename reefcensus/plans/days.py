@@ -33,7 +33,6 @@ from reefcensus.operators.grid import (
     metadata_map,
     odd_observer_widths,
     observer_rows,
-    pivot_metadata,
     recycle_metadata,
 )
 from reefcensus.operators.clean import fill_down
@@ -231,15 +230,16 @@ def older_tlv_rows(grid: DataFrame, meta: DataFrame, keys: Sequence[str] = SHEET
     g = g.filter(F.col("family") == "Tel Aviv Transects").drop("family")
     obs_sheets = prune_sheets(g, exclude=OLDER_SHEET_EXCLUDE)
     quad_sheets = prune_sheets(g, include=OLDER_QUADRAT_SHEET)
-    sheet_meta = pivot_metadata(metadata_pairs(obs_sheets, keys), keys, WORKSHEET_METADATA_KEYS)
+    sheet_meta = metadata_columns(metadata_map(metadata_pairs(obs_sheets, keys), keys), keys, WORKSHEET_METADATA_KEYS)
     sheet_meta = sheet_meta.withColumn("Group", group_flag("sheet"))
     obs = observer_rows(obs_sheets, keys, paired=False, required=OLDER_TLV_OBSERVATION_REQUIRED)
-    obs = obs.select(*keys, "row_idx", *[F.try_element_at("obs", F.lit(n)).alias(n) for n in OLDER_OBS_FIELDS])
+    obs = obs.select(*keys, "row_idx", "obs", *[F.try_element_at("obs", F.lit(n)).alias(n) for n in OLDER_OBS_FIELDS])
     rows = recycle_metadata(sheet_meta, obs, keys)
 
     spreadsheet = [k for k in keys if k != "sheet"]
     join_keys = ["Fish Observer", "Invertebrate Observer", "Site", "Transect", "Quadrate"]
-    qmeta = pivot_metadata(metadata_pairs(quad_sheets, keys), keys, join_keys[:4])
+    qmeta = metadata_columns(metadata_map(metadata_pairs(quad_sheets, keys), keys), keys, join_keys[:4]) \
+        .withColumnRenamed("metadata", "quadrat_metadata")
     qrows = observer_rows(quad_sheets, keys, paired=False, required=())
     qrows = (qrows.withColumn("Quadrate", F.try_element_at("obs", F.lit("Quadrate")))
              .filter(F.col("Quadrate").isNotNull())

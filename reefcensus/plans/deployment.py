@@ -12,7 +12,7 @@ from reefcensus.functions.text import na_text
 from reefcensus.operators.checks import missing_counts, single_value_violations, unsupported_projects
 from reefcensus.operators.clean import any_present, normalise_headings
 from reefcensus.operators.complete import attach_family, metadata_key
-from reefcensus.operators.grid import metadata_pairs, pivot_metadata
+from reefcensus.operators.grid import metadata_columns, metadata_map, metadata_pairs
 from reefcensus.operators.surveyors import (
     access_list,
     photo_manifest,
@@ -85,27 +85,27 @@ FORM_KEYS = ["Country", "Project", "Expedition", "Method", "Location", "Date"]
 
 def form_to_plan(grid: DataFrame, keys: list[str], project: str | None = None) -> DataFrame:
     """A4 + P6 + P12 + P14 + P1 + P2: a deployment form sheet (key/value
-    block in columns 1-2, deployment table from column 3) -> plan rows."""
+    block in columns 1-2, deployment table from column 3) -> plan rows. All
+    keys of the form stay in the map ``metadata``, all cells of a table row in
+    the map ``row``."""
     from reefcensus.operators.grid import observer_rows
 
-    pairs = metadata_pairs(grid, keys)
-    meta = pivot_metadata(pairs, keys, FORM_KEYS)
+    meta = metadata_columns(metadata_map(metadata_pairs(grid, keys), keys), keys, FORM_KEYS)
     meta = meta.withColumn("Date", parse_iso_date("Date"))
     # defaults apply only where the form has no such key at all
-    present = pairs.groupBy(*keys).agg(*[F.max((F.col("k") == c).cast("int")).alias(f"__has_{c}")
-                                         for c in ("Project", "Country")])
-    meta = meta.join(present, list(keys), "left").select(
+    meta = meta.select(
         *[F.col(c) for c in keys],
         *[F.col(c) for c in FORM_KEYS if c not in ("Project", "Country")],
-        F.when(F.col("__has_Project") == 1, F.col("Project")).otherwise(F.lit(project)).alias("Project"),
-        F.when(F.col("__has_Country") == 1, F.col("Country")).otherwise(F.lit(DEFAULT_COUNTRY)).alias("Country"))
+        *[F.when(F.map_contains_key("metadata", c), F.col(c)).otherwise(F.lit(default)).alias(c)
+          for c, default in (("Project", project), ("Country", DEFAULT_COUNTRY))],
+        "metadata")
     rows = observer_rows(grid, keys, paired=False, required=())
     renamed = F.map_filter(F.transform_keys("obs", lambda k, v: _rename_key(k)),
                            lambda k, v: ~k.isin(list(HEADING_DROPS)))
     names = ["SiteID", "KnollID", "Spot", "Lat", "Lon", *OBSERVER_COLUMNS,
              "Juveniles First Observer", "Juveniles Second Observer"]
-    table = rows.select(*keys, "row_idx", renamed.alias("obs"))
-    table = table.select(*keys, "row_idx", *[F.try_element_at("obs", F.lit(n)).alias(n) for n in names])
+    table = rows.select(*keys, "row_idx", renamed.alias("obs"), F.col("obs").alias("row"))
+    table = table.select(*keys, "row_idx", *[F.try_element_at("obs", F.lit(n)).alias(n) for n in names], "row")
     table = any_present(table, [HEADING_RENAMES.get(c, c) for c in DEPLOYMENT_ANY_PRESENT])
     plan = meta.join(table, list(keys), "inner")
     return normalise_headings(plan).select(

@@ -295,3 +295,36 @@ def test_sheet_names_keep_plus_and_spaces(spark, tmp_path):
     g = read_worksheet_csvs(spark, str(tmp_path))
     assert rows(g, "expedition", "day_folder", "spreadsheet", "sheet") == [
         ("Exp A", "Day 1", "Obs One + Obs Two", "Site 1 + 2 - 50%")]
+
+
+def test_invertebrate_sheets_keep_all_metadata_keys(spark, survey):
+    from reefcensus.operators.cover import invertebrate_sheets
+    from reefcensus.operators.grid import SHEET_KEYS
+
+    grid = survey[1].filter(F.col("sheet") == "Pier End - A - Invertebrates")
+    last = F.lit(TLV_METADATA_KEYS[-1])
+    cells = F.when(F.try_element_at("cells", F.lit(1)) == last, F.concat(
+        F.array(F.lit("Weather"), F.lit("10.50")), F.slice("cells", 3, 1000))).otherwise(F.col("cells"))
+    out = invertebrate_sheets(grid.withColumn("cells", cells), SHEET_KEYS, TLV_METADATA_KEYS)
+    got = out.select("metadata", "Transect").collect()
+    assert got and all(r["metadata"]["Weather"] == "10.5" and r["metadata"]["Transect"] == r["Transect"] == "A"
+                       for r in got)
+
+
+def test_older_rows_keep_all_keys_and_fields(spark, tmp_path):
+    write_csv(tmp_path / "plans", "Beach/old_beach.csv",
+              "Spot,Project,Expedition,Location,Date,Fish Observer,Invertebrate Observer\n"
+              "Pier End,TLV,Beach Series,Long Beach,5.8.2020,Obs Four,Obs Five\n")
+    meta = [("Fish Observer", "Obs Four"), ("Invertebrate Observer", "Obs Five"), ("Site", "Pier End"),
+            ("Transect", "A"), ("Weather", "10.50")]
+    inv = [["Metadata", "Value", "Invertebrate|Taxon", "Abundance", "Quadrate", "Colour"],
+           *[[k, v, *o] for (k, v), o in zip(meta, [["Hermodice", "3", "1", "red"], *[[None] * 4] * 4])]]
+    quad = [["Metadata", "Value", "Quadrate", "Sand"],
+            *[[k, v, *o] for (k, v), o in zip(meta, [["1", "50"], *[[None] * 2] * 4])]]
+    day = "sheets/Beach Series/Long Beach 2020-08-05/Obs Four and Obs Five"
+    write_csv(tmp_path, f"{day}/Pier End - A - Invertebrates.csv", sheet_csv(inv))
+    write_csv(tmp_path, f"{day}/Quadrate data.csv", sheet_csv(quad))
+    out = older_tlv_rows(read_worksheet_csvs(spark, str(tmp_path / "sheets")),
+                         plan_from_csvs(spark, str(tmp_path) + "/plans/*/*.csv")).collect()
+    assert [(r["metadata"]["Weather"], r["quadrat_metadata"]["Weather"], r["obs"]["Colour"], r["quadrat_data"]["Sand"])
+            for r in out] == [("10.5", "10.5", "red", "50")]

@@ -162,3 +162,15 @@ def test_deployment_form(spark):
         ("Israel", "Bioblitz", "Harbour Watch 2022", "South Jetty", dt.date(2022, 3, 9), "1", "Obs One", "Obs Two"),
         ("Israel", "Bioblitz", "Harbour Watch 2022", "South Jetty", dt.date(2022, 3, 9), "2", "Obs Three", None),
     ]
+
+
+def test_deployment_form_keeps_all_keys_and_cells(spark):
+    from reefcensus.plans.deployment import form_to_plan
+
+    data = [("form", i, r) for i, r in enumerate([
+        ["Metadata", "Value", "Site", "First Observer", "Tide"], ["Location", "South Jetty", "1", "Obs One", "low"],
+        ["Weather", "10.50", None, None, None], ["Country", None, None, None, None]])]
+    grid = spark.createDataFrame(data, "sheet string, row_idx int, cells array<string>")
+    got = form_to_plan(grid, ["sheet"], project="ASSEMBLE").collect()
+    assert [(r["Country"], r["Project"], r["metadata"]["Weather"], r["row"]["Tide"]) for r in got] == [
+        (None, "ASSEMBLE", "10.5", "low")]

@@ -26,6 +26,8 @@ _LOWER[65:91] += 32
 
 #: byte tables that say what separates words
 SPACES, PUNCTUATION = _SPACE, _PUNCT
+#: A-Z to a-z, other bytes as they are
+LOWER = _LOWER
 
 
 @lru_cache(maxsize=4)
@@ -129,6 +131,12 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK):
         at = min(to, n)
 
 
+def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... (size[0] numbers), then those of start[1], ..."""
+    before = np.cumsum(size) - size
+    return np.repeat(start - before, size) + np.arange(int(size.sum()))
+
+
 def by_key(batches, n_keys: int):
     """Tables of the rows of one key each, from batches sorted by their first
     ``n_keys`` columns."""

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from .decontaminate import decontaminate
 from .lattice import lattice_scores
+from .lexical import LOWERED, TERM, TOP, UPPER, ranked_search
 from .line_dedup import duplicate_lines
 from .mixing import mix_sources
+from .near_vectors import near_vectors
 from .ngram_join import jaccard_components
 from .quality import (
     BOILERPLATE,
@@ -25,12 +27,17 @@ from .secret_scan import scan_secrets
 from .suffix_dedup import suffix_dedup
 from .token_counts import count_tokens
 from .token_files import token_file_index
+from .whitening import whiten
 
 
 def _documents(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _embeddings(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
@@ -81,6 +88,20 @@ def op10_secret_scan(spark, sf_dir):
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+def op11_embedding_whitening(spark, sf_dir):
+    return whiten(_embeddings(spark, sf_dir)).select(
+        "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
+def op12_embedding_near_dedup(spark, sf_dir):
+    return near_vectors(_embeddings(spark, sf_dir)).select("vec_id", "n_links", "component_id", "kept")
+
+
+def op13_ranked_search(spark, sf_dir):
+    return ranked_search(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(
+        "item_id", "rank", "doc_id", "score")
+
+
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_token_counts": op2_token_counts,
@@ -92,6 +113,9 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_lattice_scores": op9_lattice_scores,
     "op10_secret_scan": op10_secret_scan,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_embedding_near_dedup": op12_embedding_near_dedup,
+    "op13_ranked_search": op13_ranked_search,
 }
 _WORDS = r"'[^\x20\x09-\x0D]+'"
 
@@ -146,4 +170,24 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
                                      WHEN (budget - before) / size >= 0.5 THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM m"""
 
-ORACLE = {"op7_quality_rules": OP7_SQL, "op8_mixing": OP8_SQL}
+_TERMS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWERED}'), '{TERM}')"
+OP13_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS w FROM documents),
+c AS (SELECT count(*) FILTER (len(w) > 0) AS docs, sum(len(w))::BIGINT AS terms FROM d),
+i AS (SELECT row_number() OVER () AS item, item_id, list_distinct({_TERMS}) AS w FROM benchmark),
+q AS (SELECT item, item_id, unnest(w) AS term FROM i),
+tf AS (SELECT row, doc_id, n, term, count(*) AS tf
+       FROM (SELECT row, doc_id, len(w) AS n, unnest(w) AS term FROM d)
+       WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+wt AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+       FROM tf, c GROUP BY term),
+p AS (SELECT row, doc_id, term,
+             w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // terms))) AS part
+      FROM tf JOIN wt USING (term), c),
+s AS (SELECT item, item_id, row, doc_id, sum(part)::BIGINT AS score FROM q JOIN p USING (term)
+      GROUP BY item, item_id, row, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank
+      FROM s WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= {TOP}"""
+
+ORACLE = {"op7_quality_rules": OP7_SQL, "op8_mixing": OP8_SQL, "op13_ranked_search": OP13_SQL}

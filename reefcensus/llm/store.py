@@ -23,7 +23,19 @@ def materialize(df: DataFrame, label: str, compression: str | None = None) -> Da
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path, compression=compression)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``materialize`` wrote, through Spark's own file
+    system. Only for tables that no later job reads: what was made of them
+    must be written itself."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def with_row_id(docs: DataFrame, *cols: str) -> DataFrame:

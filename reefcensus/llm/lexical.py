@@ -32,6 +32,8 @@ BLOCK_DOCS = 4096
 SLICE_BYTES = 8 << 20
 #: bytes of postings opened side by side in a task
 OPEN_BYTES = 16 << 20
+#: scores of a block computed side by side
+SCORES_AT_ONCE = 1 << 19
 #: sums below this are exact in doubles
 EXACT = 1 << 53
 
@@ -200,117 +202,124 @@ def build_index(docs: DataFrame, terms: list[str], id_col: str = "doc_id", text_
     return LexicalIndex(blocks, terms, weights, n_docs, n_terms)
 
 
+class _Queries:
+    """Term numbers of the items, one after another; every item has some."""
+
+    def __init__(self, lists: list[list[int]], names: list[int], weights: np.ndarray):
+        self.terms = np.array([t for x in lists for t in x], np.int64)
+        self.sizes = np.array([len(x) for x in lists], np.int64)
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.names, self.weights = np.array(names, np.int32), weights
+
+
 class _Open:
     """One block, ready to be scored."""
 
-    def __init__(self, row: dict, weights: np.ndarray):
-        self.row, self.n_docs = row, len(row["doc_ids"])
-        terms, self.tfs, self.sizes = (np.frombuffer(row[c], "<i4").astype(np.int64)
-                                       for c in ("run_terms", "run_tfs", "run_sizes"))
-        tf, kind = np.unique(self.tfs, return_inverse=True)
-        per_tf = (1_000_000_000 * tf) // (1000 * tf + 20 * row["m"])
-        self.impact = weights[terms] * per_tf[kind]
+    def __init__(self, row: dict, queries: _Queries):
+        self.queries, self.ids, self.postings = queries, row["doc_ids"].values, row["postings"]
+        self.n_docs = len(self.ids)
+        terms, tfs, self.sizes = (np.frombuffer(row[c].as_buffer(), "<i4").astype(np.int64)
+                                  for c in ("run_terms", "run_tfs", "run_sizes"))
+        tf, kind = np.unique(tfs, return_inverse=True)
+        per_tf = (1_000_000_000 * tf) // (1000 * tf + 20 * row["m"].as_py())
+        self.impact = queries.weights[terms] * per_tf[kind]
         first = np.flatnonzero(np.concatenate(([True], terms[1:] != terms[:-1])))
-        self.terms = terms[first]
-        self.best = self.impact[first]
         ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(self.sizes)))
+        self.terms, self.best = terms[first], self.impact[first]
         self.start, self.end = ends[first], ends[np.concatenate((first[1:], [len(terms)]))]
-        self._spread = None
 
-    def bounds(self, queries: _Queries) -> np.ndarray:
+    def bounds(self) -> np.ndarray:
         """The most that a document of the block can score, per item."""
-        best = np.zeros(queries.width, np.int64)
+        best = np.zeros(len(self.queries.weights), np.int64)
         best[self.terms] = self.best
-        return np.add.reduceat(best[queries.terms], queries.first) if len(queries.terms) else np.zeros(0, np.int64)
-
-    def scores(self, terms: np.ndarray, bound: int) -> np.ndarray:
-        if self._spread is None:
-            self._spread = np.repeat(self.impact, self.sizes), np.frombuffer(self.row["postings"], "<u2")
-        impact, docs = self._spread
-        k = np.searchsorted(self.terms, terms)
-        k = k[(k < len(self.terms)) & (self.terms[np.minimum(k, len(self.terms) - 1)] == terms)]
-        at = ranges(self.start[k], self.end[k] - self.start[k])
+        return np.add.reduceat(best[self.queries.terms], self.queries.first)
+
+    def scores(self, items: np.ndarray, bound: int) -> np.ndarray:
+        """Scores of all documents, a row an item."""
+        q = self.queries
+        place = np.full(len(q.weights), -1, np.int64)
+        place[self.terms] = np.arange(len(self.terms))
+        at = place[q.terms[ranges(q.first[items], q.sizes[items])]]
+        row = np.repeat(np.arange(len(items)), q.sizes[items])[at >= 0]
+        at = at[at >= 0]
+        size = self.end[at] - self.start[at]
+        posting = ranges(self.start[at], size)
+        cell = np.repeat(row, size) * self.n_docs
+        cell += np.frombuffer(self.postings.as_buffer(), "<u2")[posting]
+        impact = np.repeat(self.impact, self.sizes)[posting]
         if bound < EXACT:
-            return np.bincount(docs[at], impact[at], self.n_docs).astype(np.int64)
-        out = np.zeros(self.n_docs, np.int64)
-        np.add.at(out, docs[at], impact[at])
-        return out
-
-    def ids(self) -> tuple[np.ndarray, np.ndarray]:
-        """Document ids, and which of them are null."""
-        ids = self.row["doc_ids"]
-        none = np.array([i is None for i in ids], bool)
-        return np.array([0 if i is None else i for i in ids], np.int64), none
-
-
-class _Queries:
-    """Term numbers of the items, one after another."""
-
-    def __init__(self, lists: list[list[int]], weights: np.ndarray):
-        self.lists = [np.array(sorted(x), np.int64) for x in lists]
-        self.terms = np.concatenate(self.lists) if lists else np.zeros(0, np.int64)
-        self.first = np.cumsum([0, *map(len, lists)])[:-1]
-        self.width = len(weights)
+            out = np.bincount(cell, impact, len(items) * self.n_docs).astype(np.int64)
+        else:
+            out = np.zeros(len(items) * self.n_docs, np.int64)
+            np.add.at(out, cell, impact)
+        return out.reshape(len(items), self.n_docs)
 
 
 class _Best:
-    """The ``top`` best documents of one item so far: highest score, then
-    smallest id, nulls last."""
-
-    def __init__(self, top: int, least: int):
-        self.top, self.least, self.held = top, max(1, least), []
-
-    def add(self, scores: np.ndarray, ids: np.ndarray, none: np.ndarray) -> None:
-        at = np.flatnonzero(scores >= self.least)
-        if not len(at):
-            return
-        self.held.append((scores[at], ids[at], none[at]))
-        if sum(len(h[0]) for h in self.held) > 4 * self.top:
+    """The ``top`` best documents of each item so far: highest score, then
+    smallest id, nulls last. ``least`` is what a score must reach."""
+
+    def __init__(self, top: int, least: np.ndarray):
+        self.top, self.least = top, least.copy()
+        self.held, self.size = [], 0
+
+    def add(self, items: np.ndarray, scores: np.ndarray, ids: pa.Array) -> None:
+        floor = self.least[items]
+        if scores.shape[1] > self.top:
+            floor = np.maximum(floor, np.partition(scores, -self.top, axis=1)[:, -self.top])
+        row, doc = np.nonzero(scores >= floor[:, None])
+        if len(row):
+            none = ids.is_null().to_numpy(zero_copy_only=False)[doc]
+            self.held.append((items[row], scores[row, doc], none, ids.fill_null(0).to_numpy()[doc]))
+            self.size += len(row)
+        if self.size > 8 * self.top * len(self.least):
             self.cut()
 
     def cut(self) -> None:
-        if self.held:
-            score, ids, none = (np.concatenate(x) for x in zip(*self.held))
-            order = np.lexsort((ids, none, -score))[: self.top]
-            self.held = [(score[order], ids[order], none[order])]
-            if len(order) == self.top:
-                self.least = max(self.least, int(score[order[-1]]))
-
-
-def _visit(batches, queries: _Queries, weights: np.ndarray, top: int, least: list[int], probe: bool,
-           names: list[int]):
-    """The best documents of a task's blocks, per item, under the item's name. A ``probe`` opens, of
-    each group of blocks, only those with the highest bounds until they hold
-    ``top`` documents."""
-    best = [_Best(top, x) for x in least]
+        if not self.held:
+            return
+        item, score, none, ids = (np.concatenate(x) for x in zip(*self.held))
+        order = np.lexsort((ids, none, -score, item))
+        first = np.searchsorted(item[order], np.arange(len(self.least)))
+        place = np.arange(len(order)) - first[item[order]]
+        last = order[place == self.top - 1]
+        self.least[item[last]] = np.maximum(self.least[item[last]], score[last])
+        order = order[place < self.top]
+        self.held, self.size = [(item[order], score[order], none[order], ids[order])], len(order)
+
+
+def _visit(batches, queries: _Queries, top: int, least: np.ndarray, probe: bool):
+    """The best documents of a task's blocks, per item. Blocks are visited by
+    falling bound, each for the items that it can still serve. A ``probe``
+    opens, of each group of blocks, only an item's most promising ones until
+    they hold ``top`` documents."""
+    best = _Best(top, least)
     for group in _groups(batches):
-        blocks = [_Open(row, weights) for row in group]
-        bounds = np.stack([b.bounds(queries) for b in blocks])
-        ids = [None] * len(blocks)
-        for item, found in enumerate(best):
-            seen = 0
-            for k in np.argsort(-bounds[:, item], kind="stable"):
-                if bounds[k, item] < found.least or probe and seen >= top:
-                    break
-                if ids[k] is None:
-                    ids[k] = blocks[k].ids()
-                found.add(blocks[k].scores(queries.lists[item], int(bounds[k, item])), *ids[k])
-                seen += blocks[k].n_docs
-            found.cut()
-    for item, found in enumerate(best):
-        if found.held:
-            score, ids, none = found.held[0]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(score), names[item], np.int32)), pa.array(ids, mask=none),
-                                              pa.array(score)], names=["item", "doc_id", "score"])
+        blocks = [_Open(row, queries) for row in group]
+        bounds = np.stack([b.bounds() for b in blocks])
+        open_ = np.ones(bounds.shape, bool)
+        if probe:
+            order = np.argsort(-bounds, axis=0, kind="stable")
+            held = np.array([b.n_docs for b in blocks])[order]
+            np.put_along_axis(open_, order, np.cumsum(held, axis=0) - held < top, axis=0)
+        for k in np.argsort(-bounds.max(axis=1), kind="stable"):
+            items = np.flatnonzero(open_[k] & (bounds[k] >= best.least))
+            step = max(1, SCORES_AT_ONCE // blocks[k].n_docs)
+            for lo in range(0, len(items), step):
+                some = items[lo: lo + step]
+                best.add(some, blocks[k].scores(some, int(bounds[k, some].max())), blocks[k].ids)
+    best.cut()
+    for item, score, none, ids in best.held:
+        yield pa.RecordBatch.from_arrays([pa.array(queries.names[item]), pa.array(ids, mask=none), pa.array(score)],
+                                         names=["item", "doc_id", "score"])
 
 
 def _groups(batches):
     held, size = [], 0
     for batch in batches:
         for k in range(batch.num_rows):
-            row = {c: batch.column(i)[k].as_py() for i, c in enumerate(batch.schema.names)}
-            held.append(row)
-            size += len(row["postings"])
+            held.append({c: batch.column(i)[k] for i, c in enumerate(batch.schema.names)})
+            size += len(held[-1]["postings"].as_buffer())
             if size >= OPEN_BYTES:
                 yield held
                 held, size = [], 0
@@ -328,17 +337,15 @@ def search(index: LexicalIndex, items: list[list[str]], top: int = TOP) -> DataF
     every block whose bound is lower.
     """
     number = {t: k for k, t in enumerate(index.terms)}
-    lists = [[number[t] for t in terms] for terms in items]
-    asked = [k for k, x in enumerate(lists) if x]  # an item without terms finds nothing
-    lists, weights = [lists[k] for k in asked], index.weights
-    spark = index.blocks.sparkSession
-    sent = spark.sparkContext.broadcast((lists, weights))
+    asked = [k for k, terms in enumerate(items) if terms]  # an item without terms finds nothing
+    if not asked:
+        return index.blocks.sparkSession.createDataFrame([], "item int, rank int, doc_id long, score long")
+    lists = [[number[t] for t in items[k]] for k in asked]
+    sent = index.blocks.sparkSession.sparkContext.broadcast((lists, asked, index.weights))
 
     def run(least, probe):
-        def visit(batches):
-            lists, weights = sent.value
-            return _visit(batches, _Queries(lists, weights), weights, top, least, probe, asked)
-        return index.blocks.mapInArrow(visit, FOUND_SCHEMA)
+        return index.blocks.mapInArrow(
+            lambda batches: _visit(batches, _Queries(*sent.value), top, np.array(least, np.int64), probe), FOUND_SCHEMA)
 
     def ranked(found):
         order = W.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))

@@ -152,7 +152,7 @@ def brute_whiten(rows, wanted=16):
 
 def test_whitening_matches_brute_force(spark, tmp_path):
     rng = np.random.default_rng(6)
-    rows = odd_vectors(rng, 24)
+    rows = [r for r in odd_vectors(rng, 24) if r[0] != 302]  # so long that it would hide the other directions
     want, values = brute_whiten(rows)
     assert (np.diff(values[:17]) < -1e-6).all()
     got = whiten(vector_rows(spark, tmp_path, rows)).collect()

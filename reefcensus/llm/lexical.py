@@ -32,8 +32,8 @@ BLOCK_DOCS = 4096
 SLICE_BYTES = 8 << 20
 #: bytes of postings opened side by side in a task
 OPEN_BYTES = 16 << 20
-#: scores of a block computed side by side
-SCORES_AT_ONCE = 1 << 19
+#: scores of a block computed side by side, and postings added up at once
+SCORES_AT_ONCE, POSTINGS_AT_ONCE = 1 << 19, 1 << 19
 #: sums below this are exact in doubles
 EXACT = 1 << 53
 
@@ -202,6 +202,12 @@ def build_index(docs: DataFrame, terms: list[str], id_col: str = "doc_id", text_
     return LexicalIndex(blocks, terms, weights, n_docs, n_terms)
 
 
+def _runs(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal numbers start and end."""
+    cut = np.flatnonzero(group[1:] != group[:-1]) + 1
+    return np.concatenate(([0], cut)), np.concatenate((cut, [len(group)]))
+
+
 class _Queries:
     """Term numbers of the items, one after another; every item has some."""
 
@@ -243,16 +249,19 @@ class _Open:
         row = np.repeat(np.arange(len(items)), q.sizes[items])[at >= 0]
         at = at[at >= 0]
         size = self.end[at] - self.start[at]
-        posting = ranges(self.start[at], size)
-        cell = np.repeat(row, size) * self.n_docs
-        cell += np.frombuffer(self.postings.as_buffer(), "<u2")[posting]
-        impact = np.repeat(self.impact, self.sizes)[posting]
-        if bound < EXACT:
-            out = np.bincount(cell, impact, len(items) * self.n_docs).astype(np.int64)
-        else:
-            out = np.zeros(len(items) * self.n_docs, np.int64)
-            np.add.at(out, cell, impact)
-        return out.reshape(len(items), self.n_docs)
+        docs = np.frombuffer(self.postings.as_buffer(), "<u2")
+        impacts = np.repeat(self.impact, self.sizes)
+        cells = len(items) * self.n_docs
+        out = np.zeros(cells, np.float64 if bound < EXACT else np.int64)
+        piece = (np.cumsum(size) - size) // POSTINGS_AT_ONCE
+        for lo, hi in zip(*_runs(piece)):
+            posting = ranges(self.start[at[lo:hi]], size[lo:hi])
+            cell = np.repeat(row[lo:hi] * self.n_docs, size[lo:hi]) + docs[posting]
+            if bound < EXACT:
+                out += np.bincount(cell, impacts[posting], cells)
+            else:
+                np.add.at(out, cell, impacts[posting])
+        return out.astype(np.int64).reshape(len(items), self.n_docs)
 
 
 class _Best:

@@ -109,11 +109,6 @@ def canonical_text(c: str | Column) -> Column:
     return _let(F.trim(_col(c).cast("string")), rule)
 
 
-def canonical_double(c: str | Column) -> Column:
-    """Canonical text of a numeric column (same rendering as canonical_text)."""
-    return _double_text(_col(c).cast("double"))
-
-
 def with_canonical(df, columns: dict[str, str | Column]):
     """Add canonical-text columns (same rule as ``canonical_text``) in staged
     projections: every intermediate value is its own column, so each is

@@ -87,6 +87,26 @@ def fill_down(df: DataFrame, by: Sequence[str], order: str, cols: Sequence[str],
     return filled.filter(F.col(is_row) == 1).drop(is_row)
 
 
+def number_rows(df: DataFrame, by: Sequence[str], order: str, name: str,
+                chunk_rows: int = FILL_CHUNK_ROWS) -> DataFrame:
+    """``name``: the 0-based place of each row in its ``by`` group, in
+    ``order`` (as in ``fill_down``). The rows of each chunk are counted, the
+    counts of earlier chunks enter a chunk as an extra first row, and one
+    window per chunk numbers the rest, so no task holds a hot group."""
+    by_cols = [F.col(f"`{b}`") for b in by]
+    chunk, is_row = "__chunk", "__is_row"
+    base = df.withColumns({chunk: F.floor(F.col(f"`{order}`") / F.lit(chunk_rows)).cast("long"),
+                           is_row: F.lit(1), name: F.lit(1).cast("long")})
+    counts = base.groupBy(*by_cols, F.col(chunk)).agg(F.count(F.lit(1)).alias(name))
+    earlier = Window.partitionBy(*by_cols).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    carry = counts.select(*by_cols, F.col(chunk), F.lit(0).alias(is_row),
+                          F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(name))
+    w = (Window.partitionBy(*by_cols, F.col(chunk)).orderBy(F.col(is_row), F.col(f"`{order}`"))
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    both = base.unionByName(carry, allowMissingColumns=True).withColumn(name, F.sum(name).over(w) - 1)
+    return both.filter(F.col(is_row) == 1).drop(chunk, is_row)
+
+
 def fill_down_except(df: DataFrame, by: Sequence[str], order: str,
                      keep: Sequence[str], chunk_rows: int = FILL_CHUNK_ROWS) -> DataFrame:
     """Fill every column except ``keep`` (observers), the position and groups."""

@@ -7,22 +7,14 @@ J7 cover x taxon counts, J8 cover x species by point.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reefcensus.operators.grid import (
-    cover_points,
-    metadata_columns,
-    metadata_map,
-    metadata_pairs,
-    padded_rows,
-    quadrat_counts,
-)
-from reefcensus.operators.grid import legend as legend_block
+from reefcensus.operators.grid import invert_metadata, quadrat_arrays, sheet_arrays
 from reefcensus.operators.joins import null_safe_join, skew_safe_left_join
-from reefcensus.registry import COVER_CATEGORIES, INVERT_LEGEND_ROWS, INVERT_METADATA_ROWS, POINTS_PER_QUADRAT
+from reefcensus.registry import COVER_CATEGORIES, POINTS_PER_QUADRAT
 
 
 def legend_join(points: DataFrame, legend: DataFrame, keys: Sequence[str],
@@ -87,24 +79,33 @@ def cover_with_species(cover: DataFrame, species_wide: DataFrame, keys: Sequence
 
 
 def invertebrate_sheets(grid: DataFrame, keys: Sequence[str], metadata_keys: Sequence[str],
-                        categories: Sequence[str] = COVER_CATEGORIES,
-                        prepare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                        categories: Sequence[str] = COVER_CATEGORIES) -> DataFrame:
     """Whole invertebrate-sheet reading: metadata block recycled onto every
     quadrat row that has at least one matched code, with percent cover,
     taxon counts and the species-by-point columns; all its keys stay in the
-    map ``metadata``. The padded block rows
-    feed four readers; ``prepare`` (e.g. a checkpoint) is applied to them
-    once."""
-    padded = padded_rows(grid, keys, 1, INVERT_LEGEND_ROWS[1])
-    if prepare is not None:
-        padded = prepare(padded)
-    points = cover_points(padded, keys)
-    leg = legend_block(padded, keys).drop("row_idx")
-    labelled = legend_join(points.select(*keys, "Quadrate", "Complexity", "Code"), leg, keys)
-    cover = cover_percent(labelled, keys, categories)
-    # blank keys leave the map, not their sheet
-    pairs = metadata_pairs(grid, keys, rows=INVERT_METADATA_ROWS, drop_blank_keys=False)
-    meta = metadata_columns(metadata_map(pairs, keys), keys, metadata_keys)
-    out = meta.join(cover, list(keys), "inner")
-    out = cover_with_taxa(out, quadrat_counts(padded, keys), keys)
-    return cover_with_species(out, species_by_point(points, keys), keys)
+    map ``metadata``.
+
+    A sheet is aggregated once; the joins within it (points to legend J6,
+    cover to counts J7 and to species J8) and the counts (G3-G5) are
+    expressions on arrays of at most 19 and 16 entries.
+    """
+    sheets = invert_metadata(sheet_arrays(grid, keys), keys, metadata_keys)
+    quads = quadrat_arrays(sheets, [*keys, "metadata", *metadata_keys])
+    # a value for each point and legend row of its code; blank matches blank
+    values = F.flatten(F.transform("points", lambda p: F.transform(
+        F.filter("legend", lambda row: row["Code"].eqNullSafe(p["Code"])), lambda row: row["Value"])))
+    quads = quads.withColumn("__values", values).filter(F.size("__values") > 0)
+
+    def percent(category: str) -> Column:
+        hits = F.size(F.filter("__values", lambda v: v == category))
+        return (hits * F.lit(100.0) / F.lit(POINTS_PER_QUADRAT)).alias(category)
+
+    def species(point: str) -> Column:
+        return F.try_element_at(F.filter("points", lambda p: p["Point"] == point), F.lit(1))["Species"].alias(point)
+
+    names = [str(i) for i in range(1, POINTS_PER_QUADRAT + 1)]
+    whole = quads.select(*keys, "metadata", *metadata_keys, "Quadrate", "Complexity", *map(percent, categories),
+                         *map(species, names), F.explode_outer("counts").alias("__count"))
+    return whole.select(*keys, "metadata", *metadata_keys, "Quadrate", "Complexity",
+                        *[F.col(f"`{c}`") for c in categories], F.col("__count.Taxon").alias("Taxon"),
+                        F.col("__count.Count").alias("Count"), *names)

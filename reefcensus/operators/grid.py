@@ -4,19 +4,19 @@ A worksheet grid holds every sheet of every expedition at once:
 ``(sheet keys..., row_idx INT, cells ARRAY<STRING>)``, row 0 = header.
 Cells are addressed 1-based (``cell(grid, 4)`` = sheet column D).
 
-P6 key/value block pivot, P7 canonical values, P13 side-by-side observer
-split (with A3 header repair), P14 metadata recycling, Q1-Q5 fixed blocks of
-the invertebrate sheet.
+P6 key/value block, P7 canonical values, P13 side-by-side observer split
+(with A3 header repair), P14 metadata recycling, order of sheets, Q1-Q5 fixed
+blocks of the invertebrate sheet.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reefcensus.functions.text import strip_repair_suffix, with_canonical
+from reefcensus.functions.text import canonical_text, strip_repair_suffix, with_canonical
 from reefcensus.operators.clean import complete_obs
 from reefcensus.registry import (
     INVERT_BLOCK_ROWS,
@@ -27,6 +27,7 @@ from reefcensus.registry import (
     INVERT_LEGEND_ROWS,
     INVERT_METADATA_ROWS,
     OBSERVATION_REQUIRED,
+    SHEET_ORDER_SHEET,
 )
 
 SHEET_KEYS = ["expedition", "day_folder", "spreadsheet", "sheet"]
@@ -52,25 +53,6 @@ def metadata_pairs(grid: DataFrame, keys: Sequence[str] = SHEET_KEYS,
     return out.filter(F.col("k").isNotNull()) if drop_blank_keys else out
 
 
-def pivot_metadata(pairs: DataFrame, keys: Sequence[str], known_keys: Sequence[str],
-                   k: str = "k", v: str = "v", order: str = "row_idx",
-                   canonical: bool = True) -> DataFrame:
-    """One wide row per sheet with a column per known key (first value in
-    sheet order wins; unknown keys are not columns). Values are canonical
-    text (``10.50`` -> ``10.5``, ``007`` -> ``7``) unless ``canonical`` is off.
-
-    The key list is explicit, so the pivot needs no extra distinct job and
-    the schema is fixed.
-    """
-    if canonical:
-        # one value column is canonicalised before the pivot: the same values
-        # as after it, with one compact expression instead of one per key
-        pairs = with_canonical(pairs, {v: F.col(f"`{v}`")})
-    return (pairs.groupBy(*[F.col(f"`{c}`") for c in keys])
-            .pivot(k, list(known_keys))
-            .agg(F.min_by(F.col(f"`{v}`"), F.col(f"`{order}`"))))
-
-
 def metadata_map(pairs: DataFrame, keys: Sequence[str], k: str = "k", v: str = "v",
                  order: str = "row_idx", canonical: bool = True) -> DataFrame:
     """One row per sheet with all its metadata keys in the map ``metadata``
@@ -121,81 +103,76 @@ def odd_observer_widths(grid: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> Da
             .select(*keys, "obs_width").withColumn("check", F.lit("odd observer columns")))
 
 
-def _clean_names(raw: Column) -> Column:
-    """Repair-suffix stripped names; blank and repeated names -> null."""
-    names = F.transform(raw, strip_repair_suffix)
-    return F.transform(names, lambda x, i: F.when(
-        x.isNotNull() & (x != "") & (F.array_position(names, x) == i + 1), x))
+def _half_columns(names: Column) -> tuple[Column, Column]:
+    """Of the names of one half: all its columns as ``(position, name)`` in
+    order (a blank heading has no name), and those that are the first of
+    their name."""
+    named = F.transform(names, lambda x: F.nullif(F.coalesce(x, F.lit("")), F.lit("")))
+    columns = F.transform(named, lambda x, i: F.named_struct(F.lit("position"), i + 1, F.lit("name"), x))
+    first = F.filter(columns, lambda c: c["name"].isNotNull() & (F.array_position(named, c["name"]) == c["position"]))
+    return columns, first
 
 
-def _layout_names(header: Sequence[str | None], paired: bool) -> tuple[list[int], list[str], int]:
-    """Python twin of the per-sheet header rule for a known header:
-    (1-based cell positions, names, width) of the kept observation columns."""
-    named = [i for i, h in enumerate(header) if h is not None]
-    width = max((named[-1] + 1 - 2) if named else 0, 0)
-    if paired and width % 2:
-        return [], [], width
-    span = width // 2 if paired else width
-    names = [(h or "").split("...")[0] for h in header[2:2 + span]]
-    pos, kept = [], []
-    for j, n in enumerate(names):
-        if n and n not in kept:
-            pos.append(j)
-            kept.append(n)
-    return pos, kept, width
+def _known_header(header: Sequence[str | None], paired: bool) -> tuple[list[str | None], int]:
+    """Python twin of the per-sheet header rule for a known header: the names
+    of one half, and the width of the observation columns."""
+    last = max((i for i, h in enumerate(header, start=1) if h is not None), default=0)
+    width = max(last - 2, 0)
+    half = header[2:2 + (width // 2 if paired else width)]
+    return [h and h.split("...")[0] for h in half], width
 
 
 def observer_rows(grid: DataFrame, keys: Sequence[str] = SHEET_KEYS, paired: bool = True,
                   required: Sequence[str] = OBSERVATION_REQUIRED,
                   header: Sequence[str | None] | None = None) -> DataFrame:
-    """Observation rows of every sheet as ``obs MAP<STRING,STRING>``.
+    """Observation rows of every sheet: ``(keys, row_idx, observer_half,
+    obs_names, obs, obs_cells)``.
 
     Paired sheets hold two observers side by side: the right half is stacked
     under the left half's names (``observer_half`` 1 / 2); names lose the
-    ``...N`` repair suffix; blank or repeated names are dropped. Odd widths
-    are skipped (see odd_observer_widths). Rows missing any required column
+    ``...N`` repair suffix. ``obs_cells`` has every cell of the half as
+    ``(position, name, value)`` in sheet order, also those under a blank
+    heading (null name) or a repeated one; ``obs`` maps each name to the cell
+    of its first heading. Odd widths are skipped (see odd_observer_widths),
+    as are sheets without a named column. Rows missing any required column
     the sheet has are dropped.
 
     Header work happens once per sheet (before the join to its rows); when
     every sheet shares a known ``header`` it is a literal and rows need no
-    join and no per-row lambda.
+    join.
     """
     data = grid.filter(F.col("row_idx") >= 1)
-    halves = [1, 2] if paired else [1]
     if header is not None:
-        pos, names, width = _layout_names(header, paired)
-        if not names:
-            return data.select(*keys, "row_idx").limit(0)
-        span = width // 2 if paired else width
-        name_arr = F.array(*[F.lit(n) for n in names])
-        parts = [F.struct(F.lit(h).alias("observer_half"),
-                          F.map_from_arrays(name_arr, F.array(*[
-                              F.try_element_at("cells", F.lit(3 + (h - 1) * span + p)) for p in pos
-                          ])).alias("obs")) for h in halves]
-        rows = data.select(*keys, "row_idx", F.inline(F.array(*parts)))
-        rows = rows.withColumn("obs_names", name_arr)
+        names, width = _known_header(header, paired)
+        if paired and width % 2:
+            names = []
+        literal = F.array(*[F.lit(n).cast("string") for n in names]).cast("array<string>")
+        joined = data.select("*", F.lit(len(names)).alias("__span"), literal.alias("__names"))
+        if not any(names):
+            joined = joined.filter(F.lit(False))
     else:
         heads = _headers(grid, keys)
         if paired:
             heads = heads.filter(F.col("obs_width") % 2 == 0)
         span = (F.col("obs_width") / 2).cast("int") if paired else F.col("obs_width")
-        clean = _clean_names(F.slice("header", F.lit(3), span))
-        # kept positions (0-based within a half) and their names, per sheet
-        heads = heads.select(
-            *keys, span.alias("span"),
-            F.filter(F.transform(clean, lambda x, i: F.when(x.isNotNull(), i)), lambda p: p.isNotNull())
-            .alias("pos"),
-            F.filter(clean, lambda x: x.isNotNull()).alias("obs_names"))
-        heads = heads.filter(F.size("obs_names") > 0)
+        names = F.transform(F.slice("header", F.lit(3), span), strip_repair_suffix)
+        heads = heads.select(*keys, span.alias("__span"), names.alias("__names"))
+        heads = heads.filter(F.exists("__names", lambda x: x.isNotNull() & (x != "")))
         joined = data.join(heads, list(keys), "inner")
-        def cell_at(half: int):
-            return lambda p: F.try_element_at("cells", p + 3 + (half - 1) * F.col("span"))
-
-        parts = [F.struct(F.lit(h).alias("observer_half"),
-                          F.map_from_arrays("obs_names", F.transform("pos", cell_at(h))).alias("obs"))
-                 for h in halves]
-        rows = joined.select(*keys, "row_idx", "obs_names", F.inline(F.array(*parts)))
-    rows = rows.select(*keys, "row_idx", "observer_half", "obs_names", "obs")
+    columns, first = _half_columns(F.col("__names"))
+    halves = F.array(*[F.lit(h) for h in ([1, 2] if paired else [1])])
+    rows = joined.select(*keys, "row_idx", "cells", "__span", columns.alias("__columns"), first.alias("__first"),
+                         F.explode(halves).alias("observer_half"))
+
+    def value(c: Column) -> Column:
+        return F.try_element_at("cells", 2 + (F.col("observer_half") - 1) * F.col("__span") + c["position"])
+
+    obs_names = F.transform("__first", lambda c: c["name"])
+    rows = rows.select(
+        *keys, "row_idx", "observer_half", obs_names.alias("obs_names"),
+        F.map_from_arrays(obs_names, F.transform("__first", value)).alias("obs"),
+        F.transform("__columns", lambda c: F.named_struct(
+            F.lit("position"), c["position"], F.lit("name"), c["name"], F.lit("value"), value(c))).alias("obs_cells"))
     return complete_obs(rows, required)
 
 
@@ -212,85 +189,112 @@ def recycle_metadata(meta: DataFrame, obs: DataFrame, keys: Sequence[str] = SHEE
 
 
 # --------------------------------------------------------------------------
-# Invertebrate sheet blocks (Q1-Q5)
+# Order of sheets and rows within a spreadsheet
 # --------------------------------------------------------------------------
 
-def padded_rows(grid: DataFrame, keys: Sequence[str], first: int, last: int) -> DataFrame:
-    """Every position ``first..last`` of every sheet; rows the sheet does not
-    have come back with ``cells`` null (a fixed block always has its rows)."""
-    sheets = grid.select(*keys).distinct()
-    skeleton = sheets.select(*keys, F.explode(F.sequence(F.lit(first), F.lit(last))).alias("row_idx"))
-    return skeleton.join(grid.select(*keys, "row_idx", "cells"), [*keys, "row_idx"], "left")
+def sheet_offsets(grid: DataFrame, keys: Sequence[str] = SHEET_KEYS, sheet: str = "sheet") -> DataFrame:
+    """``(keys, sheet_no, offset)`` of every sheet: its place among the tabs
+    of its spreadsheet, and the rows of the sheets before it. ``offset +
+    row_idx`` is a dense position of a row in its spreadsheet.
+
+    The order is the one that the spreadsheet's ``sheet order`` sheet lists
+    (a name a row, in column 1); sheets that it does not name come after
+    those, by name. The prefix sums run over one row per sheet.
+    """
+    spreadsheet = [k for k in keys if k != sheet]
+    listed = grid.filter((F.col(sheet) == SHEET_ORDER_SHEET) & (F.col("row_idx") >= 1)) \
+        .filter(cell(1).isNotNull()).groupBy(*spreadsheet, cell(1).alias(sheet)).agg(F.min("row_idx").alias("listed"))
+    sheets = grid.filter(F.col(sheet) != SHEET_ORDER_SHEET).groupBy(*keys).agg(
+        (F.max("row_idx") + 1).cast("long").alias("n_rows"))
+    order = Window.partitionBy(*spreadsheet).orderBy(F.asc_nulls_last("listed"), sheet)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    return sheets.join(listed, [*spreadsheet, sheet], "left").select(
+        *keys, (F.row_number().over(order) - 1).alias("sheet_no"),
+        F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("offset"))
+
 
+# --------------------------------------------------------------------------
+# Invertebrate sheet blocks (Q1-Q5)
+# --------------------------------------------------------------------------
 
-def invert_metadata(grid: DataFrame, keys: Sequence[str], known_keys: Sequence[str]) -> DataFrame:
-    """Q1: rows 1-14, columns 1-2, pivoted (blank keys are not filtered here,
-    but only known keys become columns)."""
-    pairs = metadata_pairs(grid, keys, rows=INVERT_METADATA_ROWS, drop_blank_keys=False)
-    return pivot_metadata(pairs, keys, known_keys)
+def sheet_arrays(grid: DataFrame, keys: Sequence[str], last: int = INVERT_LEGEND_ROWS[1]) -> DataFrame:
+    """One row per sheet: ``rows``, an array of the cells of its data rows
+    ``1..last``; a row that the sheet does not have is null (a fixed block
+    always has its rows). One aggregate of bounded size; every block below is
+    an expression on it."""
+    kept = F.when(F.col("row_idx").between(1, last), F.struct("row_idx", "cells"))
+    sheets = grid.groupBy(*[F.col(f"`{c}`") for c in keys]).agg(F.collect_list(kept).alias("__rows"))
+    # the first of rows with one number, as a repeated sheet has them
+    rows = F.transform(F.sequence(F.lit(1), F.lit(last)), lambda i: F.try_element_at(F.array_sort(F.transform(
+        F.filter("__rows", lambda r: r["row_idx"] == i), lambda r: r["cells"])), F.lit(1)))
+    return sheets.select(*[F.col(f"`{c}`") for c in keys], rows.alias("rows"))
 
 
-def legend(padded: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Q2: rows 17-35, columns 1-2 as (Code, Value); padded rows give blank codes."""
-    lo, hi = INVERT_LEGEND_ROWS
-    return (padded.filter(F.col("row_idx").between(lo, hi))
-            .select(*keys, "row_idx", cell(1).alias("Code"), cell(2).alias("Value")))
+def _rows(first: int, last: int) -> Column:
+    return F.slice("rows", first, last - first + 1)
 
 
-def _block_and_side(c_pairs: Sequence[tuple[int, int]] | Sequence[int], fields: Sequence[str],
-                    offsets: Sequence[int]) -> Column:
-    """Array of (side, fields...) structs taken at each side's column offset."""
-    structs = []
-    for side, start in enumerate(c_pairs):
-        base = start[0] if isinstance(start, tuple) else start
-        structs.append(F.struct(F.lit(side).alias("side"),
-                                *[cell(base + o).alias(f) for f, o in zip(fields, offsets)]))
-    return F.array(*structs)
+def _at(row: Column, i: int) -> Column:
+    return F.try_element_at(row, F.lit(i))
 
 
-def _block_of(row: Column) -> Column:
-    (t0, t1), (b0, b1) = INVERT_BLOCK_ROWS
-    return F.when(row.between(t0, t1), F.lit(0)).when(row.between(b0, b1), F.lit(1))
+def invert_metadata(sheets: DataFrame, keys: Sequence[str], known_keys: Sequence[str]) -> DataFrame:
+    """Q1: rows 1-14, columns 1-2: all keys (first value of each, canonical
+    text) in the map ``metadata``, the known ones as columns too. A sheet
+    without any of these rows has no metadata and no row."""
+    block = _rows(*INVERT_METADATA_ROWS)
+    pairs = F.transform(block, lambda r: F.named_struct(F.lit("k"), _at(r, 1), F.lit("v"), canonical_text(_at(r, 2))))
+    out = sheets.filter(F.exists(block, lambda r: r.isNotNull())).withColumn("__pairs", pairs)
+    names = F.transform("__pairs", lambda p: p["k"])
+    entries = F.filter("__pairs", lambda p, i: F.array_position(names, p["k"]) == i + 1)
+    out = out.select(*sheets.columns, F.map_from_entries(entries).alias("metadata"))
+    return out.select(*out.columns, *[F.try_element_at("metadata", F.lit(n)).alias(n) for n in known_keys])
 
 
-def cover_points(padded: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _legend() -> Column:
+    lo, hi = INVERT_LEGEND_ROWS
+    return F.transform(_rows(lo, hi), lambda r, i: F.named_struct(
+        F.lit("row_idx"), i + lo, F.lit("Code"), _at(r, 1), F.lit("Value"), _at(r, 2)))
+
+
+def legend(sheets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Q2: rows 17-35, columns 1-2 as (Code, Value); absent rows give blank codes."""
+    return sheets.select(*keys, F.inline(_legend()))
+
+
+def _quadrat(block: int, side: int) -> Column:
+    """One quadrat of a sheet's ``rows``."""
+    (first, last), (point, species) = INVERT_BLOCK_ROWS[block], INVERT_COVER_COLS[side]
+    taxon, count = INVERT_COUNT_COLS[side]
+    complexity = _at(_at(F.col("rows"), INVERT_COMPLEXITY_ROWS[block]), INVERT_COMPLEXITY_COLS[side])
+    points = F.transform(_rows(first, last), lambda r, i: F.named_struct(
+        F.lit("row_idx"), i + first, F.lit("Point"), _at(r, point), F.lit("Code"), _at(r, point + 1),
+        F.lit("Species"), _at(r, species)))
+    counts = F.transform(_rows(first, last), lambda r: F.named_struct(
+        F.lit("Taxon"), _at(r, taxon), F.lit("Count"), _at(r, count).try_cast("double")))
+    return F.struct(
+        F.lit(block * 2 + side + 1).alias("Quadrate"), complexity.try_cast("double").alias("Complexity"),
+        points.alias("points"), F.filter(counts, lambda x: x["Taxon"].isNotNull()).alias("counts"))
+
+
+def quadrat_arrays(sheets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Four rows per sheet: ``Quadrate``, ``Complexity`` (one cell), ``points``
+    (array of row_idx, Point, Code, Species), ``counts`` (array of Taxon,
+    Count; rows without a taxon left out, an unparseable count is null) and
+    the sheet's ``legend``. Quadrate 1 = top-left, 2 = top-right, 3 =
+    bottom-left, 4 = bottom-right."""
+    quadrats = [_quadrat(block, side) for block in range(len(INVERT_BLOCK_ROWS)) for side in range(len(INVERT_COVER_COLS))]
+    others = [c for c in sheets.columns if c not in (*keys, "rows")]
+    return sheets.select(*keys, *others, _legend().alias("legend"), F.inline(F.array(*quadrats)))
+
+
+def cover_points(sheets: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Q4: (Quadrate, Point, Code, Species) of the four cover rectangles with
-    each quadrat's Complexity (one cell per quadrat). Quadrate 1 = top-left,
-    2 = top-right, 3 = bottom-left, 4 = bottom-right."""
-    block = _block_of(F.col("row_idx"))
-    pts = (padded.withColumn("block", block).filter(F.col("block").isNotNull())
-           .select(*keys, "row_idx", "block",
-                   F.inline(_block_and_side(INVERT_COVER_COLS, ["Point", "Code", "Species"], [0, 1, 2])))
-           .withColumn("Quadrate", (F.col("block") * 2 + F.col("side") + 1).cast("int")))
-    comp_rows = padded.filter(F.col("row_idx").isin(INVERT_COMPLEXITY_ROWS))
-    comp = (comp_rows.select(*keys,
-                             F.when(F.col("row_idx") == INVERT_COMPLEXITY_ROWS[0], 0).otherwise(1).alias("block"),
-                             F.inline(_block_and_side(INVERT_COMPLEXITY_COLS, ["Complexity"], [0])))
-            .select(*keys, (F.col("block") * 2 + F.col("side") + 1).cast("int").alias("Quadrate"),
-                    F.col("Complexity").try_cast("double").alias("Complexity")))
-    return (pts.join(comp, [*keys, "Quadrate"], "left")
-            .select(*keys, "row_idx", "Quadrate", "Complexity", "Point", "Code", "Species"))
-
-
-def quadrat_counts(padded: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Q5: (Quadrate, Taxon, Count) of the four count rectangles; rows with no
-    taxon are dropped; Count is numeric (unparseable -> null)."""
-    block = _block_of(F.col("row_idx"))
-    return (padded.withColumn("block", block).filter(F.col("block").isNotNull())
-            .select(*keys, "block", F.inline(_block_and_side(INVERT_COUNT_COLS, ["Taxon", "Count"], [0, 1])))
-            .filter(F.col("Taxon").isNotNull())
-            .select(*keys, (F.col("block") * 2 + F.col("side") + 1).cast("int").alias("Quadrate"),
-                    "Taxon", F.col("Count").try_cast("double").alias("Count")))
-
+    each quadrat's Complexity."""
+    points = quadrat_arrays(sheets, keys).select(*keys, "Quadrate", "Complexity", F.inline("points"))
+    return points.select(*keys, "row_idx", "Quadrate", "Complexity", "Point", "Code", "Species")
 
-# --------------------------------------------------------------------------
-# Older layout quadrat sheet
-# --------------------------------------------------------------------------
 
-def older_quadrat_rows(grid: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Older ``Quadrate data`` sheets: named columns from sheet column 3 on;
-    rows without a Quadrate are dropped and blanks read ``0``."""
-    from reefcensus.operators.clean import zero_fill
-    obs = observer_rows(grid, keys, paired=False, required=())
-    wide = obs_columns(obs, columns, keep=[*keys, "row_idx"])
-    return zero_fill(wide, "Quadrate", list(columns))
+def quadrat_counts(sheets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Q5: (Quadrate, Taxon, Count) of the four count rectangles."""
+    return quadrat_arrays(sheets, keys).select(*keys, "Quadrate", F.inline("counts"))

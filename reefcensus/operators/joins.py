@@ -8,8 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup is broadcast only when a bounded probe proves it has at most this
-# many rows; otherwise the join stays a shuffle join (AQE may still convert it
+# A lookup is broadcast only when the optimiser's size estimate is at most this
+# many bytes; otherwise the join stays a shuffle join (AQE may still convert it
 # from runtime sizes).
 LOOKUP_BROADCAST_BYTES = 32 << 20
 

@@ -1,26 +1,30 @@
 """Surveyor table and the data products of the deployment side.
 
 G1 deployment lists, J1 email lookups, G2 pair label and email array,
-G6 distinct emails, R1 expected-worksheet manifest, R2 photo-folder manifest,
-R3 access list.
+G6 distinct emails, R1 expected-worksheet manifest and its comparison with
+the sheets that arrived, R2 photo-folder manifest, R3 access list.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reefcensus.functions.text import na_text
+from reefcensus.operators.clean import number_rows
 from reefcensus.operators.joins import broadcast_if_small, conditional_left_join, null_safe_join
 from reefcensus.registry import (
     JUVENILE_FAMILIES,
     JUVENILE_OBSERVER_COLUMNS,
     OBSERVER_COLUMNS,
+    OLDER_SHEET_EXCLUDE,
     PHOTO_FAMILIES,
+    PHOTO_FOLDER,
     PHOTO_LETTERS,
     SHEET_MANIFEST,
+    SHEET_ORDER_SHEET,
 )
 
 DEPLOYMENT_ID_COLUMNS = ["KnollID", "SiteID", "Spot"]
@@ -54,29 +58,6 @@ def with_emails(df: DataFrame, emails: DataFrame, observers: Sequence[str],
             .drop(*[f"email_{i}" for i in range(1, len(observers) + 1)]))
 
 
-def surveyor_table(meta: DataFrame, emails: DataFrame, by: Sequence[str] = ("file",),
-                   juveniles: bool = False) -> DataFrame:
-    """Pairs (or quartets) with their deployments, sheet name and emails.
-
-    ``by`` holds the plan's identity (one deployment file = one day).
-    """
-    observers = list(OBSERVER_COLUMNS) + (list(JUVENILE_OBSERVER_COLUMNS) if juveniles else [])
-    group = [*by, "Project", *OBSERVER_COLUMNS]
-    if juveniles:
-        group += ["Location", *JUVENILE_OBSERVER_COLUMNS]
-    ids = [F.col(c) for c in DEPLOYMENT_ID_COLUMNS if c in meta.columns]
-    dep = F.coalesce(*ids) if ids else F.lit(None).cast("string")
-    lists = deployment_lists(meta, group, dep)
-    if juveniles:
-        label = F.concat(na_text("First Observer"), F.lit(", "), na_text("Second Observer"), F.lit(", "),
-                         na_text("Juveniles First Observer"), F.lit(", and "),
-                         na_text("Juveniles Second Observer"))
-    else:
-        label = F.concat(na_text("First Observer"), F.lit(" and "), na_text("Second Observer"))
-    lists = lists.withColumn("spreadsheet_name", label)
-    return with_emails(lists, emails, observers)
-
-
 def _observer_columns(meta: DataFrame, family: str) -> DataFrame:
     """Juvenile observers and the location take part only for the juvenile
     families (null elsewhere); ``__juv`` marks those rows."""
@@ -138,10 +119,9 @@ def surveyor_rows(meta: DataFrame, emails: DataFrame, by: Sequence[str] = ("file
     pair's deployments in one row."""
     m = _observer_columns(meta, family)
     group = _surveyor_group(by, family)
-    w = Window.partitionBy(*[F.col(f"`{c}`") for c in group]).orderBy("row_idx")
-    long = m.select(*[F.col(f"`{c}`") for c in group], _deployment_id(m).alias("deployment"),
-                    (F.row_number().over(w) - 1).cast("int").alias("dep_order"))
-    return _with_label_and_emails(long, emails)
+    long = m.select(*[F.col(f"`{c}`") for c in group], _deployment_id(m).alias("deployment"), "row_idx")
+    long = number_rows(long, group, "row_idx", "dep_order").drop("row_idx")
+    return _with_label_and_emails(long.withColumn("dep_order", F.col("dep_order").cast("int")), emails)
 
 
 def distinct_emails(surveyors: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -155,13 +135,18 @@ def _one_row_per_surveyor(surveyors: DataFrame) -> DataFrame:
     return surveyors.filter(F.col("dep_order") == 0) if "dep_order" in surveyors.columns else surveyors
 
 
-def access_list(surveyors: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Writer rows (spreadsheet, email) per surveyor, duplicates kept, and
+def access_list(surveyors: DataFrame, by: Sequence[str] = (), family: str = "family") -> DataFrame:
+    """Writer rows (spreadsheet, email) per surveyor, duplicates kept, the
+    same for the pair's photo folder in the families that take photos, and
     reader rows (the plan's metadata) per distinct email; a missing email is
     reported instead of granted. Takes the surveyor table or its long form."""
     surveyors = _one_row_per_surveyor(surveyors)
-    writers = surveyors.select(*by, "spreadsheet_name", F.explode("emails").alias("email"),
-                               F.lit("writer").alias("role"))
+    targets = F.array(F.col("spreadsheet_name"))
+    if family in surveyors.columns:
+        photos = F.concat(F.lit(PHOTO_FOLDER + "/"), F.col("spreadsheet_name"))
+        targets = F.when(F.col(family).isin(list(PHOTO_FAMILIES)), F.array("spreadsheet_name", photos)).otherwise(targets)
+    writers = surveyors.select(*by, F.explode(targets).alias("spreadsheet_name"), "emails").select(
+        *by, "spreadsheet_name", F.explode("emails").alias("email"), F.lit("writer").alias("role"))
     readers = distinct_emails(surveyors, by).select(
         *by, F.lit("metadata").alias("spreadsheet_name"), "email", F.lit("reader").alias("role"))
     both = writers.unionByName(readers)
@@ -177,22 +162,17 @@ def _manifest_rows() -> list[tuple]:
             for layer in layers:
                 prefix = "Juveniles - " if (layer == "Juveniles" and "{layer_prefix}" in pattern) else ""
                 name = pattern.replace("{layer_prefix}", prefix).replace("{layer}", layer or "")
-                head, _, tail = name.partition("{dep}")
-                mid, _, suffix = tail.partition("{letter}")
-                if "{letter}" not in tail:
-                    mid, suffix = tail, ""
-                rows.append((fam, n, letter, layer, head, mid, suffix, "|".join(prefill)))
+                rows.append((fam, n, letter, layer, name, prefill))
                 n += 1
     return rows
 
 
 def sheet_dimension(spark) -> DataFrame:
-    """(family, sheet_order, letter, layer, name pieces, prefill fields): the
+    """(family, sheet_order, letter, layer, name pattern, prefill fields): the
     literal dimension of expected sheets (a few dozen rows)."""
     return spark.createDataFrame(
         _manifest_rows(),
-        "family string, sheet_order int, letter string, layer string, "
-        "head string, mid string, suffix string, prefill string")
+        "family string, sheet_order int, letter string, layer string, pattern string, prefill array<string>")
 
 
 def _deployment_rows(surveyors: DataFrame) -> DataFrame:
@@ -214,15 +194,15 @@ def worksheet_manifest(surveyors: DataFrame, by: Sequence[str] = (), family: str
             deps = deps.withColumn(c, F.lit(None).cast("string"))
     dim = F.broadcast(sheet_dimension(surveyors.sparkSession))
     j = deps.join(dim, family, "inner")
-    sheet = F.concat(F.col("head"), na_text("deployment"), F.col("mid"),
-                     F.coalesce(F.col("letter"), F.lit("")), F.col("suffix"))
+    # the deployment last: its text may hold anything
+    sheet = F.replace(F.replace("pattern", F.lit("{letter}"), F.coalesce(F.col("letter"), F.lit(""))),
+                      F.lit("{dep}"), na_text("deployment"))
     fields = {
         "first": na_text("First Observer"), "second": na_text("Second Observer"),
         "jfirst": na_text("Juveniles First Observer"), "jsecond": na_text("Juveniles Second Observer"),
         "location": na_text("Location"), "dep": na_text("deployment"), "letter": na_text("letter"),
     }
-    parts = F.split(F.col("prefill"), r"\|")
-    prefill = F.transform(parts, lambda p: _field_value(p, fields))
+    prefill = F.transform("prefill", lambda p: _field_value(p, fields))
     return j.select(*by, family, "Project", "spreadsheet_name", "dep_order", "deployment",
                     "sheet_order", "letter", "layer", sheet.alias("sheet"), prefill.alias("prefill"))
 
@@ -241,3 +221,37 @@ def photo_manifest(surveyors: DataFrame, by: Sequence[str] = (), family: str = "
     out = deps.select(*by, "spreadsheet_name", "deployment",
                       F.explode(F.array(*[F.lit(x) for x in PHOTO_LETTERS])).alias("letter"))
     return out.withColumn("folder", F.concat_ws("/", "spreadsheet_name", na_text("deployment"), "letter"))
+
+
+def arrived_sheets(grid: DataFrame, keys: Sequence[str], ignore: str = OLDER_SHEET_EXCLUDE) -> DataFrame:
+    """``(keys, arrived, filled_rows)`` of the sheets that came in: how often
+    (headers), and data rows with any cell past the metadata block. The lists
+    and notes that every spreadsheet holds are not counted."""
+    some = F.exists(F.slice("cells", 3, F.greatest(F.size("cells"), F.lit(1))), lambda x: x.isNotNull())
+    g = grid.filter(~F.col("sheet").rlike(ignore) & (F.col("sheet") != SHEET_ORDER_SHEET))
+    return g.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
+        F.count_if(F.col("row_idx") == 0).alias("arrived"),
+        F.count_if((F.col("row_idx") >= 1) & some).alias("filled_rows"))
+
+
+def reconcile_sheets(manifest: DataFrame, grid: DataFrame, by: Sequence[str] = ("expedition", "day_folder")) -> DataFrame:
+    """Expected against arrived sheets: ``(by, spreadsheet, sheet, expected,
+    arrived, filled_rows, status)``, a row per sheet of either side. Status:
+    ``missing`` (expected, not arrived), ``unexpected``, ``duplicate`` (arrived
+    more than once, or expected more than once under one name), ``empty``
+    (arrived once without an observation) or ``ok``.
+
+    Both sides are reduced to one row per sheet before they meet in one
+    aggregate, so a sheet of any size and a day of any number of sheets cost
+    one row each.
+    """
+    keys = [*by, "spreadsheet", "sheet"]
+    expected = manifest.withColumnRenamed("spreadsheet_name", "spreadsheet") \
+        .groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias("expected"))
+    both = expected.unionByName(arrived_sheets(grid, keys), allowMissingColumns=True)
+    counts = both.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("expected", "arrived", "filled_rows")])
+    status = (F.when(F.col("arrived") == 0, "missing").when(F.col("expected") == 0, "unexpected")
+              .when((F.col("arrived") > 1) | (F.col("expected") > 1), "duplicate")
+              .when(F.col("filled_rows") == 0, "empty").otherwise("ok"))
+    return counts.withColumn("status", status)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reefcensus.functions.labels import group_flag, layer_letter
@@ -34,12 +34,16 @@ from reefcensus.operators.grid import (
     odd_observer_widths,
     observer_rows,
     recycle_metadata,
+    sheet_offsets,
 )
 from reefcensus.operators.clean import fill_down
 from reefcensus.operators.joins import broadcast_if_small, conditional_left_join
+from reefcensus.operators.surveyors import reconcile_sheets, surveyor_rows, worksheet_manifest
 from reefcensus.operators.traits import format_fish, format_invertebrates, tag_group
 from reefcensus.registry import (
+    FISH_LAYOUT,
     FISH_SHEET_EXCLUDE,
+    INVERT_LAYOUT,
     INVERTEBRATE_SHEET_EXCLUDE,
     LAYER_LETTER_FAMILIES,
     OBSERVATION_REQUIRED,
@@ -51,9 +55,15 @@ from reefcensus.registry import (
     TLV_METADATA_KEYS,
     TLV_OBSERVATION_REQUIRED,
 )
-from reefcensus.session import cut_lineage
+from reefcensus.session import cut_lineage, stored_once
 from reefcensus.sinks import write_backup, write_day_complete, write_expedition
-from reefcensus.sources.lookups import prune_day_folders, prune_sheets, prune_sources, read_complete_days
+from reefcensus.sources.lookups import (
+    prune_day_folders,
+    prune_sheets,
+    prune_sources,
+    read_complete_days,
+    read_group_days,
+)
 from reefcensus.sources.worksheets import read_grid, read_worksheet_csvs, write_grid
 
 # Sheet metadata keys that become columns (first value per key).
@@ -73,12 +83,22 @@ def _with_day_family(grid: DataFrame, meta: DataFrame) -> DataFrame:
     return grid.join(fams, DAY_KEYS, "inner")
 
 
+def day_sheets(grid: DataFrame, meta: DataFrame, sources: Sequence[str] | None = None) -> DataFrame:
+    """The observation sheets (fish / general) of the planned days, with the
+    day's family."""
+    g = prune_sheets(prune_sources(prune_day_folders(grid), names=sources), exclude=FISH_SHEET_EXCLUDE)
+    return _with_day_family(g, meta)
+
+
 def sample_rows(grid: DataFrame, meta: DataFrame, keys: Sequence[str] = SHEET_KEYS,
                 sources: Sequence[str] | None = None) -> DataFrame:
     """Observation rows with their sheet metadata and deployment key, for
     every day at once (fish / general sheets)."""
-    g = prune_sheets(prune_sources(prune_day_folders(grid), names=sources), exclude=FISH_SHEET_EXCLUDE)
-    g = _with_day_family(g, meta)
+    return _sample_rows(day_sheets(grid, meta, sources), keys)
+
+
+def _sample_rows(g: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
+    """``sample_rows`` of ``day_sheets``."""
     # the family is constant per day, so it rides along as a group key
     by = [*keys, "family"]
     sheet_meta = metadata_columns(metadata_map(metadata_pairs(g, by), by), by, WORKSHEET_METADATA_KEYS)
@@ -88,7 +108,7 @@ def sample_rows(grid: DataFrame, meta: DataFrame, keys: Sequence[str] = SHEET_KE
     other = g.filter(F.col("family") != "Tel Aviv Transects").drop("family")
     obs = observer_rows(other, keys, paired=True, required=OBSERVATION_REQUIRED).unionByName(
         observer_rows(tlv, keys, paired=False, required=TLV_OBSERVATION_REQUIRED))
-    obs = obs.select(*keys, "row_idx", "observer_half", "obs",
+    obs = obs.select(*keys, "row_idx", "observer_half", "obs", "obs_cells",
                      *[F.try_element_at("obs", F.lit(n)).alias(n) for n in OBSERVATION_FIELDS])
     rows = recycle_metadata(sheet_meta, obs, keys)
     return sample_key(rows)
@@ -102,11 +122,12 @@ def day_tables(meta: DataFrame, samples: DataFrame, strict: bool = False, materi
     ``held`` (``held_sheets``) are reported and left out the same way.
 
     The observation rows feed three branches (mismatch check, matched rows,
-    unmatched plans); ``materialize`` checkpoints them once into the shared
-    checkpoint folder so the sheets are read and reshaped once.
+    unmatched plans); ``materialize`` writes them once to the shared
+    checkpoint folder, so the sheets are read and reshaped once and the
+    checks read the key columns alone.
     """
     if materialize:
-        samples = cut_lineage(samples)
+        samples = stored_once(samples, "samples")
     bad = unmatched_deployments(meta, samples)
     if held is not None:
         bad = bad.unionByName(held)
@@ -117,40 +138,80 @@ def day_tables(meta: DataFrame, samples: DataFrame, strict: bool = False, materi
     return complete.join(bad_days, DAY_KEYS, "left_anti"), bad
 
 
+def build_days(meta: DataFrame, grid: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``day_tables`` of all planned days. The grid is scanned once: the
+    sheets of these days are stored, and the observation rows and the sheet
+    checks read them there."""
+    sheets = stored_once(day_sheets(grid, meta), "sheets")
+    return day_tables(meta, _sample_rows(sheets), held=_held(_sheet_violations(sheets)))
+
+
 def expedition_table(meta: DataFrame, grid: DataFrame, stored: DataFrame | None = None
                      ) -> tuple[DataFrame, DataFrame]:
     """Rebuild only the days without a stored table, stack the stored
     ones. Returns (expedition table, mismatches of the rebuilt days)."""
     todo_meta = meta if stored is None else days_to_build(meta, stored)
     todo_grid = grid if stored is None else days_to_build(grid, stored)
-    built, bad = day_tables(todo_meta, sample_rows(todo_grid, todo_meta), held=held_sheets(todo_grid, todo_meta))
+    built, bad = build_days(todo_meta, todo_grid)
     if stored is None:
         return built, bad
     return skip_complete(built, stored), bad
 
 
-def tlv_fish(meta: DataFrame, grid: DataFrame, traits: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Fish analysis table (57 columns) and cutoff violations."""
+def tlv_fish(meta: DataFrame, grid: DataFrame, traits: DataFrame, carry: Sequence[str] = ()
+             ) -> tuple[DataFrame, DataFrame]:
+    """Fish analysis table (57 columns, behind the ``carry`` columns) and
+    cutoff violations."""
     tlv_meta = meta.filter(F.col("family") == "Tel Aviv Transects")
     early = before_cutoff(tlv_meta, "Date", TLV_LAYOUT_CUTOFF, DAY_KEYS)
     ok_meta = tlv_meta.join(broadcast_if_small(early.select(*DAY_KEYS).distinct()), DAY_KEYS, "left_anti")
     samples = tag_group(sample_rows(grid, ok_meta), "Fish")
     joined = day_complete(ok_meta, samples)
-    return format_fish(joined, traits), early
+    return format_fish(joined, traits, carry), early
 
 
-def tlv_invertebrates(meta: DataFrame, grid: DataFrame,
-                      keys: Sequence[str] = SHEET_KEYS) -> tuple[DataFrame, DataFrame]:
-    """Invertebrate analysis table (60 columns) and cutoff violations."""
+def tlv_invertebrates(meta: DataFrame, grid: DataFrame, keys: Sequence[str] = SHEET_KEYS,
+                      carry: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Invertebrate analysis table (60 columns, behind the ``carry`` columns)
+    and cutoff violations."""
     tlv_meta = meta.filter(F.col("family") == "Tel Aviv Transects")
     early = before_cutoff(tlv_meta, "Date", TLV_LAYOUT_CUTOFF, DAY_KEYS)
     ok_meta = tlv_meta.join(broadcast_if_small(early.select(*DAY_KEYS).distinct()), DAY_KEYS, "left_anti")
     g = prune_sheets(prune_sources(prune_day_folders(grid)), exclude=INVERTEBRATE_SHEET_EXCLUDE)
     g = _with_day_family(g, ok_meta)
-    sheets = invertebrate_sheets(g, [*keys, "family"], TLV_METADATA_KEYS, prepare=cut_lineage)
+    sheets = invertebrate_sheets(g, [*keys, "family"], TLV_METADATA_KEYS)
     samples = sample_key(tag_group(sheets, "Invertebrates"))
     joined = day_complete(ok_meta, samples)
-    return format_invertebrates(joined), early
+    return format_invertebrates(joined, carry), early
+
+
+def build_tlv(spark, meta: DataFrame, grid: DataFrame, traits: DataFrame, complete_path: str) -> DataFrame:
+    """Tel Aviv days to their outputs (K1): one table per day and group
+    (``expedition / day_folder / Group``), each in its own layout; building a
+    day again replaces its groups alone. Returns the days before the layouts'
+    cutoff, which are not built."""
+    fish, early = tlv_fish(meta, grid, traits, carry=DAY_KEYS)
+    write_day_complete(fish, complete_path, group=True)
+    invertebrates, _ = tlv_invertebrates(meta, grid, carry=DAY_KEYS)
+    write_day_complete(invertebrates, complete_path, group=True)
+    return early
+
+
+def read_tlv_group(spark, complete_path: str, group: str, expedition: str | None = None) -> DataFrame:
+    """The stored Tel Aviv days of one group (``Fish`` or ``Invertebrates``),
+    in its layout behind the day keys."""
+    layout = {"Fish": FISH_LAYOUT, "Invertebrates": INVERT_LAYOUT}[group]
+    return read_group_days(spark, complete_path, group, layout, expedition)
+
+
+def arrived_check(meta: DataFrame, grid: DataFrame) -> DataFrame:
+    """R1 against what arrived: every sheet that the plans expect or that a
+    planned day holds, with its status (``reconcile_sheets``)."""
+    none = meta.sparkSession.createDataFrame([], "FullName string, email string")
+    expected = worksheet_manifest(surveyor_rows(meta.filter(F.col("family").isNotNull()), none, DAY_KEYS), DAY_KEYS)
+    g = prune_sources(prune_day_folders(grid))
+    days = broadcast_if_small(meta.select(*DAY_KEYS).distinct())
+    return reconcile_sheets(expected, g.join(days, DAY_KEYS, "left_semi"), DAY_KEYS)
 
 
 def stored_days(stored: DataFrame) -> DataFrame:
@@ -161,8 +222,11 @@ def stored_days(stored: DataFrame) -> DataFrame:
 def sheet_violations(grid: DataFrame, meta: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
     """Sheets that cannot be read as the protocol expects: odd observer
     width on paired sheets (S19) and repeated metadata keys (S21)."""
-    g = prune_sheets(prune_sources(prune_day_folders(grid)), exclude=FISH_SHEET_EXCLUDE)
-    g = _with_day_family(g, meta)
+    return _sheet_violations(day_sheets(grid, meta), keys)
+
+
+def _sheet_violations(g: DataFrame, keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
+    """``sheet_violations`` of ``day_sheets``."""
     paired = g.filter(F.col("family") != "Tel Aviv Transects").drop("family")
     odd = odd_observer_widths(paired, keys).select(*keys, "check")
     dup = duplicate_metadata_keys(metadata_pairs(g.drop("family"), keys), keys).select(*keys, "check")
@@ -172,7 +236,10 @@ def sheet_violations(grid: DataFrame, meta: DataFrame, keys: Sequence[str] = SHE
 def held_sheets(grid: DataFrame, meta: DataFrame) -> DataFrame:
     """Sheet violations in the shape of mismatches: the day, the sheet in
     place of the deployment key, and the check it fails."""
-    bad = sheet_violations(grid, meta)
+    return _held(sheet_violations(grid, meta))
+
+
+def _held(bad: DataFrame) -> DataFrame:
     return bad.select(*DAY_KEYS, F.concat_ws("/", "spreadsheet", "sheet").alias(DEPLOYMENT_KEY), "check")
 
 
@@ -185,7 +252,7 @@ def build_expedition(spark, meta: DataFrame, grid: DataFrame, complete_path: str
     todo_meta, todo_grid = meta, grid
     if skip_complete and (stored := stored_table(spark, complete_path)) is not None:
         todo_meta, todo_grid = days_to_build(meta, stored), days_to_build(grid, stored)
-    built, bad = day_tables(todo_meta, sample_rows(todo_grid, todo_meta), held=held_sheets(todo_grid, todo_meta))
+    built, bad = build_days(todo_meta, todo_grid)
     bad = cut_lineage(bad)
     write_day_complete(built, complete_path)
     stored = read_complete_days(spark, complete_path)
@@ -201,11 +268,11 @@ def join_expedition(spark, complete_path: str, expedition_path: str, expedition:
 
 
 def publish_expeditions(days: DataFrame, expedition_path: str, backup_path: str | None) -> None:
-    """K2, and K3 without the map columns, which CSV cannot hold."""
+    """K2, and K3 without the nested columns, which CSV cannot hold."""
     write_expedition(days, expedition_path)
     if backup_path is not None:
-        maps = [f.name for f in days.schema if f.dataType.typeName() == "map"]
-        write_backup(days.drop(*maps), backup_path, "expeditions")
+        nested = [f.name for f in days.schema if f.dataType.typeName() in ("map", "array", "struct")]
+        write_backup(days.drop(*nested), backup_path, "expeditions")
 
 
 def stored_table(spark, path: str) -> DataFrame | None:
@@ -225,7 +292,7 @@ def older_tlv_rows(grid: DataFrame, meta: DataFrame, keys: Sequence[str] = SHEET
     ``Quadrate data`` sheets hold quadrat rows with blanks read as ``0``
     (P18), joined onto invertebrate rows on observers, site, transect and
     quadrat within the spreadsheet (J9); times and depths fill down per
-    (Site, Transect) within a spreadsheet in sheet order (P4)."""
+    (Site, Transect) within a spreadsheet in the order of its tabs (P4)."""
     g = _with_day_family(prune_sources(grid), meta)
     g = g.filter(F.col("family") == "Tel Aviv Transects").drop("family")
     obs_sheets = prune_sheets(g, exclude=OLDER_SHEET_EXCLUDE)
@@ -248,11 +315,11 @@ def older_tlv_rows(grid: DataFrame, meta: DataFrame, keys: Sequence[str] = SHEET
     quads = recycle_metadata(qmeta, qrows, keys).drop("sheet")
     joined = conditional_left_join(rows, quads, [*spreadsheet, *join_keys], "Group", "Invertebrates")
 
-    # sheet order inside a spreadsheet, then row order: an integral position
-    sheet_rank = F.dense_rank().over(Window.partitionBy(*spreadsheet).orderBy("sheet"))
-    joined = joined.withColumn("__pos", F.shiftleft(sheet_rank.cast("long"), 31) + F.col("row_idx"))
+    # tab order inside a spreadsheet, then row order: one dense position
+    offsets = sheet_offsets(g, keys).select(*keys, "offset")
+    joined = joined.join(broadcast_if_small(offsets), list(keys)).withColumn("__pos", F.col("offset") + F.col("row_idx"))
     filled = fill_down(joined, [*spreadsheet, "Site", "Transect"], "__pos", OLDER_FILL_COLUMNS)
-    return sample_key(filled.withColumn("family", F.lit("Tel Aviv Transects"))).drop("__pos")
+    return sample_key(filled.withColumn("family", F.lit("Tel Aviv Transects"))).drop("__pos", "offset")
 
 
 def ingest_worksheets(spark, sheets_root: str, grid_path: str) -> DataFrame:

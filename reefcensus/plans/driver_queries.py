@@ -150,7 +150,7 @@ def metadata_pivot(spark, sf):
         F.struct(F.lit(5).alias("row_idx"), F.lit(None).cast("string").alias("k"), F.lit("blank key row").alias("v")),
     )))
     pairs = pairs.filter(F.col("k").isNotNull())
-    return grid.pivot_metadata(pairs, ["o_orderkey"], _META_KEYS)
+    return grid.metadata_columns(grid.metadata_map(pairs, ["o_orderkey"]), ["o_orderkey"], _META_KEYS).drop("metadata")
 
 
 @query("canonical_values", f"""
@@ -674,8 +674,7 @@ SELECT pts.sheet, pts.row_idx, pts."Quadrate", cx."Complexity", "Point", "Code",
 FROM pts LEFT JOIN cx ON pts.sheet = cx.sheet AND pts."Quadrate" = cx."Quadrate"
 """)
 def quadrat_points(spark, sf):
-    padded = grid.padded_rows(_part_sheets(spark, sf), ["sheet"], 1, 35)
-    return grid.cover_points(padded, ["sheet"])
+    return grid.cover_points(grid.sheet_arrays(_part_sheets(spark, sf), ["sheet"]), ["sheet"])
 
 
 @query("quadrat_counts", f"""
@@ -687,8 +686,7 @@ SELECT sheet, CASE WHEN row_idx <= 16 THEN 2 ELSE 4 END, c13, TRY_CAST(c14 AS DO
 FROM g WHERE (row_idx BETWEEN 1 AND 16 OR row_idx BETWEEN 19 AND 34) AND c13 IS NOT NULL
 """)
 def quadrat_counts(spark, sf):
-    padded = grid.padded_rows(_part_sheets(spark, sf), ["sheet"], 1, 35)
-    return grid.quadrat_counts(padded, ["sheet"])
+    return grid.quadrat_counts(grid.sheet_arrays(_part_sheets(spark, sf), ["sheet"]), ["sheet"])
 
 
 @query("legend_block", f"""
@@ -696,8 +694,7 @@ WITH g AS {_PADDED_SQL}
 SELECT sheet, row_idx, c1 AS "Code", c2 AS "Value" FROM g WHERE row_idx BETWEEN 17 AND 35
 """)
 def legend_block(spark, sf):
-    padded = grid.padded_rows(_part_sheets(spark, sf), ["sheet"], 1, 35)
-    return grid.legend(padded, ["sheet"])
+    return grid.legend(grid.sheet_arrays(_part_sheets(spark, sf), ["sheet"]), ["sheet"])
 
 
 @query("invert_metadata", f"""
@@ -706,7 +703,8 @@ FROM ({_PART_CELLS_SQL}) WHERE row_idx BETWEEN 1 AND 14
 GROUP BY sheet
 """)
 def invert_metadata_q(spark, sf):
-    return grid.invert_metadata(_part_sheets(spark, sf), ["sheet"], TLV_METADATA_KEYS)
+    sheets = grid.sheet_arrays(_part_sheets(spark, sf), ["sheet"])
+    return grid.invert_metadata(sheets, ["sheet"], TLV_METADATA_KEYS).drop("rows", "metadata")
 
 
 

@@ -58,10 +58,5 @@ def season(x: str) -> str:
     return f"(CASE {whens} END)"
 
 
-def zero_norm(x: str) -> str:
-    """-0.0 -> 0.0 (adding +0.0 does it in IEEE arithmetic)."""
-    return f"({x} + 0.0)"
-
-
 def q(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'

@@ -56,6 +56,7 @@ PHOTO_FAMILIES = (
     "Eilat Juveniles Transects",
 )
 PHOTO_LETTERS = ["A", "B", "C", "D"]
+PHOTO_FOLDER = "Photos"
 
 # Deployment CSV heading renames (old -> new) and dropped columns.
 HEADING_RENAMES = {
@@ -77,10 +78,16 @@ DEPLOYMENT_COLUMNS = [
     "Juveniles First Observer", "Juveniles Second Observer",
 ]
 
+# Columns without which a file is no deployment plan.
+PLAN_REQUIRED = ["First Observer", "Second Observer", "Date"]
+
 # Layer letter from sheet name: first matching pattern wins.
 LAYER_LETTER_PATTERNS = [("TRANSIENTS", "T"), ("CRYPTIC", "C"), ("Juveniles", "J")]
 LAYER_LETTER_FAMILIES = ("Eilat Transects", "Eilat Juveniles Transects")
 
+# A sheet that lists the tabs of its spreadsheet in their order, one a row.
+SHEET_ORDER_SHEET = "sheet order"
+
 # Older layout: group flag from sheet name.
 GROUP_FLAG_TOKEN = "Fish"
 GROUP_FLAG_MATCH = "Fish"

@@ -1,6 +1,10 @@
 """K1-K5: writers. Day-level outputs are partitioned by expedition and day
 folder and written with dynamic partition overwrite, so rebuilding some days
-replaces exactly those days and leaves the others."""
+replaces exactly those days and leaves the others.
+
+Days differ in their columns. A stored table keeps a register of its schema
+(``schemas.register``): a write adds its columns before it writes a row, and
+readers take the union, so no footer decides what a table holds."""
 
 from __future__ import annotations
 
@@ -11,6 +15,7 @@ from pyspark.sql import functions as F
 
 from reefcensus.functions.text import na_text
 from reefcensus.registry import BACKUP_FLAG_TEXT
+from reefcensus.sinks.schemas import as_registered, register
 
 DAY_PARTITIONS = ["expedition", "day_folder"]
 MAX_FILE_ROWS = 5_000_000
@@ -27,7 +32,10 @@ def _rebalanced(df: DataFrame, parts: list[str]) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, parts: list[str]) -> None:
-    """Replaces the partitions that ``df`` holds, in files of bounded rows."""
+    """Replaces the partitions that ``df`` holds, in files of bounded rows.
+    Columns that the table does not have yet are added to it; a column of
+    another type than the stored one stops the write before it begins."""
+    df = as_registered(df, register(df.sparkSession, path, df.schema))
     (_dynamic(_rebalanced(df, parts)).option("maxRecordsPerFile", MAX_FILE_ROWS)
      .partitionBy(*parts).parquet(path))
 

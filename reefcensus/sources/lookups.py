@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reefcensus.registry import FISH_SHEET_EXCLUDE, SKIPPED_DAY_FOLDER_NAMES, SKIPPED_SOURCE_NAMES
+from reefcensus.registry import FISH_SHEET_EXCLUDE, SHEET_ORDER_SHEET, SKIPPED_DAY_FOLDER_NAMES, SKIPPED_SOURCE_NAMES
 from reefcensus.sinks import DAY_PARTITIONS
+from reefcensus.sinks.schemas import registered_schema
 
 
 def _read_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -19,9 +20,11 @@ def _read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_partitioned(spark: SparkSession, path: str, parts: Sequence[str]) -> DataFrame:
-    """A stored table whose partition columns are text, whatever they look
-    like (``007`` stays ``007``)."""
-    found = spark.read.parquet(path).schema
+    """A stored table with the columns of all its writes; its partition
+    columns are text, whatever they look like (``007`` stays ``007``). Tables
+    without a register (of other writers) are read by the union of their
+    footers."""
+    found = registered_schema(spark, path) or spark.read.option("mergeSchema", True).parquet(path).schema
     names = {p.lower() for p in parts}
     schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name.lower() in names else f for f in found])
     return spark.read.schema(schema).parquet(path)
@@ -59,6 +62,14 @@ def read_complete_days(spark: SparkSession, path: str, expedition: str | None =
     return df if expedition is None else df.filter(F.col("expedition") == expedition)
 
 
+def read_group_days(spark: SparkSession, path: str, group: str, layout: Sequence[tuple[str, str]],
+                    expedition: str | None = None) -> DataFrame:
+    """A7 of a two-level table: one group's stored days (partition-pruned) in
+    its own layout, behind the day they belong to."""
+    df = read_complete_days(spark, path, expedition).filter(F.col("Group") == group)
+    return df.select(*DAY_PARTITIONS, *[F.col(f"`{name}`") for name, _ in layout])
+
+
 def prune_sources(df: DataFrame, name_col: str = "spreadsheet",
                   names: Sequence[str] | None = None,
                   skipped: Sequence[str] = SKIPPED_SOURCE_NAMES) -> DataFrame:
@@ -78,9 +89,9 @@ def prune_day_folders(df: DataFrame, name_col: str = "day_folder",
 
 def prune_sheets(df: DataFrame, sheet_col: str = "sheet", exclude: str = FISH_SHEET_EXCLUDE,
                  include: str | None = None) -> DataFrame:
-    """Drop sheets whose name matches ``exclude`` (regex, anywhere), or
-    keep only those matching ``include``."""
+    """Drop sheets whose name matches ``exclude`` (regex, anywhere) and the
+    list of a spreadsheet's tabs, or keep only those matching ``include``."""
     c = F.col(f"`{sheet_col}`")
     if include is not None:
         return df.filter(c.rlike(include))
-    return df.filter(~c.rlike(exclude))
+    return df.filter(~c.rlike(exclude) & (c != SHEET_ORDER_SHEET))

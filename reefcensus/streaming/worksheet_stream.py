@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from reefcensus.operators.complete import DAY_KEYS, DEPLOYMENT_KEY
-from reefcensus.plans.days import day_tables, held_sheets, sample_rows
+from reefcensus.operators.joins import broadcast_if_small
+from reefcensus.plans.days import build_days
 from reefcensus.session import checkpoint_dir
-from reefcensus.sinks import write_day_complete
+from reefcensus.sinks import write_day_complete, write_partitioned
 from reefcensus.sources.deployments import csv_records, file_columns
 from reefcensus.sources.lookups import read_partitioned
 from reefcensus.sources.worksheets import sheet_rows
@@ -61,14 +62,12 @@ def start_day_builds(spark: SparkSession, sheets_root: str, plan_path: str, grid
     def _build(batch: DataFrame, batch_id: int) -> None:
         new_rows = sheet_rows(csv_records(batch)).withColumn("batch_id", F.lit(batch_id))
         # A replayed batch overwrites exactly its own partitions: idempotent.
-        (new_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id", *DAY_KEYS).parquet(grid_path))
-        # days touched by one batch: at most max_files_per_trigger rows
-        touched = F.broadcast(new_rows.select(*DAY_KEYS).distinct())
+        write_partitioned(new_rows, grid_path, ["batch_id", *DAY_KEYS])
+        touched = broadcast_if_small(new_rows.select(*DAY_KEYS).distinct())
         grid = read_partitioned(spark, grid_path, DAY_KEYS).join(touched, DAY_KEYS, "inner")
         grid = latest_sheets(grid)
         meta = read_partitioned(spark, plan_path, DAY_KEYS).join(touched, DAY_KEYS, "inner")
-        complete, bad = day_tables(meta, sample_rows(grid, meta), held=held_sheets(grid, meta))
+        complete, bad = build_days(meta, grid)
         write_day_complete(complete, complete_path)
         # status of every rebuilt day: its mismatches, or one "ok" row, so a
         # day that became complete clears its old mismatches (a day that turns
@@ -76,8 +75,7 @@ def start_day_builds(spark: SparkSession, sheets_root: str, plan_path: str, grid
         ok = (touched.join(bad.select(*DAY_KEYS).distinct(), DAY_KEYS, "left_anti")
               .withColumn(DEPLOYMENT_KEY, F.lit(None).cast("string")).withColumn("check", F.lit("ok")))
         status = bad.unionByName(ok).withColumn("batch_id", F.lit(batch_id))
-        (status.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*DAY_KEYS).parquet(status_path))
+        write_partitioned(status, status_path, DAY_KEYS)
 
     ckpt = checkpoint_dir(spark).rstrip("/") + f"/streams/{name}"
     writer = stream.writeStream.foreachBatch(build).option("checkpointLocation", ckpt).queryName(name)

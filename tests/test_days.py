@@ -328,3 +328,137 @@ def test_older_rows_keep_all_keys_and_fields(spark, tmp_path):
                          plan_from_csvs(spark, str(tmp_path) + "/plans/*/*.csv")).collect()
     assert [(r["metadata"]["Weather"], r["quadrat_metadata"]["Weather"], r["obs"]["Colour"], r["quadrat_data"]["Sand"])
             for r in out] == [("10.5", "10.5", "red", "50")]
+
+
+def test_tab_order_decides_the_fill(spark, tmp_path):
+    """The second sheet by name is the first tab, so its times fill the other."""
+    write_csv(tmp_path / "plans", "Beach/old_beach.csv",
+              "Spot,Project,Expedition,Location,Date,Fish Observer,Invertebrate Observer\n"
+              "Pier End,TLV,Beach Series,Long Beach,5.8.2020,Obs Four,Obs Five\n")
+    meta = [("Fish Observer", "Obs Four"), ("Invertebrate Observer", "Obs Five"), ("Site", "Pier End"), ("Transect", "A")]
+
+    def fish(times, species):
+        keys = meta + times
+        obs = [[s, "1", "10", "1"] for s in species] + [[None] * 4] * (len(keys) - len(species))
+        return sheet_csv([["Metadata", "Value", "Species", "Amount", "Length", "Distance"],
+                          *[[k, v, *o] for (k, v), o in zip(keys, obs)]])
+
+    day = "Beach Series/Long Beach 2020-08-05"
+    for pair in ("listed", "not listed"):
+        at = f"sheets/{day}/{pair}"
+        write_csv(tmp_path, f"{at}/A Fish.csv", fish([], ["Diplodus", "Mullus"]))
+        write_csv(tmp_path, f"{at}/B Fish.csv", fish([("Time Start", "09:30")], ["Sparisoma"]))
+        write_csv(tmp_path, f"{at}/C Fish.csv", fish([("Time Start", "11:00")], ["Siganus"]))
+    write_csv(tmp_path, f"sheets/{day}/listed/sheet order.csv", "sheet\nC Fish\nA Fish\nB Fish\n")
+    grid = read_worksheet_csvs(spark, str(tmp_path / "sheets"))
+    out = older_tlv_rows(grid, plan_from_csvs(spark, str(tmp_path) + "/plans/*/*.csv"))
+    assert rows(out, "spreadsheet", "Species", "Time Start") == ordered([
+        ("listed", "Siganus", "11:00"), ("listed", "Diplodus", "11:00"), ("listed", "Mullus", "11:00"),
+        ("listed", "Sparisoma", "09:30"), ("not listed", "Diplodus", None), ("not listed", "Mullus", None),
+        ("not listed", "Sparisoma", "09:30"), ("not listed", "Siganus", "11:00")])
+    from reefcensus.operators.grid import sheet_offsets
+    got = rows(sheet_offsets(grid).filter("spreadsheet = 'listed'"), "sheet", "sheet_no", "offset")
+    assert got == [("A Fish", 1, 6), ("B Fish", 2, 11), ("C Fish", 0, 0)]
+
+
+def test_day_build_scans_the_grid_once(spark, survey, tmp_path):
+    from reefcensus.plans.days import build_days
+    from reefcensus.sources.worksheets import read_grid, write_grid
+
+    plan, grid = survey
+    write_grid(grid, str(tmp_path / "grid"))
+    complete, bad = build_days(plan, read_grid(spark, str(tmp_path / "grid")))
+    assert not [f for df in (complete, bad) for f in df.inputFiles() if str(tmp_path) in f and "/grid/" in f]
+    assert {r["day_folder"] for r in complete.collect()} == {"NA 2023-09-30", "Long Beach 2022-02-14"}
+    # the mismatch check reads no observation cells
+    plan_text = bad._jdf.queryExecution().executedPlan().toString()
+    assert "obs:map" not in plan_text and "obs_cells:array" not in plan_text
+
+
+def test_tlv_groups_are_stored_and_read_back(spark, survey, tmp_path):
+    from reefcensus.plans.days import build_tlv, read_tlv_group
+
+    plan, grid = survey
+    traits = spark.createDataFrame([("Sparisoma cretense", 0.01, 3.0, "LC", "from traits", "x")],
+                                   "Species string, a double, b double, IUCN string, Notes string, `1` string")
+    path = str(tmp_path / "complete")
+    early = build_tlv(spark, plan, grid, traits, path)
+    assert early.count() == 0
+    for _ in range(2):  # building again replaces the groups
+        fish, inverts = (read_tlv_group(spark, path, g) for g in ("Fish", "Invertebrates"))
+        assert fish.columns == ["expedition", "day_folder", *[n for n, _ in FISH_LAYOUT]]
+        assert inverts.columns == ["expedition", "day_folder", *[n for n, _ in INVERT_LAYOUT]]
+        assert rows(fish, "expedition", "day_folder", "Group", "Species") == [
+            ("Beach Series", "Long Beach 2022-02-14", "Fish", s) for s in ("Sparisoma cretense", "Unknown fish")]
+        assert rows(inverts, "day_folder", "Group", "Quadrate_number", "Taxon") == [
+            ("Long Beach 2022-02-14", "Invertebrates", 1, "Hermodice"), ("Long Beach 2022-02-14", "Invertebrates", 2, None),
+            ("Long Beach 2022-02-14", "Invertebrates", 4, "Arbacia")]
+        # a column that the traits have too is the sheet's
+        assert {r["Notes"] for r in fish.collect()} == {None} and {r["1"] for r in fish.collect()} == {None}
+        build_tlv(spark, plan, grid, traits, path)
+    assert sorted(p.name for p in (tmp_path / "complete" / "expedition=Beach Series").glob("*/*")) == [
+        "Group=Fish", "Group=Invertebrates"]
+
+
+def test_expected_and_arrived_sheets(spark, survey):
+    from reefcensus.plans.days import arrived_check
+
+    plan, grid = survey
+    # a sheet that came in twice, and one without observations
+    twice = grid.filter(F.col("sheet") == "Knoll Lambda")
+    got = arrived_check(plan, grid.unionByName(twice)).filter("expedition <> 'Beach Series'")
+    found = rows(got, "spreadsheet", "sheet", "expected", "arrived", "status")
+    pair = "Obs One and Obs Two"
+    assert ("Obs Three and NA", "Site 8 - Transect A", 1, 1, "ok") in found
+    assert ("Obs Three and NA", "Site 8 - Transect B", 1, 0, "missing") in found
+    assert (pair, "Knoll Gamma", 0, 1, "unexpected") in found
+    assert (pair, "Knoll Kappa", 2, 1, "duplicate") in found  # planned twice under one name
+    assert (pair, "Knoll Lambda", 1, 2, "duplicate") in found
+    assert (pair, "Site 9 - Transect A", 1, 1, "empty") in found
+    assert (pair, "Observer Table - MASTER", 0, 1, "unexpected") in found
+    assert not [f for f in found if f[1] in ("Species List", "metadata")]
+    assert sum(f[4] == "missing" for f in found) == 3 * 4 - 3
+
+
+def test_blank_and_repeated_headings_keep_their_cells(spark):
+    from reefcensus.operators.grid import observer_rows
+
+    sheet = [["Metadata", "Value", "Species", "Notes", None, "Notes...6", "Species...7", "Notes...8", None, "Notes...10"],
+             [None, None, "Diplodus", "a", "b", "c", "Mullus", "d", "e", "f"],
+             [None, None, None, "x", None, None, None, None, None, None]]
+    data = [("s", i, r) for i, r in enumerate(sheet)]
+    df = spark.createDataFrame(data, "sheet string, row_idx int, cells array<string>")
+    want = [(1, [(1, "Species", "Diplodus"), (2, "Notes", "a"), (3, None, "b"), (4, "Notes", "c")]),
+            (2, [(1, "Species", "Mullus"), (2, "Notes", "d"), (3, None, "e"), (4, "Notes", "f")])]
+    for header in (None, sheet[0]):
+        got = observer_rows(df, ["sheet"], header=header).orderBy("observer_half").collect()
+        assert [(r["observer_half"], [tuple(c) for c in r["obs_cells"]]) for r in got] == want
+        assert [r["obs"] for r in got] == [{"Species": "Diplodus", "Notes": "a"}, {"Species": "Mullus", "Notes": "d"}]
+    # a known layout without columns gives no rows of the same schema
+    none = observer_rows(df, ["sheet"], header=["Metadata", "Value"])
+    assert none.count() == 0 and none.schema == observer_rows(df, ["sheet"], header=sheet[0]).schema
+
+
+def test_sheet_blocks_with_absent_and_repeated_rows(spark):
+    from reefcensus.operators.cover import invertebrate_sheets
+    from reefcensus.operators.grid import cover_points, legend, quadrat_counts, sheet_arrays
+
+    body = list(csv.reader(io.StringIO(invert_sheet())))
+    data = [("whole", i, [c or None for c in r]) for i, r in enumerate(body)]
+    data += [("twice", *r[1:]) for r in data] * 2
+    data += [("short", *r[1:]) for r in data[:20]] + [("header only", 0, ["Metadata"])]
+    df = spark.createDataFrame(data, "sheet string, row_idx int, cells array<string>")
+    sheets = sheet_arrays(df, ["sheet"])
+    assert {r["sheet"]: len(r["rows"]) for r in sheets.collect()} == dict.fromkeys(
+        ("whole", "twice", "short", "header only"), 35)
+    assert cover_points(sheets, ["sheet"]).count() == 4 * 64 and legend(sheets, ["sheet"]).count() == 4 * 19
+    assert rows(quadrat_counts(sheets, ["sheet"]), "sheet", "Quadrate", "Taxon", "Count") == [
+        ("short", 1, "Hermodice", 3.0), ("short", 4, "Arbacia", None), ("twice", 1, "Hermodice", 3.0),
+        ("twice", 4, "Arbacia", None), ("whole", 1, "Hermodice", 3.0), ("whole", 4, "Arbacia", None)]
+    out = invertebrate_sheets(df, ["sheet"], TLV_METADATA_KEYS)
+    assert rows(out, "sheet", "Quadrate", "Sand") == [
+        ("short", 1, 50.0), ("short", 2, 0.0), ("short", 3, 0.0), ("short", 4, 0.0), ("twice", 1, 50.0), ("twice", 2, 0.0),
+        ("twice", 4, 0.0), ("whole", 1, 50.0), ("whole", 2, 0.0), ("whole", 4, 0.0)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Initial Plan")[0]
+    assert final.count("Exchange hashpartitioning") == 1 and "Join" not in final

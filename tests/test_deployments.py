@@ -174,3 +174,73 @@ def test_deployment_form_keeps_all_keys_and_cells(spark):
     got = form_to_plan(grid, ["sheet"], project="ASSEMBLE").collect()
     assert [(r["Country"], r["Project"], r["metadata"]["Weather"], r["row"]["Tide"]) for r in got] == [
         (None, "ASSEMBLE", "10.5", "low")]
+
+
+def test_deployment_forms_with_conflicting_and_repeated_headings(spark):
+    from reefcensus.plans.deployment import form_problems, form_to_plan
+
+    forms = {
+        "good": [["Metadata", "Value", "Site", "Notes", "Notes", "First Observer", None],
+                 ["Location", "South Jetty", "1", "a", "b", "Obs One", "under a blank heading"]],
+        "bad": [["Metadata", "Value", "Site", "SiteID", "First Observer"],
+                ["Location", "North Jetty", "1", "2", "Obs One"]],
+        "twice": [["Metadata", "Value", "Spot", "First Observer"], ["Location", "East", "Pier", "Obs One"],
+                  ["Location", "West", None, None]]}
+    data = [(name, i, r) for name, body in forms.items() for i, r in enumerate(body)]
+    grid = spark.createDataFrame(data, "sheet string, row_idx int, cells array<string>")
+    assert rows(form_problems(grid, ["sheet"]), "sheet", "check", "detail", "fatal") == [
+        ("bad", "conflicting headings", "SiteID", True), ("twice", "duplicate metadata key", "Location", False)]
+    got = {r["sheet"]: r for r in form_to_plan(grid, ["sheet"]).collect()}
+    assert sorted(got) == ["good", "twice"]
+    assert (got["good"]["SiteID"], got["good"]["row"]["Notes"]) == ("1", "a")
+    assert [(c["position"], c["name"], c["value"]) for c in got["good"]["obs_cells"]] == [
+        (1, "Site", "1"), (2, "Notes", "a"), (3, "Notes", "b"), (4, "First Observer", "Obs One")]
+    assert got["twice"]["Location"] == "East"
+
+
+BAD_PLANS = {
+    "good.csv": "Project,Expedition,Location,Date,SiteID,First Observer,Second Observer,Tide,Notes,Notes,,Notes...2\n"
+                "ASSEMBLE,E,L,1/2/2023,1,Obs One,Obs Two,low,a,b,c,d\n,,,,2,Obs One,,,,,,\n,,,,3,,Obs Two,high,x,,,\n",
+    "conflict.csv": "Project,Expedition,Location,Date,Site,SiteID,First Observer,Second Observer\n"
+                    "ASSEMBLE,E,L,1/2/2023,1,1,Obs One,Obs Two\n",
+    "renamed twice.csv": "Project,Expedition,Date,Fish Observer,First Observer,Invertebrate Observer\nTLV,E,1/2/2023,a,b,c\n",
+    "no observers.csv": "Project,Expedition,Location,Date,SiteID\nASSEMBLE,E,L,1/2/2023,1\n",
+    "empty.csv": "",  # Spark's scan does not see a file of no bytes
+    "blank lines.csv": "\n\n\n",
+    "wide.csv": "Project,Date,First Observer,Second Observer\nASSEMBLE,1/2/2023,Obs One,Obs Two\n,soon,Obs One,Obs Two,more\n",
+}
+
+
+def test_malformed_plans_are_reported_and_the_others_read(spark, tmp_path):
+    from reefcensus.plans.deployment import publish_plans
+    from reefcensus.sources.deployments import read_plan_problems
+
+    for name, text in BAD_PLANS.items():
+        write_csv(tmp_path, f"plans/{name}", text)
+    paths = str(tmp_path / "plans/*.csv")
+    problems = read_plan_problems(spark, paths).withColumn("f", F.element_at(F.split("file", "/"), -1))
+    assert rows(problems, "f", "check", "detail", "fatal") == [
+        ("blank lines.csv", "empty file", None, True),
+        ("conflict.csv", "conflicting headings", "SiteID", True),
+        ("good.csv", "repeated headings", "Notes", False),
+        ("no observers.csv", "missing heading", "First Observer, Second Observer", True),
+        ("renamed twice.csv", "conflicting headings", "First Observer", True),
+        ("wide.csv", "cells without heading", "first in row 2", False),
+        ("wide.csv", "unreadable date", "first in row 2", False),
+    ]
+    plan = read_deployments(spark, paths, more_columns=["Tide"])
+    assert rows(plan, "file_name", "row_idx", "SiteID", "Tide") == [
+        ("good.csv", 1, "1", "low"), ("good.csv", 2, "2", "low"), ("good.csv", 3, "3", "high"),
+        ("wide.csv", 1, None, None), ("wide.csv", 2, None, None)]
+    good = plan.filter(F.col("file_name") == "good.csv").orderBy("row_idx").collect()
+    # repeated and blank headings have a name by their place; unlisted cells fill down
+    assert [r["more"].get("Notes...9") for r in good] == ["a", "a", "x"]
+    assert [(r["more"].get("Notes...10"), r["more"].get("...11"), r["more"].get("Notes...12")) for r in good] == [
+        ("b", "c", "d")] * 3
+    assert (good[1]["row"]["Tide"], good[1]["Second Observer"], good[1]["First Observer"]) == (None, None, "Obs One")
+    found = publish_plans(spark, paths, str(tmp_path / "published"), str(tmp_path / "archive"))
+    checks = {(r["file"].rsplit("/", 1)[-1], r["check"]) for r in found.collect()}
+    assert ("conflict.csv", "not read: conflicting headings") in checks
+    assert ("good.csv", "missing observer") in checks
+    kept = spark.read.parquet(str(tmp_path / "published")).select("file_name").distinct()
+    assert rows(kept, "file_name") == [("good.csv",), ("wide.csv",)]

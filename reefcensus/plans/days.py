@@ -268,11 +268,10 @@ def join_expedition(spark, complete_path: str, expedition_path: str, expedition:
 
 
 def publish_expeditions(days: DataFrame, expedition_path: str, backup_path: str | None) -> None:
-    """K2, and K3 without the nested columns, which CSV cannot hold."""
+    """K2 and K3."""
     write_expedition(days, expedition_path)
     if backup_path is not None:
-        nested = [f.name for f in days.schema if f.dataType.typeName() in ("map", "array", "struct")]
-        write_backup(days.drop(*nested), backup_path, "expeditions")
+        write_backup(days, backup_path, "expeditions")
 
 
 def stored_table(spark, path: str) -> DataFrame | None:

@@ -1153,32 +1153,45 @@ def surveyor_table(spark, sf):
                      F.array_join("emails", ",", "NA").alias("emails"))
 
 
-def _manifest_sql() -> str:
-    rows = surveyors._manifest_rows()
-    fields = {"first": na("p.f1"), "second": na("p.f2"), "jfirst": na("p.j1"), "jsecond": na("p.j2"),
-              "location": na("p.loc"), "dep": na("p.dep"), "letter": na("d.letter")}
-
-    def prefill(spec: str) -> str:
-        parts = [f"'{x[1:]}'" if x.startswith("=") else fields[x] for x in spec.split("|")]
-        return " || '|' || ".join(parts)
-
-    def lit(v):
-        return "NULL" if v is None else "'" + v + "'"
-
-    specs = sorted({(r[0], r[7]) for r in rows})
-    prefill_case = "CASE d.family " + " ".join(f"WHEN '{f}' THEN {prefill(s)}" for f, s in specs) + " END"
-    values = ", ".join(f"('{r[0]}', {r[1]}, {lit(r[2])}, {lit(r[3])}, '{r[4]}', '{r[5]}', '{r[6]}')" for r in rows)
+#: expected sheets written out: family, names in order ({} is the deployment), letters, prefilled values
+_EXPECTED_SHEETS = [
+    ("Tel Aviv Transects",
+     "{} - B - Invertebrates, {} - B - Fish, {} - A - Invertebrates, {} - A - Fish", "BBAA", "f1 f2 dep letter"),
+    ("Mediterranean Transects",
+     "Site {} - Transect D, Site {} - Transect C, Site {} - Transect B, Site {} - Transect A", "DCBA", "f1 f2 dep letter"),
+    ("Eilat Transects",
+     "Site {} - Transect D - CRYPTIC, Site {} - Transect D - TRANSIENTS, Site {} - Transect C - CRYPTIC, "
+     "Site {} - Transect C - TRANSIENTS, Site {} - Transect B - CRYPTIC, Site {} - Transect B - TRANSIENTS, "
+     "Site {} - Transect A - CRYPTIC, Site {} - Transect A - TRANSIENTS", "DDCCBBAA", "f1 f2 dep letter"),
+    ("Eilat Knolls", "Knoll {}", "", "f1 f2"),
+    ("Eilat Juveniles Transects",
+     "Site {} - Transect C - CRYPTIC, Site {} - Transect C - TRANSIENTS, Site {} - Transect C - Juveniles, "
+     "Site {} - Transect B - CRYPTIC, Site {} - Transect B - TRANSIENTS, Site {} - Transect B - Juveniles, "
+     "Site {} - Transect A - CRYPTIC, Site {} - Transect A - TRANSIENTS, Site {} - Transect A - Juveniles",
+     "CCCBBBAAA", "f1 f2 j1 j2 'Transects' loc dep letter"),
+    ("Eilat Juveniles Knolls", "Knoll {}, Juveniles - Knoll {}", "", "f1 f2 j1 j2 'Knoll' loc dep"),
+    ("Eilat Juveniles Artificial", "Artificial {}, Juveniles - Artificial {}", "", "f1 f2 j1 j2 'Artificial' loc dep"),
+]
+
+
+def manifest_sql() -> str:
+    """R1 from the names above, not from the engine's own dimension."""
+    values, prefill = [], []
+    for family, sheets, letters, fields in _EXPECTED_SHEETS:
+        for i, sheet in enumerate(sheets.split(", ")):
+            values.append(f"('{family}', {i}, '{sheet}', " + (f"'{letters[i]}'" if letters else "NULL") + ")")
+        parts = [x if x.startswith("'") else na("d.letter" if x == "letter" else f"p.{x}") for x in fields.split()]
+        prefill.append(f"WHEN '{family}' THEN " + " || '|' || ".join(parts))
     return f"""
 WITH {_plan_sql()},
-dim AS (SELECT * FROM (VALUES {values}) v(family, sheet_order, letter, layer, head, mid, suffix))
+dim AS (SELECT * FROM (VALUES {', '.join(values)}) v(family, sheet_order, sheet, letter))
 SELECT p.file, p.spreadsheet_name, p.dep_order, p.dep AS deployment, d.sheet_order,
-       d.head || {na('p.dep')} || d.mid || coalesce(d.letter, '') || d.suffix AS sheet,
-       {prefill_case} AS prefill
+       replace(d.sheet, '{{}}', {na('p.dep')}) AS sheet, CASE d.family {' '.join(prefill)} END AS prefill
 FROM pos p JOIN dim d ON p.family = d.family
 """
 
 
-@query("worksheet_manifest", _manifest_sql())
+@query("worksheet_manifest", manifest_sql())
 def worksheet_manifest(spark, sf):
     m = surveyors.worksheet_manifest(_plan_surveyor_rows(spark, sf), ["file"])
     return m.select("file", "spreadsheet_name", "dep_order", "deployment", "sheet_order", "sheet",
@@ -1199,12 +1212,14 @@ def photo_manifest(spark, sf):
 @query("access_list", f"""
 WITH {_plan_sql()},
 w AS (
-  SELECT file, spreadsheet_name, e1 AS email FROM sve
-  UNION ALL SELECT file, spreadsheet_name, e2 FROM sve
-  UNION ALL SELECT file, spreadsheet_name, e3 FROM sve WHERE juv
-  UNION ALL SELECT file, spreadsheet_name, e4 FROM sve WHERE juv),
+  SELECT file, family, spreadsheet_name, e1 AS email FROM sve
+  UNION ALL SELECT file, family, spreadsheet_name, e2 FROM sve
+  UNION ALL SELECT file, family, spreadsheet_name, e3 FROM sve WHERE juv
+  UNION ALL SELECT file, family, spreadsheet_name, e4 FROM sve WHERE juv),
 a AS (
   SELECT file, spreadsheet_name, email, 'writer' AS role FROM w
+  UNION ALL SELECT file, 'Photos/' || spreadsheet_name, email, 'writer' FROM w
+    WHERE family IN ('Mediterranean Transects', 'Eilat Transects', 'Eilat Juveniles Transects')
   UNION ALL SELECT DISTINCT file, 'metadata', email, 'reader' FROM w)
 SELECT a.*, CASE WHEN email IS NULL THEN 'missing email' ELSE 'grant' END AS status FROM a
 """)

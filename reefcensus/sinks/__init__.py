@@ -51,6 +51,11 @@ def write_expedition(df: DataFrame, path: str) -> None:
     write_partitioned(df, path, ["expedition"])
 
 
+def _flat(df: DataFrame) -> DataFrame:
+    """Without the nested columns, which CSV cannot hold."""
+    return df.drop(*[f.name for f in df.schema if f.dataType.typeName() in ("map", "array", "struct")])
+
+
 def _stamp() -> str:
     return datetime.now(timezone.utc).strftime("%Y-%m-%d %H-%M-%S-%f")
 
@@ -62,19 +67,19 @@ def with_backup_flag(df: DataFrame, text: str = BACKUP_FLAG_TEXT) -> DataFrame:
 
 def write_backup(df: DataFrame, path: str, expedition: str) -> str:
     """K3: CSV backup in ``path/<expedition>/<expedition> - local version
-    created <time>``; returns the folder written."""
+    created <time>``, without nested columns; returns the folder written."""
     out = f"{path.rstrip('/')}/{expedition}/{expedition} - local version created {_stamp()}"
-    with_backup_flag(df).write.mode("error").option("header", True).option("escape", '"').csv(out)
+    with_backup_flag(_flat(df)).write.mode("error").option("header", True).option("escape", '"').csv(out)
     return out
 
 
 def archive_deployments(df: DataFrame, path: str) -> None:
     """K4: cleaned plan tables as CSV, one folder per expedition, day label
     (a missing part reads ``NA``) and time of the call, so earlier archives
-    stay. The label replaces any day folder column."""
+    stay. The label replaces any day folder column; nested columns are left out."""
     label = F.concat(na_text("Location"), F.lit(" "), na_text(F.date_format("Date", "yyyy-MM-dd")))
     parts = ["Expedition", "day_folder", "created"]
-    stamped = df.withColumns({"day_folder": label, "created": F.lit(_stamp())})
+    stamped = _flat(df).withColumns({"day_folder": label, "created": F.lit(_stamp())})
     (_rebalanced(stamped, parts).write.mode("append").option("header", True).option("escape", '"')
      .partitionBy(*parts).csv(path))
 

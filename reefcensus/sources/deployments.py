@@ -21,7 +21,8 @@ from reefcensus.operators.joins import broadcast_if_small
 from reefcensus.registry import DEPLOYMENT_COLUMNS, OBSERVER_COLUMNS, PLAN_REQUIRED
 
 # One field of a CSV record: quoted (a doubled quote stands for one) or plain.
-_FIELD = r'(?:[ \t]*+"[^"]*+(?:""[^"]*+)*+"[ \t]*+(?=,|\r|\n|\z)|[^,\r\n]*+)'
+# Atomic: a quoted field is never read again as a plain one up to its first comma.
+_FIELD = r'(?>[ \t]*+"[^"]*+(?:""[^"]*+)*+"[ \t]*+(?=,|\r|\n|\z)|[^,\r\n]*+)'
 _RECORD = rf"((?:{_FIELD},)*+{_FIELD})(?:\r\n|\n|\r|\z)"
 _CELL = rf"({_FIELD}),"
 

@@ -82,3 +82,31 @@ def test_zero_fill(spark):
     assert got == [(1, 0.0, "0"), (3, 4.0, "0")]
     assert clean.zero_fill(df, "Quadrate").schema["cover"].dataType.typeName() == "double"
     assert F is not None
+
+
+def test_rows_of_a_hot_group_are_numbered_in_chunks(spark):
+    from reefcensus.operators.clean import number_rows
+
+    data = [("hot", None, i) for i in range(997)] + [("small", "x", 5), ("small", "x", 900), (None, None, 3)]
+    df = spark.createDataFrame(data, "a string, b string, row_idx int").repartition(7)
+    out = number_rows(df, ["a", "b"], "row_idx", "place", chunk_rows=64)
+    assert out.columns == ["a", "b", "row_idx", "place"]
+    got = {(r["a"], r["row_idx"]): r["place"] for r in out.collect()}
+    assert got == {("hot", i): i for i in range(997)} | {("small", 5): 0, ("small", 900): 1, (None, 3): 0}
+
+
+def test_a_hot_pair_has_its_sheets_in_order(spark):
+    from reefcensus.operators.surveyors import surveyor_rows, worksheet_manifest
+
+    n = 300
+    plan = spark.createDataFrame(
+        [("f", i, "EcoCamp", "Eilat Knolls", "Obs One", "Obs Two", str(i)) for i in range(n)],
+        "file string, row_idx int, Project string, family string, `First Observer` string, `Second Observer` string, "
+        "KnollID string")
+    emails = spark.createDataFrame([("Obs One", "one@reef.example")], "FullName string, email string")
+    long = surveyor_rows(plan, emails)
+    # the only windows are over chunks of a pair, or over its chunk counts
+    windows = [x for x in long._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in x]
+    assert windows and all("__chunk" in x for x in windows)
+    got = worksheet_manifest(long, ["file"]).orderBy("dep_order").collect()
+    assert [(r["dep_order"], r["sheet"]) for r in got] == [(i, f"Knoll {i}") for i in range(n)]

@@ -151,3 +151,42 @@ def test_lookups_bind_by_name(spark, tmp_path):
     assert rows(read_species_traits(spark, str(tmp_path / "t.csv")), "Species", "a", "b") == [("Mullus", 0.5, None)]
     days = spark.createDataFrame([("EXPEDITION DATA",), ("D 1",)], "day_folder string")
     assert rows(prune_day_folders(days), "day_folder") == [("D 1",)]
+
+
+def test_stored_tables_keep_the_columns_of_all_writes(spark, tmp_path):
+    import pytest
+
+    from reefcensus.sinks.schemas import SchemaConflict, registered_schema, union_schema
+
+    path = str(tmp_path / "days")
+
+    def write(expedition, day, columns, values):
+        df = spark.createDataFrame([(expedition, day, *values)], f"expedition string, day_folder string, {columns}")
+        write_day_complete(df, path)
+
+    write("007", "1", "n int, note string, m map<string,string>", (1, "a", {"k": "v"}))
+    write("007", "2", "N bigint, cells array<struct<p:int,v:string>>", (5_000_000_000, [(1, "x")]))
+    write("8", "1.50", "n int, rate double", (3, 0.5))
+    got = {(r["expedition"], r["day_folder"]): r for r in read_complete_days(spark, path).collect()}
+    assert sorted(got) == [("007", "1"), ("007", "2"), ("8", "1.50")]
+    assert [got[k]["n"] for k in sorted(got)] == [1, 5_000_000_000, 3]
+    assert got["007", "1"]["m"] == {"k": "v"} and got["007", "2"]["cells"][0]["v"] == "x" and got["8", "1.50"]["rate"] == 0.5
+    # another type stops the write before any row is replaced
+    with pytest.raises(SchemaConflict, match="note: stored as string, now bigint"):
+        write("007", "1", "note bigint", (1,))
+    assert read_complete_days(spark, path).filter("note = 'a'").count() == 1
+    lines = len(list((tmp_path / "days" / "_schemas").glob("*.json")))
+    write("8", "1.50", "n int, rate double", (4, 0.25))  # nothing new: no line
+    assert len(list((tmp_path / "days" / "_schemas").glob("*.json"))) == lines == 3
+    assert [f.name for f in registered_schema(spark, path)] == [
+        "expedition", "day_folder", "n", "note", "m", "cells", "rate"]
+    # two writers that did not see each other: the union of both lines
+    a, b = (spark.createDataFrame([], s).schema for s in ("x int, y string", "Y string, x double, z int"))
+    assert union_schema(a, b).simpleString() == union_schema(b, a).simpleString().replace("Y", "y").replace(
+        "y:string,x:double", "x:double,y:string")
+    # tables of other writers: the union of their footers
+    other = str(tmp_path / "other")
+    spark.createDataFrame([("007", 1)], "expedition string, a int").write.partitionBy("expedition").parquet(other)
+    spark.createDataFrame([("008", "x")], "expedition string, b string").write.mode("append").partitionBy(
+        "expedition").parquet(other)
+    assert rows(read_complete_days(spark, other), "expedition", "a", "b") == [("007", 1, None), ("008", None, "x")]

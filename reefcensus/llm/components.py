@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import materialize
+from .store import discard, materialize
 
 
 def _fingerprint(edges: DataFrame):
@@ -25,15 +25,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
     now = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                       .distinct(), "edges")
     seen = _fingerprint(now)
-    while seen[0]:
+    while seen[0]:  # what a round has read is dropped once the next one is written
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = materialize(both.groupBy("a").agg(F.min("b").alias("m"))
                           .select("a", F.least("a", "m").alias("m")), "low")
         large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = materialize(large.distinct(), "large")
+        discard(now, low)
         low = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "low")
         small = large.join(low, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = materialize(small.unionByName(low.withColumnRenamed("m", "b")).distinct(), "edges")
+        discard(large, low)
         if (after := _fingerprint(now)) == seen:
             break
         seen = after

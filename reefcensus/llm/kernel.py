@@ -54,6 +54,35 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: a second modulus, so that no text cancels out in both hashes
+PRIME, PRIME_BASE = (1 << 31) - 1, 48271
+
+
+@lru_cache(maxsize=4)
+def _prime_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    inverse = pow(PRIME_BASE, -1, PRIME)
+    out = []
+    for base in (PRIME_BASE, inverse):
+        powers_ = np.ones(n, np.uint64)
+        done = 1
+        while done < n:  # the known powers, times the next one
+            more = min(done, n - done)
+            powers_[done: done + more] = powers_[:more] * np.uint64(pow(base, done, PRIME)) % np.uint64(PRIME)
+            done += more
+        out.append(powers_)
+    return out[0], out[1]
+
+
+def prime_range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Position-free polynomial hash of each byte range modulo ``PRIME``."""
+    n = len(data) + 1
+    size = CHUNK + 4096 if n <= CHUNK + 4096 else 1 << int(n - 1).bit_length()
+    up, down = _prime_powers(size)
+    prefix = np.zeros(n, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: n - 1] % np.uint64(PRIME), out=prefix[1:])
+    return (prefix[end] - prefix[start]) % np.uint64(PRIME) * down[start] % np.uint64(PRIME)
+
+
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
     """H with H[i] = sum over j < i of (data[j] + 1) * BASE**j."""
     up, _ = powers(len(data) + 1)
@@ -104,8 +133,9 @@ class Words:
             to = max(at + 1, int(np.searchsorted(self.end, self.start[at] + CHUNK, "right")))
             lo, hi = self.start[at], self.end[to - 1]
             piece = _LOWER[data[lo:hi]] if lower else data[lo:hi]
-            h = prefix_hashes(piece)
-            self.hashes[at:to] = mix(range_hashes(h, self.start[at:to] - lo, self.end[at:to] - lo))
+            begin, stop = self.start[at:to] - lo, self.end[at:to] - lo
+            second = mix(prime_range_hashes(piece, begin, stop) + np.uint64(1))
+            self.hashes[at:to] = mix(range_hashes(prefix_hashes(piece), begin, stop) ^ second)
             at = to
 
     def shingles(self, n: int) -> tuple[np.ndarray, np.ndarray]:

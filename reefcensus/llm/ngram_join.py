@@ -4,7 +4,7 @@ incidence matrix.
 Which documents can meet at all is found on prefixes: a document of n
 shingles that reaches the threshold with another shares one of any
 ``n - ceil(threshold * n) + 1`` of its shingles. Shingles are ordered with a
-fixed sample of the hash space first, by how many documents hold them, so
+fixed part of the hash space first, by how many documents hold them, so
 documents whose first shingles are all their own need no partner. The rest
 falls into blocks, and in each block the product of the incidence matrix with
 its transpose gives all overlap counts.
@@ -19,16 +19,18 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .kernel import Words, by_key, chunks, mix, text_buffer
-from .store import materialize, stored_rows, whole_rows
+from .store import discard, materialize, stored_rows, whole_rows
 
 SHINGLE = 3
 PERCENT = 90
-#: a fifth of the hash space is counted over all documents
-SAMPLE = 5
+#: share of the hash space that is counted over all documents, in thousandths:
+#: well over the share of a document's shingles that its prefix has
+LEAST_SAMPLE, SAMPLE_PER_PREFIX = 200, 1.6
 #: documents in one block; larger groups are dealt into tiles of this size
 BLOCK_DOCS = 4096
 
-SETS_SCHEMA = "rid long, doc_id long, n long, s1 long, s2 long, sampled array<long>, rest array<long>"
+SETS_SCHEMA = ("rid long, doc_id long, n long, s1 long, s2 long, first boolean, sampled array<long>, "
+               "rest array<long>")
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> list[np.ndarray]:
@@ -52,6 +54,22 @@ def needed(n, percent: int = PERCENT):
     return -(-percent * n // 100)
 
 
+def sample_share(percent: int = PERCENT) -> int:
+    return min(1000, max(LEAST_SAMPLE, round(10 * SAMPLE_PER_PREFIX * (100 - percent))))
+
+
+def set_keys(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit sums over each set, the same wherever the set stands."""
+    flat = np.concatenate([np.zeros(0, np.uint64), *sets])
+    ends = np.cumsum([0, *map(len, sets)])
+    out = []
+    for k in (0x5BD1E995, 0xC2B2AE35):
+        total = np.zeros(len(flat) + 1, np.uint64)
+        np.cumsum(mix(flat ^ np.uint64(k)), out=total[1:])
+        out.append((total[ends[1:]] - total[ends[:-1]]).view(np.int64))
+    return out[0], out[1]
+
+
 def _lists(parts: list[np.ndarray]) -> pa.Array:
     ends = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int32)
     flat = np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64)
@@ -60,31 +78,30 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
 
 def _sets(batches, size: int, percent: int):
     seen: set[tuple[int, int]] = set()  # of this task: a copy's shingles are sent once
+    share = np.uint64(sample_share(percent))
     for batch in batches:
         data, offsets = text_buffer(batch.column(2))
         for lo, hi in chunks(offsets):
             sets = shingle_sets(data[offsets[lo]: offsets[hi]], offsets[lo: hi + 1] - offsets[lo], size)
-            flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-            ends = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
-            sums = [np.concatenate(([0], np.cumsum(mix(flat ^ np.uint64(k)), dtype=np.uint64))).astype(np.uint64)
-                    for k in (0x5BD1E995, 0xC2B2AE35)]
-            s1, s2 = ((s[ends[1:]] - s[ends[:-1]]).view(np.int64) for s in sums)
-            sampled, rest = [], []
+            s1, s2 = set_keys(sets)
+            sampled, rest, first = [], [], []
             empty = np.zeros(0, np.uint64)
             for k, own in enumerate(sets):
-                if (key := (int(s1[k]), int(s2[k]))) in seen:
+                first.append((key := (int(s1[k]), int(s2[k]))) not in seen)
+                if not first[-1]:
                     sampled.append(empty)
                     rest.append(empty)
                     continue
                 seen.add(key)
-                chosen = own % np.uint64(SAMPLE) == 0
+                chosen = own % np.uint64(1000) < share
                 sampled.append(own[chosen])
                 prefix = len(own) - needed(len(own), percent) + 1 if len(own) else 0
                 rest.append(own[~chosen][: max(0, prefix - len(sampled[-1]))])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo),
-                 pa.array(np.diff(ends).astype(np.int64)), pa.array(s1), pa.array(s2), _lists(sampled), _lists(rest)],
-                names=["rid", "doc_id", "n", "s1", "s2", "sampled", "rest"])
+                 pa.array([len(s) for s in sets], pa.int64()), pa.array(s1), pa.array(s2), pa.array(first, pa.bool_()),
+                 _lists(sampled), _lists(rest)],
+                names=["rid", "doc_id", "n", "s1", "s2", "first", "sampled", "rest"])
 
 
 def _block_links(rids: np.ndarray, sets: list[np.ndarray], percent: int):
@@ -141,13 +158,19 @@ def _links(batches, size: int, percent: int):
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
+def _representatives(sets: DataFrame) -> DataFrame:
+    """``(s1, s2, rep, low)``: of each set the first row that carries its
+    shingles, and the smallest id of all its rows."""
+    return sets.filter("n > 0").groupBy("s1", "s2").agg(
+        F.min(F.when(F.col("first"), F.col("rid"))).alias("rep"), F.min("doc_id").alias("low"))
+
+
 def _candidates(sets: DataFrame, percent: int) -> DataFrame:
     """``(rid, n, h)``: prefix shingles that two or more documents may share."""
     inc = sets.select("rid", F.explode("sampled").alias("h"))
     df = inc.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
     shared = inc.join(df, "h").groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("shared"))
-    # the first copy of each set stands for all
-    reps = sets.filter("n > 0").groupBy("s1", "s2").agg(F.min("rid").alias("rid")).select("rid")
+    reps = _representatives(sets).select(F.col("rep").alias("rid"))
     lean = sets.select("rid", "n", F.size("sampled").alias("m"), "rest").join(reps, "rid") \
         .join(shared, "rid", "left")
     common = F.coalesce(F.size("shared"), F.lit(0))
@@ -198,11 +221,16 @@ def _components(rows: DataFrame, size: int, percent: int) -> DataFrame:
         .repartition("root", "block").sortWithinPartitions("root", "block", "rid")
     links = blocked.mapInArrow(lambda it: _links(it, size, percent), "a long, b long")
     comps = materialize(connected_components(links), "components")
-    reps = sets.filter("n > 0").groupBy("s1", "s2").agg(F.min("rid").alias("rep"), F.min("doc_id").alias("low"))
+    keys = materialize(sets.select("rid", "doc_id", "n", "s1", "s2", "first"), "keys")
+    discard(sets, cols)
+    sets = keys
+    reps = _representatives(sets)
     reps = reps.join(comps, reps["rep"] == comps["node"], "left") \
         .select("s1", "s2", "low", F.coalesce("root", "rep").alias("component"))
     low = reps.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = reps.join(low, "component").select("s1", "s2", "component", "component_id")
+    # written, so that AQE can split a set with many copies in the join below
+    named = materialize(reps.join(low, "component").select("s1", "s2", "component", "component_id"), "named")
+    discard(comps)
     some = sets.select("rid", "doc_id", F.col("n").alias("n_shingles"), "s1", "s2")
     linked = some.filter("n_shingles > 0").join(named, ["s1", "s2"])
     alone = some.filter("n_shingles = 0").select("*", F.col("rid").alias("component"),

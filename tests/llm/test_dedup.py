@@ -101,6 +101,52 @@ def test_join_of_a_group_of_near_copies(spark, tmp_path):
     same(got, join_rows(rows), "doc_id", "n_shingles", "component_id")
 
 
+def test_equal_sets_have_equal_keys():
+    rng = random.Random(13)
+    texts = [" ".join(rng.choices("abcdefghijkl", k=rng.randint(0, 400))) for _ in range(300)]
+    texts = texts + texts[::-1] + ["", "a"] * 3
+    raw = "".join(texts).encode()
+    offsets = np.cumsum([0, *[len(t) for t in texts]])
+    sets = ngram_join.shingle_sets(np.frombuffer(raw, np.uint8), offsets)
+    keys = list(zip(*ngram_join.set_keys(sets)))
+    assert len({tuple(k) for k in keys}) == len({s.tobytes() for s in sets})
+    for own, key in zip(sets, keys):  # the same alone as among others
+        assert [int(k[0]) for k in ngram_join.set_keys([own])] == [int(k) for k in key]
+
+
+def test_copies_in_parts_of_unequal_size(spark, tmp_path):
+    """Tasks read large parts first, so the first copy that a task reads need
+    not be the one with the smallest number."""
+    rng = random.Random(14)
+    base = [f"w{rng.randint(0, 10 ** 6)}" for _ in range(400)]
+    near = [*base[:200], "changed", *base[201:]]
+    for part, (doc_id, words, more) in enumerate([(0, base, 0), (1, base, 400), (2, near, 0)]):
+        filler = [(100 + 1000 * part + i, " ".join(f"f{rng.randint(0, 10 ** 9)}" for _ in range(200))) for i in range(more)]
+        spark.createDataFrame([(doc_id, " ".join(words)), *filler], "doc_id long, text string").coalesce(1) \
+            .write.mode("append").parquet(str(tmp_path / "t"))
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.files.minPartitionNum",)}
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        docs = spark.read.parquet(str(tmp_path / "t"))
+        got = {r["doc_id"]: r["component_id"] for r in jaccard_components(docs).filter("doc_id < 3").collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == {0: 0, 1: 0, 2: 0}
+
+
+def test_words_that_cancel_out_in_one_hash(spark, tmp_path):
+    """A Thue-Morse word and its complement are equal modulo powers of two."""
+    bits = "a"
+    while len(bits) < 4096:
+        bits += bits.translate(str.maketrans("ab", "ba"))
+    other = bits.translate(str.maketrans("ab", "ba"))
+    rows = [(1, f"x {bits} y z"), (2, f"x {other} y z"), (3, f"x {bits} y z")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "t"))
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_components(spark.read.parquet(str(tmp_path / "t"))).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+
+
 def test_one_of_each_group_stays(docs, corpus):
     rows = join_rows(corpus)
     kept = keep_one(docs)
@@ -150,10 +196,10 @@ def test_lines(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "t"))
     docs = spark.read.parquet(str(tmp_path / "t"))
     got = [(r["doc_id"], r["n_lines"], r["removed"]) for r in duplicate_lines(docs).orderBy("rid").collect()]
-    assert got[:6] == [(1, 3, []), (2, 3, [0]), (3, 4, [1]), (4, 0, []), (5, 1, []), (None, 1, [0])]
+    assert got[:6] == [(1, 3, []), (2, 3, [0, 1]), (3, 4, [1]), (4, 0, []), (5, 1, []), (None, 1, [0])]
     assert got[7] == (6, 1, [0])  # the same line twice in any case
     left = sorted((r["doc_id"] or 0, r["text"]) for r in drop_lines(docs).filter("doc_id < 4").collect())
-    assert left == [(1, rows[0][1]), (2, "Hi.\n" + long[2]), (3, f"{long[3]} 123\n\n")]
+    assert left == [(1, rows[0][1]), (2, long[2]), (3, f"{long[3]} 123\n\n")]
 
 
 def test_odd_lines(docs, corpus):

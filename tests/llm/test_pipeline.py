@@ -18,13 +18,24 @@ from .test_scores_and_scans import item_rows
 SF_DIR = "/root/testdata/sf0.001"
 
 
+def five_word_groups(texts):
+    def shingles(text):
+        w = brute.words(text)
+        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} if w else set()
+
+    sets = [shingles(t) for t in texts]
+    return brute.groups(len(sets), [
+        (a, b) for a, b in combinations(range(len(sets)), 2) if sets[a] and sets[b]
+        and 100 * (i := len(sets[a] & sets[b])) >= 80 * (len(sets[a]) + len(sets[b]) - i)])
+
+
 def test_pipeline_matches_brute_force(spark):
     rows = [(r["doc_id"], r["text"], r["source"]) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
     items = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").select("item_id", "text").collect()]
     assert len({r[0] for r in rows}) == len(rows)
     rows = [(i, clean_lines(t or "")[0], s) for i, t, s in rows if rules(t)[-1]]
     rows.sort()
-    root = brute.jaccard([r[1] for r in rows])[1]
+    root = five_word_groups([r[1] for r in rows])
     rows = [r for k, r in enumerate(rows) if root[k] == k]
     rows = [r for r, found in zip(rows, item_rows(rows, items)) if not found[-1]]
     copies = brute.mix(rows)
@@ -52,17 +63,6 @@ def test_stages_of_nothing(spark, tmp_path):
         assert stage(spark, docs, SF_DIR).count() == 0
 
 
-def five_word_groups(texts):
-    def shingles(text):
-        w = brute.words(text)
-        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} if w else set()
-
-    sets = [shingles(t) for t in texts]
-    return brute.groups(len(sets), [
-        (a, b) for a, b in combinations(range(len(sets)), 2) if sets[a] and sets[b]
-        and 100 * (i := len(sets[a] & sets[b])) >= 80 * (len(sets[a]) + len(sets[b]) - i)])
-
-
 def test_near_duplicate_stage_takes_five_words_and_80_percent(spark, tmp_path):
     rng = random.Random(11)
     base = [f"w{rng.randint(0, 5000)}" for _ in range(300)]
@@ -79,8 +79,3 @@ def test_near_duplicate_stage_takes_five_words_and_80_percent(spark, tmp_path):
     root = five_word_groups(texts)
     assert root[1] == root[2] == 0 and root[3] == 3 and root[7] == 5
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(root))
-
-
-def test_pipeline_matches_brute_force_of_five_words(spark, monkeypatch):
-    monkeypatch.setattr(brute, "jaccard", lambda texts: (None, five_word_groups(texts)))
-    test_pipeline_matches_brute_force(spark)

@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .kernel import chunks, text_buffer
-from .pretokens import OTHER, WORD_ENDS, load_tokenizer
+from .kernel import chunks, ranges, text_buffer
+from .pretokens import WordEnds, load_tokenizer
 from .store import scratch_path
 
 BLOCK_SCHEMA = ("shard int, block int, n_docs int, n_ids long, id_bits int, doc_ids array<long>, ids binary, "
@@ -40,7 +40,6 @@ class EliasFano:
     def __init__(self, n: int, low_bits: int, low: bytes, high: bytes, samples: bytes):
         self.n, self.low_bits, self.low, self.high, self.samples = n, low_bits, low, high, samples
         self._high = np.frombuffer(high, np.uint8)
-        self._low = np.unpackbits(np.frombuffer(low, np.uint8), bitorder="little")
         self._samples = np.frombuffer(samples, np.uint32)
 
     @classmethod
@@ -69,18 +68,25 @@ class EliasFano:
         for _ in range(left):
             current &= current - 1
         one = byte * 8 + (current & -current).bit_length() - 1
-        bits = self._low[k * self.low_bits: (k + 1) * self.low_bits]
-        return (one - k << self.low_bits) + int(bits @ (1 << np.arange(self.low_bits)))
+        first = k * self.low_bits
+        own = int.from_bytes(self.low[first >> 3: first + self.low_bits + 7 >> 3], "little") >> (first & 7)
+        return (one - k << self.low_bits) + (own & (1 << self.low_bits) - 1)
 
     def all(self) -> np.ndarray:
         """All values at once."""
         ones = np.flatnonzero(np.unpackbits(self._high, bitorder="little"))[: self.n]
-        low = self._low[: self.n * self.low_bits].reshape(self.n, self.low_bits).astype(np.int64)
+        bits = np.unpackbits(np.frombuffer(self.low, np.uint8), bitorder="little")
+        low = bits[: self.n * self.low_bits].reshape(self.n, self.low_bits).astype(np.int64)
         return (ones - np.arange(self.n) << self.low_bits) + low @ (np.int64(1) << np.arange(self.low_bits))
 
 
 class _Encoder:
-    """Token ids of texts with one word-end BPE file, kept per Python worker."""
+    """Token ids of texts with one word-end BPE file, kept per Python worker.
+
+    The ids of every pre-token met so far lie one after another in one array;
+    a batch of texts is looked up by the hashes of its pre-tokens, and only
+    new ones go to the library.
+    """
 
     _of: dict[str, _Encoder] = {}
 
@@ -89,7 +95,12 @@ class _Encoder:
         size = max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self):
+        self.hashes = np.zeros(0, np.uint64)
+        self.start = self.size = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, self.dtype)
 
     @classmethod
     def get(cls, path):
@@ -97,59 +108,67 @@ class _Encoder:
             cls._of[path] = cls(path)
         return cls._of[path]
 
-    def pack(self, ids) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out, known = [b""] * len(texts), self.known
-        split, whole = {}, []
-        for i, text in enumerate(texts):
-            lowered = text.lower()  # may leave the range
-            if OTHER.search(text) or OTHER.search(lowered) or any(s in text for s in self.special):
-                whole.append(i)
-            else:
-                split[i] = WORD_ENDS.findall(lowered)
-        rest = set().union(*split.values()) - known.keys()
-        if len(known) + len(rest) > CACHE_SIZE:
-            known.clear()
-            rest = set().union(*split.values())
-        rest = list(rest)
-        for t, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            known[t] = self.pack(e.ids)
-        for i, tokens in split.items():
-            out[i] = b"".join(map(known.__getitem__, tokens))
-        for i in whole:
-            out[i] = self.pack(self.tokenizer.encode(texts[i], add_special_tokens=False).ids)
-        return out
+    def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, ``end_id`` after each, and how many each has."""
+        tokens = WordEnds(data, offsets, self.special)
+        hashes, one, which = np.unique(tokens.hashes, return_index=True, return_inverse=True)
+        if len(self.hashes) > CACHE_SIZE:
+            self._forget()
+        self._learn(tokens, hashes, one)
+        at = np.searchsorted(self.hashes, hashes)[which]
+        size = self.size[at]
+        ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(size)))[tokens.first]
+        ids = np.insert(self.ids[ranges(self.start[at], size)], ends[1:], end_id)
+        return ids, np.diff(ends) + 1
+
+    def _learn(self, tokens: WordEnds, hashes: np.ndarray, one: np.ndarray) -> None:
+        at = np.searchsorted(self.hashes, hashes)
+        known = np.zeros(len(hashes), bool)
+        inside = at < len(self.hashes)
+        known[inside] = self.hashes[at[inside]] == hashes[inside]
+        if known.all():
+            return
+        texts = [tokens.text(k) for k in one[~known]]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        size = np.array([len(x) for x in found], np.int64)
+        start = len(self.ids) + np.cumsum(size) - size
+        self.ids = np.concatenate((self.ids, np.array([i for x in found for i in x], self.dtype)))
+        at, new = at[~known], hashes[~known]
+        self.hashes = np.insert(self.hashes, at, new)
+        self.start, self.size = np.insert(self.start, at, start), np.insert(self.size, at, size)
 
 
 def _blocks(batches, path: str, end_id: int):
     encoder = _Encoder.get(path)
-    end, width = encoder.pack([end_id]), encoder.dtype.itemsize
-    shard, block, ids, parts, ends, total = None, 0, [], [], [], 0
+    width = encoder.dtype.itemsize
+    shard, block, ids, parts, sizes, total = None, 0, [], [], [], 0
 
     def flush():
-        code = EliasFano.encode(np.array(ends, np.int64))
+        code = EliasFano.encode(np.cumsum(np.concatenate(sizes)))
         return pa.RecordBatch.from_pylist([{
-            "shard": shard, "block": block, "n_docs": len(ids), "n_ids": total, "id_bits": 8 * width, "doc_ids": ids,
-            "ids": b"".join(parts), "low_bits": code.low_bits, "low": code.low, "high": code.high,
-            "samples": code.samples}], schema=_ARROW_BLOCK)
+            "shard": shard, "block": block, "n_docs": code.n, "n_ids": total, "id_bits": 8 * width,
+            "doc_ids": pa.chunked_array(ids).to_pylist(), "ids": b"".join(parts), "low_bits": code.low_bits,
+            "low": code.low, "high": code.high, "samples": code.samples}], schema=_ARROW_BLOCK)
 
     for batch in batches:
-        _, offsets = text_buffer(batch.column("text"))
+        data, offsets = text_buffer(batch.column("text"))
         for lo, hi in chunks(offsets):
-            doc_ids = batch.column("doc_id").slice(lo, hi - lo).to_pylist()
-            texts = [t or "" for t in batch.column("text").slice(lo, hi - lo).to_pylist()]
+            doc_ids = batch.column("doc_id").slice(lo, hi - lo)
             shard = batch.column("shard")[lo].as_py()
-            for doc_id, code in zip(doc_ids, encoder.encode(texts)):
-                parts += [code, end]
-                total += len(code) // width + 1
-                ids.append(doc_id)
-                ends.append(total)
+            flat, size = encoder.encode(data[offsets[lo]: offsets[hi]], offsets[lo: hi + 1] - offsets[lo], end_id)
+            ends, at = np.cumsum(size), 0
+            while at < len(size):  # whole documents, until the block has its ids
+                done = int(ends[at - 1]) if at else 0
+                to = min(len(size), int(np.searchsorted(ends, done + BLOCK_IDS - total)) + 1)
+                parts.append(flat[done: ends[to - 1]].tobytes())
+                ids.append(doc_ids.slice(at, to - at))
+                sizes.append(size[at:to])
+                total += int(ends[to - 1]) - done
+                at = to
                 if total >= BLOCK_IDS:
                     yield flush()
-                    block, ids, parts, ends, total = block + 1, [], [], [], 0
-    if ids:
+                    block, ids, parts, sizes, total = block + 1, [], [], [], 0
+    if sizes:
         yield flush()
 
 
@@ -165,9 +184,9 @@ def write_token_files(docs: DataFrame, out: str, path: str, end_id: int = 2, id_
     and writes a token file to the folder ``out`` (any file system of Spark).
 
     Documents are in ascending order of their id, nulls first; rows with one
-    id are ordered by their text's hash and text. Ranges of the order are
-    dealt out to tasks (a repeated id is split by the hash, equal rows by
-    their row number), so a part starts where the one before ends. A null
+    id are ordered by their text's hash, then by their place in the scan.
+    Ranges of the order are dealt out to tasks, so a part starts where the one
+    before ends. A null
     text has no ids but the end. An empty table gives a folder without blocks.
     """
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"),
@@ -210,6 +229,33 @@ def read_token_files(spark, out: str) -> DataFrame:
         "doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def read_token_ids(spark, out: str, wanted: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``(doc_id, ids array<int>)`` of the documents named in ``wanted``, from
+    a token file: their offsets by ``select``, no other document is decoded.
+    An id that several documents have gives a row each."""
+    blocks = spark.read.schema(BLOCK_SCHEMA).parquet(out)
+    asked = wanted.select(wanted[id_col].cast("long").alias("doc_id")).distinct()
+    # the blocks' ids meet the wanted ones; blocks without any are not opened
+    places = blocks.select("shard", "block", F.posexplode("doc_ids").alias("k", "doc_id")) \
+        .join(asked, "doc_id")
+    places = places.groupBy("shard", "block").agg(F.collect_list("k").alias("ks"))
+    opened = blocks.join(places, ["shard", "block"]).select(
+        "doc_ids", "ids", "id_bits", "n_docs", "low_bits", "low", "high", "samples", "ks")
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids = np.frombuffer(row["ids"], f"<u{row['id_bits'] // 8}")
+                code = EliasFano(row["n_docs"], row["low_bits"], row["low"], row["high"], row["samples"])
+                for k in row["ks"]:
+                    own = ids[code.select(k - 1) if k else 0: code.select(k)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([row["doc_ids"][k]], pa.int64()), pa.array([own.astype(np.int32)], pa.list_(pa.int32()))],
+                        names=["doc_id", "ids"])
+
+    return opened.mapInArrow(run, "doc_id long, ids array<int>")
+
+
 def token_file_index(docs: DataFrame, path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text",
                      out: str | None = None) -> DataFrame:
     """Writes a token file and returns what reading it back gives."""

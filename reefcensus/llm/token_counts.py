@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .kernel import chunks, text_buffer
-from .pretokens import BYTE_LEVEL, OTHER, load_tokenizer, vocabulary_strings
+from .pretokens import BYTE_LEVEL, OTHER, load_tokenizer, safe_pieces, vocabulary_strings
 
 COUNT_SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 MAX_TOKENS = 1024
@@ -53,10 +53,13 @@ class _Counter:
 
     def count(self, texts: list[str]) -> list[int]:
         out, merged, proven = [0] * len(texts), self.merged, self.proven
-        split, whole = {}, []
+        split = {}
         for i, text in enumerate(texts):
             if OTHER.search(text) or any(s in text for s in self.special):
-                whole.append(i)
+                # foreign pieces are merged by the library like unproven pre-tokens
+                pieces, split[i] = safe_pieces(text, self.special)
+                for piece in pieces:
+                    split[i] += BYTE_LEVEL.findall(piece)
             else:
                 split[i] = BYTE_LEVEL.findall(text)
         rest = {t for tokens in split.values() for t in tokens if t not in proven and t not in merged}
@@ -71,8 +74,6 @@ class _Counter:
             for t in tokens:
                 n += 1 if t in proven else merged[t]
             out[i] = n
-        for i in whole:
-            out[i] = len(self.tokenizer.encode(texts[i], add_special_tokens=False).ids)
         return out
 
 
@@ -81,9 +82,9 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """``(doc_id, n_bytes, n_tokens, over_limit)``, one row per input row.
 
     ``path``: a byte-level BPE file of the tokenizers library; counts equal
-    the library's without added special tokens. Texts with characters from
-    U+0250 on, or with special strings, are encoded by the library whole. A
-    null text has 0 bytes and 0 tokens; an empty table gives no rows. No
+    the library's without added special tokens. Of a text with characters
+    from U+0250 on, or with special strings, only the pieces between white
+    space that hold them are encoded by the library. A null text has 0 bytes and 0 tokens; an empty table gives no rows. No
     shuffle: the proven strings (at most the vocabulary) go to every task.
     """
     proven = docs.sparkSession.sparkContext.broadcast(single_tokens(path))

@@ -8,9 +8,17 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from reefcensus.llm.pretokens import BYTE_LEVEL, LIMIT, WORD_ENDS
-from reefcensus.llm.token_counts import count_tokens, single_tokens
-from reefcensus.llm.token_files import EliasFano, read_token_files, token_file_index, write_token_files
+from reefcensus.llm.pretokens import BYTE_LEVEL, LIMIT, WORD_ENDS, WordEnds, safe_pieces
+from reefcensus.llm.token_counts import _Counter, count_tokens, single_tokens
+from reefcensus.llm import token_files
+from reefcensus.llm.token_files import (
+    EliasFano,
+    _Encoder,
+    read_token_files,
+    read_token_ids,
+    token_file_index,
+    write_token_files,
+)
 
 from .conftest import same
 
@@ -102,3 +110,55 @@ def test_elias_fano(n):
     if n == 5000:
         size = len(code.low) + len(code.high) + len(code.samples)
         assert size * 8 < n * (3 + np.log2(values[-1] / n)) + 32 * n / 256 + 64
+
+
+def odd_texts(rng, n):
+    chars = [chr(c) for c in range(LIMIT)]
+    bits = ["'s", "'ll", "'re", "'LL", "'v", "''t", "  ", "\n", "\u00a0", "\u0085", "<|endoftext|>", "<|START", "<|startoftext|>",
+            "İ", "Σ", "σς", "é", "e\u0301", " \u0301", "漢字", "😀", "—", "“a”", "Ⱥ", "12", "½", "²", "\x1c", "\u2028", "\u3000"]
+    return ["".join(rng.choices(chars[:128] * 3 + chars + bits * 25, k=rng.randint(0, 60))) for _ in range(n)]
+
+
+def test_batches_of_odd_texts_match_the_library(monkeypatch):
+    tok, encoder = Tokenizer.from_file(WORDS), _Encoder(WORDS)
+    rng = random.Random(3)
+    for cache in (400_000, 50):
+        monkeypatch.setattr(token_files, "CACHE_SIZE", cache)
+        for _ in range(12):
+            texts = odd_texts(rng, 200)
+            raw = [t.encode() for t in texts]
+            ids, size = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), 2)
+            at = np.cumsum([0, *size])
+            for text, a, b in zip(texts, at, at[1:]):
+                assert ids[a:b].tolist() == [*tok.encode(text, add_special_tokens=False).ids, 2], repr(text)
+
+
+def test_only_runs_with_foreign_characters_go_to_the_library():
+    raw = "plain words — and “quoted” ones, 漢字x end".encode()
+    tokens = WordEnds(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), [])
+    assert [tokens.text(k) for k in np.flatnonzero(tokens.foreign)] == ["—", "“quoted”", "漢字x"]
+
+
+def test_documents_are_read_by_select(spark, tmp_path, monkeypatch):
+    texts = odd_texts(random.Random(5), 700) + ["word " * 3000, "", "x"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(5, "another five")]
+    monkeypatch.setattr(token_files, "BLOCK_IDS", 4000)
+    out = str(tmp_path / "t")
+    write_token_files(spark.createDataFrame(rows, "doc_id long, text string"), out, WORDS)
+    wanted = spark.createDataFrame([(i,) for i in (0, 5, 5, 333, 700, 701, 702, 9999)], "doc_id long")
+    got = sorted((r["doc_id"], r["ids"]) for r in read_token_ids(spark, out, wanted).collect())
+    tok = Tokenizer.from_file(WORDS)
+    want = sorted((i, [*tok.encode(t, add_special_tokens=False).ids, 2]) for i, t in rows if i in (0, 5, 333, 700, 701, 702))
+    assert got == want
+
+
+def test_counts_of_odd_texts_match_the_library():
+    tok, counter = Tokenizer.from_file(BYTES), _Counter(BYTES, single_tokens(BYTES))
+    texts = odd_texts(random.Random(6), 3000)
+    for text, n in zip(texts, counter.count(texts)):
+        assert n == len(tok.encode(text, add_special_tokens=False).ids), repr(text)
+
+
+def test_only_pieces_with_foreign_characters_are_merged_by_the_library():
+    proven, foreign = safe_pieces("plain words — and “quoted” ones\u3000 x", [])
+    assert foreign == [" —", " “quoted”", " ones\u3000 x"] and "".join(proven) == "plain words and"

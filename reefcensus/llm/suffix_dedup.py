@@ -2,8 +2,8 @@
 
 Every window of ``LENGTH`` bytes names an anchor, the place of its smallest
 40-byte hash, so equal windows have equal anchors at equal places. The
-windows of one anchor form a segment. Segments that are equal as a whole are
-settled by counting. Different segments around equal anchors are compared by
+windows of one anchor form a segment. Segments that are equal as a whole, by
+their SHA-256, are settled by counting. Different segments around equal anchors are compared by
 a suffix array: the suffixes at the anchors are merge-sorted (and, mirrored,
 the prefixes before them); a comparison finds the common extension by binary
 search over prefix hashes. A window is repeated if another segment lies in
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kernel import CHUNK, by_key, chunks, mix, powers, prefix_hashes, range_hashes, text_buffer
+from .kernel import CHUNK, by_key, chunks, mix, powers, prefix_hashes, text_buffer
 from .store import materialize, stored_rows
 
 LENGTH = 200
@@ -46,11 +46,12 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments(data: np.ndarray, offsets: np.ndarray):
-    """First and last window start, anchor, anchor hash and segment hash of
-    the segments of some texts."""
+    """First and last window start, anchor, anchor hash and the segment's
+    digest (two halves) of the segments of some texts."""
     empty = np.zeros(0, np.int64)
+    none = empty, empty, empty, empty.view(np.uint64), empty, empty
     if len(data) < LENGTH:
-        return empty, empty, empty, empty.view(np.uint64), empty.view(np.uint64)
+        return none
     h = prefix_hashes(data)
     _, down = powers(len(h))
     gram = mix((h[GRAM:] - h[:-GRAM]) * down[: len(h) - GRAM])
@@ -62,13 +63,22 @@ def segments(data: np.ndarray, offsets: np.ndarray):
     np.add.at(valid, offsets[long + 1] - LENGTH + 1, -1)
     start = np.flatnonzero(np.cumsum(valid)[:-1] > 0)
     if not len(start):
-        return empty, empty, empty, empty.view(np.uint64), empty.view(np.uint64)
+        return none
     own = anchor[start]
     new = np.flatnonzero(np.concatenate(([True], (own[1:] != own[:-1]) | (start[1:] != start[:-1] + 1))))
     lo, at = start[new], own[new]
     hi = start[np.concatenate((new[1:], [len(start)])) - 1]
-    shape = ((hi - lo) << 8 | (at - lo)).astype(np.uint64)
-    return lo, hi, at, gram[at], mix(range_hashes(h, lo, hi + LENGTH) ^ mix(shape + np.uint64(1)))
+    digest = digests(data, lo, hi + LENGTH)
+    # the anchor's place is part of what must be equal
+    return lo, hi, at, gram[at], digest[:, 0] ^ (at - lo), digest[:, 1]
+
+
+def digests(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The first 16 bytes of the SHA-256 of each byte range, as two numbers."""
+    raw = data.tobytes()
+    sha = hashlib.sha256
+    found = b"".join([sha(raw[a:b]).digest()[:16] for a, b in zip(start.tolist(), end.tolist())])
+    return np.frombuffer(found, np.int64).reshape(-1, 2)
 
 
 def _pieces(data: np.ndarray, offsets: np.ndarray):
@@ -89,12 +99,12 @@ def _segment_rows(batches):
         data, offsets = text_buffer(batch.column(1))
         rids = batch.column(0).to_numpy()
         for text, shift, part, offs in _pieces(data, offsets):
-            lo, hi, at, anchor, whole = segments(part, offs)
+            lo, hi, at, anchor, first, second = segments(part, offs)
             of = np.searchsorted(offs, lo, "right") - 1
             place = (lo - offs[of] + shift) << 16 | (hi - lo) << 8 | (at - lo)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(rids[of + text]),
-                 pa.array(place)], names=["ah", "sh", "rid", "place"])
+                [pa.array(anchor.view(np.int64)), pa.array(first), pa.array(second), pa.array(rids[of + text]),
+                 pa.array(place)], names=["ah", "sh", "sh2", "rid", "place"])
 
 
 def _fetch(batches):
@@ -265,18 +275,17 @@ def _sorted_spans(batches):
 
 
 def _window_rows(batches):
-    """Two hashes of every window of the segments of large groups."""
+    """The digest of every window of the segments of large groups."""
     for batch in batches:
         data, offsets = text_buffer(batch.column("bytes"))
         place = batch.column("place").to_numpy()
         count = np.diff(offsets) - LENGTH + 1
         of = np.repeat(np.arange(len(count)), count)
         step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        h = prefix_hashes(data)
         start = offsets[of] + step
-        first, second = (mix(range_hashes(h, start, start + n)) for n in (LENGTH, LENGTH // 2))
+        digest = digests(data, start, start + LENGTH)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(first.view(np.int64)), pa.array(second.view(np.int64)),
+            [pa.array(digest[:, 0]), pa.array(digest[:, 1]),
              pa.array(batch.column("rid").to_numpy()[of]), pa.array((place[of] >> 16) + step),
              pa.array(batch.column("lone").to_numpy(zero_copy_only=False)[of])],
             names=["w1", "w2", "rid", "start", "lone"])
@@ -322,25 +331,26 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     200-byte string that also starts elsewhere in the table, overlaps too.
 
     Texts count as UTF-8 bytes (null: empty), so kept bytes need not be valid
-    UTF-8. Repeated rows remove each other. Copies of a segment are counted,
-    combined before the shuffle; only one of each goes to the suffix array.
-    A group of more than ``GROUP_SEGMENTS`` different segments is compared by
-    128 bits of hashes per window, dealt out by those. The
-    numbered texts are written once and read three times.
+    UTF-8. Repeated rows remove each other. Copies of a segment, by 128 bits
+    of its SHA-256, are counted, combined before the shuffle; only one of each
+    goes to the suffix array. A group of more than ``GROUP_SEGMENTS``
+    different segments is compared by such digests of its windows, dealt out
+    by those. The numbered texts are written once and read three times.
     """
     rows = stored_rows(docs, docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    found = rows.select("rid", "text").mapInArrow(_segment_rows, "ah long, sh long, rid long, place long")
-    shared = found.groupBy("ah").agg(F.count("*").alias("n"), F.min("sh").alias("low"), F.max("sh").alias("high")) \
-        .filter("n > 1").select("ah", (F.col("low") != F.col("high")).alias("differ"))
+    found = rows.select("rid", "text").mapInArrow(_segment_rows, "ah long, sh long, sh2 long, rid long, place long")
+    both = [f(c).alias(f"{name}_{c}") for c in ("sh", "sh2") for f, name in ((F.min, "low"), (F.max, "high"))]
+    shared = found.groupBy("ah").agg(F.count("*").alias("n"), *both) \
+        .filter("n > 1").select("ah", ((F.col("low_sh") != F.col("high_sh")) | (F.col("low_sh2") != F.col("high_sh2"))).alias("differ"))
     # written first: AQE splits a hot key only between two shuffled sides
     shared = materialize(found.join(materialize(shared, "shared").hint("merge"), "ah"), "segments")
     whole = [(F.shiftright("place", 16)).alias("start"),
              (F.shiftright("place", 16) + F.shiftright("place", 8).bitwiseAND(255) + LENGTH).alias("end")]
     equal = shared.filter("not differ").select("rid", *whole)
     differ = shared.filter("differ")
-    kinds = materialize(differ.groupBy("ah", "sh").agg(F.count("*").alias("n"),
+    kinds = materialize(differ.groupBy("ah", "sh", "sh2").agg(F.count("*").alias("n"),
                                                        F.min(F.struct("rid", "place")).alias("first")), "kinds")
-    copied = differ.join(kinds.filter("n > 1").select("ah", "sh"), ["ah", "sh"]).select("rid", *whole)
+    copied = differ.join(kinds.filter("n > 1").select("ah", "sh", "sh2"), ["ah", "sh", "sh2"]).select("rid", *whole)
     large = materialize(kinds.groupBy("ah").agg(F.count("*").alias("m"))
                         .filter(F.col("m") > GROUP_SEGMENTS).select("ah", F.lit(True).alias("hot")), "large")
     asked = kinds.join(large, "ah", "left").groupBy("first.rid").agg(F.collect_list(F.struct(

@@ -49,32 +49,46 @@ def tile(item: np.ndarray, doc: np.ndarray, shortest: int = SEED) -> list[tuple[
         h_doc, at_doc = _windows(np.concatenate((doc, np.zeros(max(0, len(item) - len(doc)), np.uint64))),
                                  np.concatenate((free_doc, np.zeros(max(0, len(item) - len(doc)), bool))), length)
         order = np.argsort(h_doc, kind="stable")
-        found = np.searchsorted(h_doc[order], h_item)
-        out = []
-        for k in np.flatnonzero(found < len(order)):
-            m = found[k]
-            while m < len(order) and h_doc[order[m]] == h_item[k]:
-                i, j = int(at_item[k]), int(at_doc[order[m]])
-                if (item[i: i + length] == doc[j: j + length]).all():
-                    out.append((i, j))
-                m += 1
-        return out
+        h_doc, at_doc = h_doc[order], at_doc[order]
+        first, last = np.searchsorted(h_doc, h_item), np.searchsorted(h_doc, h_item, "right")
+        hit = np.flatnonzero(first < last)
+        # item places, each with the places of its hash in the document
+        return list(zip(at_item[hit].tolist(), first[hit].tolist(), last[hit].tolist())), at_doc
+
+    def equal(i, j, length):
+        return bool((item[i: i + length] == doc[j: j + length]).all())
+
+    def mark(found, at_doc, length):
+        """Marks each item place with the first free equal place. Places that
+        are taken stay taken, so a hash's places are passed over once."""
+        open_from: dict[int, int] = {}
+        for i, first, last in found:
+            if not free_item[i: i + length].all():
+                continue
+            at = open_from.get(first, first)
+            while at < last and not free_doc[at_doc[at]: at_doc[at] + length].all():
+                at += 1
+            open_from[first] = at
+            for k in range(at, last):
+                j = int(at_doc[k])
+                if free_doc[j: j + length].all() and equal(i, j, length):
+                    free_item[i: i + length] = free_doc[j: j + length] = False
+                    tiles.append((i, j, length))
+                    break
 
     while longest >= shortest:
         low, high, best = shortest, longest, None
         while low <= high:  # a run of s words holds one of s - 1
             middle = (low + high + 1) // 2 if best is None and high > low else (low + high) // 2
-            if pairs := common(middle):
-                best, low = (middle, pairs), middle + 1
+            found, at_doc = common(middle)
+            if any(equal(i, int(at_doc[k]), middle) for i, first, last in found for k in range(first, last)):
+                best, low = (middle, found, at_doc), middle + 1
             else:
                 high = middle - 1
         if best is None:
             break
-        longest, pairs = best
-        for i, j in pairs:
-            if free_item[i: i + longest].all() and free_doc[j: j + longest].all():
-                free_item[i: i + longest] = free_doc[j: j + longest] = False
-                tiles.append((i, j, longest))
+        longest = best[0]
+        mark(best[1], best[2], longest)
     return tiles
 
 

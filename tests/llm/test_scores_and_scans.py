@@ -187,3 +187,70 @@ def test_odd_documents(docs, corpus, spark):
     bench = spark.createDataFrame([(1, corpus[0][1]), (2, "one two")], "item_id long, text string")
     got = {(r["doc_id"], r["contaminated"]) for r in d.decontaminate(docs, bench).collect()}
     assert {(0, True), (1, True), (2, True), (3, False), (6, False), (None, True)} <= got
+
+
+def test_tiles_of_repeated_words():
+    rng = random.Random(15)
+    for _ in range(60):
+        item = np.array([rng.choice((1, 1, 1, 2, 3)) for _ in range(rng.randint(5, 40))], np.uint64)
+        doc = np.array([rng.choice((1, 1, 1, 2, 3, 4)) for _ in range(rng.randint(5, 60))], np.uint64)
+        covered = sum(t[2] for t in d.tile(item, doc)) / len(item)
+        assert covered == brute.tile_coverage(item.tolist(), doc.tolist())
+    # a million times one word: every place is passed over once
+    tiles = d.tile(np.full(1200, 7, np.uint64), np.concatenate((np.full(10 ** 6, 7, np.uint64), [np.uint64(8)])))
+    assert tiles == [(0, 0, 1200)]
+    item = np.concatenate([[100 + k, *[7] * 6] for k in range(150)]).astype(np.uint64)
+    tiles = d.tile(item, np.full(300_000, 7, np.uint64))
+    assert len(tiles) == 150 and {t[2] for t in tiles} == {6}
+
+
+def test_a_whole_text_sums_all_its_segmentations(spark, tmp_path):
+    """score of whole texts against enumeration with the fitted weights, and
+    what the fitting adds on held-out texts."""
+    pieces = Pieces(PIECES)
+    rows = [(i, t) for i, t in enumerate(["the cat sat", "The  mat\tsat", "a cat", "the the hat zq", "", None, "cats that sat on mats"])]
+    rows += [(100 + i, "the cat sat on the mat") for i in range(6)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "t"))
+    docs = spark.read.parquet(str(tmp_path / "t"))
+    got = {r["doc_id"]: r for r in lattice_scores(docs, PIECES).collect()}
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows}
+    counts = Counter(w for i, t in rows if not held[i] for w in brute.words(t))
+    words = spark.createDataFrame([(w.encode(), c) for w, c in counts.items()], "word binary, c long")
+    logp = lattice.fit_pieces(words, sum(not h for h in held.values()), pieces)
+    table = {}
+
+    def weight(piece):  # by hash, as bytes of one length and hash are one piece
+        raw = np.frombuffer(piece, np.uint8)
+        if piece not in table:
+            h = lattice.mix(lattice.range_hashes(lattice.prefix_hashes(raw), np.array([0]), np.array([len(raw)])))
+            k = pieces.find(h, len(raw))[0]
+            table[piece] = logp[k] if k >= 0 else logp[pieces.bytes_at + int(raw[0])] if len(raw) == 1 else None
+        return table[piece]
+
+    def total(word):
+        if not word:
+            return 1.0
+        return sum(math.exp(w) * total(word[n:]) for n in range(1, len(word) + 1)
+                   if (w := weight(word[:n])) is not None)
+
+    for i, text in rows:
+        want = sum(math.log10(total(lattice.BOUNDARY + w.encode())) for w in brute.words(text)) \
+            + logp[pieces.end] / math.log(10)
+        assert abs(got[i]["score"] - want) < 1e-9, text
+
+
+def test_fitting_raises_the_held_out_likelihood(spark):
+    """One round of expected counts against the vocabulary's scores alone, on
+    the texts of sf0.001 that are held out."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+
+    def held_out(share):
+        before, lattice.PRIOR_SHARE = lattice.PRIOR_SHARE, share
+        try:
+            rows = lattice_scores(docs, PIECES).filter("held_out").collect()
+        finally:
+            lattice.PRIOR_SHARE = before
+        return sum(r["score"] for r in rows) / sum(r["n_tokens"] for r in rows)
+
+    fitted, scores_alone = held_out(lattice.PRIOR_SHARE), held_out(1.0)
+    assert fitted > scores_alone + 1  # a factor of ten a word

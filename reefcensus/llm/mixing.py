@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from reefcensus.operators.clean import number_rows
+
 from .store import materialize, whole_rows, with_row_id
 
 #: hash bits, and the bits that each refinement looks at
@@ -76,8 +78,9 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A document is taken ``floor(target / source_size)`` times, and once more
     below the source's hash threshold; the document at the threshold is taken
     if that brings the sum nearer. Rows with one hash (a repeated id) share
-    the threshold: of those at the boundary, the lowest text hashes and then
-    a fixed share are taken. Null texts have size 0; a null source is a
+    the threshold: of those at the boundary, the lowest text hashes are taken,
+    and of rows with one text as many as come nearest to the target. How many
+    of each distinct row are taken depends on nothing else, so reruns agree. Null texts have size 0; a null source is a
     source of its own; sources are few (one row each fits a task), their rows
     are not. An empty table gives no rows.
     """
@@ -89,8 +92,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def _mix(texts: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
     """``mix_sources`` of ``(rid, doc_id, source, text)``."""
     base = texts.select("rid", "doc_id", "source", word_count(texts["text"]).alias("size"),
-                        doc_hash(texts["doc_id"]).alias("h"), F.xxhash64("text").alias("h2"),
-                        F.xxhash64("rid").alias("h3"))
+                        doc_hash(texts["doc_id"]).alias("h"), F.xxhash64("text").alias("h2"))
     rows = materialize(base, "mix")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = targets(sizes, weights, max_repeat)
@@ -122,23 +124,23 @@ def _mix(texts: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat: int = M
         .agg(F.sum("size").alias("tokens"))
     tie = tie.withColumn("before", F.sum("tokens").over(W.partitionBy("source").orderBy("h2")) - F.col("tokens"))
     tie = _null_safe(tie, edge, F.lit(True)).select("source", "h2", "before", "tokens", "left")
-    # of several rows alike, the share that fits; of one row, whether it is nearer with it
-    share = F.when(F.col("before") + F.col("tokens") <= F.col("left"), 1.0) \
-        .when(F.col("before") >= F.col("left"), 0.0) \
-        .otherwise((F.col("left") - F.col("before")) / F.col("tokens"))
-    tie = tie.select(F.col("source").alias("t_source"), F.col("h2").alias("t_h2"), "tokens", share.alias("share"))
+    # what fits of the rows with one hash and text
+    fits = F.greatest(F.least(F.col("left") - F.col("before"), F.col("tokens")), F.lit(0))
+    tie = tie.select(F.col("source").alias("t_source"), F.col("h2").alias("t_h2"), fits.cast("double").alias("fits"))
     p = plan.select(F.col("source").alias("p_source"), "source_size", "target", "whole", "budget")
     e = edge.select(F.col("source").alias("e_source"), "edge")
     out = rows.join(p, rows["source"].eqNullSafe(p["p_source"])) \
         .join(e, rows["source"].eqNullSafe(e["e_source"]), "left") \
         .join(tie, rows["source"].eqNullSafe(tie["t_source"]) & (rows["h"] == e["edge"])
               & (rows["h2"].eqNullSafe(tie["t_h2"])), "left")
-    unit = F.shiftright("h3", 11) / F.lit(float(1 << 53)) + 0.5
-    extra = F.when(F.col("budget") <= 0, 0).when(F.col("edge").isNull(), 1) \
-        .when(F.col("h") < F.col("edge"), 1).when(F.col("h") > F.col("edge"), 0) \
-        .when(F.col("tokens") == F.col("size"), (F.col("share") >= 0.5).cast("int")) \
-        .otherwise((unit < F.col("share")).cast("int"))
-    copies = F.least(F.col("whole") + extra, F.lit(int(max_repeat)))
+    at_edge = F.coalesce((F.col("budget") > 0) & (F.col("h") == F.col("edge")), F.lit(False))
+    extra = F.when(F.col("budget") <= 0, 0).when(F.col("edge").isNull(), 1).when(F.col("h") < F.col("edge"), 1).otherwise(0)
+    # rows alike are counted off: as many as come nearest, whichever they are
+    tied = number_rows(out.filter(at_edge), ["source", "h2"], "rid", "place")
+    nearer = (F.col("place") + 0.5) * F.col("size") <= F.col("fits")
+    out = out.filter(~at_edge).withColumn("extra", extra).unionByName(
+        tied.withColumn("extra", (nearer & (F.col("size") > 0)).cast("int")).drop("place"))
+    copies = F.least(F.col("whole") + F.col("extra"), F.lit(int(max_repeat)))
     return out.select("rid", "doc_id", "size", "source", "source_size", "target", copies.alias("copies"),
                       (copies * F.col("size")).cast("long").alias("taken"))
 

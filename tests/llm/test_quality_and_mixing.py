@@ -118,3 +118,21 @@ def test_word_count(spark):
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     got = [r[0] for r in df.select(word_count(df["text"])).collect()]
     assert got == [len(WORD.findall(t or "")) for t in texts]
+
+
+def test_reruns_take_the_same_number_of_equal_rows(spark, tmp_path):
+    """A third of all rows are one row, which holds the threshold; the number
+    taken does not depend on how the table is split."""
+    rows = [(7, "a b c d", "hot")] * 50 + [(7, "other text of seven words in all", "hot")] * 10
+    rows += [(100 + i, "w " * (1 + i % 9), ("hot", "cold", None)[i % 3]) for i in range(90)]
+    seen = set()
+    for parts in (1, 3, 7):
+        path = str(tmp_path / f"t{parts}")
+        spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts).write.parquet(path)
+        got = mix_sources(spark.read.parquet(path)).collect()
+        assert len(got) == len(rows)
+        seen.add(tuple(sorted(((r["doc_id"], r["size"], r["source"] or "", r["copies"]) for r in got))))
+        for source in ("hot", "cold", None):
+            own = [r for r in got if r["source"] == source]
+            assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= max(r["size"] for r in own)
+    assert len(seen) == 1

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .kernel import Words, by_key, chunks, mix, text_buffer
+from .kernel import Words, by_key, chunks, mix, ranges, text_buffer
 from .store import discard, materialize, stored_rows, whole_rows
 
 SHINGLE = 3
@@ -105,7 +105,13 @@ def _sets(batches, size: int, percent: int):
 
 
 def _block_links(rids: np.ndarray, sets: list[np.ndarray], percent: int):
-    """A spanning forest of the links of one block."""
+    """A spanning forest of the links of one block.
+
+    A row of the product holds all overlaps of one document. Rows are taken
+    until every document whose row has not been taken belongs to one group:
+    any other pair has then been looked at from one side. So a large group of
+    near copies costs a few rows, not one for each copy.
+    """
     n_docs = len(sets)
     size = np.array([len(s) for s in sets], np.int64)
     ids, column = np.unique(np.concatenate(sets), return_inverse=True)
@@ -117,30 +123,24 @@ def _block_links(rids: np.ndarray, sets: list[np.ndarray], percent: int):
     docs_of = row[by_column]
     starts = np.concatenate(([0], np.cumsum(np.bincount(column, minlength=len(ids)))))
     first = np.searchsorted(row, np.arange(n_docs + 1))
-    root = np.arange(n_docs)
-
-    def find(x):
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    left = n_docs
-    for i in range(n_docs):
-        if left == 1:
+    root, open_ = np.arange(n_docs), first[1:] > first[:-1]
+    while open_.any():
+        own = np.bincount(root[open_], minlength=n_docs)
+        outside = np.flatnonzero(open_ & (root != own.argmax()))
+        if not len(outside):
             break
+        i = outside[0]
+        open_[i] = False
         cols = column[first[i]: first[i + 1]]
-        if not len(cols):
-            continue
-        lengths = starts[cols + 1] - starts[cols]
-        at = np.repeat(starts[cols] - np.concatenate(([0], np.cumsum(lengths[:-1]))), lengths) + np.arange(lengths.sum())
+        at = ranges(starts[cols], starts[cols + 1] - starts[cols])
         overlap = np.bincount(docs_of[at], minlength=n_docs)
         # below the bound that the two sizes give, a pair is dropped
-        for j in np.flatnonzero((100 + percent) * overlap >= percent * (size[i] + size)):
-            if j != i and (a := find(i)) != (b := find(j)):
-                root[max(a, b)] = min(a, b)
-                left -= 1
-                yield rids[i], rids[j]
+        linked = (100 + percent) * overlap >= percent * (size[i] + size)
+        for other in np.unique(root[linked & (root != root[i])]):
+            j = np.flatnonzero(linked & (root == other))[0]
+            yield rids[i], rids[j]
+            low, high = min(root[i], other), max(root[i], other)
+            root[root == high] = low
 
 
 def _links(batches, size: int, percent: int):

@@ -142,40 +142,62 @@ def observer_rows(grid: DataFrame, keys: Sequence[str] = SHEET_KEYS, paired: boo
     join.
     """
     data = grid.filter(F.col("row_idx") >= 1)
+    halves = [1, 2] if paired else [1]
     if header is not None:
-        names, width = _known_header(header, paired)
-        if paired and width % 2:
-            names = []
-        literal = F.array(*[F.lit(n).cast("string") for n in names]).cast("array<string>")
-        joined = data.select("*", F.lit(len(names)).alias("__span"), literal.alias("__names"))
-        if not any(names):
-            joined = joined.filter(F.lit(False))
+        rows = _rows_of_known_header(data, keys, header, paired, halves)
     else:
         heads = _headers(grid, keys)
         if paired:
             heads = heads.filter(F.col("obs_width") % 2 == 0)
         span = (F.col("obs_width") / 2).cast("int") if paired else F.col("obs_width")
         names = F.transform(F.slice("header", F.lit(3), span), strip_repair_suffix)
-        heads = heads.select(*keys, span.alias("__span"), names.alias("__names"))
-        heads = heads.filter(F.exists("__names", lambda x: x.isNotNull() & (x != "")))
-        joined = data.join(heads, list(keys), "inner")
-    columns, first = _half_columns(F.col("__names"))
-    halves = F.array(*[F.lit(h) for h in ([1, 2] if paired else [1])])
-    rows = joined.select(*keys, "row_idx", "cells", "__span", columns.alias("__columns"), first.alias("__first"),
-                         F.explode(halves).alias("observer_half"))
-
-    def value(c: Column) -> Column:
-        return F.try_element_at("cells", 2 + (F.col("observer_half") - 1) * F.col("__span") + c["position"])
-
-    obs_names = F.transform("__first", lambda c: c["name"])
-    rows = rows.select(
-        *keys, "row_idx", "observer_half", obs_names.alias("obs_names"),
-        F.map_from_arrays(obs_names, F.transform("__first", value)).alias("obs"),
-        F.transform("__columns", lambda c: F.named_struct(
-            F.lit("position"), c["position"], F.lit("name"), c["name"], F.lit("value"), value(c))).alias("obs_cells"))
+        columns, first = _half_columns(names)
+        heads = heads.select(*keys, span.alias("__span"), columns.alias("__columns"), first.alias("__first"))
+        heads = heads.filter(F.size("__first") > 0)
+        rows = data.join(heads, list(keys), "inner").select(
+            *keys, "row_idx", "cells", "__span", "__columns", "__first", F.explode(F.array(*map(F.lit, halves)))
+            .alias("observer_half"))
+
+        def value(c: Column) -> Column:
+            return F.try_element_at("cells", 2 + (F.col("observer_half") - 1) * F.col("__span") + c["position"])
+
+        obs_names = F.transform("__first", lambda c: c["name"])
+        rows = rows.select(
+            *keys, "row_idx", "observer_half", obs_names.alias("obs_names"),
+            F.map_from_arrays(obs_names, F.transform("__first", value)).alias("obs"),
+            F.transform("__columns", lambda c: F.named_struct(
+                F.lit("position"), c["position"], F.lit("name"), c["name"], F.lit("value"), value(c))).alias("obs_cells"))
     return complete_obs(rows, required)
 
 
+def _rows_of_known_header(data: DataFrame, keys: Sequence[str], header: Sequence[str | None], paired: bool,
+                          halves: Sequence[int]) -> DataFrame:
+    """``observer_rows`` of sheets that share a header: its names and places
+    are literals, so rows need no join and no lambda."""
+    names, width = _known_header(header, paired)
+    if paired and width % 2:
+        names = []
+    named = {}
+    for i, n in enumerate(names):
+        if n:
+            named.setdefault(n, i)
+    values = [F.struct(F.lit(h).alias("observer_half"), F.array(*[
+        F.try_element_at("cells", F.lit(3 + (h - 1) * len(names) + i)) for i in range(len(names))
+    ]).cast("array<string>").alias("__values")) for h in halves]
+    rows = data.select(*keys, "row_idx", F.inline(F.array(*values)))
+    if not named:
+        rows = rows.filter(F.lit(False))
+    obs_names = F.array(*[F.lit(n) for n in named]).cast("array<string>")
+    # one expression each, so that unused ones are pruned
+    return rows.select(
+        *keys, "row_idx", "observer_half", obs_names.alias("obs_names"),
+        F.map_from_arrays(obs_names, F.array(*[F.get("__values", F.lit(i)) for i in named.values()]).cast("array<string>"))
+        .alias("obs"),
+        F.array(*[F.struct(F.lit(i + 1).alias("position"), F.lit(n or None).cast("string").alias("name"),
+                           F.get("__values", F.lit(i)).alias("value")) for i, n in enumerate(names)])
+        .cast("array<struct<position:int,name:string,value:string>>").alias("obs_cells"))
+
+
 def obs_columns(obs_rows: DataFrame, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Project named observation fields out of the map (missing -> null)."""
     return obs_rows.select(*[F.col(f"`{c}`") for c in keep],

@@ -8,7 +8,7 @@ import unicodedata
 
 import numpy as np
 
-from .kernel import mix, prefix_hashes, prime_range_hashes, range_hashes
+from .kernel import mix, prefix_hashes, prime_range_hashes, range_hashes, ranges
 
 LIMIT = 0x250
 
@@ -129,8 +129,12 @@ class WordEnds:
         rest = rest[(rest < n) & letter[rest] & ~edge[rest]]
         begins[rest] = True
 
-    def text(self, k: int) -> str:
-        return self.points[self.start[k]: self.end[k]].astype("<u4").tobytes().decode("utf-32-le")
+    def texts(self, which: np.ndarray) -> list[str]:
+        """The named pre-tokens as strings."""
+        size = (self.end - self.start)[which]
+        whole = self.points[ranges(self.start[which], size)].astype("<u4").tobytes().decode("utf-32-le")
+        ends = np.cumsum(size)
+        return [whole[a:b] for a, b in zip((ends - size).tolist(), ends.tolist())]
 
 
 #: places where every pre-token of BYTE_LEVEL ends: from a character that is no

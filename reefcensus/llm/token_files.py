@@ -13,6 +13,7 @@ file are sums of ``n_ids`` of the blocks before.
 from __future__ import annotations
 
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,8 @@ READ_SCHEMA = "shard int, block int, doc_id long, local_start long, n_tokens lon
 #: documents are added to a block until it has this many ids
 BLOCK_IDS = 1 << 20
 SAMPLE = 256
-CACHE_SIZE = 400_000
+#: pre-tokens that a worker remembers, about 32 bytes each; then it starts anew
+CACHE_SIZE = 1 << 20
 
 
 class EliasFano:
@@ -128,11 +130,10 @@ class _Encoder:
         known[inside] = self.hashes[at[inside]] == hashes[inside]
         if known.all():
             return
-        texts = [tokens.text(k) for k in one[~known]]
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        size = np.array([len(x) for x in found], np.int64)
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(tokens.texts(one[~known]), add_special_tokens=False)]
+        size = np.fromiter(map(len, found), np.int64, len(found))
         start = len(self.ids) + np.cumsum(size) - size
-        self.ids = np.concatenate((self.ids, np.array([i for x in found for i in x], self.dtype)))
+        self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(found), self.dtype, int(size.sum()))))
         at, new = at[~known], hashes[~known]
         self.hashes = np.insert(self.hashes, at, new)
         self.start, self.size = np.insert(self.start, at, start), np.insert(self.size, at, size)

@@ -15,7 +15,7 @@ import pyarrow as pa
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 #: bytes handled at once; bounds a task's memory at about 100 times this
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True

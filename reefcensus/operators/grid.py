@@ -62,9 +62,12 @@ def metadata_map(pairs: DataFrame, keys: Sequence[str], k: str = "k", v: str = "
         pairs = with_canonical(pairs, {v: F.col(f"`{v}`")})
     by = [F.col(f"`{c}`") for c in keys]
     first = pairs.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(order, k, v))).alias("__pairs"))
-    names = F.transform("__pairs", lambda p: p[k])
+    names, values = F.col("__pairs")[k], F.col("__pairs")[v]
+    # most sheets have each key once; only the others look for the first of each
+    plain = F.size(F.array_distinct(F.array_compact(names))) == F.size(names)
     entries = F.filter("__pairs", lambda p, i: F.array_position(names, p[k]) == i + 1)
-    return first.select(*by, F.map_from_entries(F.transform(entries, lambda p: F.struct(p[k], p[v]))).alias("metadata"))
+    return first.select(*by, F.when(plain, F.map_from_arrays(names, values)).otherwise(
+        F.map_from_entries(F.transform(entries, lambda p: F.struct(p[k], p[v])))).alias("metadata"))
 
 
 def metadata_columns(meta: DataFrame, keys: Sequence[str], known_keys: Sequence[str]) -> DataFrame:
@@ -181,20 +184,22 @@ def _rows_of_known_header(data: DataFrame, keys: Sequence[str], header: Sequence
     for i, n in enumerate(names):
         if n:
             named.setdefault(n, i)
-    values = [F.struct(F.lit(h).alias("observer_half"), F.array(*[
-        F.try_element_at("cells", F.lit(3 + (h - 1) * len(names) + i)) for i in range(len(names))
-    ]).cast("array<string>").alias("__values")) for h in halves]
-    rows = data.select(*keys, "row_idx", F.inline(F.array(*values)))
+    obs_names = F.array(*[F.lit(n) for n in named]).cast("array<string>")
+    # the map is built once, in the generator; the cells only where they are used
+    parts = [F.struct(F.lit(h).alias("observer_half"), F.map_from_arrays(obs_names, F.array(*[
+        F.try_element_at("cells", F.lit(3 + (h - 1) * len(names) + i)) for i in named.values()
+    ]).cast("array<string>")).alias("obs")) for h in halves]
+    rows = data.select(*keys, "row_idx", "cells", F.inline(F.array(*parts)))
     if not named:
         rows = rows.filter(F.lit(False))
-    obs_names = F.array(*[F.lit(n) for n in named]).cast("array<string>")
-    # one expression each, so that unused ones are pruned
+
+    def value(i: int) -> Column:
+        return F.get("cells", 2 + (F.col("observer_half") - 1) * len(names) + i)
+
     return rows.select(
-        *keys, "row_idx", "observer_half", obs_names.alias("obs_names"),
-        F.map_from_arrays(obs_names, F.array(*[F.get("__values", F.lit(i)) for i in named.values()]).cast("array<string>"))
-        .alias("obs"),
+        *keys, "row_idx", "observer_half", obs_names.alias("obs_names"), "obs",
         F.array(*[F.struct(F.lit(i + 1).alias("position"), F.lit(n or None).cast("string").alias("name"),
-                           F.get("__values", F.lit(i)).alias("value")) for i, n in enumerate(names)])
+                           value(i).alias("value")) for i, n in enumerate(names)])
         .cast("array<struct<position:int,name:string,value:string>>").alias("obs_cells"))
 
 

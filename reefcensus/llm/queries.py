@@ -3,8 +3,6 @@ express them."""
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import functions as F
 
 from .decontaminate import decontaminate
@@ -14,15 +12,7 @@ from .line_dedup import duplicate_lines
 from .mixing import mix_sources
 from .near_vectors import near_vectors
 from .ngram_join import jaccard_components
-from .quality import (
-    BOILERPLATE,
-    MAX_LOST_PERCENT,
-    NAVIGATION_LINE,
-    NAVIGATION_MARK,
-    NAVIGATION_MARKS,
-    SENTENCE_MARK,
-    quality_rules,
-)
+from .quality import quality_rules
 from .secret_scan import scan_secrets
 from .suffix_dedup import suffix_dedup
 from .token_counts import count_tokens
@@ -120,8 +110,12 @@ QUERIES = {
 _WORDS = r"'[^\x20\x09-\x0D]+'"
 
 
-def _sql_text(pattern) -> str:
-    return "'" + ("(?i)" if pattern.flags & re.IGNORECASE else "") + pattern.pattern.replace("'", "''") + "'"
+#: the line rules of op7, written out for DuckDB apart from the operator's own
+_BOILERPLATE = ("'(?i)all rights reserved|terms of use|terms of service|privacy policy|cookie policy|use of cookies|"
+                "enable javascript|lorem ipsum|powered by|subscribe to our newsletter|copyright [(]c[)]|copyright ©|"
+                "licensed under the'")
+_MENU = ("'(?i)^[^a-z\\x{80}-\\x{10FFFF}]*(home|menu|login|log in|sign in|sign up|register|next|previous|back to top|"
+         "skip to content|read more|click here|share this|search)[^a-z\\x{80}-\\x{10FFFF}]*$'")
 
 
 OP7_SQL = f"""
@@ -138,15 +132,15 @@ base AS (
          length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
          len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words,
          coalesce(list_sum(list_transform(list_filter(lines, lambda x:
-             regexp_matches(x, {_sql_text(BOILERPLATE)}) OR regexp_matches(x, {_sql_text(NAVIGATION_LINE)})
-             OR len(regexp_extract_all(x, {_sql_text(NAVIGATION_MARK)})) >= {NAVIGATION_MARKS}
-             OR NOT regexp_matches(x, {_sql_text(SENTENCE_MARK)})),
+             regexp_matches(x, {_BOILERPLATE}) OR regexp_matches(x, {_MENU})
+             OR len(regexp_extract_all(x, '[|»›•·]|[ \\t](>|/)[ \\t]')) >= 2
+             OR NOT regexp_matches(x, '[.!?…。！？।؟:;]')),
            lambda x: len(regexp_extract_all(x, {_WORDS})))), 0) AS lost
   FROM d LEFT JOIN cov ON d.doc_id = cov.doc_id)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
        n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * lost <= {MAX_LOST_PERCENT} * n_words AS kept
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 2 * lost <= n_words AS kept
 FROM base"""
 
 OP8_SQL = f"""

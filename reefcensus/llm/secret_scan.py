@@ -154,7 +154,10 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     The base kinds are matched from left to right, each on its own; places
     are code points, ends exclusive. The method adds spans of kind ``random``
-    for candidates that overlap no base span. Null texts have no spans.
+    for candidates that overlap no base span. A candidate (``CANDIDATE``) is a
+    run of 20 or more characters of the encodings with a letter and a digit:
+    shorter runs, and runs of letters alone, are not tested, as the battery
+    cannot tell those from words. Null texts have no spans.
     Texts are read once and not shuffled; candidates (few) are.
     """
     text = F.translate(F.coalesce(F.col("text"), F.lit("")), MARK, OTHER_MARK)

@@ -9,10 +9,8 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from reefcensus.llm.quality import clean_lines
-
 from . import brute
-from .test_quality_and_mixing import rules
+from .test_quality_and_mixing import cleaned, rules
 from .test_scores_and_scans import item_rows
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -33,7 +31,7 @@ def test_pipeline_matches_brute_force(spark):
     rows = [(r["doc_id"], r["text"], r["source"]) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
     items = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").select("item_id", "text").collect()]
     assert len({r[0] for r in rows}) == len(rows)
-    rows = [(i, clean_lines(t or "")[0], s) for i, t, s in rows if rules(t)[-1]]
+    rows = [(i, cleaned(t or ""), s) for i, t, s in rows if rules(t)[-1]]
     rows.sort()
     root = five_word_groups([r[1] for r in rows])
     rows = [r for k, r in enumerate(rows) if root[k] == k]

@@ -1,18 +1,49 @@
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter
 
 import pytest
 
 from reefcensus.llm.mixing import mix_sources, targets, word_count
-from reefcensus.llm.quality import line_fault, quality_rules
+from reefcensus.llm.quality import quality_rules
 
 from .conftest import same
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
+PHRASES = ("all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy", "use of cookies",
+           "enable javascript", "lorem ipsum", "powered by", "subscribe to our newsletter", "copyright (c)", "copyright ©",
+           "licensed under the")
+MENU = ("home", "menu", "login", "log in", "sign in", "sign up", "register", "next", "previous", "back to top",
+        "skip to content", "read more", "click here", "share this", "search")
+NO_LETTERS = "".join(chr(c) for c in range(128) if not chr(c).isalpha())
+
+
+def bad_line(line):
+    """The line rules without patterns: boilerplate, menus, no sentence mark."""
+    low = line.lower()
+    if any(p in low for p in PHRASES) or low.strip(NO_LETTERS) in MENU:
+        return True
+    marks = at = 0
+    while at < len(line):
+        if line[at] in "|»›•·":
+            marks += 1
+        elif line[at] in " \t" and line[at + 1: at + 2] in (">", "/") and line[at + 2: at + 3] in (" ", "\t"):
+            marks += 1
+            at += 2
+        at += 1
+    return marks >= 2 or not any(c in ".!?…。！？।؟:;" for c in line)
+
+
+def cleaned(text):
+    lines = text.split("\n")
+    bad = [WORD.search(x) is not None and bad_line(x) for x in lines]
+    return "\n".join(x for x, b in zip(lines, bad) if not b) if any(bad) else text
+
+
 def rules(text):
     text = text or ""
     w = WORD.findall(text)
@@ -25,7 +56,7 @@ def rules(text):
     often = Counter(windows)
     repeat = {i + k for i, x in enumerate(windows) if often[x] > 1 for k in range(5)}
     failed = len(w) < 10 or 100 * len(repeat) > 20 * len(w)
-    lost = sum(len(WORD.findall(x)) for x in text.split("\n") if WORD.search(x) and line_fault(x))
+    lost = sum(len(WORD.findall(x)) for x in text.split("\n") if WORD.search(x) and bad_line(x))
     return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), dup, len(repeat), failed,
             not failed and 2 * lost <= len(w))
 
@@ -35,6 +66,16 @@ def test_rules_match_brute_force(docs, corpus):
          "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def test_line_rules_match_plain_ones(spark):
+    rng = random.Random(16)
+    bits = ["Home", "SIGN in", "read more", " | ", "»", " > ", " / ", "/", ">", "All Rights Reserved", "the cat sat", "l'été", "漢字",
+            ".", "…", "؟", "copyright ©", "Copyright (C)", "licensed under the MIT", "\t", "•", "x", "12", "- "]
+    texts = ["\n".join("".join(rng.choices(bits, k=rng.randint(0, 5))) for _ in range(40)) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in quality_rules(df, with_text=True).collect():
+        assert r["clean_text"] == cleaned(texts[r["doc_id"]])
+
+
 def test_lines_are_removed_from_the_text(spark):
     text = "Home\nThis is a line of words. It stays here as it is, all of it.\nCopyright (c) someone\nthe | a | b\n\nEnd."
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")

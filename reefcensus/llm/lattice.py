@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .kernel import Words, chunks, mix, prefix_hashes, range_hashes, text_buffer
+from .kernel import Words, chunks, mix, prefix_hashes, range_hashes, ranges, text_buffer
 from .store import materialize, with_row_id
 
 BOUNDARY = "▁".encode()
@@ -26,6 +26,8 @@ CHUNK_BYTES = 4 << 20
 #: share of a piece's weight that stays with the vocabulary's own scores
 PRIOR_SHARE = 0.01
 BATCH_BYTES = 1 << 18
+#: words that a task remembers with their values, 16 bytes each; then it starts anew
+KNOWN_WORDS = 1 << 20
 
 
 class Pieces:
@@ -181,7 +183,33 @@ SCORE_SCHEMA = ("rid long, doc_id long, held_out boolean, n_tokens long, known l
                 "rare array<long>, rare_n array<long>")
 
 
+class _Values:
+    """Log probabilities of the words that a task has met, by hash."""
+
+    def __init__(self, pieces: Pieces, logp: np.ndarray):
+        self.pieces, self.logp = pieces, logp
+        self.known, self.value = np.zeros(0, np.uint64), np.zeros(0)
+
+    def of(self, hashes: np.ndarray, raw: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Values of distinct words; only new ones get a lattice."""
+        if len(self.known) > KNOWN_WORDS:
+            self.known, self.value = np.zeros(0, np.uint64), np.zeros(0)
+        at = np.searchsorted(self.known, hashes)
+        seen = np.zeros(len(hashes), bool)
+        inside = at < len(self.known)
+        seen[inside] = self.known[at[inside]] == hashes[inside]
+        new = np.flatnonzero(~seen)
+        size = np.diff(ends)[new]
+        own, value = raw[ranges(ends[:-1][new], size)], np.zeros(len(new))
+        for a, b, lattice in _lattices(self.pieces, own, np.concatenate((np.zeros(1, np.int64), np.cumsum(size)))):
+            value[a:b] = lattice.log_probability(self.logp)
+        self.known = np.insert(self.known, at[new], hashes[new])
+        self.value = np.insert(self.value, at[new], value)
+        return self.value[np.searchsorted(self.known, hashes)]
+
+
 def _score(batches, pieces, logp, hot, hot_count):
+    values = _Values(pieces, logp)
     for batch in batches:
         data, offsets = text_buffer(batch.column(3))
         for lo, hi in chunks(offsets, CHUNK_BYTES):
@@ -189,9 +217,7 @@ def _score(batches, pieces, logp, hot, hot_count):
             words, hashes, which, raw, ends = _distinct_words(data[offsets[lo]: offsets[hi]],
                                                               offsets[lo: hi + 1] - offsets[lo])
             doc = np.repeat(np.arange(n), np.diff(words.first))
-            value = np.zeros(len(hashes))
-            for a, b, lattice in _lattices(pieces, raw, ends):
-                value[a:b] = lattice.log_probability(logp)
+            value = values.of(hashes, raw, ends)
             k = np.minimum(np.searchsorted(hot, hashes), max(0, len(hot) - 1))
             count = np.where(hot[k] == hashes, hot_count[k], 0) if len(hot) else np.zeros(len(hashes), np.int64)
             here = count[which]

@@ -254,3 +254,19 @@ def test_fitting_raises_the_held_out_likelihood(spark):
 
     fitted, scores_alone = held_out(lattice.PRIOR_SHARE), held_out(1.0)
     assert fitted > scores_alone + 1  # a factor of ten a word
+
+
+def test_remembered_words_have_the_same_values(monkeypatch):
+    pieces = Pieces(PIECES)
+    logp = np.log(pieces.prior)
+    rng = random.Random(17)
+    for most in (1 << 20, 30):
+        monkeypatch.setattr(lattice, "KNOWN_WORDS", most)
+        values = lattice._Values(pieces, logp)
+        for _ in range(12):
+            text = " ".join("".join(rng.choices("abcé漢", k=rng.randint(1, 3))) for _ in range(80)).encode()
+            _, hashes, _, raw, ends = lattice._distinct_words(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+            want = np.zeros(len(hashes))
+            for a, b, own in lattice._lattices(pieces, raw, ends):
+                want[a:b] = own.log_probability(logp)
+            assert np.allclose(values.of(hashes, raw, ends), want, rtol=1e-12)

@@ -5,8 +5,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from reefcensus.llm import ngram_join, suffix_dedup
+from reefcensus.llm import line_dedup, ngram_join, suffix_dedup
 from reefcensus.llm.components import connected_components
 from reefcensus.llm.line_dedup import drop_lines, duplicate_lines, near_simhashes, with_simhash
 from reefcensus.llm.ngram_join import jaccard_components, keep_one
@@ -227,3 +228,73 @@ def test_long_lines_have_a_simhash(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "t"))
     got = {r["doc_id"]: r["n_removed"] for r in duplicate_lines(spark.read.parquet(str(tmp_path / "t"))).collect()}
     assert got == {1: 0, 2: 1}
+
+
+def _edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_near_copies_of_lines_match_brute_force(spark, tmp_path, monkeypatch):
+    """Lines ruled by a frequent word, whose SimHashes are alike, and a group
+    of near copies: every group is found, without comparing all pairs."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randint(2, 5)))
+    bases = [" ".join(rng.choice((word(), "the", "the")) for _ in range(n)) for n in (30, 33, 36, 60, 14)]
+    texts = bases.copy()
+    for _ in range(80):
+        w = bases[0].split()
+        for _ in range(rng.randint(1, 2)):
+            at = rng.randrange(len(w))
+            w[at:at + 1] = rng.choice(([word()], [w[at], word()], []))
+        texts.append(" ".join(w))
+    texts = [t for t in dict.fromkeys(texts)]
+    rng.shuffle(texts)
+    rows = [(i, t) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "t"))
+    sims = {r["k"]: r["sim"] for r in with_simhash(spark.createDataFrame(rows, "k long, norm string"), ["k"]).collect()}
+    mask, root, linked = (1 << 64) - 1, list(range(len(rows))), 0
+    for i, t in rows:
+        for j, u in rows[:i]:
+            if ((sims[i] ^ sims[j]) & mask).bit_count() <= 3 and _edits(t, u) <= int(max(len(t), len(u)) * 0.2 + 1e-9):
+                linked += 1
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    counts = {}
+
+    def counted(df, label, *more, materialize=line_dedup.materialize):
+        out = materialize(df, label, *more)
+        counts.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "materialize", counted)
+    got = {r["doc_id"]: r["n_removed"] for r in duplicate_lines(spark.read.parquet(str(tmp_path / "t"))).collect()}
+    assert got == {i: int(root[i] != i) for i, _ in rows}
+    compared = sum(counts["star"]) + counts["rest"][-1]
+    assert linked > 3 * compared
+
+
+def test_lines_of_unlike_lengths_are_no_pair(spark):
+    lines = spark.createDataFrame([(1, 5, 100), (2, 5, 125), (3, 4, 126), (4, 5, 79)], "k long, sim long, chars int")
+    assert sorted(map(tuple, line_dedup.near_lines(lines).collect())) == [(1, 2), (2, 3)]
+
+
+def test_edit_distance_bound(spark):
+    rng = random.Random(12)
+    pairs = []
+    for _ in range(300):
+        a = [rng.choice("abc  de") for _ in range(rng.randint(1, 60))]
+        b = a.copy()
+        for _ in range(rng.randint(0, 20)):
+            at = rng.randrange(len(b) + 1)
+            b[at:at + rng.randint(0, 1)] = rng.choice(["", "a", "b", " x"])
+        a, b = (" ".join("".join(s).split()) or "a" for s in (a, b))
+        pairs.append((a, b, rng.randint(0, 14)))
+    got = spark.createDataFrame(pairs, "a string, b string, most int").select(
+        "a", "b", "most", line_dedup.within_edits(*map(F.col, ("a", "b", "most"))).alias("near")).collect()
+    assert all(r["near"] == (_edits(r["a"], r["b"]) <= r["most"]) for r in got)
+    assert 50 < sum(r["near"] for r in got) < 250

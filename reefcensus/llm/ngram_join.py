@@ -7,11 +7,15 @@ shingles that reaches the threshold with another shares one of any
 fixed part of the hash space first, by how many documents hold them, so
 documents whose first shingles are all their own need no partner. The rest
 falls into blocks, and in each block the product of the incidence matrix with
-its transpose gives all overlap counts.
+its transpose gives all overlap counts. A block holds documents of two
+neighbouring classes of sizes. Where chance joins many documents into one
+group, it is taken apart first, by prefixes over all of its shingles.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,8 +30,9 @@ PERCENT = 90
 #: share of the hash space that is counted over all documents, in thousandths:
 #: well over the share of a document's shingles that its prefix has
 LEAST_SAMPLE, SAMPLE_PER_PREFIX = 200, 1.6
-#: documents in one block; larger groups are dealt into tiles of this size
-BLOCK_DOCS = 4096
+#: documents in one block; larger groups are dealt into tiles of half this size,
+#: and groups of more than ``MOST_TILES`` are taken apart before that
+BLOCK_DOCS, MOST_TILES = 4096, 8
 
 SETS_SCHEMA = ("rid long, doc_id long, n long, s1 long, s2 long, first boolean, sampled array<long>, "
                "rest array<long>")
@@ -104,6 +109,16 @@ def _sets(batches, size: int, percent: int):
                 names=["rid", "doc_id", "n", "s1", "s2", "first", "sampled", "rest"])
 
 
+def _whole_sets(batches, size: int):
+    """``(root, node, all)`` of ``(root, node, text)``: all shingles."""
+    for batch in batches:
+        data, offsets = text_buffer(batch.column(2))
+        for lo, hi in chunks(offsets):
+            sets = shingle_sets(data[offsets[lo]: offsets[hi]], offsets[lo: hi + 1] - offsets[lo], size)
+            yield pa.RecordBatch.from_arrays([batch.column(k).slice(lo, hi - lo) for k in range(2)] + [_lists(sets)],
+                                             names=["root", "node", "all"])
+
+
 def _block_links(rids: np.ndarray, sets: list[np.ndarray], percent: int):
     """A spanning forest of the links of one block.
 
@@ -182,6 +197,46 @@ def _candidates(sets: DataFrame, percent: int) -> DataFrame:
     return lean.select("rid", "n", F.explode(F.concat(first, "rest")).alias("h"))
 
 
+def size_class(n, percent: int = PERCENT):
+    """Classes of sizes: those of two linked documents differ by one at most."""
+    # a little wider than the least ratio of sizes, so that rounding parts no pair
+    return F.floor(F.log(n) / (math.log(100 / percent) + 1e-9))
+
+
+def _groups(cols: DataFrame, *key: str) -> DataFrame:
+    """``(node, root, held)``: the connected groups of the nodes with one key,
+    and their sizes. A node is a document (``node >> 1``) in its own class of
+    sizes (even) or in the class above (odd); documents of one class meet in
+    their own."""
+    lead = cols.groupBy(*key).agg(F.min("node").alias("b"), F.count("*").alias("shared"),
+                                  F.min(F.col("node").bitwiseAND(F.lit(1))).alias("above"))
+    lead = lead.filter("shared > 1 and above = 0")
+    groups = connected_components(cols.join(lead, list(key)).select(F.col("node").alias("a"), "b").filter("a <> b"))
+    return materialize(groups.join(groups.groupBy("root").agg(F.count("*").alias("held")), "root")
+                       .select("node", "root", "held"), "groups")
+
+
+def _taken_apart(rows: DataFrame, large: DataFrame, size: int, percent: int) -> DataFrame:
+    """``(node, root, held)`` of smaller groups with all linked pairs of the
+    groups ``(node, root)``: all shingles of a group's documents are ordered
+    by how many of these hold them, so a prefix holds the rarest."""
+    texts = rows.select("rid", "text").join(large.select("root", "node", F.shiftright("node", 1).alias("rid")), "rid") \
+        .select("root", "node", "text")
+    sets = materialize(texts.mapInArrow(lambda it: _whole_sets(it, size), "root long, node long, all array<long>"), "whole")
+    inc = sets.select("root", "node", F.explode("all").alias("h"))
+    df = inc.groupBy("root", "h").agg(F.count("*").alias("df")).filter("df > 1")
+    shared = inc.join(df, ["root", "h"]).groupBy("root", "node") \
+        .agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("shared"))
+    lean = shared.join(sets.select("node", F.size("all").alias("n")), "node")
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1
+    lean = lean.withColumn("take", (prefix - F.col("n") + F.size("shared")).cast("int")).filter("take > 0")
+    first = lean.select("root", "node", F.explode(F.slice("shared", 1, F.col("take"))).alias("x"))
+    cols = materialize(first.select("root", "x.h", "node"), "columns")
+    apart = _groups(cols, "root", "h")
+    discard(sets, cols)
+    return apart
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
                        percent: int = PERCENT) -> DataFrame:
     """``(rid, doc_id, n_shingles, component, component_id)``, one row per
@@ -191,10 +246,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``component`` names the group (a row id), ``component_id`` is its smallest
     ``doc_id`` (nulls only if there is no other). Texts without words link
     with nothing. Equal sets are joined once, by their 128-bit sum hash.
-    Groups of documents with common prefix shingles are product blocks; a
-    group over ``BLOCK_DOCS`` documents is dealt into tiles, and every pair of
-    tiles is a block, so no task holds more than two tiles of texts and no
-    pair is lost. The numbered texts are written once and read twice.
+    Groups of documents of like sizes with common prefix shingles are product
+    blocks. A group over ``BLOCK_DOCS`` documents is dealt into tiles, and
+    every pair of tiles is a block, so no task holds more than two tiles of
+    texts and no pair is lost. As a text is sent once a tile, a group of many
+    tiles is first taken apart by its rarest shingles. The numbered texts are written once and read twice.
     """
     rows = stored_rows(docs, docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     return _components(rows, size, percent)
@@ -204,14 +260,19 @@ def _components(rows: DataFrame, size: int, percent: int) -> DataFrame:
     """``jaccard_components`` of stored ``(rid, doc_id, text)``."""
     sets = materialize(rows.mapInArrow(lambda it: _sets(it, size, percent), SETS_SCHEMA), "sets")
     cols = materialize(_candidates(sets, percent), "columns")
-    lead = cols.groupBy("h").agg(F.min("rid").alias("b"), F.count("*").alias("held")).filter("held > 1")
-    coarse = connected_components(cols.join(lead, "h").select(F.col("rid").alias("a"), "b").filter("a <> b"))
-    blocks = coarse.groupBy("root").agg(F.count("*").alias("held"))
-    members = coarse.join(blocks, "root")
+    nodes = cols.select("h", size_class("n", percent).alias("class"), "rid",
+                        F.explode(F.array(F.lit(0), F.lit(1))).alias("up"))
+    groups = _groups(nodes.select("h", (F.col("class") + F.col("up")).alias("class"),
+                                  (F.col("rid") * 2 + F.col("up")).alias("node")), "class", "h")
+    large = groups.filter(F.col("held") > MOST_TILES * BLOCK_DOCS // 2)
+    members = groups.filter(F.col("held") <= MOST_TILES * BLOCK_DOCS // 2)
+    if not large.isEmpty():
+        members = members.unionByName(_taken_apart(rows, large, size, percent))
+    members = members.select("root", F.shiftright("node", 1).alias("rid"), "held")
     # half a block's documents a tile, as a block holds two
     tiles = F.when(F.col("held") <= BLOCK_DOCS, 1).otherwise(F.ceil(F.col("held") * 2 / BLOCK_DOCS)).cast("int")
-    tile = F.pmod(F.xxhash64("node"), tiles).cast("int")
-    members = members.select("root", F.col("node").alias("rid"), tiles.alias("tiles"), tile.alias("tile"))
+    tile = F.pmod(F.xxhash64("rid"), tiles).cast("int")
+    members = members.select("root", "rid", tiles.alias("tiles"), tile.alias("tile"))
     pairs = F.when(F.col("tiles") == 1, F.array(F.lit(0))).otherwise(F.transform(
         F.sequence(F.lit(0), F.col("tiles") - 1),
         lambda t: F.least(t, "tile") * F.col("tiles") + F.greatest(t, "tile")))

@@ -102,6 +102,35 @@ def test_join_of_a_group_of_near_copies(spark, tmp_path):
     same(got, join_rows(rows), "doc_id", "n_shingles", "component_id")
 
 
+def test_join_of_texts_that_chance_joins(spark, tmp_path, monkeypatch):
+    """Texts of few words meet in some shingle. Such a group is taken apart,
+    and a text is not sent once a tile."""
+    rng = random.Random(13)
+    word = lambda: f"w{rng.randint(0, 19)}"
+    texts = [[word() for _ in range(rng.randint(30, 60))] for _ in range(300)]
+    texts += [w[:k] + [word()] + w[k:] for w in texts[:40] for k in (0, 1, len(w))]
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "t"))
+    docs, sent = spark.read.parquet(str(tmp_path / "t")), []
+
+    def counted(df, *keys, sort=type(docs).sortWithinPartitions):
+        sent.append(df.count())
+        return sort(df, *keys)
+
+    monkeypatch.setattr(type(docs), "sortWithinPartitions", counted)
+    monkeypatch.setattr(ngram_join, "BLOCK_DOCS", 16)
+    same(jaccard_components(docs), join_rows(rows), "doc_id", "n_shingles", "component_id")
+    assert 120 < sent[0] < 3 * len(rows)
+
+
+@pytest.mark.parametrize("percent", [80, 90, 100])
+def test_classes_of_sizes_part_no_pair(spark, percent):
+    n = spark.range(1, 20_000)
+    least = F.ceil(F.col("id") * percent / 100)
+    apart = ngram_join.size_class("id", percent) - ngram_join.size_class(least, percent)
+    assert n.filter(~apart.between(0, 1)).count() == 0
+
+
 def test_equal_sets_have_equal_keys():
     rng = random.Random(13)
     texts = [" ".join(rng.choices("abcdefghijkl", k=rng.randint(0, 400))) for _ in range(300)]
